@@ -1 +1,143 @@
-"""Streaming queries (filled in below)."""
+"""Streaming queries over mapping M1, run to completion with ``availableNow``.
+
+Each query streams the events table (or files Spark derives from it),
+writes through the streaming sink under test into the shared checkpoint
+folder, and returns a batch read of what the sink holds at the end.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from cellscope.operators.sinks import latest_snapshot
+from cellscope.operators.joins import broadcast_if_small
+from cellscope.plans.batch_queries import _IND, _ts_text, flows_oracle, headcount_oracle
+from cellscope.plans.catalog import query
+from cellscope.schemas import PERSONA_COLUMNS
+from cellscope.session import scratch_path
+from cellscope.sources import fixtures
+from cellscope.sources.delimited import write_lines
+from cellscope.sources.fixtures import oracle
+from cellscope.streaming import jobs
+from cellscope.streaming.sources import parquet_table_stream, signal_stream, text_lines
+
+
+def _event_signals(spark: SparkSession, sf_dir: str):
+    return fixtures.events_as_signals(parquet_table_stream(spark, sf_dir, "events"))
+
+
+def _static_dims(spark: SparkSession, sf_dir: str):
+    return fixtures.m1_user_info(spark, sf_dir), fixtures.m1_region_cell(spark, sf_dir)
+
+
+def _enriched_static(spark: SparkSession, sf_dir: str):
+    users, cells = _static_dims(spark, sf_dir)
+    return jobs.enrich_static(_event_signals(spark, sf_dir), users, cells)
+
+
+def _append_and_read(spark: SparkSession, df, name: str):
+    base = scratch_path(spark, name)
+    jobs.run_to_end(jobs.start_append(df, f"{base}/out", f"{base}/chk"))
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_signals", oracle("""
+SELECT imsi, laccell, procedureStartTime FROM signals"""))
+def q_stream_signals(spark, sf_dir):
+    src = scratch_path(spark, "signal-lines")
+    write_lines(fixtures.m1_signals(spark, sf_dir), src,
+                ["imsi", "laccell", "latitude", "longitude", "procedureStartTime"])
+    parsed = signal_stream(text_lines(spark, src))
+    out = _append_and_read(spark, parsed.select("imsi", "laccell", "procedureStartTime"),
+                           "stream-signals")
+    return out
+
+
+@query("stream_enrich_users", oracle("""
+SELECT s.event_id, s.imsi, u.gender, u.age
+FROM signals s JOIN user_info u ON s.imsi = u.imsi"""))
+def q_stream_enrich_users(spark, sf_dir):
+    users, _cells = _static_dims(spark, sf_dir)
+    joined = (_event_signals(spark, sf_dir).select("event_id", "imsi")
+              .join(broadcast_if_small(users), "imsi", "inner"))
+    return _append_and_read(spark, joined, "stream-enrich-users")
+
+
+@query("stream_enrich_regions", oracle("""
+SELECT s.event_id, s.laccell, rc.region_id
+FROM signals s JOIN region_cell rc ON s.laccell = rc.laccell"""))
+def q_stream_enrich_regions(spark, sf_dir):
+    _users, cells = _static_dims(spark, sf_dir)
+    joined = (_event_signals(spark, sf_dir).select("event_id", "laccell")
+              .join(broadcast_if_small(cells), "laccell", "inner"))
+    return _append_and_read(spark, joined, "stream-enrich-regions")
+
+
+def _write_dimension_folders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    users, cells = _static_dims(spark, sf_dir)
+    upath, cpath = scratch_path(spark, "dim-users"), scratch_path(spark, "dim-cells")
+    write_lines(users, upath, ["imsi", "gender", "age"])
+    write_lines(cells, cpath, ["region_id", "laccell"])
+    return upath, cpath
+
+
+@query("stream_dim_refresh", oracle("""
+SELECT event_id, imsi, region_id, gender, age FROM enriched"""))
+def q_stream_dim_refresh(spark, sf_dir):
+    upath, cpath = _write_dimension_folders(spark, sf_dir)
+    base = scratch_path(spark, "stage-a")
+    jobs.run_to_end(jobs.start_enrich_stage(_event_signals(spark, sf_dir), upath, cpath,
+                                            f"{base}/enriched", f"{base}/rejects",
+                                            f"{base}/chk", ttl_seconds=86400))
+    out = spark.read.schema(jobs.ENRICHED).parquet(f"{base}/enriched")
+    return out.select("event_id", "imsi", "region_id", "gender", "age")
+
+
+@query("stream_persona_window", oracle(f"""
+SELECT region_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('minute', ts) + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+       {_IND}
+FROM enriched GROUP BY ALL"""))
+def q_stream_persona_window(spark, sf_dir):
+    counts = jobs.persona_window_stream(_enriched_static(spark, sf_dir))
+    base = scratch_path(spark, "persona-window")
+    jobs.run_to_end(jobs.start_upsert(counts, f"{base}/snap", ["region_id", "window_start"],
+                                      ["window_end"], f"{base}/chk"))
+    snap = latest_snapshot(spark, f"{base}/snap")
+    return snap.select("region_id", _ts_text("window_start").alias("window_start"),
+                       _ts_text("window_end").alias("window_end"), *PERSONA_COLUMNS)
+
+
+@query("stream_upsert", oracle(f"""
+SELECT region_id, window_start, {", ".join(PERSONA_COLUMNS)} FROM (
+  SELECT region_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+         {_IND},
+         row_number() OVER (PARTITION BY region_id ORDER BY date_trunc('minute', ts) DESC) AS rn
+  FROM enriched GROUP BY region_id, date_trunc('minute', ts)) w
+WHERE rn = 1"""))
+def q_stream_upsert(spark, sf_dir):
+    counts = jobs.persona_window_stream(_enriched_static(spark, sf_dir))
+    base = scratch_path(spark, "persona-latest")
+    jobs.run_to_end(jobs.start_upsert(counts, f"{base}/snap", ["region_id"],
+                                      ["window_start"], f"{base}/chk"))
+    snap = latest_snapshot(spark, f"{base}/snap")
+    return snap.select("region_id", _ts_text("window_start").alias("window_start"),
+                       *PERSONA_COLUMNS)
+
+
+@query("stream_region_flow", flows_oracle("""
+SELECT imsi, event_id, CAST(is_in AS INTEGER) AS is_in, region_id, gender, age FROM flows"""))
+def q_stream_region_flow(spark, sf_dir):
+    flows = jobs.flows_stream(_enriched_static(spark, sf_dir))
+    out = _append_and_read(spark, flows, "stream-flows")
+    return out.select("imsi", "event_id", "is_in", "region_id", "gender", "age")
+
+
+@query("stream_region_headcount", headcount_oracle("SELECT * FROM headcount"))
+def q_stream_region_headcount(spark, sf_dir):
+    counts = jobs.headcount_stream(jobs.flows_stream(_enriched_static(spark, sf_dir)))
+    base = scratch_path(spark, "headcount")
+    jobs.run_to_end(jobs.start_upsert(counts, f"{base}/snap", ["region_id"], PERSONA_COLUMNS,
+                                      f"{base}/chk"))
+    return latest_snapshot(spark, f"{base}/snap").select("region_id", *PERSONA_COLUMNS)
+

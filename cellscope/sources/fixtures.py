@@ -32,7 +32,12 @@ class Mapping:
 # ---------------------------------------------------------------- M1 (Spark)
 
 def m1_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return events_as_signals(table(spark, sf_dir, "events"))
+
+
+def events_as_signals(events: DataFrame) -> DataFrame:
+    """Mapping M1 on an events DataFrame (batch or streaming)."""
+    e = events
     k = F.get_json_object("props", "$.k").cast("int")
     ts = F.col("ts").cast("timestamp")
     return e.select(
