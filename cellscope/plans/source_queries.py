@@ -1 +1,223 @@
-"""Source / parse / sink queries (filled in below)."""
+"""Sources, parsing, dimensions and sinks over mapping M1.
+
+Delimited-text inputs are produced by Spark from the supplied tables and
+written under the shared checkpoint folder, then read back through the
+operator under test.  The signal feed carries defects derived from the data:
+an ``error`` event becomes a short line (``imsi`` only) when its value is
+below 20 and a bad-number line (``imsi|laccell|x``) otherwise; a customer
+with a negative balance has a non-numeric age.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cellscope.functions.scalar import hour_bucket
+from cellscope.operators import stay
+from cellscope.operators.index import build_user_index
+from cellscope.operators.sinks import write_hourly, write_table
+from cellscope.plans.batch_queries import SEGMENT_HOUR, SEGMENT_REGION, m1_stay_bitmaps
+from cellscope.plans.catalog import query
+from cellscope.schemas import SIGNAL
+from cellscope.session import scratch_path
+from cellscope.sources import delimited, fixtures
+from cellscope.sources.dimensions import user_dimension
+from cellscope.sources.fixtures import oracle
+
+SIGNAL_FIELDS = ["imsi", "laccell", "latitude", "longitude", "procedureStartTime"]
+
+
+def _signal_lines(spark: SparkSession, sf_dir: str, with_defects: bool) -> str:
+    e = fixtures.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    s = fixtures.m1_signals(spark, sf_dir).join(e, "event_id")
+    good = F.concat_ws("|", *[F.col(c).cast("string") for c in SIGNAL_FIELDS])
+    line = good
+    if with_defects:
+        line = (F.when((F.col("event_type") == "error") & (F.col("value") < 20), F.col("imsi"))
+                 .when(F.col("event_type") == "error",
+                       F.concat_ws("|", "imsi", "laccell", F.lit("x")))
+                 .otherwise(good))
+    path = scratch_path(spark, "signal-lines")
+    s.select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def _user_lines(spark: SparkSession, sf_dir: str, with_defects: bool) -> str:
+    c = fixtures.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    u = fixtures.m1_user_info(spark, sf_dir).join(
+        c.select(F.col("c_custkey").cast("string").alias("imsi"), "c_acctbal"), "imsi")
+    age = F.col("age").cast("string")
+    if with_defects:
+        age = F.when(F.col("c_acctbal") < 0, F.lit("n/a")).otherwise(age)
+    path = scratch_path(spark, "user-lines")
+    u.select(F.concat_ws("|", "imsi", "gender", age).alias("value")) \
+     .write.mode("overwrite").text(path)
+    return path
+
+
+def _cell_lines(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "cell-lines")
+    delimited.write_lines(fixtures.m1_region_cell(spark, sf_dir), path, ["region_id", "laccell"])
+    return path
+
+
+# ------------------------------------------------------------ typed scans
+
+@query("scan_signals", oracle(
+    "SELECT imsi, laccell, latitude, longitude, procedureStartTime FROM signals"))
+def q_scan_signals(spark, sf_dir):
+    return delimited.read_signals(spark, _signal_lines(spark, sf_dir, False))
+
+
+@query("scan_region_cell", oracle("SELECT region_id, laccell FROM region_cell"))
+def q_scan_region_cell(spark, sf_dir):
+    return delimited.read_region_cell(spark, _cell_lines(spark, sf_dir))
+
+
+@query("scan_user_info", oracle("SELECT imsi, gender, age FROM user_info"))
+def q_scan_user_info(spark, sf_dir):
+    return delimited.read_user_info(spark, _user_lines(spark, sf_dir, False))
+
+
+@query("text_first_field", oracle("SELECT imsi FROM user_info"))
+def q_text_first_field(spark, sf_dir):
+    lines = delimited.read_lines(spark, _user_lines(spark, sf_dir, True))
+    return delimited.first_field(lines, "imsi")
+
+
+@query("hour_partition_scan", oracle(f"""
+SELECT imsi, laccell, procedureStartTime FROM signals
+WHERE strftime(ts, '%Y%m%d%H') = '{SEGMENT_HOUR}'"""))
+def q_hour_partition_scan(spark, sf_dir):
+    path = scratch_path(spark, "signals-by-hour")
+    s = fixtures.m1_signals(spark, sf_dir).select(*SIGNAL_FIELDS)
+    hour = hour_bucket("procedureStartTime")
+    (s.withColumn("dt", F.substring(hour, 1, 8)).withColumn("hh", F.substring(hour, 9, 2))
+      .write.mode("overwrite").partitionBy("dt", "hh").parquet(path))
+    schema = T.StructType(SIGNAL.fields + [T.StructField("dt", T.StringType()),
+                                           T.StructField("hh", T.StringType())])
+    one_hour = (spark.read.schema(schema).parquet(path)
+                .where((F.col("dt") == SEGMENT_HOUR[:8]) & (F.col("hh") == SEGMENT_HOUR[8:])))
+    return one_hour.select("imsi", "laccell", "procedureStartTime")
+
+
+# ----------------------------------------------------------------- parsing
+
+@query("parse_signals_lenient", oracle("""
+SELECT s.imsi, s.laccell FROM signals s JOIN events e ON s.event_id = e.event_id
+WHERE NOT (e.event_type = 'error' AND e.value < 20)"""))
+def q_parse_signals_lenient(spark, sf_dir):
+    lines = delimited.read_lines(spark, _signal_lines(spark, sf_dir, True))
+    return delimited.parse_signals_lenient(lines)
+
+
+@query("parse_users_lenient", oracle("""
+SELECT u.imsi, u.gender, u.age FROM user_info u
+JOIN customer c ON u.imsi = CAST(c.c_custkey AS VARCHAR) WHERE c.c_acctbal >= 0"""))
+def q_parse_users_lenient(spark, sf_dir):
+    lines = delimited.read_lines(spark, _user_lines(spark, sf_dir, True))
+    return delimited.parse_users_lenient(lines)
+
+
+@query("parse_region_cell_lenient", oracle("SELECT laccell, region_id FROM region_cell"))
+def q_parse_region_cell_lenient(spark, sf_dir):
+    lines = delimited.read_lines(spark, _cell_lines(spark, sf_dir))
+    return delimited.parse_region_cell_lenient(lines)
+
+
+@query("parse_strict", oracle(
+    "SELECT imsi, laccell, latitude, longitude, procedureStartTime FROM signals"))
+def q_parse_strict(spark, sf_dir):
+    return delimited.read_strict(spark, _signal_lines(spark, sf_dir, False), SIGNAL)
+
+
+@query("parse_rejects", oracle("""
+SELECT CASE WHEN e.value < 20 THEN s.imsi ELSE s.imsi || '|' || s.laccell || '|x' END AS line
+FROM signals s JOIN events e ON s.event_id = e.event_id WHERE e.event_type = 'error'"""))
+def q_parse_rejects(spark, sf_dir):
+    lines = delimited.read_lines(spark, _signal_lines(spark, sf_dir, True))
+    return delimited.rejects(lines, SIGNAL)
+
+
+# -------------------------------------------------------------- dimensions
+
+_EDITED_USERS = """
+SELECT u.imsi, u.gender,
+       CASE WHEN c.c_acctbal < 0 THEN u.age + 1 ELSE u.age END AS age
+FROM user_info u JOIN customer c ON u.imsi = CAST(c.c_custkey AS VARCHAR)"""
+
+
+@query("dim_latest_per_key", oracle(_EDITED_USERS))
+def q_dim_latest_per_key(spark, sf_dir):
+    """Base profile file, then an edit file in which every customer with a
+    negative balance appears twice (age+5, then age+1): the last line wins."""
+    path = scratch_path(spark, "user-dimension")
+    users = fixtures.m1_user_info(spark, sf_dir)
+    delimited.write_lines(users, f"{path}/v1", ["imsi", "gender", "age"])
+    c = fixtures.table(spark, sf_dir, "customer")
+    edited = (users.join(c.where(F.col("c_acctbal") < 0)
+                          .select(F.col("c_custkey").cast("string").alias("imsi")), "imsi")
+                   .select("imsi", "gender", "age",
+                           F.explode(F.array(F.lit(5), F.lit(1))).alias("bump")))
+    edits = (edited.withColumn("seq", F.when(F.col("bump") == 5, 0).otherwise(1))
+                   .withColumn("age", F.col("age") + F.col("bump"))
+                   .repartitionByRange("imsi").sortWithinPartitions("imsi", "seq"))
+    delimited.write_lines(edits, f"{path}/v2", ["imsi", "gender", "age"])
+    return user_dimension(spark, f"{path}/*").select("imsi", "gender", "age")
+
+
+@query("dim_ttl", oracle("SELECT imsi, gender, age FROM user_info"))
+def q_dim_ttl(spark, sf_dir):
+    path = scratch_path(spark, "user-dimension-ttl")
+    delimited.write_lines(fixtures.m1_user_info(spark, sf_dir), path, ["imsi", "gender", "age"])
+    return user_dimension(spark, path, ttl_seconds=86400).select("imsi", "gender", "age")
+
+
+# ------------------------------------------------------------------- sinks
+
+@query("sink_overwrite", oracle("SELECT imsi, bitmap_id FROM user_index"))
+def q_sink_overwrite(spark, sf_dir):
+    """The index job run twice: the second run replaces, never duplicates."""
+    path = scratch_path(spark, "user-index")
+    for _ in range(2):
+        write_table(build_user_index(fixtures.m1_indexed_users(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+_STAY_SCHEMA = T.StructType([
+    T.StructField("region_id", T.StringType()),
+    T.StructField("bucket", T.IntegerType()),
+    T.StructField("bitmap", T.BinaryType()),
+    T.StructField("produce_hour", T.StringType()),
+])
+
+
+@query("sink_hour_overwrite", oracle("""
+SELECT region_id, produce_hour, CAST(count(bitmap_id) AS BIGINT) AS user_count
+FROM stay_rows GROUP BY region_id, produce_hour"""))
+def q_sink_hour_overwrite(spark, sf_dir):
+    """All hours written once, then one hour re-run: only that hour is replaced."""
+    path = scratch_path(spark, "stay-hourly")
+    bitmaps = m1_stay_bitmaps(spark, sf_dir)
+    write_hourly(bitmaps, path)
+    rerun = m1_stay_bitmaps(spark, sf_dir).where(F.col("produce_hour") == SEGMENT_HOUR)
+    write_hourly(rerun, path)
+    table = spark.read.schema(_STAY_SCHEMA).parquet(path)
+    return stay.stay_user_count(table)
+
+
+@query("parameterised_query", oracle(f"""
+SELECT region_id, produce_hour, CAST(count(bitmap_id) AS BIGINT) AS user_count
+FROM stay_rows WHERE region_id = '{SEGMENT_REGION}' AND produce_hour = '{SEGMENT_HOUR}'
+GROUP BY region_id, produce_hour"""))
+def q_parameterised_query(spark, sf_dir):
+    counts = stay.stay_user_count(m1_stay_bitmaps(spark, sf_dir))
+    return spark.sql(
+        "SELECT region_id, produce_hour, user_count FROM {stay_counts} "
+        "WHERE region_id = :region AND produce_hour = :hour",
+        args={"region": SEGMENT_REGION, "hour": SEGMENT_HOUR}, stay_counts=counts)
+
+
+

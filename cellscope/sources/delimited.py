@@ -63,15 +63,29 @@ def read_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return read_delimited(spark, path, schema, mode="FAILFAST")
 
 
-def rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The lines a typed scan cannot parse, as (line)."""
-    parsed = read_delimited(spark, path, schema, keep_corrupt=True)
-    # Spark refuses queries over raw CSV that reference only the corrupt
-    # column; keep the first field alongside it.
-    first = schema.fields[0].name
-    return (parsed.where(F.col(CORRUPT).isNotNull())
-                  .select(F.col(CORRUPT).alias("line"), F.col(first).alias("_first"))
-                  .drop("_first"))
+def typed_with_corrupt(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Typed scan that keeps unparsable lines in ``_corrupt_record``."""
+    return read_delimited(spark, path, schema, keep_corrupt=True)
+
+
+def line_is_valid(schema: T.StructType, value: Column | str = "value") -> Column:
+    """True when a line has exactly the schema's fields and each one casts."""
+    f = _fields(value)
+    ok = F.size(f) == len(schema.fields)
+    for i, field in enumerate(schema.fields):
+        if not isinstance(field.dataType, T.StringType):
+            raw = F.get(f, i)
+            ok = ok & (raw.isNull() | (raw == "") | raw.try_cast(field.dataType).isNotNull())
+    return ok
+
+
+def rejects(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The lines a typed scan with ``schema`` cannot parse, as (line).
+
+    Works on batch and streaming ``value`` columns alike, so a feed keeps its
+    bad records instead of losing them silently.
+    """
+    return lines.where(~line_is_valid(schema)).select(F.col("value").alias("line"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
