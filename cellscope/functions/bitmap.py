@@ -50,18 +50,28 @@ def _checked_id(id_col: Column | str) -> Column:
 
 
 def build(df: DataFrame, keys: Sequence[str], id_col: str = "bitmap_id",
-          bitmap_col: str = "bitmap") -> DataFrame:
+          bitmap_col: str = "bitmap", sparse: bool = False) -> DataFrame:
     """GROUP BY keys -> set of ids, as (keys..., bucket, bitmap).
 
     NULL ids are skipped; a group whose ids are all NULL keeps one row with
     bucket NULL and an empty bitmap, so the group survives with cardinality 0.
-    Duplicates collapse.  Partial aggregation runs map-side.
+    Duplicates collapse.
+
+    ``sparse=False`` (dense sets, e.g. portraits): partial bitmaps are built
+    map-side, so up to 32768 ids leave a task as one 4 KiB row.
+    ``sparse=True`` (few ids per key and bucket, e.g. one region-hour): a map-
+    side partial bitmap would turn a handful of ids into 4 KiB per task, so
+    the compact (key, bucket, pos) rows are shuffled on the group key first
+    and the bitmaps are built once, reduce-side (the aggregation then needs
+    no exchange of its own).
     """
     keys = list(keys)
-    return (df.select(*keys, bucket_of(id_col).alias("bucket"),
-                      position_of(id_col).alias("pos"))
-              .groupBy(*keys, "bucket")
-              .agg(F.bitmap_construct_agg("pos").alias(bitmap_col)))
+    rows = df.select(*keys, bucket_of(id_col).alias("bucket"),
+                     position_of(id_col).alias("pos"))
+    if sparse:
+        rows = rows.repartition(*keys, "bucket")
+    return (rows.groupBy(*keys, "bucket")
+                .agg(F.bitmap_construct_agg("pos").alias(bitmap_col)))
 
 
 def merge(df: DataFrame, keys: Sequence[str], bitmap_col: str = "bitmap") -> DataFrame:

@@ -30,7 +30,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_hourly(df: DataFrame, path: str, hour_col: str = "produce_hour") -> str:
-    (df.write.mode("overwrite")
+    """One folder per hour; re-running some hours replaces just those folders.
+
+    ``rebalance`` clusters rows of an hour into few files while AQE still
+    splits an oversized hour into several advisory-sized tasks.
+    """
+    (df.hint("rebalance", hour_col)
+       .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(hour_col)
        .parquet(path))
@@ -50,19 +56,30 @@ def read_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame |
 
 def upsert_snapshot(batch: DataFrame, batch_id: int, base: str, key_cols: Sequence[str],
                     order_cols: Sequence[str]) -> None:
-    """Merge one micro-batch into the keyed snapshot (last write wins)."""
+    """Merge one micro-batch into the keyed snapshot (last write wins).
+
+    The micro-batch is consumed exactly once: its latest row per key is
+    written to ``<base>/_delta/batch_id=<n>`` and the merge reads that back.
+    Referencing the batch twice would re-run upstream stateful operators
+    inside one batch.
+    """
     spark = batch.sparkSession
     keys = list(key_cols)
-    values = [c for c in batch.columns if c not in keys]
-    latest = latest_per_key(batch, keys, values, order_cols)
+    cols = batch.columns
+    values = [c for c in cols if c not in keys]
+    delta_path = f"{base.rstrip('/')}/_delta/batch_id={batch_id}"
+    (latest_per_key(batch, keys, values, order_cols).select(*cols)
+        .write.mode("overwrite").parquet(delta_path))
+    latest = spark.read.parquet(delta_path)
     prev = read_snapshot(spark, base, batch_id - 1) if batch_id > 0 else None
     if prev is not None:
-        kept = prev.select(*batch.columns).join(latest.select(*keys), keys, "left_anti")
-        latest = kept.unionByName(latest.select(*batch.columns))
-    latest.select(*batch.columns).write.mode("overwrite").parquet(snapshot_path(base, batch_id))
+        kept = prev.select(*cols).join(latest.select(*keys), keys, "left_anti")
+        latest = kept.unionByName(latest.select(*cols))
+    latest.select(*cols).write.mode("overwrite").parquet(snapshot_path(base, batch_id))
 
 
 def latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
     """The most recent complete snapshot under ``base``."""
+    # Folders starting with "_" (the deltas) are hidden from the scan.
     last = spark.read.parquet(base).agg(F.max("batch_id")).first()[0]
     return spark.read.parquet(snapshot_path(base, last))
