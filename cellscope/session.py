@@ -73,7 +73,8 @@ def ship_package(spark: SparkSession) -> None:
 def apply_job_conf(spark: SparkSession) -> None:
     """Session-level SQL settings the jobs assume (safe on an existing session)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, BASE_CONF[k])
 
 
