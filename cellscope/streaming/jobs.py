@@ -137,38 +137,46 @@ class RegionFlowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
                         timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["ts", "event_id"], kind="stable", ignore_index=True)
-        state = self.current.get() if self.current.exists() else None
+        frames = list(rows)
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        order = np.lexsort((pdf["event_id"].to_numpy(), pdf["ts"].to_numpy()))
+        region = pdf["region_id"].to_numpy(dtype=object)[order]
+        state = self.current.get()
 
-        region = pdf["region_id"].to_numpy(dtype=object)
         prev = np.empty(len(region), dtype=object)
         prev[0] = state[0] if state is not None else None
         prev[1:] = region[:-1]
-        changed = np.array([r != p for r, p in zip(region, prev)], dtype=bool)
-        if not changed.any():
+        at = np.flatnonzero(region != prev)
+        if at.size == 0:
             return
-        ins = pdf.loc[changed, ["imsi", "ts", "event_id", "region_id", "gender", "age"]]
-        ins = ins.reset_index(drop=True)
-
-        # Region being left at each change = previous change (or the state).
-        left = ins[["region_id", "gender", "age"]].shift(1)
+        pick = order[at]
+        in_region = region[at]
+        in_gender = pdf["gender"].to_numpy(dtype=object)[pick]
+        in_age = pdf["age"].to_numpy(dtype=np.int64)[pick]
+        ts = pdf["ts"].to_numpy()[pick]
+        eid = pdf["event_id"].to_numpy(dtype=np.int64)[pick]
+
+        # Region left at each change = the previous change (or the state),
+        # with the profile recorded when it was entered.
+        out_region = np.empty(at.size, dtype=object)
+        out_gender = np.empty(at.size, dtype=object)
+        out_age = np.zeros(at.size, dtype=np.int64)
+        out_region[1:], out_gender[1:], out_age[1:] = in_region[:-1], in_gender[:-1], in_age[:-1]
         if state is not None:
-            left.iloc[0] = list(state)
-        outs = ins[["imsi", "ts", "event_id"]].copy()
-        outs["is_in"] = 0
-        outs["region_id"] = left["region_id"]
-        outs["gender"] = left["gender"]
-        outs["age"] = left["age"]
-        outs = outs[outs["region_id"].notna()]
-
-        ins = ins.assign(is_in=1)
-        last = ins.iloc[-1]
-        self.current.update((last["region_id"], last["gender"], int(last["age"])))
-        out = pd.concat([ins, outs], ignore_index=True)
-        out["is_in"] = out["is_in"].astype("int32")
-        out["age"] = out["age"].astype("int32")
-        yield out[REGION_FLOW.fieldNames()]
+            out_region[0], out_gender[0], out_age[0] = state[0], state[1], state[2]
+        has_out = np.array([r is not None for r in out_region], dtype=bool)
+
+        self.current.update((in_region[-1], in_gender[-1], int(in_age[-1])))
+        n_out = int(has_out.sum())
+        yield pd.DataFrame({
+            "imsi": np.full(at.size + n_out, key[0], dtype=object),
+            "ts": np.concatenate([ts, ts[has_out]]),
+            "event_id": np.concatenate([eid, eid[has_out]]),
+            "is_in": np.concatenate([np.ones(at.size, np.int32), np.zeros(n_out, np.int32)]),
+            "region_id": np.concatenate([in_region, out_region[has_out]]),
+            "gender": np.concatenate([in_gender, out_gender[has_out]]),
+            "age": np.concatenate([in_age, out_age[has_out]]).astype(np.int32),
+        })
 
     def close(self) -> None:
         pass
