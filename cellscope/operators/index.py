@@ -36,3 +36,15 @@ def unique_id_index(users: DataFrame, imsi_col: str = "imsi") -> DataFrame:
     """Parity form of the original job: one id per input line, k*n+i layout."""
     ids = unique_row_ids(users.select(F.col(imsi_col).alias("imsi")), "bitmap_id")
     return ids.select("imsi", _checked("bitmap_id").alias("bitmap_id"))
+
+
+def write_bucketed_index(index: DataFrame, table: str, num_buckets: int) -> None:
+    """Save the index as a table bucketed and sorted by imsi.
+
+    The hourly stay job joins every hour's visits with the same index; with
+    the index bucketed on the join key (and the shuffle partition count equal
+    to ``num_buckets``) only the visit side is shuffled, the index side is read
+    in place.
+    """
+    (index.write.mode("overwrite").bucketBy(num_buckets, "imsi").sortBy("imsi")
+          .saveAsTable(table))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cellscope.functions.scalar import is_man
 from cellscope.operators.joins import broadcast_if_small
-from cellscope.operators.ordered import lag_columns, running_sums, with_row_index
+from cellscope.operators.ordered import lag_columns, running_sums
 from cellscope.schemas import PERSONA_COLUMNS
 
 WINDOW = "1 minute"
@@ -126,6 +126,14 @@ def persona_lookup(persona: DataFrame, region_id: str) -> DataFrame:
     return persona.where(F.col("region_id") == F.lit(region_id))
 
 
+def persona_lookup_json(persona: DataFrame, region_id: str) -> DataFrame:
+    """Exactly one row ``(region_id, doc)``; ``{}`` when the region is unknown."""
+    key = persona.sparkSession.createDataFrame([(region_id,)], "region_id string")
+    found = key.join(persona_lookup(persona, region_id), "region_id", "left")
+    # to_json drops NULL fields, so a missing region renders as {}.
+    return persona_json(found)
+
+
 def persona_cells(persona: DataFrame) -> DataFrame:
     """Wide counters -> (region_id, qualifier, value) with values as strings."""
     pairs = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in PERSONA_COLUMNS)
@@ -158,5 +166,5 @@ def latest_window_per_region(persona_windows: DataFrame) -> DataFrame:
 __all__ = [
     "enrich", "enrich_rejects", "persona_window", "persona_running", "region_flow",
     "region_headcount", "persona_lookup", "persona_cells", "persona_from_cells",
-    "persona_json", "latest_window_per_region", "indicators", "with_row_index",
+    "persona_json", "persona_lookup_json", "latest_window_per_region", "indicators",
 ]

@@ -183,7 +183,12 @@ class RegionFlowProcessor(StatefulProcessor):
 
 
 def flows_stream(enriched: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Enter/leave flows keyed by user (shuffle on imsi, RocksDB state)."""
+    """Enter/leave flows keyed by user (shuffle on imsi, RocksDB state).
+
+    ``ttl_ms`` expires a silent user's state; it switches the operator to
+    processing-time mode, which keeps scheduling eviction batches, so run such
+    a query with a processing-time trigger (``availableNow`` would not end).
+    """
     time_mode = "ProcessingTime" if ttl_ms else "None"
     cols = ["imsi", "ts", "event_id", "region_id", "gender", "age"]
     return (enriched.select(*cols).groupBy("imsi")
@@ -219,6 +224,14 @@ def start_append(df: DataFrame, path: str, checkpoint: str,
               .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def start_console(df: DataFrame, output_mode: str = "update", num_rows: int = 20,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Print each micro-batch (debugging sink)."""
+    return (df.writeStream.outputMode(output_mode).format("console")
+              .option("numRows", str(num_rows)).option("truncate", "false")
+              .trigger(**(trigger or {"processingTime": "1 minute"})).start())
+
+
 def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> None:
     """Wait for an ``availableNow`` query; surface its error if it failed."""
     q.awaitTermination(timeout_s)

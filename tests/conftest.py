@@ -11,7 +11,9 @@ from cellscope.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(master="local[4]", app="cellscope-tests", shuffle_partitions=4)
+    session = build_session(master="local[4]", app="cellscope-tests", shuffle_partitions=4,
+                            extra={"spark.sql.warehouse.dir":
+                                   tempfile.mkdtemp(prefix="cellscope-wh-")})
     yield session
     session.stop()
 
