@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.operators.joins import latest_per_key
-from cellscope.sources.delimited import (parse_region_cell_lenient, parse_users_lenient)
 
 
 def read_with_order(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +55,3 @@ def cell_dimension(spark: SparkSession, path: str, ttl_seconds: int | None = Non
                            *_ORDER)
                    .where(F.col("laccell").isNotNull()))
     return latest_per_key(parsed, ["laccell"], ["region_id"], _ORDER)
-
-
-__all__ = ["read_with_order", "apply_ttl", "user_dimension", "cell_dimension",
-           "parse_users_lenient", "parse_region_cell_lenient"]

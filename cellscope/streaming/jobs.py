@@ -36,7 +36,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cellscope.operators import persona
-from cellscope.operators.joins import broadcast_if_small
 from cellscope.operators.sinks import upsert_snapshot
 from cellscope.schemas import PERSONA_COLUMNS, REGION_FLOW
 from cellscope.sources.dimensions import cell_dimension, user_dimension
