@@ -2,10 +2,12 @@
 
 A ``Window.partitionBy(key)`` puts every row of a key into one task; if one
 user or region holds a third of all rows, that task holds a third of the job.
-These helpers instead range-partition on the *full* order key, so a hot key is
-spread over many contiguous partitions, and stitch partitions together with a
-tiny per-partition summary (at most ``num_partitions`` rows, the only thing
-broadcast).
+The ``*_by_range`` helpers instead range-partition on the *full* order key,
+so a hot key is spread over many contiguous partitions, and stitch partitions
+together with a tiny per-partition summary (at most ``num_partitions`` rows,
+the only thing broadcast).  The public ``lag_columns`` / ``running_sums``
+first find hot keys (one partial-aggregation pass, a bounded list) and send
+only those through the range path; all other keys use a plain window.
 
 Row numbering inside a partition uses ``monotonically_increasing_id`` whose
 documented layout is ``partition_index << 33 | row_number_in_partition``.  The
@@ -81,9 +83,9 @@ def unique_row_ids(df: DataFrame, id_col: str = "row_id") -> DataFrame:
               .drop("_mid"))
 
 
-def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
-                value_cols: Sequence[str], prefix: str = "prev_",
-                num_partitions: int | None = None) -> DataFrame:
+def lag_by_range(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
+                 value_cols: Sequence[str], prefix: str = "prev_",
+                 num_partitions: int | None = None) -> DataFrame:
     """Previous row's ``value_cols`` within each key, ordered by ``order_cols``.
 
     Same result as ``lag(v) OVER (PARTITION BY key ORDER BY order)`` (NULL on a
@@ -107,8 +109,8 @@ def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str
     return out.drop(*[f"_pk_{k}" for k in keys], *[f"_pv_{v}" for v in vals])
 
 
-def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                 sums: Mapping[str, Column], num_partitions: int | None = None) -> DataFrame:
+def running_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                     sums: Mapping[str, Column], num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums per group, one output per input row.
 
     Same result as ``sum(x) OVER (PARTITION BY g ORDER BY o ROWS BETWEEN
@@ -137,3 +139,97 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     return lo.join(ca, cond).select(
         *[F.col(f"lo.{c}") for c in df.columns],
         *[(F.col(f"lo._l_{n}") + F.col(f"ca._c_{n}")).cast("long").alias(n) for n in names])
+
+
+# ------------------------------------------------------ hot-key split front
+
+# A group larger than this is "hot": it would make one window task hold more
+# than a normal task's share.  At most MAX_HOT_KEYS hot keys are listed
+# (broadcast with that proven bound); beyond that the whole input takes the
+# range path, which is exact for any skew.
+HOT_ROWS = 2_000_000
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, key_cols: Sequence[str], hot_rows: int = HOT_ROWS,
+             max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None if there are none.
+
+    One pass with map-side partial counting; at most ``max_hot_keys + 1``
+    key rows reach the driver.  Raises ``_TooManyHotKeys`` past the cap.
+    """
+    keys = list(key_cols)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = (counts.where(F.col("_n") > hot_rows).select(*keys)
+                  .limit(max_hot_keys + 1).collect())
+    if not rows:
+        return None
+    if len(rows) > max_hot_keys:
+        raise _TooManyHotKeys()
+    schema = df.select(*keys).schema
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+
+
+class _TooManyHotKeys(Exception):
+    pass
+
+
+def _split(df: DataFrame, keys: list[str], hot_rows: int, max_hot_keys: int):
+    """(cold, hot) parts of ``df``; hot is None when no key is hot."""
+    try:
+        hot = hot_keys(df, keys, hot_rows, max_hot_keys)
+    except _TooManyHotKeys:
+        return None, df
+    if hot is None:
+        return df, None
+    # A NULL key matches neither side of the hot list: the anti join keeps it
+    # on the window path, so no row is lost.
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+
+
+def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
+                value_cols: Sequence[str], prefix: str = "prev_",
+                num_partitions: int | None = None, hot_rows: int = HOT_ROWS,
+                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``lag(v) OVER (PARTITION BY key ORDER BY order)`` without hot tasks.
+
+    Ordinary keys use a plain window (one shuffle on the key); keys with more
+    than ``hot_rows`` rows use :func:`lag_by_range`.
+    """
+    keys, vals = list(key_cols), list(value_cols)
+    cold, hot = _split(df, keys, hot_rows, max_hot_keys)
+    parts = []
+    if cold is not None:
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        parts.append(cold.select("*", *[F.lag(v).over(w).alias(f"{prefix}{v}") for v in vals]))
+    if hot is not None:
+        parts.append(lag_by_range(hot, keys, order_cols, vals, prefix, num_partitions)
+                     .select(*df.columns, *[f"{prefix}{v}" for v in vals]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                 sums: Mapping[str, Column], num_partitions: int | None = None,
+                 hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Inclusive running sums per group without hot tasks.
+
+    Ordinary groups use ``sum() OVER (... ROWS UNBOUNDED PRECEDING)``; groups
+    with more than ``hot_rows`` rows use :func:`running_by_range`.
+    """
+    groups = list(group_cols)
+    cold, hot = _split(df, groups, hot_rows, max_hot_keys)
+    parts = []
+    if cold is not None:
+        w = (Window.partitionBy(*groups).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        parts.append(cold.select("*", *[F.sum(c).over(w).cast("long").alias(n)
+                                        for n, c in sums.items()]))
+    if hot is not None:
+        parts.append(running_by_range(hot, groups, order_cols, sums, num_partitions))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

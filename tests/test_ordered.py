@@ -3,8 +3,10 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cellscope.operators.ordered import (lag_columns, running_sums, unique_row_ids,
-                                         with_row_index)
+import pytest
+
+from cellscope.operators.ordered import (hot_keys, lag_by_range, lag_columns, running_by_range,
+                                         running_sums, unique_row_ids, with_row_index)
 
 
 def _skewed(spark, n=600):
@@ -23,17 +25,29 @@ def test_row_index_equals_row_number(spark):
         sorted(want.select("k", "t", "rid").collect())
 
 
-def test_lag_equals_window_lag(spark):
+@pytest.mark.parametrize("how", ["window", "split", "range"])
+def test_lag_equals_window_lag(spark, how):
     df = _skewed(spark)
-    got = lag_columns(df, ["k"], ["t"], ["v"], num_partitions=6)
+    if how == "range":
+        got = lag_by_range(df, ["k"], ["t"], ["v"], num_partitions=6)
+    else:
+        got = lag_columns(df, ["k"], ["t"], ["v"], num_partitions=6,
+                          hot_rows=50 if how == "split" else 2_000_000)
     want = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
     assert sorted(got.select("k", "t", "prev_v").collect()) == \
         sorted(want.select("k", "t", "prev_v").collect())
 
 
-def test_running_sums_equal_window_sum(spark):
+@pytest.mark.parametrize("how", ["window", "split", "range", "too_many_hot"])
+def test_running_sums_equal_window_sum(spark, how):
     df = _skewed(spark).withColumn("x", F.when(F.col("v") == "A", 1).otherwise(0))
-    got = running_sums(df, ["k"], ["t"], {"run": F.col("x")}, num_partitions=7)
+    sums = {"run": F.col("x")}
+    if how == "range":
+        got = running_by_range(df, ["k"], ["t"], sums, num_partitions=7)
+    else:
+        got = running_sums(df, ["k"], ["t"], sums, num_partitions=7,
+                           hot_rows={"window": 2_000_000, "split": 50, "too_many_hot": 1}[how],
+                           max_hot_keys=3 if how == "too_many_hot" else 10_000)
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("run", F.sum("x").over(w).cast("long"))
     assert sorted(got.select("k", "t", "run").collect()) == \
@@ -54,3 +68,9 @@ def test_unique_row_ids_formula(spark):
     assert len(ids) == len(set(ids)) == 10
     # k-th row of partition i of n gets k*n+i.
     assert sorted(ids)[:3] == [0, 1, 2]
+
+
+def test_hot_keys_finds_only_the_hot_key(spark):
+    hot = hot_keys(_skewed(spark), ["k"], hot_rows=50)
+    assert [r.k for r in hot.collect()] == ["hot"]
+    assert hot_keys(_skewed(spark), ["k"], hot_rows=10_000) is None
