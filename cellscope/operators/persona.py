@@ -48,11 +48,13 @@ def enrich(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame,
                    .join(cells, "laccell", "inner"))
 
 
-def enrich_rejects(signals: DataFrame, user_info: DataFrame,
-                   region_cell: DataFrame) -> DataFrame:
+def enrich_rejects(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame,
+                   check_broadcast: bool = True) -> DataFrame:
     """Signals that the enrichment drops, with the reason."""
-    cells = broadcast_if_small(region_cell.select("laccell", F.lit(1).alias("_cell")))
-    users = broadcast_if_small(user_info.select("imsi", F.lit(1).alias("_user")))
+    cells = region_cell.select("laccell", F.lit(1).alias("_cell"))
+    users = user_info.select("imsi", F.lit(1).alias("_user"))
+    if check_broadcast:
+        cells, users = broadcast_if_small(cells), broadcast_if_small(users)
     j = (signals.select("imsi", "laccell", "ts", "event_id")
                 .join(users, "imsi", "left").join(cells, "laccell", "left"))
     reason = (F.when(F.col("_user").isNull(), F.lit("unknown_user"))

@@ -9,10 +9,14 @@ state after one day).
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.operators.joins import latest_per_key
+from cellscope.session import default_parallelism, scratch_path
 
 
 def read_with_order(spark: SparkSession, path: str) -> DataFrame:
@@ -55,3 +59,54 @@ def cell_dimension(spark: SparkSession, path: str, ttl_seconds: int | None = Non
                            *_ORDER)
                    .where(F.col("laccell").isNotNull()))
     return latest_per_key(parsed, ["laccell"], ["region_id"], _ORDER)
+
+
+class DimensionSnapshot:
+    """A dimension folder materialised once and reused until the folder changes.
+
+    ``get()`` lists the folder (no data read) and rebuilds the latest-per-key
+    view only when its set of files changed or ``refresh_seconds`` passed
+    (the TTL clock).  A dimension with at most ``broadcast_rows`` rows is
+    written as a small snapshot and broadcast; a larger one is saved as a
+    table bucketed and sorted on its key, so each micro-batch join shuffles
+    only the batch side.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, kind: str, key: str,
+                 ttl_seconds: int | None = None, refresh_seconds: int = 3600,
+                 broadcast_rows: int = 2_000_000, num_buckets: int | None = None,
+                 name: str = "dim"):
+        self.spark, self.path, self.key = spark, path, key
+        self.build = {"user": user_dimension, "cell": cell_dimension}[kind]
+        self.ttl, self.refresh = ttl_seconds, refresh_seconds
+        self.broadcast_rows = broadcast_rows
+        self.num_buckets = num_buckets
+        self.name = f"{name}_{uuid.uuid4().hex[:8]}"
+        self.version = 0
+        self._files: list[str] | None = None
+        self._built_at = 0.0
+        self._df: DataFrame | None = None
+
+    def _listing(self) -> list[str]:
+        return sorted(self.spark.read.text(self.path).inputFiles())
+
+    def get(self) -> DataFrame:
+        files = self._listing()
+        stale = time.time() - self._built_at > self.refresh
+        if self._df is None or files != self._files or stale:
+            self._df = self._materialise(self.build(self.spark, self.path, self.ttl))
+            self._files, self._built_at = files, time.time()
+        return self._df
+
+    def _materialise(self, dim: DataFrame) -> DataFrame:
+        self.version += 1
+        spark = self.spark
+        if dim.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows:
+            path = scratch_path(spark, f"{self.name}-v{self.version}")
+            dim.write.mode("overwrite").parquet(path)
+            return F.broadcast(spark.read.parquet(path))
+        table = f"{self.name}_v{self.version}"
+        buckets = self.num_buckets or default_parallelism(spark)
+        (dim.write.mode("overwrite").bucketBy(buckets, self.key).sortBy(self.key)
+            .saveAsTable(table))
+        return spark.table(table)

@@ -38,7 +38,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from cellscope.operators import persona
 from cellscope.operators.sinks import upsert_snapshot
 from cellscope.schemas import PERSONA_COLUMNS, REGION_FLOW
-from cellscope.sources.dimensions import cell_dimension, user_dimension
+from cellscope.sources.dimensions import DimensionSnapshot
 
 ENRICHED = T.StructType([
     T.StructField("imsi", T.StringType()),
@@ -61,21 +61,33 @@ def enrich_static(signals: DataFrame, users: DataFrame, cells: DataFrame) -> Dat
 
 def enrich_batch(batch: DataFrame, users: DataFrame, cells: DataFrame) -> tuple[DataFrame,
                                                                               DataFrame]:
-    """(enriched, rejects) of one micro-batch against current dimensions."""
-    enriched = persona.enrich(batch, users, cells).select(*ENRICHED.fieldNames())
-    rejects = persona.enrich_rejects(batch, users, cells)
+    """(enriched, rejects) of one micro-batch against current dimensions.
+
+    The dimensions arrive already sized (broadcast or bucketed), so no
+    further size check runs per batch.
+    """
+    enriched = (persona.enrich(batch, users, cells, check_broadcast=False)
+                .select(*ENRICHED.fieldNames()))
+    rejects = persona.enrich_rejects(batch, users, cells, check_broadcast=False)
     return enriched, rejects
 
 
 def start_enrich_stage(signals: DataFrame, user_path: str, cell_path: str, out_base: str,
                        rejects_base: str, checkpoint: str, ttl_seconds: int | None = None,
-                       trigger: dict | None = None) -> StreamingQuery:
-    """Stage A: per micro-batch dimension refresh + enrichment."""
+                       trigger: dict | None = None, refresh_seconds: int = 3600) -> StreamingQuery:
+    """Stage A: per micro-batch dimension refresh + enrichment.
+
+    The dimensions are rebuilt only when their folders change (or every
+    ``refresh_seconds`` so the TTL advances), see :class:`DimensionSnapshot`.
+    """
+    spark = signals.sparkSession
+    users_dim = DimensionSnapshot(spark, user_path, "user", "imsi", ttl_seconds,
+                                  refresh_seconds, name="dim_users")
+    cells_dim = DimensionSnapshot(spark, cell_path, "cell", "laccell", ttl_seconds,
+                                  refresh_seconds, name="dim_cells")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        users = user_dimension(spark, user_path, ttl_seconds)
-        cells = cell_dimension(spark, cell_path, ttl_seconds)
+        users, cells = users_dim.get(), cells_dim.get()
         enriched, rejects = enrich_batch(batch, users, cells)
         enriched.write.mode("overwrite").parquet(f"{out_base}/batch_id={batch_id}")
         rejects.write.mode("overwrite").parquet(f"{rejects_base}/batch_id={batch_id}")

@@ -86,3 +86,31 @@ def test_processing_time_trigger_and_state_ttl_run(spark, workdir):
         q.stop()
     assert got == {"A": 0, "B": 1}
     assert F is not None
+
+
+def test_dimension_snapshot_reuse_and_bucketed_path(spark, workdir):
+    import os
+    import time
+    from cellscope.sources.dimensions import DimensionSnapshot
+    os.makedirs(f"{workdir}/users")
+    with open(f"{workdir}/users/a.txt", "w") as fh:
+        fh.write("u1|1|20\nu2|0|30\n")
+    snap = DimensionSnapshot(spark, f"{workdir}/users", "user", "imsi", broadcast_rows=0,
+                             num_buckets=4, name="dimtest")
+    first = snap.get()
+    assert snap.get() is first and snap.version == 1          # unchanged folder: reused
+    time.sleep(1.1)
+    with open(f"{workdir}/users/b.txt", "w") as fh:
+        fh.write("u2|0|31\n")
+    second = snap.get()
+    assert snap.version == 2
+    assert {r.imsi: r.age for r in second.collect()} == {"u1": 20, "u2": 31}
+    batch = spark.createDataFrame([("u2", 1)], "imsi string, x int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = batch.join(second, "imsi")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.first().age == 31
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1
