@@ -16,8 +16,9 @@ Plan (per run, e.g. one hour or one day of signals):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellscope.functions import bitmap
 from cellscope.functions.scalar import hour_bucket
@@ -25,6 +26,23 @@ from cellscope.operators.joins import broadcast_if_small
 
 STAY_KEYS = ["region_id", "produce_hour"]
 
+# Stored layout of the hourly table (produce_hour is the folder partition).
+STAY_TABLE = T.StructType([
+    T.StructField("region_id", T.StringType()),
+    T.StructField("bucket", T.LongType()),
+    T.StructField("bitmap", T.BinaryType()),
+    T.StructField("produce_hour", T.StringType()),
+])
+
+
+def read_stay_table(spark: SparkSession, path: str) -> DataFrame:
+    """The hourly stay table with its declared schema.
+
+    Declaring the schema keeps ``produce_hour`` a string (no partition type
+    inference) so an hour filter prunes folders directly.
+    """
+    return spark.read.schema(STAY_TABLE).parquet(path)
+
 
 def stay_rows(signals: DataFrame, region_cell: DataFrame, user_index: DataFrame,
               check_broadcast: bool = True) -> DataFrame:

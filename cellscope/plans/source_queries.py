@@ -186,12 +186,6 @@ def q_sink_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-_STAY_SCHEMA = T.StructType([
-    T.StructField("region_id", T.StringType()),
-    T.StructField("bucket", T.IntegerType()),
-    T.StructField("bitmap", T.BinaryType()),
-    T.StructField("produce_hour", T.StringType()),
-])
 
 
 @query("sink_hour_overwrite", oracle("""
@@ -204,8 +198,7 @@ def q_sink_hour_overwrite(spark, sf_dir):
     write_hourly(bitmaps, path)
     rerun = m1_stay_bitmaps(spark, sf_dir).where(F.col("produce_hour") == SEGMENT_HOUR)
     write_hourly(rerun, path)
-    table = spark.read.schema(_STAY_SCHEMA).parquet(path)
-    return stay.stay_user_count(table)
+    return stay.stay_user_count(stay.read_stay_table(spark, path))
 
 
 @query("parameterised_query", oracle(f"""
