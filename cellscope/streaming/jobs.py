@@ -7,7 +7,7 @@ Two-stage layout (dimensions refresh while stateful operators run):
   optional TTL), joins the batch (broadcast when the dimension is small,
   shuffle join otherwise), and writes enriched rows to
   ``<out>/batch_id=<n>`` plus the dropped rows to ``<rejects>/batch_id=<n>``.
-  A replayed batch overwrites its own folder.
+  A replayed batch whose folder is already committed is skipped.
 * **Stage B** streams the enriched folder into
 
   - :func:`persona_window_stream` -- per-region signal counts per tumbling
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cellscope.operators import persona
@@ -87,16 +88,39 @@ def start_enrich_stage(signals: DataFrame, user_path: str, cell_path: str, out_b
                                   refresh_seconds, name="dim_cells")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        users, cells = users_dim.get(), cells_dim.get()
-        enriched, rejects = enrich_batch(batch, users, cells)
-        enriched.write.mode("overwrite").parquet(f"{out_base}/batch_id={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{rejects_base}/batch_id={batch_id}")
+        write_enriched_batch(batch, batch_id, users_dim, cells_dim, out_base, rejects_base)
 
     writer = (signals.writeStream.foreachBatch(run)
               .option("checkpointLocation", checkpoint))
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def is_committed(spark: SparkSession, folder: str) -> bool:
+    """True when ``folder`` holds a finished write (its ``_SUCCESS`` marker)."""
+    try:
+        spark.read.text(f"{folder}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
+
+def write_enriched_batch(batch: DataFrame, batch_id: int, users_dim: DimensionSnapshot,
+                         cells_dim: DimensionSnapshot, out_base: str, rejects_base: str) -> None:
+    """Enrich one micro-batch into ``<out>/batch_id=<n>`` (rejects alongside).
+
+    A batch whose folder is already committed is skipped: when stage A is
+    replayed after writing but before its own commit, rewriting would put
+    new file names next to files stage B may already have consumed.
+    """
+    spark = batch.sparkSession
+    out = f"{out_base}/batch_id={batch_id}"
+    if is_committed(spark, out):
+        return
+    enriched, rejects = enrich_batch(batch, users_dim.get(), cells_dim.get())
+    rejects.write.mode("overwrite").parquet(f"{rejects_base}/batch_id={batch_id}")
+    enriched.write.mode("overwrite").parquet(out)
+
+
 def enriched_stream(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
     """Stage B input: the enriched folder written by stage A."""
     reader = spark.readStream.schema(ENRICHED)

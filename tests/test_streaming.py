@@ -120,3 +120,36 @@ def test_processing_time_window_runs(spark, workdir):
     row = latest_snapshot(spark, f"{workdir}/snap").first()
     assert (row.region_id, row.man) == ("A", 1)
     assert F is not None
+
+
+def test_two_stage_headcount_equals_batch(spark, workdir):
+    from cellscope.sources.dimensions import DimensionSnapshot
+    src, upath, cpath = f"{workdir}/src", f"{workdir}/users", f"{workdir}/cells"
+    out, rej = f"{workdir}/enriched", f"{workdir}/rejects"
+    write_lines(spark.createDataFrame([("u1", "1", 20), ("u2", "0", 50)],
+                                      "imsi string, g string, a int"), upath, ["imsi", "g", "a"])
+    write_lines(spark.createDataFrame([("A", "c1"), ("B", "c2")], "r string, c string"), cpath,
+                ["r", "c"])
+    _signal_file(src, "f1.txt", [("u1", "c1", 0), ("u2", "c1", 0), ("u1", "c2", 1)])
+    time.sleep(1.1)
+    _signal_file(src, "f2.txt", [("u2", "c2", 2), ("u1", "c1", 3), ("u3", "c1", 3)])
+    sig = signal_stream(text_lines(spark, src, max_files=1))
+    jobs.run_to_end(jobs.start_enrich_stage(sig, upath, cpath, out, rej, f"{workdir}/chkA"))
+    # A replayed, already committed batch is skipped (files untouched).
+    before = sorted(spark.read.parquet(f"{out}/batch_id=0").inputFiles())
+    users = DimensionSnapshot(spark, upath, "user", "imsi")
+    cells = DimensionSnapshot(spark, cpath, "cell", "laccell")
+    replay = signal_stream(spark.read.text(f"{src}/f1.txt"))
+    jobs.write_enriched_batch(replay, 0, users, cells, out, rej)
+    assert sorted(spark.read.parquet(f"{out}/batch_id=0").inputFiles()) == before
+
+    counts = jobs.headcount_stream(jobs.flows_stream(jobs.enriched_stream(spark, out, 1)))
+    jobs.run_to_end(jobs.start_upsert(counts, f"{workdir}/snap", ["region_id"], ["man"],
+                                      f"{workdir}/chkB"))
+    got = sorted(tuple(r) for r in latest_snapshot(spark, f"{workdir}/snap")
+                 .select("region_id", *persona.PERSONA_COLUMNS).collect())
+    enriched = spark.read.schema(jobs.ENRICHED).parquet(out)
+    want = sorted(tuple(r) for r in persona.region_headcount(persona.region_flow(enriched))
+                  .select("region_id", *persona.PERSONA_COLUMNS).collect())
+    assert got == want
+    assert {r[0] for r in got} == {"A", "B"}
