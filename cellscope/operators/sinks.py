@@ -9,8 +9,10 @@ DataFrame write that a re-run replaces:
   overwrite: re-running one hour replaces that hour only;
 * ``upsert_snapshot``  -- keyed last-write-wins for streaming results: the new
   snapshot of batch *n* = snapshot *n-1* minus the keys in the batch, plus the
-  latest row per key of the batch, written to ``<base>/batch_id=<n>``.  A
-  replayed batch rewrites the same folder with the same content.
+  latest row per key of the batch.  Snapshots live in a ring of
+  ``SNAPSHOT_SLOTS`` folders (``<base>/slot=<n mod K>``, rows tagged with
+  ``_batch_id``), so storage stays bounded; a replayed batch rewrites its own
+  slot from the intact previous one.
 """
 
 from __future__ import annotations
@@ -43,15 +45,25 @@ def write_hourly(df: DataFrame, path: str, hour_col: str = "produce_hour") -> st
     return path
 
 
+SNAPSHOT_SLOTS = 3
+BATCH_COL = "_batch_id"
+
+
 def snapshot_path(base: str, batch_id: int) -> str:
-    return f"{base.rstrip('/')}/batch_id={batch_id}"
+    return f"{base.rstrip('/')}/slot={batch_id % SNAPSHOT_SLOTS}"
 
 
 def read_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
+    """Snapshot of ``batch_id`` (None if never written); fails if its slot was
+    overwritten by another batch, instead of silently losing keys."""
     try:
-        return spark.read.parquet(snapshot_path(base, batch_id))
+        snap = spark.read.parquet(snapshot_path(base, batch_id))
     except AnalysisException:
         return None
+    ids = [r[0] for r in snap.select(BATCH_COL).distinct().limit(2).collect()]
+    if ids and ids != [batch_id]:
+        raise RuntimeError(f"snapshot slot for batch {batch_id} holds batches {ids}")
+    return snap.drop(BATCH_COL)
 
 
 def upsert_snapshot(batch: DataFrame, batch_id: int, base: str, key_cols: Sequence[str],
@@ -59,7 +71,7 @@ def upsert_snapshot(batch: DataFrame, batch_id: int, base: str, key_cols: Sequen
     """Merge one micro-batch into the keyed snapshot (last write wins).
 
     The micro-batch is consumed exactly once: its latest row per key is
-    written to ``<base>/_delta/batch_id=<n>`` and the merge reads that back.
+    written to ``<base>/_delta/slot=<n mod K>`` and the merge reads that back.
     Referencing the batch twice would re-run upstream stateful operators
     inside one batch.
     """
@@ -67,7 +79,7 @@ def upsert_snapshot(batch: DataFrame, batch_id: int, base: str, key_cols: Sequen
     keys = list(key_cols)
     cols = batch.columns
     values = [c for c in cols if c not in keys]
-    delta_path = f"{base.rstrip('/')}/_delta/batch_id={batch_id}"
+    delta_path = f"{base.rstrip('/')}/_delta/slot={batch_id % SNAPSHOT_SLOTS}"
     (latest_per_key(batch, keys, values, order_cols).select(*cols)
         .write.mode("overwrite").parquet(delta_path))
     latest = spark.read.parquet(delta_path)
@@ -75,11 +87,12 @@ def upsert_snapshot(batch: DataFrame, batch_id: int, base: str, key_cols: Sequen
     if prev is not None:
         kept = prev.select(*cols).join(latest.select(*keys), keys, "left_anti")
         latest = kept.unionByName(latest.select(*cols))
-    latest.select(*cols).write.mode("overwrite").parquet(snapshot_path(base, batch_id))
+    (latest.select(*cols, F.lit(batch_id).cast("long").alias(BATCH_COL))
+           .write.mode("overwrite").parquet(snapshot_path(base, batch_id)))
 
 
 def latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
     """The most recent complete snapshot under ``base``."""
     # Folders starting with "_" (the deltas) are hidden from the scan.
-    last = spark.read.parquet(base).agg(F.max("batch_id")).first()[0]
-    return spark.read.parquet(snapshot_path(base, last))
+    last = spark.read.parquet(base).agg(F.max(BATCH_COL)).first()[0]
+    return read_snapshot(spark, base, last)

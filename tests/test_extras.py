@@ -74,16 +74,14 @@ def test_processing_time_trigger_and_state_ttl_run(spark, workdir):
     # eviction batches: poll the sink, then stop the query.
     import time
     from cellscope.operators.sinks import latest_snapshot
-    got = None
     try:
         for _ in range(60):
             time.sleep(1)
-            if os.path.exists(f"{workdir}/snap/batch_id=0"):
-                got = {r.region_id: r.man
-                       for r in latest_snapshot(spark, f"{workdir}/snap").collect()}
+            if os.path.exists(f"{workdir}/snap/slot=0/_SUCCESS"):
                 break
     finally:
         q.stop()
+    got = {r.region_id: r.man for r in latest_snapshot(spark, f"{workdir}/snap").collect()}
     assert got == {"A": 0, "B": 1}
     assert F is not None
 

@@ -153,3 +153,14 @@ def test_two_stage_headcount_equals_batch(spark, workdir):
                   .select("region_id", *persona.PERSONA_COLUMNS).collect())
     assert got == want
     assert {r[0] for r in got} == {"A", "B"}
+
+
+def test_snapshot_ring_stays_bounded(spark, workdir):
+    base = f"{workdir}/ring"
+    for n in range(7):
+        batch = spark.createDataFrame([(f"k{n % 2}", n)], "k string, v long")
+        upsert_snapshot(batch, n, base, ["k"], ["v"])
+    slots = sorted(d for d in os.listdir(base) if d.startswith("slot="))
+    assert slots == ["slot=0", "slot=1", "slot=2"]
+    got = {r.k: r.v for r in latest_snapshot(spark, base).collect()}
+    assert got == {"k0": 6, "k1": 5}
