@@ -26,6 +26,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove reliable checkpoint files once their DataFrames are unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # transformWithState needs the RocksDB state store.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
