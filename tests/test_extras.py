@@ -112,3 +112,14 @@ def test_dimension_snapshot_reuse_and_bucketed_path(spark, workdir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_console_sink_starts_and_stops(spark, workdir):
+    import os
+    os.makedirs(f"{workdir}/src")
+    with open(f"{workdir}/src/a.txt", "w") as fh:
+        fh.write("x\n")
+    lines = spark.readStream.format("text").load(f"{workdir}/src")
+    q = jobs.start_console(lines, output_mode="append", trigger={"availableNow": True})
+    q.awaitTermination(60)
+    assert not q.isActive and q.exception() is None

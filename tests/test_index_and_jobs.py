@@ -99,3 +99,13 @@ def test_persona_cells_roundtrip_and_json(spark):
     assert (back.man, back.age_40) == ("1", "5")
     doc = persona.persona_json(p).first().doc
     assert doc == '{"man":"1","women":"2","age_10_20":"3","age_20_40":"4","age_40":"5"}'
+
+
+def test_cell_in_two_regions_fans_out_in_batch(spark):
+    signals = spark.createDataFrame([("u1", "c1", 0)],
+                                    "imsi string, laccell string, procedureStartTime long")
+    cells = spark.createDataFrame([("r1", "c1"), ("r2", "c1")], "region_id string, laccell string")
+    index = build_user_index(spark.createDataFrame([("u1",)], "imsi string"))
+    counts = {r.region_id: r.user_count for r in
+              stay.stay_user_count(stay.region_hour_stay(signals, cells, index)).collect()}
+    assert counts == {"r1": 1, "r2": 1}

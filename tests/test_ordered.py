@@ -64,10 +64,11 @@ def test_hot_key_spreads_over_partitions(spark):
 
 def test_unique_row_ids_formula(spark):
     df = spark.range(0, 10, numPartitions=3).select(F.col("id").cast("string").alias("s"))
-    ids = [r.row_id for r in unique_row_ids(df).collect()]
-    assert len(ids) == len(set(ids)) == 10
-    # k-th row of partition i of n gets k*n+i.
-    assert sorted(ids)[:3] == [0, 1, 2]
+    ids = {r.s: r.row_id for r in unique_row_ids(df).collect()}
+    assert len(set(ids.values())) == 10
+    # k-th row of partition i of n gets k*n+i, exactly like RDD.zipWithUniqueId.
+    want = {row.s: i for row, i in df.rdd.zipWithUniqueId().collect()}
+    assert ids == want
 
 
 def test_hot_keys_finds_only_the_hot_key(spark):
