@@ -174,14 +174,30 @@ class _TooManyHotKeys(Exception):
     pass
 
 
-def _split(df: DataFrame, keys: list[str], hot_rows: int, max_hot_keys: int):
-    """(cold, hot) parts of ``df``; hot is None when no key is hot."""
+ALL_HOT = "all"   # more hot keys than the cap: every key takes the range path
+DETECT = "detect"
+
+
+def find_hot(df: DataFrame, key_cols: Sequence[str], hot_rows: int = HOT_ROWS,
+             max_hot_keys: int = MAX_HOT_KEYS):
+    """Hot-key list for :func:`lag_columns` / :func:`running_sums`.
+
+    Returns None (no hot key), a broadcastable key DataFrame, or ``ALL_HOT``.
+    A list found on a DataFrame stays valid for any subset of its rows (a
+    key cannot be hot in a subset without being hot in the whole).
+    """
     try:
-        hot = hot_keys(df, keys, hot_rows, max_hot_keys)
+        return hot_keys(df, key_cols, hot_rows, max_hot_keys)
     except _TooManyHotKeys:
-        return None, df
+        return ALL_HOT
+
+
+def _split(df: DataFrame, keys: list[str], hot):
+    """(cold, hot) parts of ``df``; either may be None."""
     if hot is None:
         return df, None
+    if isinstance(hot, str) and hot == ALL_HOT:
+        return None, df
     # A NULL key matches neither side of the hot list: the anti join keeps it
     # on the window path, so no row is lost.
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
@@ -190,14 +206,17 @@ def _split(df: DataFrame, keys: list[str], hot_rows: int, max_hot_keys: int):
 def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
                 value_cols: Sequence[str], prefix: str = "prev_",
                 num_partitions: int | None = None, hot_rows: int = HOT_ROWS,
-                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                max_hot_keys: int = MAX_HOT_KEYS, hot=DETECT) -> DataFrame:
     """``lag(v) OVER (PARTITION BY key ORDER BY order)`` without hot tasks.
 
     Ordinary keys use a plain window (one shuffle on the key); keys with more
-    than ``hot_rows`` rows use :func:`lag_by_range`.
+    than ``hot_rows`` rows use :func:`lag_by_range`.  ``hot`` may carry a list
+    from :func:`find_hot` computed on a superset of ``df``.
     """
     keys, vals = list(key_cols), list(value_cols)
-    cold, hot = _split(df, keys, hot_rows, max_hot_keys)
+    if isinstance(hot, str) and hot == DETECT:
+        hot = find_hot(df, keys, hot_rows, max_hot_keys)
+    cold, hot = _split(df, keys, hot)
     parts = []
     if cold is not None:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
@@ -220,7 +239,7 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     with more than ``hot_rows`` rows use :func:`running_by_range`.
     """
     groups = list(group_cols)
-    cold, hot = _split(df, groups, hot_rows, max_hot_keys)
+    cold, hot = _split(df, groups, find_hot(df, groups, hot_rows, max_hot_keys))
     parts = []
     if cold is not None:
         w = (Window.partitionBy(*groups).orderBy(*order_cols)

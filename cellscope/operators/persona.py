@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cellscope.functions.scalar import is_man
 from cellscope.operators.joins import broadcast_if_small
-from cellscope.operators.ordered import lag_columns, running_sums
+from cellscope.operators.ordered import HOT_ROWS, find_hot, lag_columns, running_sums
 from cellscope.schemas import PERSONA_COLUMNS
 
 WINDOW = "1 minute"
@@ -73,17 +73,18 @@ def persona_window(enriched: DataFrame, window: str = WINDOW) -> DataFrame:
 
 
 def persona_running(enriched: DataFrame, window: str = WINDOW,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per signal with the counts so far in its (region, window)."""
     w = enriched.withColumn("window_start", F.window("ts", window).start)
     out = running_sums(w.select("region_id", "window_start", "ts", "event_id", "imsi",
                                 "gender", "age"),
                        ["region_id", "window_start"], ["ts", "event_id"],
-                       indicators(), num_partitions)
+                       indicators(), num_partitions, hot_rows=hot_rows)
     return out.select("region_id", "window_start", "ts", "event_id", "imsi", *PERSONA_COLUMNS)
 
 
-def region_flow(enriched: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def region_flow(enriched: DataFrame, num_partitions: int | None = None,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Enter / leave flows per user, in (ts, event_id) order.
 
     A signal in a region different from the user's previous one emits
@@ -92,15 +93,16 @@ def region_flow(enriched: DataFrame, num_partitions: int | None = None) -> DataF
     user entered the old region, so a profile edit cannot unbalance counters.
     """
     base = enriched.select("imsi", "ts", "event_id", "region_id", "gender", "age")
+    hot = find_hot(base, ["imsi"], hot_rows)     # also valid for the change rows below
     prev = lag_columns(base, ["imsi"], ["ts", "event_id"], ["region_id"],
-                       num_partitions=num_partitions)
+                       num_partitions=num_partitions, hot=hot)
     changes = prev.where(F.col("prev_region_id").isNull()
                          | (F.col("prev_region_id") != F.col("region_id")))
     # Previous *change* of the same user = the region being left, with its
     # entry profile.
     entered = lag_columns(changes.drop("prev_region_id"), ["imsi"], ["ts", "event_id"],
                           ["region_id", "gender", "age"], prefix="left_",
-                          num_partitions=num_partitions)
+                          num_partitions=num_partitions, hot=hot)
     ins = entered.select("imsi", "ts", "event_id", F.lit(1).alias("is_in"),
                          "region_id", "gender", "age")
     outs = (entered.where(F.col("left_region_id").isNotNull())
