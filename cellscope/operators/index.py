@@ -32,6 +32,33 @@ def build_user_index(users: DataFrame, imsi_col: str = "imsi",
     return indexed.select("imsi", _checked("bitmap_id").alias("bitmap_id"))
 
 
+def extend_user_index(existing: DataFrame, users: DataFrame, imsi_col: str = "imsi",
+                      num_partitions: int | None = None) -> DataFrame:
+    """Stable daily index: known users keep their id, new users get dense ids
+    after the current maximum (in imsi byte order).
+
+    A full rebuild would shift every id after a newly inserted imsi, so
+    bitmaps built on different days would no longer be comparable.
+    Re-running with the same inputs yields the same index.
+    """
+    known = existing.select("imsi", "bitmap_id")
+    # One scalar (the next free id) comes back to the driver.
+    start = known.agg(F.coalesce(F.max("bitmap_id") + 1, F.lit(0))).first()[0]
+    fresh = (users.select(F.col(imsi_col).alias("imsi"))
+                  .where(F.col("imsi").isNotNull() & (F.col("imsi") != ""))
+                  .distinct()
+                  .join(known.select("imsi"), "imsi", "left_anti"))
+    numbered = with_row_index(fresh, ["imsi"], "_pos", num_partitions)
+    added = numbered.select("imsi", _checked_expr(F.lit(start) + F.col("_pos"))
+                            .alias("bitmap_id"))
+    return known.unionByName(added)
+
+
+def _checked_expr(c: F.Column) -> F.Column:
+    return F.when(c > MAX_BITMAP_ID,
+                  F.raise_error(F.lit("bitmap id exceeds unsigned 32-bit range"))).otherwise(c)
+
+
 def unique_id_index(users: DataFrame, imsi_col: str = "imsi") -> DataFrame:
     """Parity form of the original job: one id per input line, k*n+i layout."""
     ids = unique_row_ids(users.select(F.col(imsi_col).alias("imsi")), "bitmap_id")

@@ -10,7 +10,7 @@ from cellscope.functions.scalar import (age_band, age_portrait_comment, age_port
                                         gender_portrait_comment, gender_portrait_id,
                                         hour_bucket)
 from cellscope.operators import persona, portrait, segments, stay
-from cellscope.operators.index import build_user_index
+from cellscope.operators.index import build_user_index, extend_user_index
 from cellscope.operators.joins import broadcast_if_small
 from cellscope.plans.catalog import query
 from cellscope.schemas import PERSONA_COLUMNS
@@ -59,6 +59,18 @@ def q_user_bitmap_index(spark, sf_dir):
     return m1_index(spark, sf_dir)
 
 
+@query("user_index_extend", oracle("""
+SELECT imsi, bitmap_id FROM user_index
+UNION ALL
+SELECT imsi, CAST((SELECT max(bitmap_id) + 1 FROM user_index)
+                  + row_number() OVER (ORDER BY imsi) - 1 AS BIGINT) AS bitmap_id
+FROM (SELECT DISTINCT imsi FROM user_info
+      WHERE imsi NOT IN (SELECT imsi FROM user_index)) fresh"""))
+def q_user_index_extend(spark, sf_dir):
+    """Next day's index: every customer, yesterday's ids kept."""
+    return extend_user_index(m1_index(spark, sf_dir), fixtures.m1_user_info(spark, sf_dir))
+
+
 # ---------------------------------------------------------- stay (Q2, Q2b)
 
 @query("region_hour_stay", oracle("""

@@ -111,3 +111,14 @@ def test_cell_in_two_regions_fans_out_in_batch(spark):
     counts = {r.region_id: r.user_count for r in
               stay.stay_user_count(stay.region_hour_stay(signals, cells, index)).collect()}
     assert counts == {"r1": 1, "r2": 1}
+
+
+def test_extend_index_keeps_known_ids(spark):
+    from cellscope.operators.index import extend_user_index
+    day1 = build_user_index(spark.createDataFrame([("b",), ("d",)], "imsi string"))
+    day2_users = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("d",)], "imsi string")
+    day2 = {r.imsi: r.bitmap_id for r in extend_user_index(day1, day2_users).collect()}
+    assert day2 == {"b": 0, "d": 1, "a": 2, "c": 3}
+    empty = spark.createDataFrame([], "imsi string, bitmap_id long")
+    fresh = {r.imsi: r.bitmap_id for r in extend_user_index(empty, day2_users).collect()}
+    assert fresh == {"a": 0, "b": 1, "c": 2, "d": 3}
