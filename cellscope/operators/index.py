@@ -23,15 +23,42 @@ def _checked(id_col: str) -> F.Column:
 
 
 def build_user_index(users: DataFrame, imsi_col: str = "imsi",
-                     num_partitions: int | None = None) -> DataFrame:
-    """(imsi, bitmap_id) for the distinct, non-empty imsis of ``users``."""
+                     num_partitions: int | None = None,
+                     locality: DataFrame | None = None) -> DataFrame:
+    """(imsi, bitmap_id) for the distinct, non-empty imsis of ``users``.
+
+    Default order: imsi bytes.  With ``locality`` (imsi, group), ids are
+    assigned in (group, imsi) order, so users who tend to be seen together
+    (e.g. one home region, see :func:`home_regions`) get neighbouring ids and
+    share 32768-id bitmap buckets; users without a group come first.
+    """
     distinct = (users.select(F.col(imsi_col).alias("imsi"))
                      .where(F.col("imsi").isNotNull() & (F.col("imsi") != ""))
                      .distinct())
-    indexed = with_row_index(distinct, ["imsi"], "bitmap_id", num_partitions)
+    order = ["imsi"]
+    if locality is not None:
+        distinct = distinct.join(locality.select("imsi", F.col(locality.columns[1])
+                                                 .alias("_group")), "imsi", "left")
+        order = ["_group", "imsi"]
+    indexed = with_row_index(distinct, order, "bitmap_id", num_partitions)
     return indexed.select("imsi", _checked("bitmap_id").alias("bitmap_id"))
 
 
+def home_regions(signals: DataFrame, region_cell: DataFrame) -> DataFrame:
+    """(imsi, home_region): the region where a user emits most signals.
+
+    Two partial aggregations (per user and region, then per user), so even a
+    user holding a third of all signals costs one row per region visited.
+    Ties go to the smallest region id.
+    """
+    cells = region_cell.select("laccell", "region_id")
+    per_region = (signals.select("imsi", "laccell").join(cells, "laccell")
+                         .groupBy("imsi", "region_id").agg(F.count(F.lit(1)).alias("_n")))
+    return (per_region.groupBy("imsi")
+                      .agg(F.min_by("region_id", F.struct(-F.col("_n"), F.col("region_id")))
+                           .alias("home_region")))
+
+
 def extend_user_index(existing: DataFrame, users: DataFrame, imsi_col: str = "imsi",
                       num_partitions: int | None = None) -> DataFrame:
     """Stable daily index: known users keep their id, new users get dense ids

@@ -122,3 +122,18 @@ def test_extend_index_keeps_known_ids(spark):
     empty = spark.createDataFrame([], "imsi string, bitmap_id long")
     fresh = {r.imsi: r.bitmap_id for r in extend_user_index(empty, day2_users).collect()}
     assert fresh == {"a": 0, "b": 1, "c": 2, "d": 3}
+
+
+def test_locality_ordered_index_groups_home_regions(spark):
+    from cellscope.operators.index import home_regions
+    signals = spark.createDataFrame(
+        [("a", "c2"), ("a", "c2"), ("a", "c1"), ("b", "c1"), ("c", "c2"), ("d", "c9")],
+        "imsi string, laccell string")
+    cells = spark.createDataFrame([("r1", "c1"), ("r2", "c2")], "region_id string, laccell string")
+    home = {r.imsi: r.home_region for r in home_regions(signals, cells).collect()}
+    assert home == {"a": "r2", "b": "r1", "c": "r2"}
+    users = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "imsi string")
+    idx = {r.imsi: r.bitmap_id for r in
+           build_user_index(users, locality=home_regions(signals, cells)).collect()}
+    # NULL group (d, never on a known cell) sorts first, then r1 users, then r2 users.
+    assert idx == {"d": 0, "b": 1, "a": 2, "c": 3}
