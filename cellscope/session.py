@@ -34,11 +34,42 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "cellscope",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+# Settings for a ~1000-executor cluster over ~100 TB of signals.  The shuffle
+# partition count is deliberately high and AQE coalesces it to the advisory
+# size, so a stage never has partitions that outgrow executor memory; splits
+# of input files are capped at 256 MB; skewed join partitions beyond 512 MB
+# are split; the broadcast threshold fits a national cell map (~50 MB) but
+# not the user tables; state checkpoints upload only RocksDB changelogs; a
+# decommissioned executor migrates its shuffle blocks instead of forcing
+# recomputation.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
+def build_session(master: str | None = "local[8]", app: str = "cellscope",
+                  shuffle_partitions: int | None = 8, extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
+    """Local test session, or ``profile="cluster"`` (pass ``master=None`` under
+    spark-submit)."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    if shuffle_partitions is not None and profile == "local":
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
