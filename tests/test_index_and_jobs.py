@@ -137,3 +137,27 @@ def test_locality_ordered_index_groups_home_regions(spark):
            build_user_index(users, locality=home_regions(signals, cells)).collect()}
     # NULL group (d, never on a known cell) sorts first, then r1 users, then r2 users.
     assert idx == {"d": 0, "b": 1, "a": 2, "c": 3}
+
+
+def test_under_ten_counts_in_gender_only_for_persona(spark):
+    import datetime as dt
+    rows = [("k", "c1", dt.datetime(2024, 1, 1, 0, 0, 5), 1, 0, "A", "0", 5)]
+    enriched = spark.createDataFrame(
+        rows, "imsi string, laccell string, ts timestamp, event_id long, "
+              "procedureStartTime long, region_id string, gender string, age int")
+    r = persona.persona_window(enriched).first()
+    assert (r.women, r.man, r.age_10_20, r.age_20_40, r.age_40) == (1, 0, 0, 0, 0)
+    users = spark.createDataFrame([("k", "0", 5)], "imsi string, gender string, age int")
+    index = build_user_index(spark.createDataFrame([("k",)], "imsi string"))
+    assert portrait.portrait_bitmaps(users, index).count() == 0
+
+
+def test_hour_bucket_follows_session_time_zone(spark):
+    from cellscope.functions.scalar import hour_bucket
+    df = spark.createDataFrame([(1670468511000,)], "ms long")   # 2022-12-08 03:01:51 UTC
+    assert df.select(hour_bucket("ms").alias("h")).first().h == "2022120803"
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        assert df.select(hour_bucket("ms").alias("h")).first().h == "2022120811"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
