@@ -60,6 +60,13 @@ SNAPSHOT_SLOTS = 3
 BATCH_COL = "_batch_id"
 
 
+def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> str:
+    """Folder-partitioned overwrite with few files per folder (``rebalance``)."""
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite")
+       .partitionBy(*partition_cols).parquet(path))
+    return path
+
+
 def snapshot_path(base: str, batch_id: int) -> str:
     return f"{base.rstrip('/')}/slot={batch_id % SNAPSHOT_SLOTS}"
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cellscope.functions.scalar import hour_bucket
 from cellscope.operators import stay
 from cellscope.operators.index import build_user_index
-from cellscope.operators.sinks import write_hourly, write_table
+from cellscope.operators.sinks import write_hourly, write_partitioned, write_table
 from cellscope.plans.batch_queries import SEGMENT_HOUR, SEGMENT_REGION, m1_stay_bitmaps
 from cellscope.plans.catalog import query
 from cellscope.schemas import SIGNAL
@@ -94,8 +94,8 @@ def q_hour_partition_scan(spark, sf_dir):
     path = scratch_path(spark, "signals-by-hour")
     s = fixtures.m1_signals(spark, sf_dir).select(*SIGNAL_FIELDS)
     hour = hour_bucket("procedureStartTime")
-    (s.withColumn("dt", F.substring(hour, 1, 8)).withColumn("hh", F.substring(hour, 9, 2))
-      .write.mode("overwrite").partitionBy("dt", "hh").parquet(path))
+    write_partitioned(s.withColumn("dt", F.substring(hour, 1, 8))
+                       .withColumn("hh", F.substring(hour, 9, 2)), path, ["dt", "hh"])
     schema = T.StructType(SIGNAL.fields + [T.StructField("dt", T.StringType()),
                                            T.StructField("hh", T.StringType())])
     one_hour = (spark.read.schema(schema).parquet(path)
