@@ -153,58 +153,81 @@ def persona_window_stream(enriched: DataFrame, window: str = "1 minute",
 
 _STATE_SCHEMA = "region_id string, gender string, age int"
 
+# Users are grouped into this many hash buckets for the stateful operator; the
+# per-user state lives in a MapState keyed by imsi inside each bucket.  The
+# bucket is the state's grouping key, so the count must stay the same for the
+# life of a checkpoint.  A few times the stateful stage's partition count
+# keeps each invocation vectorised over many users.
+STATE_BUCKETS = 1024
+
 
 class RegionFlowProcessor(StatefulProcessor):
-    """Per user: remembers the current region and the profile seen on entry.
+    """Enter/leave state machine for all users of one hash bucket.
 
-    Rows of one micro-batch are ordered by (ts, event_id); across micro-
+    Per user it remembers the current region and the profile seen on entry.
+    Rows of one micro-batch are ordered by (imsi, ts, event_id); across micro-
     batches arrival order holds.  A region change emits an enter for the new
     region and, if the user was somewhere, a leave for the old region carrying
     the profile recorded on entry, so counters stay balanced across profile
-    edits.
+    edits.  One invocation handles every user of the bucket with numpy; the
+    state is read once per user present in the batch and written once per
+    user whose region changed.
     """
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.current = handle.getValueState("current", _STATE_SCHEMA, self.ttl_ms)
+        self.current = handle.getMapState("current", "imsi string", _STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
                         timerValues) -> Iterator[pd.DataFrame]:
         frames = list(rows)
         pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        order = np.lexsort((pdf["event_id"].to_numpy(), pdf["ts"].to_numpy()))
-        region = pdf["region_id"].to_numpy(dtype=object)[order]
-        state = self.current.get()
+        pdf = pdf.sort_values(["imsi", "ts", "event_id"], kind="stable", ignore_index=True)
+        imsi = pdf["imsi"].to_numpy(dtype=object)
+        region = pdf["region_id"].to_numpy(dtype=object)
+        gender = pdf["gender"].to_numpy(dtype=object)
+        age = pdf["age"].to_numpy(dtype=np.int64)
+
+        first = np.ones(len(imsi), dtype=bool)
+        first[1:] = imsi[1:] != imsi[:-1]
+        user_of_row = np.cumsum(first) - 1
+        saved = [self.current.getValue((u,)) for u in imsi[first]]
 
         prev = np.empty(len(region), dtype=object)
-        prev[0] = state[0] if state is not None else None
         prev[1:] = region[:-1]
+        prev[first] = [s[0] if s is not None else None for s in saved]
         at = np.flatnonzero(region != prev)
         if at.size == 0:
             return
-        pick = order[at]
-        in_region = region[at]
-        in_gender = pdf["gender"].to_numpy(dtype=object)[pick]
-        in_age = pdf["age"].to_numpy(dtype=np.int64)[pick]
-        ts = pdf["ts"].to_numpy()[pick]
-        eid = pdf["event_id"].to_numpy(dtype=np.int64)[pick]
-
-        # Region left at each change = the previous change (or the state),
-        # with the profile recorded when it was entered.
+        user_at = user_of_row[at]
+        first_change = np.ones(at.size, dtype=bool)
+        first_change[1:] = user_at[1:] != user_at[:-1]
+        last_change = np.ones(at.size, dtype=bool)
+        last_change[:-1] = user_at[:-1] != user_at[1:]
+
+        # Region left at each change = the user's previous change in this
+        # batch, or the saved state for the first one, with its entry profile.
+        in_region, in_gender, in_age = region[at], gender[at], age[at]
         out_region = np.empty(at.size, dtype=object)
         out_gender = np.empty(at.size, dtype=object)
         out_age = np.zeros(at.size, dtype=np.int64)
         out_region[1:], out_gender[1:], out_age[1:] = in_region[:-1], in_gender[:-1], in_age[:-1]
-        if state is not None:
-            out_region[0], out_gender[0], out_age[0] = state[0], state[1], state[2]
+        for j in np.flatnonzero(first_change):
+            s = saved[user_at[j]]
+            out_region[j], out_gender[j], out_age[j] = (s[0], s[1], s[2]) if s else (None, None, 0)
         has_out = np.array([r is not None for r in out_region], dtype=bool)
 
-        self.current.update((in_region[-1], in_gender[-1], int(in_age[-1])))
+        for j in np.flatnonzero(last_change):
+            self.current.updateValue((imsi[at[j]],),
+                                     (in_region[j], in_gender[j], int(in_age[j])))
+
+        ts = pdf["ts"].to_numpy()[at]
+        eid = pdf["event_id"].to_numpy(dtype=np.int64)[at]
         n_out = int(has_out.sum())
         yield pd.DataFrame({
-            "imsi": np.full(at.size + n_out, key[0], dtype=object),
+            "imsi": np.concatenate([imsi[at], imsi[at][has_out]]),
             "ts": np.concatenate([ts, ts[has_out]]),
             "event_id": np.concatenate([eid, eid[has_out]]),
             "is_in": np.concatenate([np.ones(at.size, np.int32), np.zeros(n_out, np.int32)]),
@@ -217,16 +240,19 @@ class RegionFlowProcessor(StatefulProcessor):
         pass
 
 
-def flows_stream(enriched: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Enter/leave flows keyed by user (shuffle on imsi, RocksDB state).
+def flows_stream(enriched: DataFrame, ttl_ms: int | None = None,
+                 state_buckets: int = STATE_BUCKETS) -> DataFrame:
+    """Enter/leave flows from per-user state (shuffle on the imsi bucket, RocksDB).
 
     ``ttl_ms`` expires a silent user's state; it switches the operator to
     processing-time mode, which keeps scheduling eviction batches, so run such
     a query with a processing-time trigger (``availableNow`` would not end).
+    ``state_buckets`` must not change while the checkpoint is in use.
     """
     time_mode = "ProcessingTime" if ttl_ms else "None"
     cols = ["imsi", "ts", "event_id", "region_id", "gender", "age"]
-    return (enriched.select(*cols).groupBy("imsi")
+    bucket = F.pmod(F.xxhash64("imsi"), F.lit(state_buckets)).alias("_bucket")
+    return (enriched.select(*cols, bucket).groupBy("_bucket")
                     .transformWithStateInPandas(RegionFlowProcessor(ttl_ms), REGION_FLOW,
                                                 "Append", time_mode))
 
