@@ -410,3 +410,14 @@ SELECT region_id, qualifier, value FROM (
   UNION ALL SELECT region_id, 'age_40', CAST(age_40 AS VARCHAR) FROM headcount) c"""))
 def q_persona_cells(spark, sf_dir):
     return persona.persona_cells(persona.region_headcount(m1_flows(spark, sf_dir)))
+
+
+@query("persona_json", headcount_oracle("""
+SELECT region_id,
+       CAST(json_object('man', CAST(man AS VARCHAR), 'women', CAST(women AS VARCHAR),
+                        'age_10_20', CAST(age_10_20 AS VARCHAR),
+                        'age_20_40', CAST(age_20_40 AS VARCHAR),
+                        'age_40', CAST(age_40 AS VARCHAR)) AS VARCHAR) AS doc
+FROM headcount"""))
+def q_persona_json(spark, sf_dir):
+    return persona.persona_json(persona.region_headcount(m1_flows(spark, sf_dir)))
