@@ -421,3 +421,36 @@ SELECT region_id,
 FROM headcount"""))
 def q_persona_json(spark, sf_dir):
     return persona.persona_json(persona.region_headcount(m1_flows(spark, sf_dir)))
+
+
+@query("enrich_rejects", oracle("""
+SELECT s.event_id, s.imsi, s.laccell,
+       CASE WHEN u.imsi IS NULL THEN 'unknown_user' ELSE 'unknown_cell' END AS reason
+FROM signals s LEFT JOIN user_info u ON s.imsi = u.imsi
+LEFT JOIN region_cell rc ON s.laccell = rc.laccell
+WHERE u.imsi IS NULL OR rc.laccell IS NULL"""))
+def q_enrich_rejects(spark, sf_dir):
+    m = fixtures.m1(spark, sf_dir)
+    return (persona.enrich_rejects(m.signals, m.user_info, m.region_cell)
+            .select("event_id", "imsi", "laccell", "reason"))
+
+
+@query("portrait_rejects", """
+WITH user_info AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS imsi,
+         CAST(CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) % 3 AS VARCHAR) AS gender,
+         CAST(p_size AS INTEGER) AS age
+  FROM part
+),
+user_index AS (
+  SELECT imsi, CAST(row_number() OVER (ORDER BY imsi) - 1 AS BIGINT) AS bitmap_id
+  FROM (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS imsi FROM part) p
+)
+SELECT u.gender AS portrait_value, ui.bitmap_id
+FROM user_info u JOIN user_index ui ON u.imsi = ui.imsi
+WHERE u.age >= 10 AND u.gender NOT IN ('0', '1')""")
+def q_portrait_rejects(spark, sf_dir):
+    """Mapping M2 (parts as users): brand number % 3 = 2 is an unknown gender."""
+    m = fixtures.m2(spark, sf_dir)
+    rejects = portrait.portrait_rejects(m.user_info, build_user_index(m.indexed_users))
+    return rejects.select("portrait_value", "bitmap_id")
