@@ -29,6 +29,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,9 +117,16 @@ def write_enriched_batch(batch: DataFrame, batch_id: int, users_dim: DimensionSn
     out = f"{out_base}/batch_id={batch_id}"
     if is_committed(spark, out):
         return
-    enriched, rejects = enrich_batch(batch, users_dim.get(), cells_dim.get())
-    rejects.write.mode("overwrite").parquet(f"{rejects_base}/batch_id={batch_id}")
-    enriched.write.mode("overwrite").parquet(out)
+    # Two outputs from one batch: keep it so the source is read once.  Stage A
+    # has no stateful operator, so a lost block is recomputed from the same
+    # offsets with the same result.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        enriched, rejects = enrich_batch(batch, users_dim.get(), cells_dim.get())
+        rejects.write.mode("overwrite").parquet(f"{rejects_base}/batch_id={batch_id}")
+        enriched.write.mode("overwrite").parquet(out)
+    finally:
+        batch.unpersist()
 
 
 def enriched_stream(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
