@@ -280,6 +280,14 @@ def q_segment_matrix(spark, sf_dir):
                                    m1_portrait_bitmaps(spark, sf_dir))
 
 
+@query("segment_matrix_and", oracle("""
+SELECT s.region_id, s.produce_hour, p.portrait_id, CAST(count(*) AS BIGINT) AS user_count
+FROM stay_rows s JOIN portrait_rows p ON s.bitmap_id = p.bitmap_id GROUP BY ALL"""))
+def q_segment_matrix_and(spark, sf_dir):
+    return segments.segment_matrix_and(m1_stay_bitmaps(spark, sf_dir),
+                                       m1_portrait_bitmaps(spark, sf_dir))
+
+
 @query("result_json", oracle(f"""
 SELECT s.bitmap_id // 32768 + 1 AS bucket,
        CAST(json_object('users', list(s.bitmap_id ORDER BY s.bitmap_id)) AS VARCHAR) AS doc

@@ -37,6 +37,7 @@ def main() -> None:
         "portraits": lambda: portrait.portrait_bitmaps(m.user_info, idx),
         "segment": lambda: segments.segment_count(stay_bm, port_bm, "1", "1995010200", 4),
         "matrix": lambda: segments.segment_matrix(stay_bm, port_bm),
+        "matrix_and": lambda: segments.segment_matrix_and(stay_bm, port_bm),
         "window": lambda: persona.persona_window(enriched),
         "running": lambda: persona.persona_running(enriched),
         "flows": lambda: persona.region_flow(enriched),
