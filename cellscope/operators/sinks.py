@@ -43,7 +43,10 @@ def write_hourly(df: DataFrame, path: str, hour_col: str = "produce_hour",
     ``rebalance`` clusters rows of an hour into few files while AQE still
     splits an oversized hour into several advisory-sized tasks; rows are
     sorted by ``sort_cols`` inside each file so a region lookup reads only the
-    matching row groups.
+    matching row groups.  Each written hour must be complete in ``df`` (a
+    backfill or a recomputation); incremental runs whose late signals touch
+    earlier hours use the (produce_hour, source_hour) layout of
+    :func:`cellscope.plans.jobs.hourly_stay_job`.
     """
     df = df.hint("rebalance", hour_col)
     present = [c for c in sort_cols if c in df.columns]
