@@ -112,21 +112,25 @@ def intersect(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def bitmap_positions(bitmaps: pd.Series) -> pd.Series:
-    """Set bit positions (ascending) of each bitmap; vectorised over the batch."""
+    """Set bit positions (ascending) of each bitmap; vectorised over the batch.
+
+    Only non-zero bytes are unpacked, so memory follows the number of set
+    bits rather than 32768 per row.
+    """
     n = len(bitmaps)
-    if n == 0:
-        return pd.Series([], dtype=object)
-    valid = bitmaps.notna().to_numpy()
     out = np.empty(n, dtype=object)
     out[:] = [np.empty(0, dtype=np.int32)] * n
-    idx = np.flatnonzero(valid)
+    idx = np.flatnonzero(bitmaps.notna().to_numpy())
     if len(idx):
         buf = np.frombuffer(b"".join(bytes(b) for b in bitmaps.iloc[idx]), dtype=np.uint8)
-        width = buf.size // len(idx)
-        bits = np.unpackbits(buf.reshape(len(idx), width), axis=1, bitorder="little")
-        rows, pos = np.nonzero(bits)
-        cuts = np.searchsorted(rows, np.arange(1, len(idx)))
-        for j, part in zip(idx, np.split(pos.astype(np.int32), cuts)):
+        grid = buf.reshape(len(idx), buf.size // len(idx))
+        rows, cols = np.nonzero(grid)                    # non-zero bytes, row-major
+        bits = np.unpackbits(grid[rows, cols][:, None], axis=1, bitorder="little")
+        hit_byte, hit_bit = np.nonzero(bits)
+        pos = (cols[hit_byte] * 8 + hit_bit).astype(np.int32)
+        owner = rows[hit_byte]
+        cuts = np.searchsorted(owner, np.arange(1, len(idx)))
+        for j, part in zip(idx, np.split(pos, cuts)):
             out[j] = part
     return pd.Series(out)
 
