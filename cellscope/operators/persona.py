@@ -103,14 +103,16 @@ def region_flow(enriched: DataFrame, num_partitions: int | None = None,
     entered = lag_columns(changes.drop("prev_region_id"), ["imsi"], ["ts", "event_id"],
                           ["region_id", "gender", "age"], prefix="left_",
                           num_partitions=num_partitions, hot=hot)
-    ins = entered.select("imsi", "ts", "event_id", F.lit(1).alias("is_in"),
-                         "region_id", "gender", "age")
-    outs = (entered.where(F.col("left_region_id").isNotNull())
-                   .select("imsi", "ts", "event_id", F.lit(0).alias("is_in"),
-                           F.col("left_region_id").alias("region_id"),
-                           F.col("left_gender").alias("gender"),
-                           F.col("left_age").alias("age")))
-    return ins.unionByName(outs)
+    # One pass emits both rows of a change (enter, and leave when the user
+    # was somewhere), so the upstream plan runs once.
+    def flow(is_in: int, region: str, gender: str, age: str) -> Column:
+        return F.struct(F.col("imsi").alias("imsi"), F.col("ts").alias("ts"),
+                        F.col("event_id").alias("event_id"), F.lit(is_in).alias("is_in"),
+                        F.col(region).alias("region_id"), F.col(gender).alias("gender"),
+                        F.col(age).alias("age"))
+    both = F.array(flow(1, "region_id", "gender", "age"),
+                   flow(0, "left_region_id", "left_gender", "left_age"))
+    return entered.select(F.inline(both)).where(F.col("region_id").isNotNull())
 
 
 def signed_indicators(flows: DataFrame) -> dict[str, Column]:
