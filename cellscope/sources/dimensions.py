@@ -82,6 +82,7 @@ class DimensionSnapshot:
         self.broadcast_rows = broadcast_rows
         self.num_buckets = num_buckets
         self.name = f"{name}_{uuid.uuid4().hex[:8]}"
+        self.base = scratch_path(spark, name)
         self.version = 0
         self._files: list[str] | None = None
         self._built_at = 0.0
@@ -99,13 +100,16 @@ class DimensionSnapshot:
         return self._df
 
     def _materialise(self, dim: DataFrame) -> DataFrame:
+        # Two slots, overwritten alternately: the slot being replaced holds the
+        # version before the one in use, so storage stays bounded.
         self.version += 1
+        slot = self.version % 2
         spark = self.spark
         if dim.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows:
-            path = scratch_path(spark, f"{self.name}-v{self.version}")
+            path = f"{self.base}/slot={slot}"
             dim.write.mode("overwrite").parquet(path)
             return F.broadcast(spark.read.parquet(path))
-        table = f"{self.name}_v{self.version}"
+        table = f"{self.name}_slot{slot}"
         buckets = self.num_buckets or default_parallelism(spark)
         (dim.write.mode("overwrite").bucketBy(buckets, self.key).sortBy(self.key)
             .saveAsTable(table))
