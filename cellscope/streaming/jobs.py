@@ -57,7 +57,12 @@ ENRICHED = T.StructType([
 # ------------------------------------------------------------- enrichment
 
 def enrich_static(signals: DataFrame, users: DataFrame, cells: DataFrame) -> DataFrame:
-    """Stream-static inner joins with fixed dimensions."""
+    """Stream-static inner joins with fixed dimensions.
+
+    A dimension within the broadcast bound is replicated; a larger one would
+    be re-shuffled by every micro-batch, so large dimensions go through
+    stage A, whose :class:`DimensionSnapshot` keeps them bucketed on the key.
+    """
     return persona.enrich(signals, users, cells)
 
 
