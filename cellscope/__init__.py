@@ -2,13 +2,12 @@
 
 import sys as _sys
 
-# Pandas UDFs and the stateful processor are defined in this package.  Python
-# processes that Spark starts outside the executors (e.g. the driver-side
-# runner of transformWithStateInPandas) do not see files added with
-# addPyFile, so the package's functions and classes are pickled by value.
+# Pandas UDFs and the stateful processor are defined in this package.  They
+# are pickled by value, so executor workers and the driver-side runner of
+# transformWithStateInPandas need no copy of the package on their path.
 try:
     from pyspark import cloudpickle as _cloudpickle
 
     _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: fall back to addPyFile only
+except Exception:  # pragma: no cover - older cloudpickle: import by reference
     pass

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -76,33 +74,9 @@ def build_session(master: str | None = "local[8]", app: str = "cellscope",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    ship_package(spark)
     return spark
 
 
-_SHIPPED: set[int] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``cellscope`` importable in executor Python workers.
-
-    Pandas UDFs and the stateful processor are pickled by reference to this
-    package, so workers must be able to import it: the package is zipped on
-    the driver and distributed with ``addPyFile`` (what ``--py-files`` does).
-    """
-    sc = spark.sparkContext
-    key = id(sc._jsc)
-    if key in _SHIPPED:
-        return
-    pkg = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="cellscope-pyfiles-")) / "cellscope.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(pkg.rglob("*.py")):
-            z.write(f, f.relative_to(pkg.parent).as_posix())
-    sc.addPyFile(str(target))
-    _SHIPPED.add(key)
-
-
 def apply_job_conf(spark: SparkSession) -> None:
     """Session-level SQL settings the jobs assume (safe on an existing session)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
