@@ -29,6 +29,8 @@ BASE_CONF = {
     # transformWithState needs the RocksDB state store.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Checkpoint state as RocksDB changelogs instead of full snapshots.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
