@@ -75,3 +75,26 @@ def test_hot_keys_finds_only_the_hot_key(spark):
     hot = hot_keys(_skewed(spark), ["k"], hot_rows=50)
     assert [r.k for r in hot.collect()] == ["hot"]
     assert hot_keys(_skewed(spark), ["k"], hot_rows=10_000) is None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(keys=st.lists(st.sampled_from(["a", "b", "hot", "hot", "hot", "z"]), min_size=1,
+                     max_size=80),
+       parts=st.integers(1, 7))
+def test_range_paths_match_windows_property(spark, keys, parts):
+    rows = [(k, i, i % 3) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k string, t long, x int")
+    w = Window.partitionBy("k").orderBy("t")
+    want = {(r.k, r.t): (r.p, r.s) for r in df.select(
+        "k", "t", F.lag("x").over(w).alias("p"),
+        F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("s"))
+        .collect()}
+    lag = {(r.k, r.t): r.prev_x for r in
+           lag_by_range(df, ["k"], ["t"], ["x"], num_partitions=parts).collect()}
+    run = {(r.k, r.t): r.s for r in
+           running_by_range(df, ["k"], ["t"], {"s": F.col("x")}, num_partitions=parts).collect()}
+    assert lag == {k: v[0] for k, v in want.items()}
+    assert run == {k: v[1] for k, v in want.items()}
