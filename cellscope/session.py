@@ -31,6 +31,9 @@ BASE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Checkpoint state as RocksDB changelogs instead of full snapshots.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Listing thousands of hour folders: a few tasks, each listing many
+    # folders, instead of one task per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
@@ -54,6 +57,7 @@ CLUSTER_CONF = {
     "spark.storage.decommission.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
     "spark.task.maxFailures": "8",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
 }
 
 
@@ -83,7 +87,8 @@ def apply_job_conf(spark: SparkSession) -> None:
     """Session-level SQL settings the jobs assume (safe on an existing session)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.streaming.stateStore.providerClass"):
+              "spark.sql.streaming.stateStore.providerClass",
+              "spark.sql.sources.parallelPartitionDiscovery.parallelism"):
         spark.conf.set(k, BASE_CONF[k])
 
 
