@@ -141,3 +141,19 @@ def q_stream_region_headcount(spark, sf_dir):
                                       f"{base}/chk"))
     return latest_snapshot(spark, f"{base}/snap").select("region_id", *PERSONA_COLUMNS)
 
+
+
+@query("stream_two_stage_headcount", headcount_oracle("SELECT * FROM headcount"))
+def q_stream_two_stage_headcount(spark, sf_dir):
+    """Production chain: stage A (dimension folders, enrichment per micro-batch)
+    feeding stage B (per-user enter/leave state, per-region counters, upsert)."""
+    upath, cpath = _write_dimension_folders(spark, sf_dir)
+    base = scratch_path(spark, "two-stage")
+    jobs.run_to_end(jobs.start_enrich_stage(_event_signals(spark, sf_dir), upath, cpath,
+                                            f"{base}/enriched", f"{base}/rejects",
+                                            f"{base}/chkA"))
+    counts = jobs.headcount_stream(jobs.flows_stream(jobs.enriched_stream(spark,
+                                                                          f"{base}/enriched")))
+    jobs.run_to_end(jobs.start_upsert(counts, f"{base}/snap", ["region_id"], PERSONA_COLUMNS,
+                                      f"{base}/chkB"))
+    return latest_snapshot(spark, f"{base}/snap").select("region_id", *PERSONA_COLUMNS)
