@@ -72,6 +72,29 @@ def persona_window(enriched: DataFrame, window: str = WINDOW) -> DataFrame:
                             F.col("w.end").alias("window_end"), *PERSONA_COLUMNS))
 
 
+def persona_window_preagg(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame,
+                          window: str = WINDOW) -> DataFrame:
+    """:func:`persona_window` computed straight from signals, counting first.
+
+    A phone emits many signals per minute: counting them per (imsi, region,
+    window) with a map-side partial aggregation means the join with a user
+    table too large to broadcast shuffles one row per user-minute instead of
+    one per signal.  The counters are then sums of per-user counts.
+    """
+    cells = broadcast_if_small(region_cell.select("laccell", "region_id"))
+    per_user = (signals.select("imsi", "laccell", F.window("ts", window).alias("w"))
+                       .join(cells, "laccell", "inner")
+                       .groupBy("imsi", "region_id", "w")
+                       .agg(F.count(F.lit(1)).alias("_n")))
+    users = broadcast_if_small(user_info.select("imsi", "gender", "age"))
+    ind = indicators()
+    return (per_user.join(users, "imsi", "inner")
+                    .groupBy("region_id", "w")
+                    .agg(*[F.sum(c * F.col("_n")).cast("long").alias(n) for n, c in ind.items()])
+                    .select("region_id", F.col("w.start").alias("window_start"),
+                            F.col("w.end").alias("window_end"), *PERSONA_COLUMNS))
+
+
 def persona_running(enriched: DataFrame, window: str = WINDOW,
                     num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per signal with the counts so far in its (region, window)."""

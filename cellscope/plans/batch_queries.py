@@ -321,6 +321,18 @@ def q_persona_window(spark, sf_dir):
                      _ts_text("window_end").alias("window_end"), *PERSONA_COLUMNS)
 
 
+@query("persona_window_preagg", oracle(f"""
+SELECT region_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('minute', ts) + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+       {_IND}
+FROM enriched GROUP BY ALL"""))
+def q_persona_window_preagg(spark, sf_dir):
+    m = fixtures.m1(spark, sf_dir)
+    pw = persona.persona_window_preagg(m.signals, m.user_info, m.region_cell)
+    return pw.select("region_id", _ts_text("window_start").alias("window_start"),
+                     _ts_text("window_end").alias("window_end"), *PERSONA_COLUMNS)
+
+
 _RUN = ", ".join(
     f"CAST(sum({cond}) OVER (PARTITION BY region_id, date_trunc('minute', ts) "
     f"ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS {n}"
