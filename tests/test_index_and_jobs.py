@@ -161,3 +161,22 @@ def test_hour_bucket_follows_session_time_zone(spark):
         assert df.select(hour_bucket("ms").alias("h")).first().h == "2022120811"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_preaggregated_window_equals_signal_window(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 8, 0, 5)
+    rows = [("u1", "c1", t0, 1), ("u1", "c1", t0 + dt.timedelta(seconds=20), 2),
+            ("u1", "c1", t0 + dt.timedelta(seconds=40), 3), ("u2", "c1", t0, 4),
+            ("u2", "c2", t0 + dt.timedelta(minutes=1), 5), ("u3", "c1", t0, 6)]
+    signals = spark.createDataFrame(rows, "imsi string, laccell string, ts timestamp, "
+                                          "event_id long").withColumn("procedureStartTime",
+                                                                      F.lit(0).cast("long"))
+    users = spark.createDataFrame([("u1", "1", 15), ("u2", "0", 45)],
+                                  "imsi string, gender string, age int")
+    cells = spark.createDataFrame([("A", "c1"), ("B", "c2")], "region_id string, laccell string")
+    a = persona.persona_window(persona.enrich(signals, users, cells))
+    b = persona.persona_window_preagg(signals, users, cells)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    first = {r.region_id: r for r in b.collect()}["A"]
+    assert (first.man, first.women, first.age_10_20, first.age_40) == (3, 1, 3, 1)
