@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from cellscope.operators.joins import latest_per_key
 from cellscope.session import default_parallelism, scratch_path
@@ -61,6 +62,10 @@ def cell_dimension(spark: SparkSession, path: str, ttl_seconds: int | None = Non
     return latest_per_key(parsed, ["laccell"], ["region_id"], _ORDER)
 
 
+_EMPTY = {"user_dimension": "imsi string, gender string, age int",
+          "cell_dimension": "laccell string, region_id string"}
+
+
 class DimensionSnapshot:
     """A dimension folder materialised once and reused until the folder changes.
 
@@ -89,13 +94,20 @@ class DimensionSnapshot:
         self._df: DataFrame | None = None
 
     def _listing(self) -> list[str]:
-        return sorted(self.spark.read.text(self.path).inputFiles())
+        try:
+            return sorted(self.spark.read.text(self.path).inputFiles())
+        except AnalysisException:       # folder not created yet
+            return []
 
     def get(self) -> DataFrame:
         files = self._listing()
         stale = time.time() - self._built_at > self.refresh
         if self._df is None or files != self._files or stale:
-            self._df = self._materialise(self.build(self.spark, self.path, self.ttl))
+            if files:
+                dim = self.build(self.spark, self.path, self.ttl)
+            else:   # no feed yet: every lookup misses, signals go to rejects
+                dim = self.spark.createDataFrame([], _EMPTY[self.build.__name__])
+            self._df = self._materialise(dim)
             self._files, self._built_at = files, time.time()
         return self._df
 

@@ -123,3 +123,10 @@ def test_console_sink_starts_and_stops(spark, workdir):
     q = jobs.start_console(lines, output_mode="append", trigger={"availableNow": True})
     q.awaitTermination(60)
     assert not q.isActive and q.exception() is None
+
+
+def test_dimension_snapshot_missing_folder_is_empty(spark, workdir):
+    from cellscope.sources.dimensions import DimensionSnapshot
+    snap = DimensionSnapshot(spark, f"{workdir}/not-yet", "user", "imsi")
+    assert snap.get().count() == 0
+    assert snap.get().columns == ["imsi", "gender", "age"]
