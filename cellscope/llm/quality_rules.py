@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cellscope.llm.common import WS_CHARS, WS_RUN, words
 
 SYMBOLS = "#*$%&|<>"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+UPPER = "A-Z"
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -60,19 +60,18 @@ METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def _count_chars(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    return F.regexp_count(text, F.lit(f"[{chars}]"))
 
 
-def _repeat_words(w: Column) -> Column:
-    """Words inside a three-word window that occurs twice or more in the text."""
-    n = F.greatest(F.size(w) - 2, F.lit(0))
-    h = F.transform(w, lambda x: F.xxhash64(x))
+def _windows(h: Column) -> Column:
+    """Hashes of the three-word windows, from those of the words."""
+    n = F.greatest(F.size(h) - 2, F.lit(0))
     two = F.zip_with(F.slice(h, 1, n), F.slice(h, 2, n), lambda a, b: F.xxhash64(a, b))
-    windows = F.zip_with(two, F.slice(h, 3, n), lambda a, b: F.xxhash64(a, b))
-    return windows
+    return F.zip_with(two, F.slice(h, 3, n), lambda a, b: F.xxhash64(a, b))
 
 
-def _covered(windows: Column) -> Column:
+def _repeat_words(windows: Column) -> Column:
+    """Words inside a three-word window that occurs twice or more in the text."""
     order = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     after = F.slice(order, 2, F.greatest(F.size(order) - 1, F.lit(0)))
     pairs = F.filter(F.arrays_zip(order.alias("a"), after.alias("b")),
@@ -87,6 +86,17 @@ def _covered(windows: Column) -> Column:
                   F.lit(0).cast("long")).otherwise(total)
 
 
+def _stop_forms() -> list[str]:
+    """Stop words in lower case, capitalised and in capitals."""
+    return sorted({f for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())})
+
+
+def _stop_hashes(spark) -> list[int]:
+    """The forms' hashes: a fixed list, compared with the hashes that the windows need anyway."""
+    row = spark.range(1).select(F.array(*[F.xxhash64(F.lit(f)) for f in _stop_forms()])).first()
+    return list(row[0])
+
+
 def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
     """The threshold table as one boolean Column: true where every rule holds."""
     verdict = F.lit(True)
@@ -106,17 +116,18 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     t = F.coalesce(F.col(text), F.lit(""))
     counted = docs.withColumn("_words", words(F.col(text))).withColumn(
         "_lines", F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(WS_CHARS)) != ""))
-    counted = counted.withColumn("_windows", _repeat_words(F.col("_words")))
+    counted = counted.withColumn("_hashes", F.transform("_words", lambda x: F.xxhash64(x)))
+    counted = counted.withColumn("_windows", _windows(F.col("_hashes")))
     w, lines = F.col("_words"), F.col("_lines")
     metrics = {
         "n_words": F.size(w),
-        "word_chars": F.length(F.translate(t, WS_CHARS, "")),
+        "word_chars": F.length(F.array_join(w, "")),
         "n_symbols": _count_chars(t, SYMBOLS),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _covered(F.col("_windows")),
+        "n_repeat_words": _repeat_words(F.col("_windows")),
         "n_lines": F.size(lines),
         "n_upper": _count_chars(t, UPPER),
-        "n_stop_words": F.size(F.filter(w, lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS)))),
+        "n_stop_words": F.size(F.filter(F.col("_hashes"), lambda x: x.isin(*_stop_hashes(docs.sparkSession)))),
         "n_list_lines": F.size(F.filter(lines, lambda x: F.substring(x, 1, 2).isin("- ", "* ", "• "))),
         "n_cut_lines": F.size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…"))),
     }
@@ -124,7 +135,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                          | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
     out = out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
-    return out.drop("_words", "_lines", "_windows")
+    return out.drop("_words", "_lines", "_hashes", "_windows")
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -134,7 +145,7 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
         "doc_id", *METRICS, "base_failed", "kept")
 
 
-_STOP_SQL = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+_STOP_SQL = ", ".join(f"'{w}'" for w in _stop_forms())
 ORACLE = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text,
@@ -149,10 +160,10 @@ cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (
   SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM rep) GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(ws) AS n_words,
   length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
-  length(text) - length(translate(text, '{SYMBOLS}', '')) AS n_symbols,
+  len(regexp_extract_all(text, '[{SYMBOLS}]')) AS n_symbols,
   len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
-  len(ls) AS n_lines, length(text) - length(translate(text, '{UPPER}', '')) AS n_upper,
-  len(list_filter(ws, lambda x: lower(x) IN ({_STOP_SQL}))) AS n_stop_words,
+  len(ls) AS n_lines, len(regexp_extract_all(text, '[{UPPER}]')) AS n_upper,
+  len(list_filter(ws, lambda x: x IN ({_STOP_SQL}))) AS n_stop_words,
   len(list_filter(ls, lambda x: left(x, 2) IN ('- ', '* ', '• '))) AS n_list_lines,
   len(list_filter(ls, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) AS n_cut_lines
   FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id),
