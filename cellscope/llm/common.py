@@ -48,6 +48,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int,
+                    mod: int = 5, held_out: int = 0) -> DataFrame:
+    """doc_id, text, label of about ``rows`` labelled documents at most, chosen by a hash
+    of the id outside the held-out fold.  The sample's labels are few by construction
+    (``rows`` is a parameter), so they are broadcast and no text is shuffled."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()
+                         & (fold(F.col("doc_id"), mod) != held_out))
+    known = known.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    n = known.count()
+    if n > rows:
+        span = 1 << 32
+        known = known.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(span)) < int(span * rows / n))
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def join_checked(big: DataFrame, small: DataFrame, keys: list[str], spread: Column) -> DataFrame:
     """Inner join with a side that is expected to be small.
 
@@ -71,6 +94,7 @@ _MIX2 = np.uint64(0x94D049BB133111EB)
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that all bits of a hash are usable."""
+    x = np.asarray(x, np.uint64)
     x = x ^ (x >> np.uint64(30))
     x = x * _MIX1
     x = x ^ (x >> np.uint64(27))
@@ -120,12 +144,11 @@ _LOWER[65:91] = _CODE[97:123]
 def _powers(n: int, base: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, by doubling."""
     out = np.ones(max(1, n), np.uint64)
-    filled, step = 1, np.uint64(base)
+    filled = 1
     while filled < n:
         take = min(filled, n - filled)
-        out[filled:filled + take] = out[:take] * step
+        out[filled:filled + take] = out[:take] * np.uint64(pow(base, filled, 1 << 64))
         filled += take
-        step = step * step
     return out
 
 
@@ -135,20 +158,22 @@ _BASE = 0xD6E8FEB86659FD93
 def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Polynomial hash of every word: sum of code[byte] * base**(position in word)."""
     out = np.empty(len(start), np.uint64)
-    span = 1 << 21      # work in slices of about this many bytes
+    span = 1 << 18      # work in slices of about this many bytes
+    inverse = pow(_BASE, -1, 1 << 64)
+    powers, backs = _powers(span + 1, _BASE), _powers(span + 1, inverse)
     lo = 0
     while lo < len(start):
         hi = max(lo + 1, int(np.searchsorted(end, start[lo] + span)))
         a, b = int(start[lo]), int(end[hi - 1])
-        power = _powers(b - a, _BASE)
-        terms = table[data[a:b]] * power
+        if b - a > len(powers):
+            powers, backs = _powers(b - a, _BASE), _powers(b - a, inverse)
+        terms = table[data[a:b]] * powers[:b - a]
         terms[_IS_SPACE[data[a:b]]] = 0
         at = start[lo:hi] - a
         sums = np.add.reduceat(terms, at)
         # Shift each sum back to position 0: multiply by base**-at (the base is odd).
-        back = _powers(b - a, pow(_BASE, -1, 1 << 64))
         length = (end[lo:hi] - start[lo:hi]).astype(np.uint64)
-        out[lo:hi] = mix64(sums * back[at] + length * _MULT)
+        out[lo:hi] = mix64(sums * backs[at] + length * _MULT)
         lo = hi
     return out
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from cellscope.llm import mixing, quality_rules
+from cellscope.llm import jaccard_join, mixing, prefix_tokens, quality_classifier, quality_rules, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_token_counts": prefix_tokens.op2_token_counts,
+    "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "op9_jaccard_join": jaccard_join.ORACLE,
 }
