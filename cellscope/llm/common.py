@@ -48,6 +48,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _probes(h: Column, bits: int) -> list[Column]:
+    low = h.bitwiseAND(F.lit(bits - 1).cast("long"))
+    return [low, F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1).cast("long"))]
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int) -> DataFrame:
+    """One row ``bits``: an array of bits / 64 words with two bits set for every hash.  Its
+    size is fixed, whatever the number of hashes."""
+    places = hashes.select(F.explode(F.array(*_probes(F.col(column), bits))).alias("bit"))
+    words = places.groupBy(F.shiftright("bit", 6).cast("long").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    every = hashes.sparkSession.range(bits // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    return every.agg(F.transform(F.sort_array(F.collect_list(
+        F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))),
+        lambda x: x["bits"]).alias("bits"))
+
+
+def may_hold(bitmap_row: Column, h: Column, bits: int) -> Column:
+    """False only for hashes that the bitmap wasn't built from."""
+    test = [F.getbit(F.get(bitmap_row, F.shiftright(b, 6).cast("int")),
+                     b.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1 for b in _probes(h, bits)]
+    return test[0] & test[1]
+
+
+AMONG_BITS = 1 << 22
+
+
+def among(df: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` occurs in ``wanted``, and possibly some more: a cheap
+    cut by a bitmap of fixed size before a join, so that less is shuffled."""
+    row = materialize(bitmap(wanted.select(F.xxhash64(wanted_column).alias("h")), "h", AMONG_BITS), "among")
+    return df.where(may_hold(row.scalar(), F.xxhash64(column), AMONG_BITS))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int,
                     mod: int = 5, held_out: int = 0) -> DataFrame:
     """doc_id, text, label of about ``rows`` labelled documents at most, chosen by a hash

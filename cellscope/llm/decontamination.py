@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import documents, join_checked, materialize
+from cellscope.llm.common import bitmap, documents, join_checked, materialize, may_hold
 
 MASKS = ((0, 3, 7, 8, 9), (0, 3, 4, 5, 9), (0, 1, 2, 7, 9))
 SPAN = 10
@@ -65,24 +65,6 @@ def seeds(benchmark: DataFrame) -> DataFrame:
                        left.alias("item_left"))
 
 
-def _probes(h: Column) -> list[Column]:
-    low = h.bitwiseAND(F.lit(FILTER_BITS - 1).cast("long"))
-    high = F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(FILTER_BITS - 1).cast("long"))
-    return [low, high]
-
-
-def bitmap(seed_rows: DataFrame) -> DataFrame:
-    """One row, one array of FILTER_BITS / 64 words: the bits of all seed hashes."""
-    bit = seed_rows.select(F.explode(F.array(*_probes(F.col("hash")))).alias("bit")).distinct()
-    words = bit.groupBy(F.shiftright("bit", 6).cast("long").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    spark = seed_rows.sparkSession
-    every = spark.range(FILTER_BITS // 64).withColumnRenamed("id", "word").join(words, "word", "left")
-    return every.agg(F.transform(F.sort_array(F.collect_list(
-        F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))),
-        lambda x: x["bits"]).alias("bits"))
-
-
 def hits(docs: DataFrame, filter_row: DataFrame) -> DataFrame:
     """doc_id, p (token of the document), mask, hash, near (tokens around p), near_left:
     the positions that the bitmap lets through."""
@@ -96,13 +78,9 @@ def hits(docs: DataFrame, filter_row: DataFrame) -> DataFrame:
     d = d.withColumn("at", F.explode(F.sequence(F.col("lead"), last)))
     d = d.withColumns({f"h{m}": _mask_hash(F.col("piece"), F.col("at"), m) for m in range(len(MASKS))})
 
-    def passes(h: Column) -> Column:
-        test = [F.getbit(F.get(bits, F.shiftright(b, 6).cast("int")), b.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
-                for b in _probes(h)]
-        return test[0] & test[1]
     some = F.lit(False)
     for m in range(len(MASKS)):
-        some = some | passes(F.col(f"h{m}"))
+        some = some | may_hold(bits, F.col(f"h{m}"), FILTER_BITS)
     left = F.least(F.col("at"), F.lit(LEFT))
     d = d.where(some).select(
         "doc_id", (F.col("begin") + F.col("at")).alias("p"), left.alias("near_left"),
@@ -116,7 +94,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item that it holds: doc_id, item_id,
     n_items (equal items), window, matched (of window tokens), doc_token (place in the document)."""
     seed_rows = materialize(seeds(benchmark), "decon-seeds")
-    filter_row = materialize(bitmap(seed_rows), "decon-bits")
+    filter_row = materialize(bitmap(seed_rows, "hash", FILTER_BITS), "decon-bits")
     pairs = join_checked(hits(docs, filter_row), seed_rows, ["mask", "hash"], F.struct("doc_id", "p"))
     left = F.least("near_left", "item_left")
     doc = F.slice("near", F.col("near_left") - left + 1, left + WINDOW)

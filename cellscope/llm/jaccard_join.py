@@ -10,12 +10,12 @@ d = floor(3 (|A| + |B|) / 37).
   k and d depend on a size band; a document takes part in its own band and, if it can
   have a larger partner there, in the next.  Empty parts carry no information and are
   left out unless they are so many that the pigeonhole needs them.
-* A parity sketch of 256 bits (each shingle flips one) bounds the symmetric difference
+* A parity sketch of 1024 bits (each shingle flips one) bounds the symmetric difference
   from below by its Hamming distance and rejects most pairs before their sets are read.
 * Equal sets count as one node.  Of the documents that share a part, each is paired
   with the smallest (a star, not all pairs).  Pairs are verified on whole sets, their
-  groups found; a last round pairs what shares a part but is still in different
-  groups, so that no link between groups is lost.
+  groups found; two rounds do the same with one member of each group that shares a part;
+  a last one pairs what still shares a part across groups, so that no link is lost.
 
 Hot keys: equal parts are combined inside each batch before the shuffle; equal sets
 collapse first.
@@ -33,13 +33,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import Words, arrow_batches, documents, materialize, mix64, release
+from cellscope.llm.common import Words, among, arrow_batches, documents, materialize, mix64, release
 from cellscope.llm.components import components
 
 WIDTH = 4
 NUM, DEN = 85, 100          # links: DEN * intersection >= NUM * union
-SKETCH_WORDS = 4            # 64-bit words of the parity sketch
+SKETCH_WORDS = 16           # 64-bit words of the parity sketch
 BAND_RATIO = 1.3
+COMMON_TURNS = 2            # star rounds over groups before the last comparison
 
 
 def most_apart(size_sum):
@@ -227,8 +228,8 @@ def _side(classes: DataFrame, p: str) -> DataFrame:
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep, s1 and the whole set (sorted 64-bit hashes as bytes) of the wanted documents."""
     kind = dict(docs.dtypes)["doc_id"]
-    some = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id")).distinct(),
-                                              "doc_id", "left_semi")
+    wanted = materialize(wanted.select(F.col("rep").alias("doc_id")).distinct(), "jac-wanted")
+    some = among(docs.select("doc_id", "text"), "doc_id", wanted, "doc_id").join(wanted, "doc_id", "left_semi")
 
     def run(batches):
         import pyarrow as pa
@@ -246,8 +247,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of pairs (a, as1, b, bs1) those whose whole sets link: (a, b)."""
-    left = sets.select(F.col("rep").alias("a"), F.col("s1").alias("as1"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("rep").alias("b"), F.col("s1").alias("bs1"), F.col("shingles").alias("y"))
+    pairs = materialize(pairs, "jac-verify")
+    left = among(sets, "rep", pairs, "a").select(F.col("rep").alias("a"), F.col("s1").alias("as1"), F.col("shingles").alias("x"))
+    right = among(sets, "rep", pairs, "b").select(F.col("rep").alias("b"), F.col("s1").alias("bs1"), F.col("shingles").alias("y"))
     both = pairs.join(left, ["a", "as1"]).join(right, ["b", "bs1"]).select("a", "b", "x", "y")
 
     def run(batches):
@@ -305,8 +307,8 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def _link_all(docs: DataFrame, shared: DataFrame, stars: DataFrame, nodes: DataFrame) -> DataFrame:
-    whole = materialize(whole_sets(docs, stars.select(F.col("a").alias("rep")).union(
-        stars.select(F.col("b").alias("rep")))), "jac-whole")
+    named = nodes
+    whole = materialize(whole_sets(docs, _reps(stars)), "jac-whole")
     release(docs.sparkSession)
     labels = nodes.select("rep", "s1", F.col("rep").alias("comp"))
     # 1. Each member with the hub it shares most parts with.
@@ -319,14 +321,21 @@ def _link_all(docs: DataFrame, shared: DataFrame, stars: DataFrame, nodes: DataF
     rest = stars.join(label_a, ["a", "as1"]).join(label_b, ["b", "bs1"]).where("ca <> cb")
     found = links(rest.select("a", "as1", "b", "bs1"), whole)
     labels = _regroup(labels, _as_groups(found, labels))
-    # 3. What shares a part with others in no common group yet: only those keys, only across groups.
-    in_group = labels.select("s1", "comp")
-    open_keys = shared.select("key", "s1").union(shared.select("key", F.col("hub").alias("s1"))).distinct() \
-        .join(in_group, "s1")
-    mixed = open_keys.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    rows = materialize(open_keys.join(mixed.select("key"), "key").join(nodes, "s1"), "jac-open")
-    if not rows.take(1):
-        return labels
+    # 3. Parts that several groups share: one member of each group (another one each time)
+    # with one of the first group.
+    members = materialize(shared.select("key", "s1").union(
+        shared.select("key", F.col("hub").alias("s1"))).distinct(), "jac-members")
+    for turn in range(COMMON_TURNS):
+        rows = _open_parts(members, labels)
+        one = rows.groupBy("key", "comp").agg(F.min_by("s1", F.xxhash64("s1", F.lit(turn))).alias("s1"))
+        hub = one.groupBy("key").agg(F.min_by("s1", "comp").alias("hub"))
+        pairs = one.join(hub, "key").where("s1 <> hub").select("s1", "hub").distinct()
+        a, b = _side(named, "a"), _side(named, "b")
+        pairs = pairs.join(a, pairs.s1 == a.as1).join(b, pairs.hub == b.bs1).where(may_link("a", "b")).select(
+            F.col("arep").alias("a"), "as1", F.col("brep").alias("b"), "bs1")
+        labels = _regroup(labels, _as_groups(links(pairs, whole_sets(docs, _reps(pairs))), labels))
+    # 4. Whatever still shares a part across groups is compared.
+    rows = _open_parts(members, labels).join(named, "s1")
     x, y = _side(rows, "a"), _side(rows, "b")
     pairs = x.join(y, (F.col("akey") == F.col("bkey")) & (F.col("arep") < F.col("brep"))
                    & (F.col("acomp") != F.col("bcomp")) & may_link("a", "b"))
@@ -334,9 +343,18 @@ def _link_all(docs: DataFrame, shared: DataFrame, stars: DataFrame, nodes: DataF
                         "jac-pairs")
     if not pairs.take(1):
         return labels
-    more = whole_sets(docs, pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))))
-    found = links(pairs, materialize(more, "jac-whole"))
-    return _regroup(labels, _as_groups(found, labels))
+    return _regroup(labels, _as_groups(links(pairs, whole_sets(docs, _reps(pairs))), labels))
+
+
+def _reps(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
+
+
+def _open_parts(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, s1, comp of the parts whose members are in more than one group."""
+    rows = members.join(labels.select("s1", "comp"), "s1")
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+    return materialize(rows.join(mixed.select("key"), "key"), "jac-open")
 
 
 def _as_groups(found: DataFrame, labels: DataFrame) -> DataFrame:
