@@ -39,7 +39,7 @@ EDITS = 1
 FUZZY_LENGTH = 5            # entries shorter than this must match exactly
 SHORTEST, LONGEST = 4, 14   # letters of a prefix that may become an entry
 WINDOW = 6                  # words looked at on either side of a hit
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 THRESHOLD = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -65,8 +65,9 @@ class Lexicon:
         self.entries = entries
         self.child: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]
-        self.heads: set[str] = set()
-        self.insides: set[str] = set()
+        # First halves, and second halves by the place where one edit may have moved them.
+        self.heads: dict[int, set[str]] = {}
+        self.tails: dict[tuple[int, int], dict[str, set[str]]] = {}
         for i, e in enumerate(entries):
             node = 0
             for c in e.text:
@@ -76,17 +77,28 @@ class Lexicon:
                     self.ends.append(-1)
                 node = self.child[node][c]
             self.ends[node] = i
-            self.heads.add(e.text[:2])
-            if len(e.text) >= FUZZY_LENGTH:
-                self.insides.add(e.text[-3:])
+            fuzzy = len(e.text) >= FUZZY_LENGTH
+            half = (len(e.text) + 1) // 2 if fuzzy else len(e.text)
+            self.heads.setdefault(half, set()).add(e.text[:half])
+            for at in range(half - EDITS, half + EDITS + 1) if fuzzy else ():
+                self.tails.setdefault((at, at + len(e.text) - half), {}).setdefault(
+                    e.text[half:], set()).add(e.text[:half])
 
     def _may(self, word: str) -> bool:
-        """False only where no entry can match: with one edit at most, an entry keeps its
-        first two letters or its last three, the latter at an offset changed by one at most."""
-        if word[:2] in self.heads:
-            return True
-        insides = self.insides
-        return any(word[i:i + 3] in insides for i in range(1, min(len(word) - 2, LONGEST)))
+        """False only where no entry can match: one edit leaves either the first half of
+        an entry as it is, or the second half, moved by one place at most, and all but
+        one letter of the first."""
+        for n, heads in self.heads.items():
+            if word[:n] in heads:
+                return True
+        for (a, b), tails in self.tails.items():
+            halves = tails.get(word[a:b])
+            if halves is not None:
+                before = word[:a]
+                for half in halves:
+                    if sum(c in before for c in half) >= len(half) - EDITS:
+                        return True
+        return False
 
     def find(self, word: str) -> tuple[int, int] | None:
         """(entry, edits) of the best match of a prefix of ``word``, or None."""
@@ -147,10 +159,12 @@ def evidence(text: str, found: _Found) -> list[float]:
     """The counts a text is judged by, in the order of NAMES."""
     low = text.lower()
     words = _WORD.findall(low)
-    match = list(map(found.__getitem__, words))
-    hits = [i for i, m in enumerate(match) if m is not None]
-    if not hits:
+    # Most texts have no hit: look at their distinct words only.
+    hit_words = {w for w in set(words) if found[w] is not None}
+    if not hit_words:
         return [0.0] * len(NAMES)
+    hits = [i for i, w in enumerate(words) if w in hit_words]
+    match = {i: found[words[i]] for i in hits}
     entries = found.lexicon.entries
     spans = _spans(low, set(hits))
     exact = {match[i][0] for i in hits if not match[i][1]}
