@@ -35,15 +35,18 @@ def build_user_index(users: DataFrame, imsi_col: str = "imsi",
     distinct = (users.select(F.col(imsi_col).alias("imsi"))
                      .where(F.col("imsi").isNotNull() & (F.col("imsi") != ""))
                      .distinct())
-    order = ["imsi"]
-    if locality is not None:
-        distinct = distinct.join(locality.select("imsi", F.col(locality.columns[1])
-                                                 .alias("_group")), "imsi", "left")
-        order = ["_group", "imsi"]
+    distinct, order = _in_groups(distinct, locality)
     indexed = with_row_index(distinct, order, "bitmap_id", num_partitions)
     return indexed.select("imsi", _checked("bitmap_id").alias("bitmap_id"))
 
 
+def _in_groups(users: DataFrame, locality: DataFrame | None) -> tuple[DataFrame, list[str]]:
+    if locality is None:
+        return users, ["imsi"]
+    group = locality.select("imsi", F.col(locality.columns[1]).alias("_group"))
+    return users.join(group, "imsi", "left"), ["_group", "imsi"]
+
+
 def home_regions(signals: DataFrame, region_cell: DataFrame) -> DataFrame:
     """(imsi, home_region): the region where a user emits most signals.
 
@@ -60,9 +63,11 @@ def home_regions(signals: DataFrame, region_cell: DataFrame) -> DataFrame:
 
 
 def extend_user_index(existing: DataFrame, users: DataFrame, imsi_col: str = "imsi",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None,
+                      locality: DataFrame | None = None) -> DataFrame:
     """Stable daily index: known users keep their id, new users get dense ids
-    after the current maximum (in imsi byte order).
+    after the current maximum (in imsi byte order, or in (group, imsi) order
+    with ``locality``).
 
     A full rebuild would shift every id after a newly inserted imsi, so
     bitmaps built on different days would no longer be comparable.
@@ -75,7 +80,8 @@ def extend_user_index(existing: DataFrame, users: DataFrame, imsi_col: str = "im
                   .where(F.col("imsi").isNotNull() & (F.col("imsi") != ""))
                   .distinct()
                   .join(known.select("imsi"), "imsi", "left_anti"))
-    numbered = with_row_index(fresh, ["imsi"], "_pos", num_partitions)
+    fresh, order = _in_groups(fresh, locality)
+    numbered = with_row_index(fresh, order, "_pos", num_partitions)
     added = numbered.select("imsi", _checked_expr(F.lit(start) + F.col("_pos"))
                             .alias("bitmap_id"))
     return known.unionByName(added)
@@ -90,15 +96,3 @@ def unique_id_index(users: DataFrame, imsi_col: str = "imsi") -> DataFrame:
     """Parity form of the original job: one id per input line, k*n+i layout."""
     ids = unique_row_ids(users.select(F.col(imsi_col).alias("imsi")), "bitmap_id")
     return ids.select("imsi", _checked("bitmap_id").alias("bitmap_id"))
-
-
-def write_bucketed_index(index: DataFrame, table: str, num_buckets: int) -> None:
-    """Save the index as a table bucketed and sorted by imsi.
-
-    The hourly stay job joins every hour's visits with the same index; with
-    the index bucketed on the join key (and the shuffle partition count equal
-    to ``num_buckets``) only the visit side is shuffled, the index side is read
-    in place.
-    """
-    (index.write.mode("overwrite").bucketBy(num_buckets, "imsi").sortBy("imsi")
-          .saveAsTable(table))

@@ -1,4 +1,8 @@
-"""Join helpers: checked broadcast of dimensions, last-write-wins dimensions."""
+"""Join helper: last-write-wins dimensions.
+
+Dimension joins carry no hint: Spark broadcasts a side whose measured bytes are
+below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
+"""
 
 from __future__ import annotations
 
@@ -7,23 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A cell map for a whole country is ~1e6 rows of two short strings (~50 MB):
-# fine to replicate.  A user table (~1e9 rows) is not and falls through to a
-# shuffle join.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (small) side.  Beyond
-    the bound the side is returned unhinted and Spark plans a shuffle join
-    (AQE may still convert it at run time from measured shuffle sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def latest_per_key(df: DataFrame, key_cols: Sequence[str], value_cols: Sequence[str],
                    order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the values of the row with the greatest ``order_cols``.

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.functions.scalar import is_man
-from cellscope.operators.joins import broadcast_if_small
 from cellscope.operators.ordered import HOT_ROWS, find_hot, lag_columns, running_sums
 from cellscope.schemas import PERSONA_COLUMNS
 
@@ -32,29 +31,27 @@ def indicators(gender: Column | str = "gender", age: Column | str = "age") -> di
     }
 
 
-def enrich(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame,
-           check_broadcast: bool = True) -> DataFrame:
+def enrich(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame) -> DataFrame:
     """Signals with profile and region; signals of unknown users or cells drop.
 
+    Cells come first: that map is small, and what it drops isn't shuffled to
+    the users.
+
     Output: imsi, laccell, ts, event_id, procedureStartTime, region_id, gender, age.
     """
     cells = region_cell.select("laccell", "region_id")
     users = user_info.select("imsi", "gender", "age")
-    if check_broadcast:
-        cells = broadcast_if_small(cells)
-        users = broadcast_if_small(users)
     return (signals.select("imsi", "laccell", "ts", "event_id", "procedureStartTime")
+                   .join(cells, "laccell", "inner")
                    .join(users, "imsi", "inner")
-                   .join(cells, "laccell", "inner"))
+                   .select("imsi", "laccell", "ts", "event_id", "procedureStartTime",
+                           "region_id", "gender", "age"))
 
 
-def enrich_rejects(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame,
-                   check_broadcast: bool = True) -> DataFrame:
+def enrich_rejects(signals: DataFrame, user_info: DataFrame, region_cell: DataFrame) -> DataFrame:
     """Signals that the enrichment drops, with the reason."""
     cells = region_cell.select("laccell", F.lit(1).alias("_cell"))
     users = user_info.select("imsi", F.lit(1).alias("_user"))
-    if check_broadcast:
-        cells, users = broadcast_if_small(cells), broadcast_if_small(users)
     j = (signals.select("imsi", "laccell", "ts", "event_id")
                 .join(users, "imsi", "left").join(cells, "laccell", "left"))
     reason = (F.when(F.col("_user").isNull(), F.lit("unknown_user"))
@@ -81,12 +78,12 @@ def persona_window_preagg(signals: DataFrame, user_info: DataFrame, region_cell:
     table too large to broadcast shuffles one row per user-minute instead of
     one per signal.  The counters are then sums of per-user counts.
     """
-    cells = broadcast_if_small(region_cell.select("laccell", "region_id"))
+    cells = region_cell.select("laccell", "region_id")
     per_user = (signals.select("imsi", "laccell", F.window("ts", window).alias("w"))
                        .join(cells, "laccell", "inner")
                        .groupBy("imsi", "region_id", "w")
                        .agg(F.count(F.lit(1)).alias("_n")))
-    users = broadcast_if_small(user_info.select("imsi", "gender", "age"))
+    users = user_info.select("imsi", "gender", "age")
     ind = indicators()
     return (per_user.join(users, "imsi", "inner")
                     .groupBy("region_id", "w")
@@ -184,16 +181,8 @@ def persona_json(persona: DataFrame) -> DataFrame:
          .alias("doc"))
 
 
-def latest_window_per_region(persona_windows: DataFrame) -> DataFrame:
-    """What a region-keyed upsert keeps: the latest window's counters."""
-    return (persona_windows.groupBy("region_id")
-                           .agg(F.max_by(F.struct("window_start", *PERSONA_COLUMNS),
-                                         "window_start").alias("_v"))
-                           .select("region_id", "_v.*"))
-
-
 __all__ = [
     "enrich", "enrich_rejects", "persona_window", "persona_running", "region_flow",
     "region_headcount", "persona_lookup", "persona_cells", "persona_from_cells",
-    "persona_json", "persona_lookup_json", "latest_window_per_region", "indicators",
+    "persona_json", "persona_lookup_json", "indicators",
 ]

@@ -5,12 +5,9 @@ parameters (pushed into the Parquet scan / partition pruning on the hour),
 then AND-ed bucket by bucket.  A missing region-hour or portrait yields a
 count of 0 / no users, duplicate region-hour rows are OR-merged first.
 
-All triples (``segment_matrix``): bucket-wise AND of every stay row with every
-portrait row would move 4 KiB per pair; at national scale a region-hour holds
-a few thousand users scattered over all buckets, so the bitmaps are sparse.
-The matrix therefore decodes both tables to (key, id) rows and joins them on
-the id: a balanced shuffle (a user is in <= 2 portraits), no pair fan-out
-beyond that, counts from a partial aggregation.
+All triples (``segment_matrix``): a join of visit rows with portrait rows on
+the id, a balanced shuffle without any bitmap; counts from a partial
+aggregation.
 """
 
 from __future__ import annotations
@@ -52,45 +49,53 @@ def segment_users(stay_bitmaps: DataFrame, portrait_bitmaps: DataFrame, region_i
     return bitmap.decode(seg, [], id_col="bitmap_id")
 
 
-def segment_matrix(stay_bitmaps: DataFrame, portrait_bitmaps: DataFrame) -> DataFrame:
-    """(region_id, produce_hour, portrait_id, user_count) for every non-empty triple."""
-    stay_ids = bitmap.decode(stay_bitmaps, ["region_id", "produce_hour"]).distinct()
-    port_ids = bitmap.decode(portrait_bitmaps, ["portrait_id"]).distinct()
-    return (stay_ids.join(port_ids, "bitmap_id")
-                    .groupBy("region_id", "produce_hour", "portrait_id")
-                    .agg(F.count(F.lit(1)).alias("user_count")))
+def segment_matrix(stay_rows: DataFrame, portrait_rows: DataFrame) -> DataFrame:
+    """(region_id, produce_hour, portrait_id, user_count) for every non-empty triple.
+
+    From visit rows (region_id, produce_hour, bitmap_id) and portrait rows
+    (portrait_id, bitmap_id), both distinct: before any bitmap is built, so
+    nothing is decoded.  A user is in two portraits at most.
+    """
+    stay = stay_rows.select("region_id", "produce_hour", "bitmap_id").where(
+        F.col("bitmap_id").isNotNull())
+    return (stay.join(portrait_rows.select("portrait_id", "bitmap_id"), "bitmap_id")
+                .groupBy("region_id", "produce_hour", "portrait_id")
+                .agg(F.count(F.lit(1)).alias("user_count")))
 
 
 def segment_matrix_and(stay_bitmaps: DataFrame, portrait_bitmaps: DataFrame) -> DataFrame:
-    """Same result as :func:`segment_matrix`, by bucket-wise bitmap AND.
-
-    Every stay row meets the (at most five) portrait rows of its bucket:
-    an equi-join on bucket with a fan-out bounded by the portrait catalogue.
-    The AND runs as ``bitmap_and_agg`` over the pair's two bitmaps; the join
-    output is already partitioned by bucket, so that aggregation needs no
-    exchange.  Preferable when bitmaps are dense (locality-ordered ids);
-    with sparse bitmaps the decode form moves fewer bytes.
+    """Same result as :func:`segment_matrix` from stored bitmaps, by bucket-wise AND.
+
+    Every stay row meets the (at most five) portrait rows of its bucket.  The
+    portrait rows are few for each bucket: Spark broadcasts them when their bytes are below its
+    threshold and splits a large bucket otherwise (skew join); the AND and the
+    merge run after it, spread by (region, hour, portrait, bucket).
     """
     stay = bitmap.merge(stay_bitmaps.where(F.col("bucket").isNotNull()),
                         ["region_id", "produce_hour"]).withColumnRenamed("bitmap", "_s")
     port = bitmap.merge(portrait_bitmaps.select("portrait_id", "bucket", "bitmap")
                         .where(F.col("bucket").isNotNull()),
                         ["portrait_id"]).withColumnRenamed("bitmap", "_p")
-    pairs = stay.join(port, "bucket")
-    anded = (pairs.select("region_id", "produce_hour", "portrait_id", "bucket",
-                          F.explode(F.array("_s", "_p")).alias("bitmap"))
-                  .groupBy("region_id", "produce_hour", "portrait_id", "bucket")
-                  .agg(F.bitmap_and_agg("bitmap").alias("bitmap")))
+    anded = (stay.join(port, "bucket")
+                 .select("region_id", "produce_hour", "portrait_id", "bucket",
+                         F.explode(F.array("_s", "_p")).alias("bitmap"))
+                 .groupBy("region_id", "produce_hour", "portrait_id", "bucket")
+                 .agg(F.bitmap_and_agg("bitmap").alias("bitmap")))
     counts = bitmap.cardinality(anded, ["region_id", "produce_hour", "portrait_id"])
     return counts.where(F.col("user_count") > 0)
 
 
 def users_json(segment_user_rows: DataFrame) -> DataFrame:
-    """``{"users":[...]}`` documents, one per 32768-id chunk (bounded size)."""
+    """``{"users":[...]}`` documents, one per 32768-id chunk (bounded size); a segment
+    without users gives one document with an empty list (bucket NULL)."""
     chunked = segment_user_rows.withColumn("bucket", bitmap.bucket_of("bitmap_id"))
-    return (chunked.groupBy("bucket")
+    docs = (chunked.groupBy("bucket")
                    .agg(F.to_json(F.struct(F.sort_array(F.collect_list("bitmap_id"))
                                             .alias("users"))).alias("doc")))
+    # One row for the segment itself; it stands alone when no chunk is there.
+    one = docs.agg(F.count(F.lit(1)).alias("_n")).where("_n = 0")
+    empty = one.select(F.lit(None).cast("long").alias("bucket"), F.lit('{"users":[]}').alias("doc"))
+    return docs.unionByName(empty)
 
 
 def count_json(count_row: DataFrame) -> DataFrame:

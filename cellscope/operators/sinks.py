@@ -9,21 +9,22 @@ DataFrame write that a re-run replaces:
   overwrite: re-running one hour replaces that hour only;
 * ``upsert_snapshot``  -- keyed last-write-wins for streaming results: the new
   snapshot of batch *n* = snapshot *n-1* minus the keys in the batch, plus the
-  latest row per key of the batch.  Snapshots live in a ring of
-  ``SNAPSHOT_SLOTS`` folders (``<base>/slot=<n mod K>``, rows tagged with
-  ``_batch_id``), so storage stays bounded; a replayed batch rewrites its own
-  slot from the intact previous one.
+  latest row per key of the batch.  Each snapshot has a folder of its own
+  (``<base>/batch=<n>``) and counts once its marker ``<base>/_done/<n>`` is
+  there; a missing predecessor is an error, never an empty table.  Snapshots
+  older than the retention time go.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cellscope.operators.joins import latest_per_key
+from cellscope.sources import files
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -37,9 +38,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def write_hourly(df: DataFrame, path: str, hour_col: str = "produce_hour",
-                 sort_cols: Sequence[str] = ("region_id", "bucket")) -> str:
+                 sort_cols: Sequence[str] = ("region_id", "bucket"),
+                 hours: Sequence[str] = ()) -> str:
     """One folder per hour; re-running some hours replaces just those folders.
 
+    ``hours`` names the hours that the run stands for: an hour of these without
+    rows is emptied, where a plain dynamic overwrite would leave its old rows.
+
     ``rebalance`` clusters rows of an hour into few files while AQE still
     splits an oversized hour into several advisory-sized tasks; rows are
     sorted by ``sort_cols`` inside each file so a region lookup reads only the
@@ -48,6 +53,9 @@ def write_hourly(df: DataFrame, path: str, hour_col: str = "produce_hour",
     earlier hours use the (produce_hour, source_hour) layout of
     :func:`cellscope.plans.jobs.hourly_stay_job`.
     """
+    spark = df.sparkSession
+    for hour in hours:
+        files.delete(spark, f"{path.rstrip('/')}/{hour_col}={hour}")
     df = df.hint("rebalance", hour_col)
     present = [c for c in sort_cols if c in df.columns]
     if present:
@@ -59,10 +67,6 @@ def write_hourly(df: DataFrame, path: str, hour_col: str = "produce_hour",
     return path
 
 
-SNAPSHOT_SLOTS = 3
-BATCH_COL = "_batch_id"
-
-
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> str:
     """Folder-partitioned overwrite with few files per folder (``rebalance``)."""
     (df.hint("rebalance", *partition_cols).write.mode("overwrite")
@@ -70,50 +74,70 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -
     return path
 
 
+RETAIN_SECONDS = 3600
+
+
 def snapshot_path(base: str, batch_id: int) -> str:
-    return f"{base.rstrip('/')}/slot={batch_id % SNAPSHOT_SLOTS}"
+    return f"{base.rstrip('/')}/batch={batch_id}"
+
 
+def _marker(base: str, batch_id: int) -> str:
+    return f"{base.rstrip('/')}/_done/{batch_id}"
 
-def read_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
-    """Snapshot of ``batch_id`` (None if never written); fails if its slot was
-    overwritten by another batch, instead of silently losing keys."""
-    try:
-        snap = spark.read.parquet(snapshot_path(base, batch_id))
-    except AnalysisException:
-        return None
-    ids = [r[0] for r in snap.select(BATCH_COL).distinct().limit(2).collect()]
-    if ids and ids != [batch_id]:
-        raise RuntimeError(f"snapshot slot for batch {batch_id} holds batches {ids}")
-    return snap.drop(BATCH_COL)
+
+def read_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame:
+    """The finished snapshot of ``batch_id``; an error if there is none."""
+    if not files.exists(spark, _marker(base, batch_id)):
+        raise RuntimeError(f"no finished snapshot of batch {batch_id} under {base}")
+    return spark.read.parquet(snapshot_path(base, batch_id))
 
 
 def upsert_snapshot(batch: DataFrame, batch_id: int, base: str, key_cols: Sequence[str],
-                    order_cols: Sequence[str]) -> None:
+                    order_cols: Sequence[str] = (), retain_seconds: int = RETAIN_SECONDS) -> None:
     """Merge one micro-batch into the keyed snapshot (last write wins).
 
+    Between batches the later one wins.  Inside a batch the row with the
+    greatest ``order_cols`` wins; without them a batch must hold one row per
+    key, as an update-mode aggregation does.
+
     The micro-batch is consumed exactly once: its latest row per key is
-    written to ``<base>/_delta/slot=<n mod K>`` and the merge reads that back.
+    written to ``<base>/_delta/<n>`` and the merge reads that back.
     Referencing the batch twice would re-run upstream stateful operators
     inside one batch.
     """
-    spark = batch.sparkSession
-    keys = list(key_cols)
-    cols = batch.columns
+    spark, root = batch.sparkSession, base.rstrip("/")
+    keys, cols = list(key_cols), batch.columns
     values = [c for c in cols if c not in keys]
-    delta_path = f"{base.rstrip('/')}/_delta/slot={batch_id % SNAPSHOT_SLOTS}"
-    (latest_per_key(batch, keys, values, order_cols).select(*cols)
-        .write.mode("overwrite").parquet(delta_path))
-    latest = spark.read.parquet(delta_path)
     prev = read_snapshot(spark, base, batch_id - 1) if batch_id > 0 else None
+    delta_path = f"{root}/_delta/{batch_id}"
+    latest = (latest_per_key(batch, keys, values, order_cols) if order_cols
+              else batch.dropDuplicates(keys))
+    latest.select(*cols).write.mode("overwrite").parquet(delta_path)
+    latest = spark.read.parquet(delta_path)
     if prev is not None:
         kept = prev.select(*cols).join(latest.select(*keys), keys, "left_anti")
         latest = kept.unionByName(latest.select(*cols))
-    (latest.select(*cols, F.lit(batch_id).cast("long").alias(BATCH_COL))
-           .write.mode("overwrite").parquet(snapshot_path(base, batch_id)))
+    files.delete(spark, _marker(base, batch_id))      # a replay: not finished until rewritten
+    latest.select(*cols).write.mode("overwrite").parquet(snapshot_path(base, batch_id))
+    files.touch(spark, _marker(base, batch_id))
+    files.delete(spark, delta_path)
+    _retire(spark, root, batch_id, retain_seconds)
+
+
+def _retire(spark: SparkSession, root: str, batch_id: int, retain_seconds: int) -> None:
+    """Remove snapshots that are neither the last two nor younger than the retention time."""
+    cutoff = (time.time() - retain_seconds) * 1000
+    for path, changed, _ in files.listing(spark, f"{root}/_done/*"):
+        n = int(path.rsplit("/", 1)[1])
+        if n < batch_id - 1 and changed <= cutoff:
+            files.delete(spark, path)
+            files.delete(spark, snapshot_path(root, n))
 
 
 def latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """The most recent complete snapshot under ``base``."""
-    # Folders starting with "_" (the deltas) are hidden from the scan.
-    last = spark.read.parquet(base).agg(F.max(BATCH_COL)).first()[0]
-    return read_snapshot(spark, base, last)
+    """The most recent finished snapshot under ``base``."""
+    done = [int(path.rsplit("/", 1)[1])
+            for path, _, _ in files.listing(spark, f"{base.rstrip('/')}/_done/*")]
+    if not done:
+        raise RuntimeError(f"no finished snapshot under {base}")
+    return read_snapshot(spark, base, max(done))

@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 
 from cellscope.functions import bitmap
 from cellscope.functions.scalar import hour_bucket
-from cellscope.operators.joins import broadcast_if_small
 
 STAY_KEYS = ["region_id", "produce_hour"]
 
@@ -44,20 +43,19 @@ def read_stay_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STAY_TABLE).parquet(path)
 
 
-def stay_rows(signals: DataFrame, region_cell: DataFrame, user_index: DataFrame,
-              check_broadcast: bool = True) -> DataFrame:
+def stay_rows(signals: DataFrame, region_cell: DataFrame, user_index: DataFrame) -> DataFrame:
     """Distinct (region_id, produce_hour, bitmap_id) visits; ids may be NULL."""
     cells = region_cell.select("laccell", "region_id")
-    if check_broadcast:
-        cells = broadcast_if_small(cells)
     visits = (signals.select("imsi", "laccell",
                              hour_bucket("procedureStartTime").alias("produce_hour"))
                      .join(cells, "laccell", "left")
                      .select("imsi", "region_id", "produce_hour")
                      .distinct())
     index = user_index.select("imsi", "bitmap_id")
+    # Visits of users without an id collapse to one row per (region, hour) in
+    # their own task, before anything is dealt by region and hour.
     return (visits.join(index, "imsi", "left")
-                  .select("region_id", "produce_hour", "bitmap_id"))
+                  .select("region_id", "produce_hour", "bitmap_id").distinct())
 
 
 def region_hour_stay(signals: DataFrame, region_cell: DataFrame,

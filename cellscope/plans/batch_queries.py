@@ -10,8 +10,7 @@ from cellscope.functions.scalar import (age_band, age_portrait_comment, age_port
                                         gender_portrait_comment, gender_portrait_id,
                                         hour_bucket)
 from cellscope.operators import persona, portrait, segments, stay
-from cellscope.operators.index import build_user_index, extend_user_index
-from cellscope.operators.joins import broadcast_if_small
+from cellscope.operators.index import build_user_index, extend_user_index, unique_id_index
 from cellscope.plans.catalog import query
 from cellscope.schemas import PERSONA_COLUMNS
 from cellscope.session import scratch_path
@@ -54,9 +53,24 @@ def m1_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ index (Q1, W1)
 
-@query("user_bitmap_index", oracle("SELECT imsi, bitmap_id FROM user_index"))
+ALL_USERS = """
+SELECT imsi, CAST(row_number() OVER (ORDER BY imsi) - 1 AS BIGINT) AS bitmap_id
+FROM (SELECT DISTINCT imsi FROM user_info) u"""
+
+
+@query("user_bitmap_index", oracle(ALL_USERS))
 def q_user_bitmap_index(spark, sf_dir):
-    return m1_index(spark, sf_dir)
+    """Every customer gets an id."""
+    return build_user_index(fixtures.m1_user_info(spark, sf_dir))
+
+
+@query("user_bitmap_index_parity", oracle("""
+SELECT imsi, true AS is_unique FROM (SELECT DISTINCT imsi FROM user_info) u"""))
+def q_user_bitmap_index_parity(spark, sf_dir):
+    """Ids in the layout of one id per input line: unique, every user covered."""
+    ids = unique_id_index(fixtures.m1_user_info(spark, sf_dir))
+    per_id = ids.groupBy("bitmap_id").agg(F.count(F.lit(1)).alias("n"))
+    return ids.join(per_id, "bitmap_id").select("imsi", (F.col("n") == 1).alias("is_unique"))
 
 
 @query("user_index_extend", oracle("""
@@ -99,27 +113,37 @@ def q_bitmap_build(spark, sf_dir):
 
 @query("stay_id_sets", oracle("""
 SELECT region_id, produce_hour,
-       CASE WHEN bitmap_id IS NULL THEN NULL ELSE bitmap_id // 32768 + 1 END AS bucket,
-       CAST(count(bitmap_id) AS INTEGER) AS set_size,
-       min(bitmap_id) AS min_id, max(bitmap_id) AS max_id
-FROM stay_rows GROUP BY ALL"""))
+       CASE WHEN bitmap_id IS NULL THEN NULL ELSE bitmap_id // 32768 + 1 END AS bucket, bitmap_id
+FROM stay_rows"""))
 def q_stay_id_sets(spark, sf_dir):
+    """Every member of every set (a group without ids has one empty set)."""
     m = fixtures.m1(spark, sf_dir)
     sets = stay.stay_id_sets(m.signals, m.region_cell, build_user_index(m.indexed_users))
     return sets.select("region_id", "produce_hour", "bucket",
-                       F.size("bitmap_ids").alias("set_size"),
-                       F.array_min("bitmap_ids").alias("min_id"),
-                       F.array_max("bitmap_ids").alias("max_id"))
+                       F.explode_outer("bitmap_ids").alias("bitmap_id"))
 
 
 @query("bitmap_from_ids", oracle("""
-SELECT region_id, produce_hour, CAST(count(bitmap_id) AS BIGINT) AS user_count
-FROM stay_rows GROUP BY region_id, produce_hour"""))
+SELECT region_id, produce_hour, bitmap_id FROM stay_rows WHERE bitmap_id IS NOT NULL"""))
 def q_bitmap_from_ids(spark, sf_dir):
     m = fixtures.m1(spark, sf_dir)
     sets = stay.stay_id_sets(m.signals, m.region_cell, build_user_index(m.indexed_users))
     bms = bitmap.from_ids(sets, stay.STAY_KEYS, "bitmap_ids")
-    return bitmap.cardinality(bms, stay.STAY_KEYS)
+    return bitmap.decode(bms, stay.STAY_KEYS)
+
+
+@query("bitmap_two_buckets", """
+WITH u AS (SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS imsi, l_suppkey, l_shipdate FROM lineitem),
+i AS (SELECT imsi, CAST(row_number() OVER (ORDER BY imsi) - 1 AS BIGINT) AS bitmap_id
+  FROM (SELECT DISTINCT imsi FROM u) d)
+SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS region_id, strftime(l_shipdate, '%Y%m%d%H') AS produce_hour,
+  bitmap_id // 32768 + 1 AS bucket, bitmap_id
+FROM u JOIN i ON i.imsi = u.imsi JOIN supplier ON s_suppkey = l_suppkey""")
+def q_bitmap_two_buckets(spark, sf_dir):
+    """Mapping M3: every order line is a user, so ids pass one bucket at sf0.01."""
+    m = fixtures.m3(spark, sf_dir)
+    bitmaps = stay.region_hour_stay(m.signals, m.region_cell, build_user_index(m.indexed_users))
+    return bitmap.decode(bitmaps, [*stay.STAY_KEYS, "bucket"])
 
 
 @query("bitmap_roundtrip", oracle("""
@@ -226,7 +250,7 @@ SELECT s.event_id, s.imsi, s.laccell, rc.region_id
 FROM signals s LEFT JOIN region_cell rc ON s.laccell = rc.laccell"""))
 def q_left_join_region(spark, sf_dir):
     m = fixtures.m1(spark, sf_dir)
-    cells = broadcast_if_small(m.region_cell)
+    cells = m.region_cell
     return (m.signals.join(cells, "laccell", "left")
             .select("event_id", "imsi", "laccell", "region_id"))
 
@@ -276,8 +300,10 @@ def q_segment_users(spark, sf_dir):
 SELECT s.region_id, s.produce_hour, p.portrait_id, CAST(count(*) AS BIGINT) AS user_count
 FROM stay_rows s JOIN portrait_rows p ON s.bitmap_id = p.bitmap_id GROUP BY ALL"""))
 def q_segment_matrix(spark, sf_dir):
-    return segments.segment_matrix(m1_stay_bitmaps(spark, sf_dir),
-                                   m1_portrait_bitmaps(spark, sf_dir))
+    m = fixtures.m1(spark, sf_dir)
+    index = build_user_index(m.indexed_users)
+    return segments.segment_matrix(stay.stay_rows(m.signals, m.region_cell, index),
+                                   portrait.portrait_rows(m.user_info, index))
 
 
 @query("segment_matrix_and", oracle("""
@@ -300,6 +326,23 @@ def q_result_json(spark, sf_dir):
     return segments.users_json(users)
 
 
+@query("count_json", oracle(f"""
+SELECT CAST(json_object('cnt', count(*)) AS VARCHAR) AS doc
+FROM stay_rows s JOIN portrait_rows p ON s.bitmap_id = p.bitmap_id WHERE {_SEG_WHERE}"""))
+def q_count_json(spark, sf_dir):
+    return segments.count_json(q_segment_count(spark, sf_dir))
+
+
+@query("users_json_empty", oracle("""
+SELECT CAST(NULL AS BIGINT) AS bucket, CAST(json_object('users', []) AS VARCHAR) AS doc
+FROM (SELECT count(*) AS n FROM stay_rows WHERE region_id = 'nowhere') WHERE n = 0"""))
+def q_users_json_empty(spark, sf_dir):
+    """A segment without users is a document with an empty list."""
+    users = segments.segment_users(m1_stay_bitmaps(spark, sf_dir), m1_portrait_bitmaps(spark, sf_dir),
+                                   "nowhere", SEGMENT_HOUR, SEGMENT_PORTRAIT)
+    return segments.users_json(users)
+
+
 # ----------------------------------------------- persona batch twins (A5-A7)
 
 _IND = """
@@ -421,6 +464,14 @@ def q_persona_lookup(spark, sf_dir):
     return persona.persona_lookup(spark.read.parquet(path), LOOKUP_REGION)
 
 
+@query("persona_lookup_json_miss", headcount_oracle("""
+SELECT 'nowhere' AS region_id, '{}' AS doc FROM (SELECT count(*) AS n FROM headcount
+WHERE region_id = 'nowhere') m WHERE n = 0"""))
+def q_persona_lookup_json_miss(spark, sf_dir):
+    """An unknown region is an empty document."""
+    return persona.persona_lookup_json(persona.region_headcount(m1_flows(spark, sf_dir)), "nowhere")
+
+
 @query("persona_cells", headcount_oracle("""
 SELECT region_id, qualifier, value FROM (
   SELECT region_id, 'man' AS qualifier, CAST(man AS VARCHAR) AS value FROM headcount

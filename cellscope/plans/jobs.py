@@ -20,13 +20,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from cellscope.functions import bitmap
 from cellscope.operators import portrait, stay
 from cellscope.operators.index import build_user_index, extend_user_index
 from cellscope.operators.sinks import write_table
 from cellscope.schemas import SIGNAL
+from cellscope.sources import files
+from cellscope.sources.delimited import SEP
 
 SIGNAL_FOLDERS = T.StructType(SIGNAL.fields + [T.StructField("dt", T.StringType()),
                                                T.StructField("hh", T.StringType())])
@@ -34,24 +35,23 @@ HOURLY_STAY = T.StructType(stay.STAY_TABLE.fields + [T.StructField("source_hour"
                                                                    T.StringType())])
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def daily_index_job(spark: SparkSession, users: DataFrame, index_path: str,
-                    new_index_path: str) -> DataFrame:
+                    new_index_path: str, first_run: bool = False,
+                    locality: DataFrame | None = None) -> DataFrame:
     """Write the next index version to ``new_index_path`` and return it.
 
     A new folder per version (not an in-place overwrite of the table being
     read) keeps the job re-runnable: the previous version stays intact until
-    the caller switches to the new one.
+    the caller switches to the new one.  Ids of an earlier version are kept; a
+    dense index from scratch is built only with ``first_run``, because it
+    would shift every id and make older bitmaps wrong.  ``locality`` (imsi,
+    group), e.g. :func:`cellscope.operators.index.home_regions`, places users
+    who are seen together next to each other.
     """
-    existing = _read_or_none(spark, index_path)
-    index = (build_user_index(users) if existing is None
-             else extend_user_index(existing, users))
+    if first_run:
+        index = build_user_index(users, locality=locality)
+    else:
+        index = extend_user_index(spark.read.parquet(index_path), users, locality=locality)
     write_table(index, new_index_path, sort_cols=["imsi"])
     return spark.read.parquet(new_index_path)
 
@@ -64,14 +64,22 @@ def daily_portrait_job(spark: SparkSession, user_info: DataFrame, index: DataFra
 
 
 def hourly_stay_job(spark: SparkSession, signals_root: str, source_hour: str,
-                    region_cell: DataFrame, index: DataFrame, out_path: str) -> None:
+                    region_cell: DataFrame, index: DataFrame, out_path: str,
+                    fmt: str = "parquet") -> None:
     """Stay bitmaps of one hour folder of signals (``yyyyMMddHH``).
 
     ``signals_root`` is partitioned as ``dt=yyyyMMdd/hh=HH``; the filter on
     the folder hour prunes every other folder before a file is opened.
+    ``fmt``: ``parquet``, or ``delimited`` for the feed's ``|``-separated text.
     """
-    signals = (spark.read.schema(SIGNAL_FOLDERS).parquet(signals_root)
+    reader = spark.read.schema(SIGNAL_FOLDERS)
+    if fmt == "delimited":
+        reader = reader.option("sep", SEP).option("header", "false").format("csv")
+    signals = (reader.load(signals_root)
                .where((F.col("dt") == source_hour[:8]) & (F.col("hh") == source_hour[8:])))
+    # What an earlier run of this source hour wrote goes, hours that now have no rows included.
+    for path, _, _ in files.listing(spark, f"{out_path.rstrip('/')}/produce_hour=*/source_hour={source_hour}"):
+        files.delete(spark, path)
     bitmaps = (stay.region_hour_stay(signals, region_cell, index)
                .withColumn("source_hour", F.lit(source_hour)))
     (bitmaps.hint("rebalance", "produce_hour")

@@ -14,15 +14,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellscope.functions import bitmap
 from cellscope.functions.scalar import hour_bucket
 from cellscope.operators import stay
 from cellscope.operators.index import build_user_index
 from cellscope.operators.sinks import write_hourly, write_partitioned, write_table
-from cellscope.plans.batch_queries import SEGMENT_HOUR, SEGMENT_REGION, m1_stay_bitmaps
+from cellscope.plans.batch_queries import ALL_USERS, SEGMENT_HOUR, SEGMENT_REGION, m1_stay_bitmaps
+from cellscope.plans import jobs
 from cellscope.plans.catalog import query
 from cellscope.schemas import SIGNAL
 from cellscope.session import scratch_path
-from cellscope.sources import delimited, fixtures
+from cellscope.sources import delimited, files, fixtures
 from cellscope.sources.dimensions import user_dimension
 from cellscope.sources.fixtures import oracle
 
@@ -138,7 +140,66 @@ SELECT CASE WHEN e.value < 20 THEN s.imsi ELSE s.imsi || '|' || s.laccell || '|x
 FROM signals s JOIN events e ON s.event_id = e.event_id WHERE e.event_type = 'error'"""))
 def q_parse_rejects(spark, sf_dir):
     lines = delimited.read_lines(spark, _signal_lines(spark, sf_dir, True))
-    return delimited.rejects(lines, SIGNAL)
+    return delimited.rejects(lines, delimited.line_is_valid(SIGNAL))
+
+
+def _split(lines, parsed, valid):
+    """Parsed rows and rejects in one table: together they must be all lines."""
+    kept = parsed.select(F.lit("kept").alias("part"),
+                         F.concat_ws("|", *[F.col(c).cast("string") for c in parsed.columns]).alias("line"))
+    return kept.unionByName(delimited.rejects(lines, valid).select(F.lit("reject").alias("part"), "line"))
+
+
+# Defects by event or customer number: empty, negative, missing and further fields.
+_BAD_SIGNAL = """
+SELECT event_id, CASE event_id % 7 WHEN 1 THEN imsi || '|' || laccell || '|||1' WHEN 2 THEN imsi || '|' || laccell || '|1|2|'
+  WHEN 3 THEN imsi || '|' || laccell || '|1|2|3|4' WHEN 4 THEN imsi WHEN 5 THEN ''
+  ELSE imsi || '|' || laccell || '|0.5|0.25|' || procedureStartTime END AS line FROM signals"""
+
+
+@query("parse_rejects_signals", oracle(f"""
+SELECT CASE WHEN event_id % 7 IN (0, 6) THEN 'kept' ELSE 'reject' END AS part, line
+FROM ({_BAD_SIGNAL}) b"""))
+def q_parse_rejects_signals(spark, sf_dir):
+    s, n = fixtures.m1_signals(spark, sf_dir), F.col("event_id") % 7
+    pair = F.concat_ws("|", "imsi", "laccell")
+    line = (F.when(n == 1, F.concat(pair, F.lit("|||1"))).when(n == 2, F.concat(pair, F.lit("|1|2|")))
+             .when(n == 3, F.concat(pair, F.lit("|1|2|3|4"))).when(n == 4, F.col("imsi"))
+             .when(n == 5, F.lit(""))
+             .otherwise(F.concat_ws("|", pair, F.lit("0.5"), F.lit("0.25"), "procedureStartTime")))
+    path = delimited.write_lines(s.select(line.alias("value")), scratch_path(spark, "bad-signals"))
+    lines = delimited.read_lines(spark, path)
+    return _split(lines, delimited.parse_signals_full(lines), delimited.signal_is_valid())
+
+
+@query("parse_rejects_users", oracle("""
+SELECT CASE WHEN c % 5 IN (0, 4) THEN 'kept' ELSE 'reject' END AS part,
+  CASE c % 5 WHEN 1 THEN imsi || '|1|' WHEN 2 THEN imsi || '|1|-5' WHEN 3 THEN imsi || '|1'
+  ELSE imsi || '|' || gender || '|' || age END AS line
+FROM (SELECT *, CAST(imsi AS BIGINT) AS c FROM user_info) u"""))
+def q_parse_rejects_users(spark, sf_dir):
+    """Lines with a fourth field are kept for their first three."""
+    u, n = fixtures.m1_user_info(spark, sf_dir), F.col("imsi").cast("long") % 5
+    whole = F.concat_ws("|", "imsi", "gender", "age")
+    line = (F.when(n == 1, F.concat("imsi", F.lit("|1|"))).when(n == 2, F.concat("imsi", F.lit("|1|-5")))
+             .when(n == 3, F.concat("imsi", F.lit("|1"))).when(n == 4, F.concat(whole, F.lit("|x")))
+             .otherwise(whole))
+    path = delimited.write_lines(u.select(line.alias("value")), scratch_path(spark, "bad-users"))
+    lines = delimited.read_lines(spark, path)
+    return _split(lines, delimited.parse_users_lenient(lines), delimited.user_is_valid())
+
+
+@query("parse_rejects_cells", oracle("""
+SELECT CASE WHEN c % 3 = 1 THEN 'reject' ELSE 'kept' END AS part,
+  CASE c % 3 WHEN 1 THEN region_id ELSE laccell || '|' || region_id END AS line
+FROM (SELECT *, CAST(laccell AS BIGINT) AS c FROM region_cell) r"""))
+def q_parse_rejects_cells(spark, sf_dir):
+    r, n = fixtures.m1_region_cell(spark, sf_dir), F.col("laccell").cast("long") % 3
+    pair = F.concat_ws("|", "region_id", "laccell")
+    line = F.when(n == 1, F.col("region_id")).when(n == 2, F.concat(pair, F.lit("|more"))).otherwise(pair)
+    path = delimited.write_lines(r.select(line.alias("value")), scratch_path(spark, "bad-cells"))
+    lines = delimited.read_lines(spark, path)
+    return _split(lines, delimited.parse_region_cell_lenient(lines), delimited.cell_is_valid())
 
 
 # -------------------------------------------------------------- dimensions
@@ -168,21 +229,27 @@ def q_dim_latest_per_key(spark, sf_dir):
     return user_dimension(spark, f"{path}/*").select("imsi", "gender", "age")
 
 
-@query("dim_ttl", oracle("SELECT imsi, gender, age FROM user_info"))
+@query("dim_ttl", oracle("""
+SELECT imsi, gender, age FROM user_info WHERE CAST(imsi AS BIGINT) % 3 <> 0"""))
 def q_dim_ttl(spark, sf_dir):
+    """Two folders, one of which was last written beyond the TTL: its keys are gone."""
     path = scratch_path(spark, "user-dimension-ttl")
-    delimited.write_lines(fixtures.m1_user_info(spark, sf_dir), path, ["imsi", "gender", "age"])
-    return user_dimension(spark, path, ttl_seconds=86400).select("imsi", "gender", "age")
+    users, old = fixtures.m1_user_info(spark, sf_dir), F.col("imsi").cast("long") % 3 == 0
+    delimited.write_lines(users.where(~old), f"{path}/new", ["imsi", "gender", "age"])
+    delimited.write_lines(users.where(old), f"{path}/old", ["imsi", "gender", "age"])
+    for file, changed, _ in files.listing(spark, f"{path}/old", deep=True):
+        files.set_time(spark, file, changed - 3 * 86400 * 1000)
+    return user_dimension(spark, f"{path}/*", ttl_seconds=86400).select("imsi", "gender", "age")
 
 
 # ------------------------------------------------------------------- sinks
 
-@query("sink_overwrite", oracle("SELECT imsi, bitmap_id FROM user_index"))
+@query("sink_overwrite", oracle(ALL_USERS))
 def q_sink_overwrite(spark, sf_dir):
     """The index job run twice: the second run replaces, never duplicates."""
     path = scratch_path(spark, "user-index")
     for _ in range(2):
-        write_table(build_user_index(fixtures.m1_indexed_users(spark, sf_dir)), path)
+        write_table(build_user_index(fixtures.m1_user_info(spark, sf_dir)), path)
     return spark.read.parquet(path)
 
 
@@ -197,7 +264,7 @@ def q_sink_hour_overwrite(spark, sf_dir):
     bitmaps = m1_stay_bitmaps(spark, sf_dir)
     write_hourly(bitmaps, path)
     rerun = m1_stay_bitmaps(spark, sf_dir).where(F.col("produce_hour") == SEGMENT_HOUR)
-    write_hourly(rerun, path)
+    write_hourly(rerun, path, hours=[SEGMENT_HOUR])
     return stay.stay_user_count(stay.read_stay_table(spark, path))
 
 
@@ -213,4 +280,54 @@ def q_parameterised_query(spark, sf_dir):
         args={"region": SEGMENT_REGION, "hour": SEGMENT_HOUR}, stay_counts=counts)
 
 
+# ---------------------------------------------------------- scheduled jobs
+
+@query("job_daily_index", oracle("""
+SELECT imsi, bitmap_id FROM user_index
+UNION ALL
+SELECT imsi, CAST((SELECT max(bitmap_id) + 1 FROM user_index)
+                  + row_number() OVER (ORDER BY imsi) - 1 AS BIGINT) AS bitmap_id
+FROM (SELECT DISTINCT imsi FROM user_info
+      WHERE imsi NOT IN (SELECT imsi FROM user_index)) fresh"""))
+def q_job_daily_index(spark, sf_dir):
+    """First run over some users, next day over all: known ids stay."""
+    base = scratch_path(spark, "daily-index")
+    jobs.daily_index_job(spark, fixtures.m1_indexed_users(spark, sf_dir), f"{base}/none", f"{base}/v1",
+                         first_run=True)
+    return jobs.daily_index_job(spark, fixtures.m1_user_info(spark, sf_dir), f"{base}/v1", f"{base}/v2")
+
+
+@query("job_daily_portraits", oracle("""
+SELECT portrait_id, portrait_value, comment, CAST(count(*) AS BIGINT) AS user_count
+FROM portrait_rows GROUP BY ALL"""))
+def q_job_daily_portraits(spark, sf_dir):
+    base = scratch_path(spark, "daily-portraits")
+    m = fixtures.m1(spark, sf_dir)
+    for _ in range(2):
+        table = jobs.daily_portrait_job(spark, m.user_info, build_user_index(m.indexed_users), base)
+    return bitmap.cardinality(table, ["portrait_id", "portrait_value", "comment"])
+
 
+@query("job_hourly_stay", oracle(f"""
+SELECT region_id, produce_hour, CAST(count(bitmap_id) AS BIGINT) AS user_count
+FROM stay_rows WHERE substr(produce_hour, 1, 8) = '{SEGMENT_HOUR[:8]}'
+GROUP BY region_id, produce_hour"""))
+def q_job_hourly_stay(spark, sf_dir):
+    """A day's delimited hour folders, each holding some signals of the hour before it
+    (late); one hour is first run on rows that a corrected feed no longer has, then again."""
+    m, root = fixtures.m1(spark, sf_dir), scratch_path(spark, "hour-folders")
+    out, index = scratch_path(spark, "hourly-stay"), build_user_index(m.indexed_users)
+    day = m.signals.withColumn("hour", hour_bucket("procedureStartTime")).where(
+        F.substring("hour", 1, 8) == SEGMENT_HOUR[:8])
+    late = (F.col("event_id") % 5 == 0) & (F.substring("hour", 9, 2) < "23")
+    folder = F.substring("hour", 9, 2).cast("int") + F.when(late, 1).otherwise(0)
+    line = F.concat_ws("|", *[F.col(c).cast("string") for c in SIGNAL_FIELDS]).alias("value")
+    lines = day.select(line, F.lit(SEGMENT_HOUR[:8]).alias("dt"), F.lpad(folder.cast("string"), 2, "0").alias("hh"))
+    lines.write.partitionBy("dt", "hh").text(root)
+    hours = [f"{SEGMENT_HOUR[:8]}{h:02}" for h in range(24)]
+    wrong = scratch_path(spark, "wrong-folders")
+    lines.withColumn("value", F.regexp_replace("value", r"\d{6}$", "000000")).where("hh = '05'").write.partitionBy(
+        "dt", "hh").text(wrong)
+    for source, hour in [(wrong, hours[5]), *[(root, h) for h in hours], (root, hours[5])]:
+        jobs.hourly_stay_job(spark, source, hour, m.region_cell, index, out, fmt="delimited")
+    return stay.stay_user_count(jobs.read_hourly_stay(spark, out))

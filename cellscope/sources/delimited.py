@@ -8,7 +8,7 @@ read them:
 * lenient parse (``parse_*_lenient``): a line becomes a record when the fields
   the job needs exist and cast; other lines are skipped (and can be kept with
   :func:`rejects`);
-* strict parse: any malformed line fails the job (``FAILFAST``).
+* strict parse: any malformed line fails the job, whatever columns are read.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from cellscope.schemas import REGION_CELL, SIGNAL, USER_INFO
 
 SEP = "|"
-CORRUPT = "_corrupt_record"
 
 
 def to_lines(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -37,12 +36,9 @@ def write_lines(df: DataFrame, path: str, cols: list[str] | None = None,
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
-                   mode: str = "PERMISSIVE", keep_corrupt: bool = False) -> DataFrame:
+                   mode: str = "PERMISSIVE") -> DataFrame:
     """Typed scan of ``|``-separated text with a fixed schema (never inferred)."""
     reader = spark.read.option("sep", SEP).option("header", "false").option("mode", mode)
-    if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.schema(schema).csv(path)
 
 
@@ -59,13 +55,26 @@ def read_user_info(spark: SparkSession, path: str, mode: str = "PERMISSIVE") ->
 
 
 def read_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Malformed lines (bad number, too few or too many fields) fail the job."""
-    return read_delimited(spark, path, schema, mode="FAILFAST")
+    """Malformed lines (bad number, too few or too many fields) fail the job.
 
+    The check is a filter over whole lines, so it runs whatever columns are
+    read afterwards: a one-column select and ``count()`` fail too (a typed
+    ``FAILFAST`` scan would only look at the columns that are kept).
+    """
+    f = _fields()
+    fields = [F.when(F.get(f, i) != "", F.get(f, i)).cast(x.dataType).alias(x.name)
+              for i, x in enumerate(schema.fields)]
+    return _or_fail(read_lines(spark, path), line_is_valid(schema)).select(*fields)
+
+
+def _or_fail(lines: DataFrame, valid: Column) -> DataFrame:
+    """The lines, or an error at the first that isn't valid."""
+    failed = F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).cast("boolean")
+    return lines.where(F.when(_held(valid), F.lit(True)).otherwise(failed))
 
-def typed_with_corrupt(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed scan that keeps unparsable lines in ``_corrupt_record``."""
-    return read_delimited(spark, path, schema, keep_corrupt=True)
+
+def _held(valid: Column) -> Column:
+    return F.coalesce(valid, F.lit(False))
 
 
 def line_is_valid(schema: T.StructType, value: Column | str = "value") -> Column:
@@ -79,13 +88,37 @@ def line_is_valid(schema: T.StructType, value: Column | str = "value") -> Column
     return ok
 
 
-def rejects(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """The lines a typed scan with ``schema`` cannot parse, as (line).
+# One validity expression for each parse: a parse keeps the lines for which it holds,
+# its rejects are all others, so no line is in neither or in both.
+
+def signal_pair_is_valid() -> Column:
+    """At least (imsi, laccell)."""
+    return F.size(_fields()) >= 2
+
+
+def signal_is_valid() -> Column:
+    """Exactly five fields, coordinates and time well typed and present."""
+    f = _fields()
+    return ((F.size(f) == 5) & F.get(f, 2).try_cast("double").isNotNull()
+            & F.get(f, 3).try_cast("double").isNotNull() & F.get(f, 4).try_cast("long").isNotNull())
+
+
+def user_is_valid() -> Column:
+    """At least three fields, the third an integer age of 0 or more."""
+    return F.get(_fields(), 2).try_cast("int") >= 0
+
+
+def cell_is_valid() -> Column:
+    """At least (region_id, laccell)."""
+    return F.size(_fields()) >= 2
+
+
+def rejects(lines: DataFrame, valid: Column) -> DataFrame:
+    """The lines, as (line), that the parse with this validity leaves out.
 
-    Works on batch and streaming ``value`` columns alike, so a feed keeps its
-    bad records instead of losing them silently.
+    Works on batch and streaming ``value`` columns alike.
     """
-    return lines.where(~line_is_valid(schema)).select(F.col("value").alias("line"))
+    return lines.where(~_held(valid)).select(F.col("value").alias("line"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -106,42 +139,36 @@ def first_field(lines: DataFrame, out: str = "imsi") -> DataFrame:
 def parse_signals_lenient(lines: DataFrame) -> DataFrame:
     """(imsi, laccell) of lines that have at least these two fields."""
     f = _fields()
-    parsed = lines.select(F.get(f, 0).alias("imsi"), F.get(f, 1).alias("laccell"))
-    return parsed.where(F.col("laccell").isNotNull())
+    return lines.where(signal_pair_is_valid()).select(
+        F.get(f, 0).alias("imsi"), F.get(f, 1).alias("laccell"))
 
 
-def parse_users_lenient(lines: DataFrame) -> DataFrame:
+def parse_users_lenient(lines: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(imsi, gender, age) of lines with three fields and an integer age >= 0."""
     f = _fields()
-    parsed = lines.select(F.get(f, 0).alias("imsi"), F.get(f, 1).alias("gender"),
-                          F.get(f, 2).try_cast("int").alias("age"))
-    return parsed.where(F.col("age").isNotNull() & (F.col("age") > -1))
+    return lines.where(user_is_valid()).select(
+        F.get(f, 0).alias("imsi"), F.get(f, 1).alias("gender"),
+        F.get(f, 2).try_cast("int").alias("age"), *extra)
 
 
-def parse_region_cell_lenient(lines: DataFrame) -> DataFrame:
+def parse_region_cell_lenient(lines: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(laccell, region_id) of lines with both fields (key first, for lookups)."""
     f = _fields()
-    parsed = lines.select(F.get(f, 1).alias("laccell"), F.get(f, 0).alias("region_id"))
-    return parsed.where(F.col("laccell").isNotNull())
+    return lines.where(cell_is_valid()).select(
+        F.get(f, 1).alias("laccell"), F.get(f, 0).alias("region_id"), *extra)
 
 
 def parse_signals_full(lines: DataFrame, strict: bool = False) -> DataFrame:
     """All five signal fields from a ``value`` column (stream-friendly).
 
-    Lenient: lines without exactly five well-typed fields are dropped.
-    Strict: such a line raises an error and fails the query.
+    Lenient: lines without exactly five well-typed fields are dropped (and
+    kept by ``rejects(lines, signal_is_valid())``).  Strict: such a line fails
+    the query.
     """
     f = _fields()
-    n = F.size(f)
-    lat = F.get(f, 2).try_cast("double")
-    lon = F.get(f, 3).try_cast("double")
-    ms = F.get(f, 4).try_cast("long")
-    ok = (n == 5) & lat.isNotNull() & lon.isNotNull() & ms.isNotNull()
-    imsi = F.get(f, 0)
-    if strict:
-        # The check lives inside an output column so pruning cannot drop it.
-        imsi = F.when(~ok, F.raise_error(F.concat(F.lit("malformed signal line: "),
-                                                  F.col("value")))).otherwise(imsi)
-    out = [imsi.alias("imsi"), F.get(f, 1).alias("laccell"),
-           lat.alias("latitude"), lon.alias("longitude"), ms.alias("procedureStartTime")]
-    return lines.select(*out) if strict else lines.where(ok).select(*out)
+    out = [F.get(f, 0).alias("imsi"), F.get(f, 1).alias("laccell"),
+           F.get(f, 2).try_cast("double").alias("latitude"),
+           F.get(f, 3).try_cast("double").alias("longitude"),
+           F.get(f, 4).try_cast("long").alias("procedureStartTime")]
+    kept = _or_fail(lines, signal_is_valid()) if strict else lines.where(signal_is_valid())
+    return kept.select(*out)

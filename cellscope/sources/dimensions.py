@@ -10,14 +10,14 @@ state after one day).
 from __future__ import annotations
 
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cellscope.operators.joins import latest_per_key
-from cellscope.session import default_parallelism, scratch_path
+from cellscope.session import scratch_path
+from cellscope.sources.files import listing
+from cellscope.sources.delimited import parse_region_cell_lenient, parse_users_lenient
 
 
 def read_with_order(spark: SparkSession, path: str) -> DataFrame:
@@ -45,20 +45,14 @@ _ORDER = ["_mtime", "_file", "_block", "_pos"]
 def user_dimension(spark: SparkSession, path: str, ttl_seconds: int | None = None) -> DataFrame:
     """(imsi, gender, age), last write wins per imsi."""
     lines = apply_ttl(read_with_order(spark, path), ttl_seconds)
-    f = F.split("value", r"\|", -1)
-    parsed = (lines.select(F.get(f, 0).alias("imsi"), F.get(f, 1).alias("gender"),
-                           F.get(f, 2).try_cast("int").alias("age"), *_ORDER)
-                   .where(F.col("age").isNotNull() & (F.col("age") > -1)))
+    parsed = parse_users_lenient(lines, tuple(_ORDER))
     return latest_per_key(parsed, ["imsi"], ["gender", "age"], _ORDER)
 
 
 def cell_dimension(spark: SparkSession, path: str, ttl_seconds: int | None = None) -> DataFrame:
     """(laccell, region_id), last write wins per cell."""
     lines = apply_ttl(read_with_order(spark, path), ttl_seconds)
-    f = F.split("value", r"\|", -1)
-    parsed = (lines.select(F.get(f, 1).alias("laccell"), F.get(f, 0).alias("region_id"),
-                           *_ORDER)
-                   .where(F.col("laccell").isNotNull()))
+    parsed = parse_region_cell_lenient(lines, tuple(_ORDER))
     return latest_per_key(parsed, ["laccell"], ["region_id"], _ORDER)
 
 
@@ -70,59 +64,44 @@ class DimensionSnapshot:
     """A dimension folder materialised once and reused until the folder changes.
 
     ``get()`` lists the folder (no data read) and rebuilds the latest-per-key
-    view only when its set of files changed or ``refresh_seconds`` passed
-    (the TTL clock).  A dimension with at most ``broadcast_rows`` rows is
-    written as a small snapshot and broadcast; a larger one is saved as a
-    table bucketed and sorted on its key, so each micro-batch join shuffles
-    only the batch side.
+    view when a file was added, removed or rewritten in place (its path,
+    modification time or length changed), or, with a TTL, when the oldest
+    file in use has expired.  The snapshot is a table sorted on its key; Spark
+    decides by its size in bytes whether a micro-batch join broadcasts it.
     """
 
     def __init__(self, spark: SparkSession, path: str, kind: str, key: str,
-                 ttl_seconds: int | None = None, refresh_seconds: int = 3600,
-                 broadcast_rows: int = 2_000_000, num_buckets: int | None = None,
-                 name: str = "dim"):
+                 ttl_seconds: int | None = None, name: str = "dim"):
         self.spark, self.path, self.key = spark, path, key
         self.build = {"user": user_dimension, "cell": cell_dimension}[kind]
-        self.ttl, self.refresh = ttl_seconds, refresh_seconds
-        self.broadcast_rows = broadcast_rows
-        self.num_buckets = num_buckets
-        self.name = f"{name}_{uuid.uuid4().hex[:8]}"
+        self.ttl = ttl_seconds
         self.base = scratch_path(spark, name)
         self.version = 0
-        self._files: list[str] | None = None
-        self._built_at = 0.0
+        self._seen: list[tuple[str, int, int]] | None = None
         self._df: DataFrame | None = None
 
-    def _listing(self) -> list[str]:
-        try:
-            return sorted(self.spark.read.text(self.path).inputFiles())
-        except AnalysisException:       # folder not created yet
-            return []
+    def _listing(self) -> list[tuple[str, int, int]]:
+        """(path, modification time, length) of every file in use."""
+        out = listing(self.spark, self.path, deep=True)
+        if self.ttl is not None:
+            cutoff = (time.time() - self.ttl) * 1000
+            out = [f for f in out if f[1] >= cutoff]
+        return out
 
     def get(self) -> DataFrame:
-        files = self._listing()
-        stale = time.time() - self._built_at > self.refresh
-        if self._df is None or files != self._files or stale:
-            if files:
+        seen = self._listing()
+        if self._df is None or seen != self._seen:
+            if seen:
                 dim = self.build(self.spark, self.path, self.ttl)
             else:   # no feed yet: every lookup misses, signals go to rejects
                 dim = self.spark.createDataFrame([], _EMPTY[self.build.__name__])
-            self._df = self._materialise(dim)
-            self._files, self._built_at = files, time.time()
+            self._df, self._seen = self._materialise(dim), seen
         return self._df
 
     def _materialise(self, dim: DataFrame) -> DataFrame:
         # Two slots, overwritten alternately: the slot being replaced holds the
         # version before the one in use, so storage stays bounded.
         self.version += 1
-        slot = self.version % 2
-        spark = self.spark
-        if dim.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows:
-            path = f"{self.base}/slot={slot}"
-            dim.write.mode("overwrite").parquet(path)
-            return F.broadcast(spark.read.parquet(path))
-        table = f"{self.name}_slot{slot}"
-        buckets = self.num_buckets or default_parallelism(spark)
-        (dim.write.mode("overwrite").bucketBy(buckets, self.key).sortBy(self.key)
-            .saveAsTable(table))
-        return spark.table(table)
+        path = f"{self.base}/slot={self.version % 2}"
+        dim.repartition(self.key).sortWithinPartitions(self.key).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)

@@ -114,6 +114,14 @@ def m2(spark: SparkSession, sf_dir: str) -> Mapping:
                    m2_user_info(spark, sf_dir), m2_indexed_users(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- M3 (Spark)
+
+def m3(spark: SparkSession, sf_dir: str) -> Mapping:
+    """M2 with every order line as a user of its own (many ids)."""
+    li = m2_signals(spark, sf_dir).withColumn("imsi", F.col("event_id").cast("string"))
+    return Mapping(li, m2_region_cell(spark, sf_dir), m2_user_info(spark, sf_dir), li.select("imsi"))
+
+
 # -------------------------------------------------------- M1 (DuckDB oracle)
 
 # CTE prelude shared by every oracle query.  ``ts`` is naive UTC wall time.

@@ -11,8 +11,9 @@ Two-stage layout (dimensions refresh while stateful operators run):
 * **Stage B** streams the enriched folder into
 
   - :func:`persona_window_stream` -- per-region signal counts per tumbling
-    window (event time with a watermark by default; processing time on
-    request), or
+    window (event time, processing time on request), or
+  - :func:`start_window_counts` -- the same counts without state or cut-off,
+    late signals included, or
   - :func:`flows_stream` + :func:`headcount_stream` -- per-user enter/leave
     flows from keyed state (``transformWithStateInPandas``), summed into
     net per-region counters;
@@ -34,12 +35,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cellscope.operators import persona
 from cellscope.operators.sinks import upsert_snapshot
 from cellscope.schemas import PERSONA_COLUMNS, REGION_FLOW
+from cellscope.session import default_parallelism
+from cellscope.sources import delimited, files
 from cellscope.sources.dimensions import DimensionSnapshot
 
 ENRICHED = T.StructType([
@@ -57,41 +59,30 @@ ENRICHED = T.StructType([
 # ------------------------------------------------------------- enrichment
 
 def enrich_static(signals: DataFrame, users: DataFrame, cells: DataFrame) -> DataFrame:
-    """Stream-static inner joins with fixed dimensions.
-
-    A dimension within the broadcast bound is replicated; a larger one would
-    be re-shuffled by every micro-batch, so large dimensions go through
-    stage A, whose :class:`DimensionSnapshot` keeps them bucketed on the key.
-    """
+    """Stream-static inner joins with fixed dimensions."""
     return persona.enrich(signals, users, cells)
 
 
 def enrich_batch(batch: DataFrame, users: DataFrame, cells: DataFrame) -> tuple[DataFrame,
                                                                               DataFrame]:
-    """(enriched, rejects) of one micro-batch against current dimensions.
-
-    The dimensions arrive already sized (broadcast or bucketed), so no
-    further size check runs per batch.
-    """
-    enriched = (persona.enrich(batch, users, cells, check_broadcast=False)
-                .select(*ENRICHED.fieldNames()))
-    rejects = persona.enrich_rejects(batch, users, cells, check_broadcast=False)
-    return enriched, rejects
+    """(enriched, rejects) of one micro-batch against current dimensions."""
+    enriched = persona.enrich(batch, users, cells).select(*ENRICHED.fieldNames())
+    return enriched, persona.enrich_rejects(batch, users, cells)
 
 
 def start_enrich_stage(signals: DataFrame, user_path: str, cell_path: str, out_base: str,
                        rejects_base: str, checkpoint: str, ttl_seconds: int | None = None,
-                       trigger: dict | None = None, refresh_seconds: int = 3600) -> StreamingQuery:
+                       trigger: dict | None = None) -> StreamingQuery:
     """Stage A: per micro-batch dimension refresh + enrichment.
 
-    The dimensions are rebuilt only when their folders change (or every
-    ``refresh_seconds`` so the TTL advances), see :class:`DimensionSnapshot`.
+    The dimensions are rebuilt only when their files change or expire, see
+    :class:`DimensionSnapshot`.
     """
     spark = signals.sparkSession
     users_dim = DimensionSnapshot(spark, user_path, "user", "imsi", ttl_seconds,
-                                  refresh_seconds, name="dim_users")
+                                  name="dim_users")
     cells_dim = DimensionSnapshot(spark, cell_path, "cell", "laccell", ttl_seconds,
-                                  refresh_seconds, name="dim_cells")
+                                  name="dim_cells")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         write_enriched_batch(batch, batch_id, users_dim, cells_dim, out_base, rejects_base)
@@ -103,20 +94,16 @@ def start_enrich_stage(signals: DataFrame, user_path: str, cell_path: str, out_b
 
 def is_committed(spark: SparkSession, folder: str) -> bool:
     """True when ``folder`` holds a finished write (its ``_SUCCESS`` marker)."""
-    try:
-        spark.read.text(f"{folder}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
+    return files.exists(spark, f"{folder}/_SUCCESS")
 
 
 def write_enriched_batch(batch: DataFrame, batch_id: int, users_dim: DimensionSnapshot,
                          cells_dim: DimensionSnapshot, out_base: str, rejects_base: str) -> None:
     """Enrich one micro-batch into ``<out>/batch_id=<n>`` (rejects alongside).
 
-    A batch whose folder is already committed is skipped: when stage A is
-    replayed after writing but before its own commit, rewriting would put
-    new file names next to files stage B may already have consumed.
+    The batch is written in a hidden folder and moved to its name when it is
+    finished, so stage B never sees files of an unfinished batch that a
+    replay would write again.  A batch whose folder is there is skipped.
     """
     spark = batch.sparkSession
     out = f"{out_base}/batch_id={batch_id}"
@@ -126,14 +113,23 @@ def write_enriched_batch(batch: DataFrame, batch_id: int, users_dim: DimensionSn
     # has no stateful operator, so a lost block is recomputed from the same
     # offsets with the same result.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = f"{out_base}/_staged/{batch_id}"
     try:
         enriched, rejects = enrich_batch(batch, users_dim.get(), cells_dim.get())
         rejects.write.mode("overwrite").parquet(f"{rejects_base}/batch_id={batch_id}")
-        enriched.write.mode("overwrite").parquet(out)
+        enriched.write.mode("overwrite").parquet(staged)
+        files.rename(spark, staged, out)
     finally:
         batch.unpersist()
 
 
+def start_rejects(lines: DataFrame, path: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Keep the feed's malformed lines, as (line): what :func:`signal_stream` leaves out."""
+    return start_append(delimited.rejects(lines, delimited.signal_is_valid()), path, checkpoint,
+                        trigger)
+
+
 def enriched_stream(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
     """Stage B input: the enriched folder written by stage A."""
     reader = spark.readStream.schema(ENRICHED)
@@ -145,33 +141,70 @@ def enriched_stream(spark: SparkSession, base: str, max_files: int | None = None
 # ---------------------------------------------------- persona per window
 
 def persona_window_stream(enriched: DataFrame, window: str = "1 minute",
-                          time_mode: str = "event", watermark: str = "1 minute") -> DataFrame:
+                          time_mode: str = "event", watermark: str | None = None) -> DataFrame:
     """Signal counts per (region, tumbling window).
 
-    ``event``: windows on the signal time, state bounded by the watermark,
-    replayable.  ``processing``: windows on arrival time like the original job
-    (results depend on when data arrives).
+    ``event``: windows on the signal time, replayable.  Without a watermark
+    every signal counts however late it is, and state grows with the windows;
+    a ``watermark`` bounds the state and drops what is later.  To keep all
+    signals without state use :func:`start_window_counts`.  ``processing``:
+    windows on arrival time like the original job (results depend on when
+    data arrives).
     """
     if time_mode == "processing":
         enriched = enriched.withColumn("ts", F.current_timestamp())
+    if watermark is not None:
+        enriched = enriched.withWatermark("ts", watermark)
     ind = persona.indicators()
-    return (enriched.withWatermark("ts", watermark)
-                    .groupBy("region_id", F.window("ts", window).alias("w"))
+    return (enriched.groupBy("region_id", F.window("ts", window).alias("w"))
                     .agg(*[F.sum(c).cast("long").alias(n) for n, c in ind.items()])
                     .select("region_id", F.col("w.start").alias("window_start"),
                             F.col("w.end").alias("window_end"), *PERSONA_COLUMNS))
 
 
+WINDOW_COUNTS = T.StructType(
+    [T.StructField("region_id", T.StringType()), T.StructField("window_start", T.TimestampType()),
+     T.StructField("window_end", T.TimestampType())]
+    + [T.StructField(c, T.LongType()) for c in PERSONA_COLUMNS]
+    + [T.StructField("day", T.StringType()), T.StructField("batch_id", T.LongType())])
+
+
+def start_window_counts(enriched: DataFrame, base: str, checkpoint: str,
+                        window: str = "1 minute", trigger: dict | None = None) -> StreamingQuery:
+    """Window counts with no cut-off for late signals and no state.
+
+    Each micro-batch adds its own counts per (region, window) under
+    ``<base>/day=<window day>/batch_id=<n>``; a late signal simply adds to an
+    earlier day's folder, and a replay rewrites its own.  Nothing stored
+    before is read or rewritten.  :func:`read_window_counts` sums the parts.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        part = persona.persona_window(batch, window)
+        (part.withColumn("day", F.date_format("window_start", "yyyyMMdd"))
+             .withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("day", "batch_id").parquet(base))
+
+    return (enriched.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+                    .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_window_counts(spark: SparkSession, base: str) -> DataFrame:
+    """(region_id, window_start, window_end, counters) over all micro-batches so far."""
+    parts = spark.read.schema(WINDOW_COUNTS).parquet(base)
+    return parts.groupBy("region_id", "window_start", "window_end").agg(
+        *[F.sum(c).cast("long").alias(c) for c in PERSONA_COLUMNS])
+
+
 # ------------------------------------------------ enter / leave flows (T3)
 
 _STATE_SCHEMA = "region_id string, gender string, age int"
 
-# Users are grouped into this many hash buckets for the stateful operator; the
-# per-user state lives in a MapState keyed by imsi inside each bucket.  The
-# bucket is the state's grouping key, so the count must stay the same for the
-# life of a checkpoint.  A few times the stateful stage's partition count
-# keeps each invocation vectorised over many users.
-STATE_BUCKETS = 1024
+# Users are grouped into hash buckets for the stateful operator; the per-user
+# state lives in a MapState keyed by imsi inside each bucket.  The bucket is
+# the state's grouping key, so the count must stay the same for the life of a
+# checkpoint, like the shuffle partition count it is derived from.
+BUCKETS_PER_PARTITION = 16
 
 
 class RegionFlowProcessor(StatefulProcessor):
@@ -254,14 +287,19 @@ class RegionFlowProcessor(StatefulProcessor):
 
 
 def flows_stream(enriched: DataFrame, ttl_ms: int | None = None,
-                 state_buckets: int = STATE_BUCKETS) -> DataFrame:
+                 state_buckets: int | None = None) -> DataFrame:
     """Enter/leave flows from per-user state (shuffle on the imsi bucket, RocksDB).
 
     ``ttl_ms`` expires a silent user's state; it switches the operator to
     processing-time mode, which keeps scheduling eviction batches, so run such
     a query with a processing-time trigger (``availableNow`` would not end).
-    ``state_buckets`` must not change while the checkpoint is in use.
+    ``state_buckets`` (by default ``BUCKETS_PER_PARTITION`` for each shuffle
+    partition) must not change while the checkpoint is in use; what one
+    invocation holds is a bucket's share of a micro-batch, which the source's
+    rate limit bounds.
     """
+    state_buckets = state_buckets or BUCKETS_PER_PARTITION * default_parallelism(
+        enriched.sparkSession)
     time_mode = "ProcessingTime" if ttl_ms else "None"
     cols = ["imsi", "ts", "event_id", "region_id", "gender", "age"]
     bucket = F.pmod(F.xxhash64("imsi"), F.lit(state_buckets)).alias("_bucket")
@@ -306,7 +344,7 @@ def start_console(df: DataFrame, output_mode: str = "update", num_rows: int = 20
               .trigger(**(trigger or {"processingTime": "1 minute"})).start())
 
 
-def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> None:
+def run_to_end(q: StreamingQuery, timeout_s: int | None = None) -> None:
     """Wait for an ``availableNow`` query; surface its error if it failed."""
     q.awaitTermination(timeout_s)
     if q.isActive:

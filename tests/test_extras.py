@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellscope.operators import persona, segments
-from cellscope.operators.index import build_user_index, unique_id_index, write_bucketed_index
+from cellscope.operators.index import unique_id_index
 from cellscope.sources.jdbc import jdbc_options
 from cellscope.streaming import jobs
 
@@ -42,22 +42,6 @@ def test_count_json(spark):
     assert segments.count_json(row).first().doc == '{"cnt":7}'
 
 
-def test_bucketed_index_join_reads_index_in_place(spark):
-    idx = build_user_index(spark.createDataFrame([(str(i),) for i in range(100)], "imsi string"))
-    write_bucketed_index(idx, "cellscope_test_index", 4)
-    visits = spark.createDataFrame([(str(i), "r") for i in range(0, 100, 3)],
-                                   "imsi string, region_id string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = visits.join(spark.table("cellscope_test_index"), "imsi")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.count() == 34
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # One exchange (the visit side); the bucketed index side is not shuffled.
-    assert plan.count("Exchange hashpartitioning") == 1
-
-
 def test_processing_time_trigger_and_state_ttl_run(spark, workdir):
     import os
     from cellscope.streaming.sources import signal_stream, text_lines
@@ -77,7 +61,7 @@ def test_processing_time_trigger_and_state_ttl_run(spark, workdir):
     try:
         for _ in range(60):
             time.sleep(1)
-            if os.path.exists(f"{workdir}/snap/slot=0/_SUCCESS"):
+            if os.path.exists(f"{workdir}/snap/_done/0"):
                 break
     finally:
         q.stop()
@@ -86,32 +70,38 @@ def test_processing_time_trigger_and_state_ttl_run(spark, workdir):
     assert F is not None
 
 
-def test_dimension_snapshot_reuse_and_bucketed_path(spark, workdir):
+def test_dimension_snapshot_follows_its_files(spark, workdir):
     import os
-    import time
     from cellscope.sources.dimensions import DimensionSnapshot
     os.makedirs(f"{workdir}/users")
     with open(f"{workdir}/users/a.txt", "w") as fh:
         fh.write("u1|1|20\nu2|0|30\n")
-    snap = DimensionSnapshot(spark, f"{workdir}/users", "user", "imsi", broadcast_rows=0,
-                             num_buckets=4, name="dimtest")
+    snap = DimensionSnapshot(spark, f"{workdir}/users", "user", "imsi", name="dimtest")
     first = snap.get()
     assert snap.get() is first and snap.version == 1          # unchanged folder: reused
-    time.sleep(1.1)
-    with open(f"{workdir}/users/b.txt", "w") as fh:
+    with open(f"{workdir}/users/b.txt", "w") as fh:           # a new file
         fh.write("u2|0|31\n")
-    second = snap.get()
-    assert snap.version == 2
-    assert {r.imsi: r.age for r in second.collect()} == {"u1": 20, "u2": 31}
-    batch = spark.createDataFrame([("u2", 1)], "imsi string, x int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = batch.join(second, "imsi")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.first().age == 31
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert {r.imsi: r.age for r in snap.get().collect()} == {"u1": 20, "u2": 31}
+    with open(f"{workdir}/users/b.txt", "w") as fh:           # the same file, written anew
+        fh.write("u2|0|55\n")
+    os.utime(f"{workdir}/users/b.txt", (4e9, 4e9))
+    assert {r.imsi: r.age for r in snap.get().collect()} == {"u1": 20, "u2": 55}
+    assert snap.version == 3
+
+
+def test_dimension_snapshot_expires(spark, workdir):
+    import os
+    import time
+    from cellscope.sources.dimensions import DimensionSnapshot
+    os.makedirs(f"{workdir}/users")
+    for name, age in (("a", 20), ("b", 30)):
+        with open(f"{workdir}/users/{name}.txt", "w") as fh:
+            fh.write(f"{name}|1|{age}\n")
+    snap = DimensionSnapshot(spark, f"{workdir}/users", "user", "imsi", ttl_seconds=1000)
+    assert snap.get().count() == 2
+    past = time.time() - 2000
+    os.utime(f"{workdir}/users/a.txt", (past, past))
+    assert [r.imsi for r in snap.get().collect()] == ["b"]
 
 
 def test_console_sink_starts_and_stops(spark, workdir):

@@ -37,17 +37,28 @@ def test_full_parse_lenient_and_rejects(spark, workdir):
     lines = delimited.read_lines(spark, workdir)
     good = delimited.parse_signals_full(lines).collect()
     assert sorted(r.imsi for r in good) == ["", "u1"]
-    bad = sorted(r.line for r in delimited.rejects(lines, SIGNAL).collect())
+    bad = sorted(r.line for r in delimited.rejects(lines, delimited.signal_is_valid()).collect())
     assert bad == sorted(["u2|c2|1.0|2.0|notanumber", "u3", "u4|c4|1.0|2.0|1|extra", ""])
 
 
 def test_strict_parse_fails_on_malformed(spark, workdir):
     _write(workdir, "a.txt", LINES[:2])
-    with pytest.raises(Exception):
-        delimited.read_strict(spark, workdir, SIGNAL).collect()
+    strict = delimited.read_strict(spark, workdir, SIGNAL)
+    lines = delimited.parse_signals_full(delimited.read_lines(spark, workdir), strict=True)
+    for df in (strict, lines):
+        for action in (lambda: df.collect(), lambda: df.select("imsi").collect(), lambda: df.count()):
+            with pytest.raises(Exception, match="malformed line"):
+                action()
+
+
+def test_every_line_is_parsed_or_rejected(spark, workdir):
+    _write(workdir, "a.txt", LINES + ["u|c|||1", "u|c|1|2|", "u|1|", "u|1|-5", "u|1|20|x", "u|c", "|", "||||"])
     lines = delimited.read_lines(spark, workdir)
-    with pytest.raises(Exception, match="malformed signal line"):
-        delimited.parse_signals_full(lines, strict=True).collect()
+    for parse, valid in ((delimited.parse_signals_lenient, delimited.signal_pair_is_valid()),
+                         (delimited.parse_signals_full, delimited.signal_is_valid()),
+                         (delimited.parse_users_lenient, delimited.user_is_valid()),
+                         (delimited.parse_region_cell_lenient, delimited.cell_is_valid())):
+        assert parse(lines).count() + delimited.rejects(lines, valid).count() == lines.count()
 
 
 def test_typed_scan_prunes_columns(spark, workdir):

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellscope.operators import persona
@@ -155,12 +156,50 @@ def test_two_stage_headcount_equals_batch(spark, workdir):
     assert {r[0] for r in got} == {"A", "B"}
 
 
-def test_snapshot_ring_stays_bounded(spark, workdir):
+def test_old_snapshots_go(spark, workdir):
     base = f"{workdir}/ring"
     for n in range(7):
         batch = spark.createDataFrame([(f"k{n % 2}", n)], "k string, v long")
-        upsert_snapshot(batch, n, base, ["k"], ["v"])
-    slots = sorted(d for d in os.listdir(base) if d.startswith("slot="))
-    assert slots == ["slot=0", "slot=1", "slot=2"]
+        upsert_snapshot(batch, n, base, ["k"], ["v"], retain_seconds=0)
+    assert sorted(d for d in os.listdir(base) if d.startswith("batch=")) == ["batch=5", "batch=6"]
     got = {r.k: r.v for r in latest_snapshot(spark, base).collect()}
     assert got == {"k0": 6, "k1": 5}
+
+
+def test_a_lost_snapshot_is_an_error(spark, workdir):
+    base = f"{workdir}/lost"
+    batch = spark.createDataFrame([("a", 1)], "k string, v long")
+    upsert_snapshot(batch, 0, base, ["k"], ["v"])
+    with pytest.raises(RuntimeError, match="no finished snapshot of batch 4"):
+        upsert_snapshot(batch, 5, base, ["k"], ["v"])
+    # A snapshot that was begun but not finished doesn't count.
+    batch.write.parquet(f"{base}/batch=9")
+    assert latest_snapshot(spark, base).collect() == [("a", 1)]
+
+
+def test_a_falling_counter_wins_by_batch(spark, workdir):
+    base = f"{workdir}/fall"
+    for n, v in enumerate((5, 2)):
+        upsert_snapshot(spark.createDataFrame([("a", v)], "k string, v long"), n, base, ["k"])
+    assert latest_snapshot(spark, base).first().v == 2
+
+
+def test_late_signals_count(spark, workdir):
+    users, cells = _dims(spark, workdir)
+    src, base = f"{workdir}/src", f"{workdir}/windows"
+    for n, minute in enumerate((600, 5, 1200, 0, 5)):
+        _signal_file(src, f"f{n}.txt", [("u1", "c1", minute)])
+        time.sleep(0.05)
+    enriched = jobs.enrich_static(signal_stream(text_lines(spark, src, max_files=1)), users, cells)
+    jobs.run_to_end(jobs.start_window_counts(enriched, base, f"{workdir}/chk"))
+    got = jobs.read_window_counts(spark, base).collect()
+    assert sorted(r.man for r in got) == [1, 1, 1, 2]
+
+
+def test_malformed_lines_of_the_feed_are_kept(spark, workdir):
+    os.makedirs(f"{workdir}/src")
+    with open(f"{workdir}/src/a.txt", "w") as fh:
+        fh.write("u1|c1|0|0|1\nu1|c1\n")
+    lines = text_lines(spark, f"{workdir}/src")
+    jobs.run_to_end(jobs.start_rejects(lines, f"{workdir}/bad", f"{workdir}/chk"))
+    assert [r.line for r in spark.read.parquet(f"{workdir}/bad").collect()] == ["u1|c1"]

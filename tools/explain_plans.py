@@ -36,7 +36,8 @@ def main() -> None:
         "stay": lambda: stay.region_hour_stay(m.signals, m.region_cell, idx),
         "portraits": lambda: portrait.portrait_bitmaps(m.user_info, idx),
         "segment": lambda: segments.segment_count(stay_bm, port_bm, "1", "1995010200", 4),
-        "matrix": lambda: segments.segment_matrix(stay_bm, port_bm),
+        "matrix": lambda: segments.segment_matrix(
+            stay.stay_rows(m.signals, m.region_cell, idx), portrait.portrait_rows(m.user_info, idx)),
         "matrix_and": lambda: segments.segment_matrix_and(stay_bm, port_bm),
         "window": lambda: persona.persona_window(enriched),
         "running": lambda: persona.persona_running(enriched),
