@@ -2,12 +2,13 @@
 
 A ``Window.partitionBy(key)`` puts every row of a key into one task; if one
 user or region holds a third of all rows, that task holds a third of the job.
-The ``*_by_range`` helpers instead range-partition on the *full* order key,
-so a hot key is spread over many contiguous partitions, and stitch partitions
-together with a tiny per-partition summary (at most ``num_partitions`` rows,
-the only thing broadcast).  The public ``lag_columns`` / ``running_sums``
-first find hot keys (one partial-aggregation pass, a bounded list) and send
-only those through the range path; all other keys use a plain window.
+Here rows are range-partitioned on the *full* order key, so a hot key is
+spread over many contiguous partitions.  Windows run over slices, the rows of
+a key in one range partition, and what a slice needs from earlier ones (the
+last row, the sum so far) is a carry.  Only the first key of a partition can
+continue an earlier partition, so the carry table has at most two rows for
+each partition: the only thing broadcast.  There is one path for all keys; no
+counting pass decides between plans.
 
 Row numbering inside a partition uses ``monotonically_increasing_id`` whose
 documented layout is ``partition_index << 33 | row_number_in_partition``.  The
@@ -83,172 +84,75 @@ def unique_row_ids(df: DataFrame, id_col: str = "row_id") -> DataFrame:
               .drop("_mid"))
 
 
-def lag_by_range(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
-                 value_cols: Sequence[str], prefix: str = "prev_",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Previous row's ``value_cols`` within each key, ordered by ``order_cols``.
-
-    Same result as ``lag(v) OVER (PARTITION BY key ORDER BY order)`` (NULL on a
-    key's first row), computed as a dense row index over (key, order) followed
-    by an equi-join of row i with row i-1.  The join key is unique, so the
-    join is perfectly balanced whatever the key skew.
-    """
-    keys, vals = list(key_cols), list(value_cols)
-    indexed = with_row_index(df, keys + list(order_cols), "_rid", num_partitions)
-    prev = indexed.select(
-        (F.col("_rid") + 1).alias("_rid"),
-        *[F.col(k).alias(f"_pk_{k}") for k in keys],
-        *[F.col(v).alias(f"_pv_{v}") for v in vals])
-    joined = indexed.join(prev, "_rid", "left")
-    same_key = F.lit(True)
-    for k in keys:
-        same_key = same_key & F.col(f"_pk_{k}").eqNullSafe(F.col(k))
-    out = joined
-    for v in vals:
-        out = out.withColumn(f"{prefix}{v}", F.when(same_key, F.col(f"_pv_{v}")))
-    return out.drop(*[f"_pk_{k}" for k in keys], *[f"_pv_{v}" for v in vals])
-
-
-def running_by_range(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                     sums: Mapping[str, Column], num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums per group, one output per input row.
-
-    Same result as ``sum(x) OVER (PARTITION BY g ORDER BY o ROWS BETWEEN
-    UNBOUNDED PRECEDING AND CURRENT ROW)``.  Rows are range-partitioned on
-    (g, o); each (partition, group) slice is summed locally and the totals of
-    the same group in earlier partitions are added as a carry.  The slices and
-    the carry table are bounded by partition size / count, so a group holding
-    a third of the data is spread over a third of the partitions.
-    """
-    groups = list(group_cols)
-    names = list(sums)
-    tagged = range_tagged(df.select("*", *[c.alias(f"_x_{n}") for n, c in sums.items()]),
-                          groups + list(order_cols), num_partitions)
-    slice_key = ["_part"] + groups
-    w_local = (Window.partitionBy(*slice_key).orderBy("_local")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select("*", *[F.sum(f"_x_{n}").over(w_local).alias(f"_l_{n}") for n in names])
-
-    totals = tagged.groupBy(*slice_key).agg(*[F.sum(f"_x_{n}").alias(f"_t_{n}") for n in names])
-    w_carry = (Window.partitionBy(*groups).orderBy("_part")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = totals.select(*slice_key, *[F.coalesce(F.sum(f"_t_{n}").over(w_carry), F.lit(0))
-                                        .alias(f"_c_{n}") for n in names])
-    lo, ca = local.alias("lo"), carry.alias("ca")
-    cond = [F.col(f"lo.{k}").eqNullSafe(F.col(f"ca.{k}")) for k in slice_key]
-    return lo.join(ca, cond).select(
-        *[F.col(f"lo.{c}") for c in df.columns],
-        *[(F.col(f"lo._l_{n}") + F.col(f"ca._c_{n}")).cast("long").alias(n) for n in names])
-
-
-# ------------------------------------------------------ hot-key split front
-
-# A group larger than this is "hot": it would make one window task hold more
-# than a normal task's share.  At most MAX_HOT_KEYS hot keys are listed
-# (broadcast with that proven bound); beyond that the whole input takes the
-# range path, which is exact for any skew.
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
-
+def first_keys(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that a range partition begins with: one row for each partition at most."""
+    return tagged.where(F.col("_local") == 0).select(*keys).distinct()
 
-def hot_keys(df: DataFrame, key_cols: Sequence[str], hot_rows: int = HOT_ROWS,
-             max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None if there are none.
-
-    One pass with map-side partial counting; at most ``max_hot_keys + 1``
-    key rows reach the driver.  Raises ``_TooManyHotKeys`` past the cap.
-    """
-    keys = list(key_cols)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = (counts.where(F.col("_n") > hot_rows).select(*keys)
-                  .limit(max_hot_keys + 1).collect())
-    if not rows:
-        return None
-    if len(rows) > max_hot_keys:
-        raise _TooManyHotKeys()
-    schema = df.select(*keys).schema
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-
-
-class _TooManyHotKeys(Exception):
-    pass
 
+def _same(a: str, b: str, cols: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return cond
 
-ALL_HOT = "all"   # more hot keys than the cap: every key takes the range path
-DETECT = "detect"
 
+def _carried(tagged: DataFrame, first: DataFrame, keys: list[str], aggs: list[Column],
+             carry: Mapping[str, Column]) -> DataFrame:
+    """_part, keys and the carry columns of the slices that may continue others
+    (at most two for each partition).  ``aggs`` summarise a slice; ``carry`` are
+    expressions over the window of a key's earlier slices."""
+    rows = tagged.alias("t").join(F.broadcast(first).alias("f"), _same("t", "f", keys), "left_semi")
+    return rows.groupBy("_part", *keys).agg(*aggs).select("_part", *keys, *[
+        c.alias(n) for n, c in carry.items()])
 
-def find_hot(df: DataFrame, key_cols: Sequence[str], hot_rows: int = HOT_ROWS,
-             max_hot_keys: int = MAX_HOT_KEYS):
-    """Hot-key list for :func:`lag_columns` / :func:`running_sums`.
 
-    Returns None (no hot key), a broadcastable key DataFrame, or ``ALL_HOT``.
-    A list found on a DataFrame stays valid for any subset of its rows (a
-    key cannot be hot in a subset without being hot in the whole).
-    """
-    try:
-        return hot_keys(df, key_cols, hot_rows, max_hot_keys)
-    except _TooManyHotKeys:
-        return ALL_HOT
-
-
-def _split(df: DataFrame, keys: list[str], hot):
-    """(cold, hot) parts of ``df``; either may be None."""
-    if hot is None:
-        return df, None
-    if isinstance(hot, str) and hot == ALL_HOT:
-        return None, df
-    # A NULL key matches neither side of the hot list: the anti join keeps it
-    # on the window path, so no row is lost.
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+def lag_tagged(tagged: DataFrame, first: DataFrame, key_cols: Sequence[str],
+               value_cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """Previous row's values within each key, for the rows of :func:`range_tagged` or a
+    subset of them; keeps ``_part`` and ``_local`` for further passes over the same order."""
+    keys, vals = list(key_cols), list(value_cols)
+    slices = Window.partitionBy("_part", *keys).orderBy("_local")
+    local = tagged.select("*", F.row_number().over(slices).alias("_at"),
+                          F.lag(F.struct(*vals)).over(slices).alias("_lag"))
+    earlier = Window.partitionBy(*keys).orderBy("_part")
+    carry = _carried(tagged, first, keys, [F.max_by(F.struct(*vals), "_local").alias("_last")],
+                     {"_carry": F.lag("_last").over(earlier)})
+    joined = local.alias("l").join(F.broadcast(carry).alias("c"), _same("l", "c", ["_part", *keys]), "left")
+    before = F.when(F.col("l._at") == 1, F.col("c._carry")).otherwise(F.col("l._lag"))
+    return joined.select(*[F.col(f"l.{c}") for c in tagged.columns],
+                         *[before.getField(v).alias(f"{prefix}{v}") for v in vals])
 
 
 def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
                 value_cols: Sequence[str], prefix: str = "prev_",
-                num_partitions: int | None = None, hot_rows: int = HOT_ROWS,
-                max_hot_keys: int = MAX_HOT_KEYS, hot=DETECT) -> DataFrame:
-    """``lag(v) OVER (PARTITION BY key ORDER BY order)`` without hot tasks.
-
-    Ordinary keys use a plain window (one shuffle on the key); keys with more
-    than ``hot_rows`` rows use :func:`lag_by_range`.  ``hot`` may carry a list
-    from :func:`find_hot` computed on a superset of ``df``.
-    """
-    keys, vals = list(key_cols), list(value_cols)
-    if isinstance(hot, str) and hot == DETECT:
-        hot = find_hot(df, keys, hot_rows, max_hot_keys)
-    cold, hot = _split(df, keys, hot)
-    parts = []
-    if cold is not None:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        parts.append(cold.select("*", *[F.lag(v).over(w).alias(f"{prefix}{v}") for v in vals]))
-    if hot is not None:
-        parts.append(lag_by_range(hot, keys, order_cols, vals, prefix, num_partitions)
-                     .select(*df.columns, *[f"{prefix}{v}" for v in vals]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                num_partitions: int | None = None) -> DataFrame:
+    """``lag(v) OVER (PARTITION BY key ORDER BY order)``, whatever the key skew."""
+    tagged = range_tagged(df, [*key_cols, *order_cols], num_partitions)
+    out = lag_tagged(tagged, first_keys(tagged, key_cols), key_cols, value_cols, prefix)
+    return out.drop("_part", "_local")
 
 
 def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                 sums: Mapping[str, Column], num_partitions: int | None = None,
-                 hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Inclusive running sums per group without hot tasks.
+                 sums: Mapping[str, Column], num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums per group, one output per input row.
 
-    Ordinary groups use ``sum() OVER (... ROWS UNBOUNDED PRECEDING)``; groups
-    with more than ``hot_rows`` rows use :func:`running_by_range`.
+    Same result as ``sum(x) OVER (PARTITION BY g ORDER BY o ROWS BETWEEN
+    UNBOUNDED PRECEDING AND CURRENT ROW)``: each slice is summed locally and
+    the totals of the same group's earlier slices are added as a carry.
     """
-    groups = list(group_cols)
-    cold, hot = _split(df, groups, find_hot(df, groups, hot_rows, max_hot_keys))
-    parts = []
-    if cold is not None:
-        w = (Window.partitionBy(*groups).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        parts.append(cold.select("*", *[F.sum(c).over(w).cast("long").alias(n)
-                                        for n, c in sums.items()]))
-    if hot is not None:
-        parts.append(running_by_range(hot, groups, order_cols, sums, num_partitions))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    groups, names = list(group_cols), list(sums)
+    tagged = range_tagged(df.select("*", *[c.alias(f"_x_{n}") for n, c in sums.items()]),
+                          groups + list(order_cols), num_partitions)
+    slices = (Window.partitionBy("_part", *groups).orderBy("_local")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = tagged.select("*", *[F.sum(f"_x_{n}").over(slices).alias(f"_l_{n}") for n in names])
+    earlier = (Window.partitionBy(*groups).orderBy("_part")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carry = _carried(tagged, first_keys(tagged, groups), groups,
+                     [F.sum(f"_x_{n}").alias(f"_t_{n}") for n in names],
+                     {f"_c_{n}": F.sum(f"_t_{n}").over(earlier) for n in names})
+    joined = local.alias("l").join(F.broadcast(carry).alias("c"), _same("l", "c", ["_part", *groups]), "left")
+    return joined.select(
+        *[F.col(f"l.{c}") for c in df.columns],
+        *[(F.col(f"l._l_{n}") + F.coalesce(F.col(f"c._c_{n}"), F.lit(0))).cast("long").alias(n)
+          for n in names])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.functions.scalar import is_man
-from cellscope.operators.ordered import HOT_ROWS, find_hot, lag_columns, running_sums
+from cellscope.operators.ordered import first_keys, lag_tagged, range_tagged, running_sums
 from cellscope.schemas import PERSONA_COLUMNS
 
 WINDOW = "1 minute"
@@ -93,18 +93,17 @@ def persona_window_preagg(signals: DataFrame, user_info: DataFrame, region_cell:
 
 
 def persona_running(enriched: DataFrame, window: str = WINDOW,
-                    num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """One row per signal with the counts so far in its (region, window)."""
     w = enriched.withColumn("window_start", F.window("ts", window).start)
     out = running_sums(w.select("region_id", "window_start", "ts", "event_id", "imsi",
                                 "gender", "age"),
                        ["region_id", "window_start"], ["ts", "event_id"],
-                       indicators(), num_partitions, hot_rows=hot_rows)
+                       indicators(), num_partitions)
     return out.select("region_id", "window_start", "ts", "event_id", "imsi", *PERSONA_COLUMNS)
 
 
-def region_flow(enriched: DataFrame, num_partitions: int | None = None,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def region_flow(enriched: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Enter / leave flows per user, in (ts, event_id) order.
 
     A signal in a region different from the user's previous one emits
@@ -113,16 +112,15 @@ def region_flow(enriched: DataFrame, num_partitions: int | None = None,
     user entered the old region, so a profile edit cannot unbalance counters.
     """
     base = enriched.select("imsi", "ts", "event_id", "region_id", "gender", "age")
-    hot = find_hot(base, ["imsi"], hot_rows)     # also valid for the change rows below
-    prev = lag_columns(base, ["imsi"], ["ts", "event_id"], ["region_id"],
-                       num_partitions=num_partitions, hot=hot)
+    tagged = range_tagged(base, ["imsi", "ts", "event_id"], num_partitions)
+    first = first_keys(tagged, ["imsi"])
+    prev = lag_tagged(tagged, first, ["imsi"], ["region_id"])
     changes = prev.where(F.col("prev_region_id").isNull()
                          | (F.col("prev_region_id") != F.col("region_id")))
     # Previous *change* of the same user = the region being left, with its
-    # entry profile.
-    entered = lag_columns(changes.drop("prev_region_id"), ["imsi"], ["ts", "event_id"],
-                          ["region_id", "gender", "age"], prefix="left_",
-                          num_partitions=num_partitions, hot=hot)
+    # entry profile: over the same slices, so without another exchange.
+    entered = lag_tagged(changes.drop("prev_region_id"), first, ["imsi"],
+                         ["region_id", "gender", "age"], prefix="left_")
     # One pass emits both rows of a change (enter, and leave when the user
     # was somewhere), so the upstream plan runs once.
     def flow(is_in: int, region: str, gender: str, age: str) -> Column:

@@ -12,7 +12,7 @@ from cellscope.functions.scalar import (age_band, age_portrait_comment, age_port
 from cellscope.operators import persona, portrait, segments, stay
 from cellscope.operators.index import build_user_index, extend_user_index, unique_id_index
 from cellscope.plans.catalog import query
-from cellscope.schemas import PERSONA_COLUMNS
+from cellscope.schemas import LABELS, PERSONA_COLUMNS
 from cellscope.session import scratch_path
 from cellscope.sources import fixtures
 from cellscope.sources.fixtures import oracle
@@ -223,15 +223,15 @@ def q_age_band(spark, sf_dir):
     return u.select("imsi", "age", age_band("age").alias("age_flag"))
 
 
-@query("portrait_labels", oracle("""
+@query("portrait_labels", oracle(f"""
 SELECT imsi,
        CASE WHEN gender = '1' THEN 1 WHEN gender = '0' THEN 2 END AS gender_portrait_id,
-       CASE WHEN gender = '1' THEN '男性' WHEN gender = '0' THEN '女性' END AS gender_comment,
+       CASE WHEN gender = '1' THEN '{LABELS[1]}' WHEN gender = '0' THEN '{LABELS[2]}' END AS gender_comment,
        CASE WHEN age >= 10 AND age < 20 THEN 3 WHEN age >= 20 AND age < 40 THEN 4
             WHEN age >= 40 THEN 5 END AS age_portrait_id,
-       CASE WHEN age >= 10 AND age < 20 THEN '10-20岁人员'
-            WHEN age >= 20 AND age < 40 THEN '20-40岁人员'
-            WHEN age >= 40 THEN '40岁以上人员' END AS age_comment
+       CASE WHEN age >= 10 AND age < 20 THEN '{LABELS[3]}'
+            WHEN age >= 20 AND age < 40 THEN '{LABELS[4]}'
+            WHEN age >= 40 THEN '{LABELS[5]}' END AS age_comment
 FROM user_info"""))
 def q_portrait_labels(spark, sf_dir):
     u = fixtures.m1_user_info(spark, sf_dir)

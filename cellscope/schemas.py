@@ -42,10 +42,9 @@ REGION_FLOW = T.StructType([
     T.StructField("age", T.IntegerType()),
 ])
 
+# --- Fixed values (must equal the reference's catalogue) -------------------
 # Persona counters kept per region.
 PERSONA_COLUMNS = ["man", "women", "age_10_20", "age_20_40", "age_40"]
-
-# --- Fixed values (must equal the reference's catalogue) -------------------
 # Portrait catalogue: (portrait_id, portrait_value, comment).
 # Gender portraits take the gender code as value, age portraits the band flag.
 PORTRAITS = [
@@ -59,8 +58,5 @@ PORTRAITS = [
 MIN_PORTRAIT_AGE = 10
 # ---------------------------------------------------------------------------
 
-PORTRAIT = T.StructType([
-    T.StructField("portrait_id", T.IntegerType()),
-    T.StructField("portrait_value", T.StringType()),
-    T.StructField("comment", T.StringType()),
-])
+# Labels by portrait id.
+LABELS = {i: label for i, _, label in PORTRAITS}

@@ -3,7 +3,8 @@
 Scratch output (intermediate tables, streaming checkpoints, snapshots) always
 lives under the shared folder named by ``spark.checkpoint.dir``.  That setting
 is read from the running session; a local fallback is only installed when it
-is unset (unit tests, laptops).
+is unset and the master is local (unit tests, laptops).  On a cluster without
+the setting the job fails, since machines don't see each other's disks.
 """
 
 from __future__ import annotations
@@ -98,16 +99,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    path = configured or tempfile.mkdtemp(prefix="cellscope-ckpt-")
+    path = sc.getConf().get("spark.checkpoint.dir")
+    if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        path = tempfile.mkdtemp(prefix="cellscope-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/cellscope/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cellscope/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables, once its results are written elsewhere
+    (a returned DataFrame may still read them)."""
+    from cellscope.sources import files
+
+    files.delete(spark, _scratch_root(spark))
 
 
 def default_parallelism(spark: SparkSession) -> int:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.functions.scalar import epoch_ms
+from cellscope.schemas import LABELS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,7 +126,7 @@ def m3(spark: SparkSession, sf_dir: str) -> Mapping:
 # -------------------------------------------------------- M1 (DuckDB oracle)
 
 # CTE prelude shared by every oracle query.  ``ts`` is naive UTC wall time.
-ORACLE_M1 = """
+ORACLE_M1 = f"""
 signals AS (
   SELECT CAST(user_id AS VARCHAR) AS imsi,
          CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 30 AS VARCHAR) AS laccell,
@@ -159,14 +160,14 @@ portrait_rows AS (
   SELECT DISTINCT portrait_id, portrait_value, comment, bitmap_id FROM (
     SELECT CASE WHEN u.gender = '1' THEN 1 WHEN u.gender = '0' THEN 2 END AS portrait_id,
            u.gender AS portrait_value,
-           CASE WHEN u.gender = '1' THEN '男性' WHEN u.gender = '0' THEN '女性' END AS comment,
+           CASE WHEN u.gender = '1' THEN '{LABELS[1]}' WHEN u.gender = '0' THEN '{LABELS[2]}' END AS comment,
            ui.bitmap_id
     FROM user_info u JOIN user_index ui ON u.imsi = ui.imsi WHERE u.age >= 10
     UNION ALL
     SELECT CASE WHEN u.age < 20 THEN 3 WHEN u.age < 40 THEN 4 ELSE 5 END,
            CASE WHEN u.age < 20 THEN '10' WHEN u.age < 40 THEN '20' ELSE '40' END,
-           CASE WHEN u.age < 20 THEN '10-20岁人员' WHEN u.age < 40 THEN '20-40岁人员'
-                ELSE '40岁以上人员' END,
+           CASE WHEN u.age < 20 THEN '{LABELS[3]}' WHEN u.age < 40 THEN '{LABELS[4]}'
+                ELSE '{LABELS[5]}' END,
            ui.bitmap_id
     FROM user_info u JOIN user_index ui ON u.imsi = ui.imsi WHERE u.age >= 10
   ) p WHERE portrait_id IS NOT NULL

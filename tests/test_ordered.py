@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import pytest
 
-from cellscope.operators.ordered import (hot_keys, lag_by_range, lag_columns, running_by_range,
+from cellscope.operators.ordered import (first_keys, lag_columns, lag_tagged, range_tagged,
                                          running_sums, unique_row_ids, with_row_index)
 
 
@@ -25,37 +25,44 @@ def test_row_index_equals_row_number(spark):
         sorted(want.select("k", "t", "rid").collect())
 
 
-@pytest.mark.parametrize("how", ["window", "split", "range"])
-def test_lag_equals_window_lag(spark, how):
+@pytest.mark.parametrize("parts", [1, 6, 40])
+def test_lag_equals_window_lag(spark, parts):
     df = _skewed(spark)
-    if how == "range":
-        got = lag_by_range(df, ["k"], ["t"], ["v"], num_partitions=6)
-    else:
-        got = lag_columns(df, ["k"], ["t"], ["v"], num_partitions=6,
-                          hot_rows=50 if how == "split" else 2_000_000)
+    got = lag_columns(df, ["k"], ["t"], ["v"], num_partitions=parts)
     want = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
     assert sorted(got.select("k", "t", "prev_v").collect()) == \
         sorted(want.select("k", "t", "prev_v").collect())
 
 
-@pytest.mark.parametrize("how", ["window", "split", "range", "too_many_hot"])
-def test_running_sums_equal_window_sum(spark, how):
+def test_lag_over_a_subset_of_the_slices(spark):
+    """A hot key's partitions without a row of the subset are passed over."""
+    df = _skewed(spark)
+    tagged = range_tagged(df, ["k", "t"], 12)
+    keep = (F.col("t") < 60) | (F.col("t") > 540)
+    got = lag_tagged(tagged.where(keep), first_keys(tagged, ["k"]), ["k"], ["t"])
+    want = df.where(keep).withColumn("prev_t", F.lag("t").over(Window.partitionBy("k").orderBy("t")))
+    assert sorted((r.k, r.t, r.prev_t or -1) for r in got.collect()) == \
+        sorted((r.k, r.t, r.prev_t or -1) for r in want.collect())
+
+
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_running_sums_equal_window_sum(spark, parts):
     df = _skewed(spark).withColumn("x", F.when(F.col("v") == "A", 1).otherwise(0))
-    sums = {"run": F.col("x")}
-    if how == "range":
-        got = running_by_range(df, ["k"], ["t"], sums, num_partitions=7)
-    else:
-        got = running_sums(df, ["k"], ["t"], sums, num_partitions=7,
-                           hot_rows={"window": 2_000_000, "split": 50, "too_many_hot": 1}[how],
-                           max_hot_keys=3 if how == "too_many_hot" else 10_000)
+    got = running_sums(df, ["k"], ["t"], {"run": F.col("x")}, num_partitions=parts)
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("run", F.sum("x").over(w).cast("long"))
     assert sorted(got.select("k", "t", "run").collect()) == \
         sorted(want.select("k", "t", "run").collect())
 
 
+def test_a_hot_null_key_is_no_special_case(spark):
+    df = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(60)], "k string, t long")
+    got = lag_columns(df, ["k"], ["t"], ["t"], num_partitions=5)
+    assert sorted((str(r.k), r.t, r.prev_t) for r in got.collect() if r.prev_t is not None) == \
+        sorted((str(None if i % 2 else "a"), i, i - 2) for i in range(2, 60))
+
+
 def test_hot_key_spreads_over_partitions(spark):
-    from cellscope.operators.ordered import range_tagged
     tagged = range_tagged(_skewed(spark), ["k", "t"], 6)
     parts = {r._part for r in tagged.where(F.col("k") == "hot").select("_part").distinct()
              .collect()}
@@ -71,12 +78,6 @@ def test_unique_row_ids_formula(spark):
     assert ids == want
 
 
-def test_hot_keys_finds_only_the_hot_key(spark):
-    hot = hot_keys(_skewed(spark), ["k"], hot_rows=50)
-    assert [r.k for r in hot.collect()] == ["hot"]
-    assert hot_keys(_skewed(spark), ["k"], hot_rows=10_000) is None
-
-
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
 
@@ -93,8 +94,8 @@ def test_range_paths_match_windows_property(spark, keys, parts):
         F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("s"))
         .collect()}
     lag = {(r.k, r.t): r.prev_x for r in
-           lag_by_range(df, ["k"], ["t"], ["x"], num_partitions=parts).collect()}
+           lag_columns(df, ["k"], ["t"], ["x"], num_partitions=parts).collect()}
     run = {(r.k, r.t): r.s for r in
-           running_by_range(df, ["k"], ["t"], {"s": F.col("x")}, num_partitions=parts).collect()}
+           running_sums(df, ["k"], ["t"], {"s": F.col("x")}, num_partitions=parts).collect()}
     assert lag == {k: v[0] for k, v in want.items()}
     assert run == {k: v[1] for k, v in want.items()}
