@@ -9,8 +9,9 @@ frame; the other neighbour is taken, or none.
 
 Some parts are known from markup alone: scripts, styles, navigation, headers, footers,
 forms, and elements whose class, id or role names a menu, advert, notice, sidebar or reader
-comments are left out, and where a page marks its article (article or main element, outside those), only the
-blocks in it count and these are not deleted by differencing.
+comments are left out, as are runs of blocks that are nothing but links.  Where a page marks its article
+(article element, else main element, outside those), only the blocks in it count and these are not
+deleted by differencing.
 
 Hosts with many pages are dealt into buckets by a hash of the URL path (their list is
 bounded: a host is split only beyond a share of all pages), so a hot host is never one
@@ -55,6 +56,9 @@ recommended related replies reply respond search share sharing sidebar signup sk
 subscribe subscription tags toolbar topbar tracking widget widgets
 """.split())
 
+_NOT_ITSELF = frozenset("has with no without hide show is".split())
+MENU_BLOCKS = 3             # so many blocks of nothing but links in a row are a menu
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
@@ -73,32 +77,46 @@ def _is_frame(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if key == "role" and value.lower() in FRAME_ROLES:
             return True
-        if key in ("class", "id") and any(w.lower() in FRAME_NAMES for w in _WORDS.findall(value)):
+        if key in ("class", "id") and any(_names_frame(x, in_article) for x in value.split()):
             return True
     return False
 
 
-def read_blocks(page: str) -> tuple[list[str], list[bool]]:
-    """The blocks of a page outside its known frame, and which stand in an article."""
+def _names_frame(name: str, in_article: bool) -> bool:
+    """Whether one class or id names a part outside the article; ``has-sidebar`` names none."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    if not words or words[0] in _NOT_ITSELF:
+        return False
+    return any(w in FRAME_NAMES and not (w == "header" and in_article) for w in words)
+
+
+def read_blocks(page: str) -> tuple[list[str], list[int]]:
+    """The blocks of a page outside its known frame, and where each stands: in an article (3),
+    in the main element (2), elsewhere (1), elsewhere and in a run of links (0)."""
     blocks: list[str] = []
-    inside: list[bool] = []
+    inside: list[int] = []
     text: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []    # tag, frame, article
-    frames = articles = 0
+    open_: list[tuple[str, bool, bool]] = []    # tag, frame, article or main
+    frames = articles = mains = links = 0
+    plain = False               # the open block has text outside links
 
     def close_block():
+        nonlocal plain
         if text:
             block = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if block:
                 blocks.append(block)
-                inside.append(articles > 0)
+                inside.append(3 if articles else 2 if mains else 1 if plain else 0)
+        plain = False
 
     def pop():
-        nonlocal frames, articles
-        _, frame, article = open_.pop()
+        nonlocal frames, articles, mains, links
+        tag, frame, article = open_.pop()
         frames -= frame
-        articles -= article
+        articles -= article and tag == "article"
+        mains -= article and tag == "main"
+        links -= tag == "a"
 
     at, skip_to = 0, None
     for m in _TAG.finditer(page):
@@ -110,6 +128,7 @@ def read_blocks(page: str) -> tuple[list[str], list[bool]]:
             continue
         if m.start() > at and not frames:
             text.append(page[at:m.start()])
+            plain = plain or not links and not page[at:m.start()].isspace()
         at = m.end()
         tag = (m.group(2) or "").lower()
         if not tag:
@@ -146,10 +165,22 @@ def read_blocks(page: str) -> tuple[list[str], list[bool]]:
         article = tag in ("article", "main") and not frames and not frame
         open_.append((tag, frame, article))
         frames += frame
-        articles += article
+        articles += article and tag == "article"
+        mains += article and tag == "main"
+        links += tag == "a"
     if skip_to is None and not frames and at < len(page):
         text.append(re.sub(r"<[^>]*\Z", "", page[at:]))
+        plain = True
     close_block()
+    # Single blocks of links are text; only several in a row are a menu.
+    lo = 0
+    while lo < len(inside):
+        hi = lo
+        while hi < len(inside) and not inside[hi]:
+            hi += 1
+        if 0 < hi - lo < MENU_BLOCKS:
+            inside[lo:hi] = [1] * (hi - lo)
+        lo = max(hi, lo + 1)
     return blocks, inside
 
 
@@ -193,21 +224,21 @@ class Page:
     def __init__(self, row: dict):
         self.row = row
         self.blocks, self.inside = row["blocks"], row["inside"]
-        self.article = any(self.inside)
+        self.marked = max(self.inside, default=0)
 
     def main_text(self, before: "Page | None", after: "Page | None") -> str:
         """The page's text without its frame, told by the nearer neighbour."""
-        if self.article:
-            kept = [b for b, i in zip(self.blocks, self.inside) if i]
+        if self.marked > 1:
+            kept = [b for b, i in zip(self.blocks, self.inside) if i == self.marked]
         else:
-            kept = self.blocks
+            kept = [b for b, i in zip(self.blocks, self.inside) if i]
             near = [p for p in (before, after) if p is not None]
             near.sort(key=lambda p: -_same_start(self.row["path"], p.row["path"]))
             size = sum(map(len, self.blocks))
             for other in near:
                 shared = common_blocks(self.blocks, other.blocks)
                 if sum(len(b) for b, s in zip(self.blocks, shared) if s) <= COPY_SHARE * size:
-                    kept = [b for b, s in zip(self.blocks, shared) if not s]
+                    kept = [b for b, i, s in zip(self.blocks, self.inside, shared) if i and not s]
                     break
         return "\n\n".join(kept)
 
@@ -224,12 +255,12 @@ def _read(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("page_id", "url", "host", "path", "bucket")),
                  pa.array([b for b, _ in read], pa.list_(pa.string())),
-                 pa.array([i for _, i in read], pa.list_(pa.bool_()))],
+                 pa.array([i for _, i in read], pa.list_(pa.int32()))],
                 ["page_id", "url", "host", "path", "bucket", "blocks", "inside"])
 
     return pages.select("page_id", "url", "host", "path", "bucket", "html").mapInArrow(
         run, f"page_id {kind}, url string, host string, path string, bucket int, "
-             "blocks array<string>, inside array<boolean>")
+             "blocks array<string>, inside array<int>")
 
 
 def _located(pages: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 
 
 def text(page):
-    blocks, _ = hx.read_blocks(page)
-    return blocks
+    """The main text's blocks of a page without neighbours."""
+    blocks, inside = hx.read_blocks(page)
+    main = hx.Page({"blocks": blocks, "inside": inside, "path": "/"}).main_text(None, None)
+    return main.split("\n\n") if main else []
 
 
 @pytest.mark.parametrize("body,want", [
@@ -22,6 +24,11 @@ def text(page):
     ("<aside>x</aside><header>h</header><article><header><h2>t</h2></header>p</article>", ["t", "p"]),
     ("<article>5 < 6 and <em>7</em>&nbsp;8</article>", ["5 < 6 and 7 8"]),
     ("<div class='cookie-notice'>c</div><div role='banner'>b</div><div hidden>h</div><p>ok</p>", ["ok"]),
+    ("<main><p>lead</p><article><p>story</p></article><div>more</div></main>", ["story"]),
+    ("<div class='post has-sidebar'><p>text</p><div class='post-comments'>c</div></div>", ["text"]),
+    ("<ul><li><a href=a>A</a><li><a href=b>B</a><li><a href=c>C</a></ul><p>see <a href=d>this</a>.</p>", ["see this."]),
+    ("<p>x</p><p><a href=a>A</a></p><p><a href=b>B</a></p>", ["x", "A", "B"]),
+    ("<article><div class='article-header'><h1>T</h1></div>t</article>", ["T", "t"]),
     ("<article><p>kept<script>if (a < b) { x('<p>no</p>') }</script> on</p></article>", ["kept on"]),
 ])
 def test_blocks_of_a_page(body, want):

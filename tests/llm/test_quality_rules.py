@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from cellscope.llm import quality_rules as qr
 from tests.llm import cases
 from tests.llm.test_common import PATTERN
@@ -35,7 +37,10 @@ def texts():
     return out
 
 
-def test_metrics_and_verdicts_equal_brute_force(spark):
+@pytest.mark.parametrize("bits", [16, 4, 48])
+def test_metrics_and_verdicts_equal_brute_force(spark, monkeypatch, bits):
+    """4: most texts have too many windows to pack; 48: upper bits of different hashes are equal."""
+    monkeypatch.setattr(qr, "PACKED_BITS", bits)
     rows = list(enumerate(texts()))
     got = {r.doc_id: r for r in qr.judge(cases.documents(spark, rows)).collect()}
     kept = 0
