@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscope.sources.delimited import parse_signals_full
+from cellscope.sources.delimited import parse_signals_full, parse_signals_lenient
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str,
@@ -45,6 +45,14 @@ def signal_stream(lines: DataFrame, strict: bool = False) -> DataFrame:
                .withColumn("event_id", F.xxhash64("imsi", "laccell", "procedureStartTime")))
 
 
+def signal_pair_stream(lines: DataFrame) -> DataFrame:
+    """Signals of a feed whose lines may hold only (imsi, laccell): every line with these two
+    fields counts, at its time of arrival (for processing-time windows)."""
+    pairs = parse_signals_lenient(lines).withColumn("ts", F.current_timestamp())
+    return (pairs.withColumn("procedureStartTime", F.unix_millis("ts"))
+                 .withColumn("event_id", F.xxhash64("imsi", "laccell", "procedureStartTime")))
+
+
 def parquet_table_stream(spark: SparkSession, folder: str, table: str,
                          max_files: int | None = None) -> DataFrame:
     """Stream one ``<table>.parquet`` file of a folder (schema from the file)."""

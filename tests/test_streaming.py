@@ -9,7 +9,7 @@ from cellscope.operators import persona
 from cellscope.operators.sinks import latest_snapshot, upsert_snapshot
 from cellscope.sources.delimited import write_lines
 from cellscope.streaming import jobs
-from cellscope.streaming.sources import signal_stream, text_lines
+from cellscope.streaming.sources import signal_pair_stream, signal_stream, text_lines
 
 T0 = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
 
@@ -196,6 +196,16 @@ def test_late_signals_count(spark, workdir):
     assert sorted(r.man for r in got) == [1, 1, 1, 2]
 
 
+def test_feed_of_pairs_keeps_lines_without_coordinates(spark, workdir):
+    users, cells = _dims(spark, workdir)
+    os.makedirs(f"{workdir}/src")
+    with open(f"{workdir}/src/a.txt", "w") as fh:
+        fh.write("u1|c1\nu1|c1|x|y|z\nu1\n")
+    enriched = jobs.enrich_static(signal_pair_stream(text_lines(spark, f"{workdir}/src")), users, cells)
+    jobs.run_to_end(jobs.start_window_counts(enriched, f"{workdir}/w", f"{workdir}/chk"))
+    assert sum(r.man for r in jobs.read_window_counts(spark, f"{workdir}/w").collect()) == 2
+
+
 def test_malformed_lines_of_the_feed_are_kept(spark, workdir):
     os.makedirs(f"{workdir}/src")
     with open(f"{workdir}/src/a.txt", "w") as fh:
