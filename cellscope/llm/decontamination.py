@@ -31,7 +31,7 @@ SPAN = 10
 WINDOW = 20
 MIN_TOKENS = 12
 PERCENT = 80
-PIECE = 4096                 # tokens of a document in one piece
+PIECE = 64                   # tokens of a document in one piece; each position's row holds its piece
 FILTER_BITS = 1 << 23        # 1 MB
 LEFT = WINDOW - SPAN         # tokens looked at before a hit
 
@@ -39,11 +39,16 @@ LEFT = WINDOW - SPAN         # tokens looked at before a hit
 def token_hashes(text: Column) -> Column:
     """Hashes of a text's tokens."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.filter(F.transform(parts, lambda x: F.when(x != "", F.xxhash64(x))), lambda h: h.isNotNull())
+    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
 def _mask_hash(tokens: Column, at: Column, m: int) -> Column:
-    return F.xxhash64(F.lit(m), *[F.get(tokens, at + o) for o in MASKS[m]])
+    # The tokens' hashes are shifted and XORed first: little code for each position, so that
+    # the JVM compiles the loop.
+    mixed = tokens[at + MASKS[m][0]]
+    for k, o in enumerate(MASKS[m][1:], 1):
+        mixed = mixed.bitwiseXOR(F.shiftleft(tokens[at + o], 7 * k))
+    return F.xxhash64(mixed, F.lit(m))
 
 
 def _seed_rows(at: Column, tokens: Column) -> Column:
@@ -69,8 +74,10 @@ def hits(docs: DataFrame, filter_row: DataFrame) -> DataFrame:
     """doc_id, p (token of the document), mask, hash, near (tokens around p), near_left:
     the positions that the bitmap lets through."""
     bits = filter_row.scalar()
-    d = docs.select("doc_id", token_hashes(F.col("text")).alias("tokens")).where(F.size("tokens") >= SPAN)
-    d = d.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("tokens") - SPAN, F.lit(PIECE))))
+    d = docs.select("doc_id", token_hashes(F.col("text")).alias("tokens"))
+    # Documents shorter than a mask have no start and drop out here.
+    starts = F.when(F.size("tokens") >= SPAN, F.sequence(F.lit(0), F.size("tokens") - SPAN, F.lit(PIECE)))
+    d = d.withColumn("start", F.explode(starts))
     begin = F.greatest(F.col("start") - LEFT, F.lit(0))
     d = d.select("doc_id", begin.alias("begin"), (F.col("start") - begin).alias("lead"),
                  F.slice("tokens", begin + 1, F.col("start") - begin + PIECE + WINDOW).alias("piece"))
@@ -80,14 +87,15 @@ def hits(docs: DataFrame, filter_row: DataFrame) -> DataFrame:
 
     some = F.lit(False)
     for m in range(len(MASKS)):
-        some = some | may_hold(bits, F.col(f"h{m}"), FILTER_BITS)
+        some = some | may_hold(bits, F.col(f"h{m}"), FILTER_BITS, probes=1)
     left = F.least(F.col("at"), F.lit(LEFT))
     d = d.where(some).select(
         "doc_id", (F.col("begin") + F.col("at")).alias("p"), left.alias("near_left"),
         F.slice("piece", F.col("at") - left + 1, left + WINDOW).alias("near"),
         F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), F.col(f"h{m}").alias("hash"))
                             for m in range(len(MASKS))])).alias("seed"))
-    return d.select("doc_id", "p", "near", "near_left", "seed.mask", "seed.hash")
+    d = d.select("doc_id", "p", "near", "near_left", "seed.mask", "seed.hash")
+    return d.where(may_hold(bits, F.col("hash"), FILTER_BITS))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
