@@ -70,20 +70,50 @@ def _windows(h: Column) -> Column:
     return F.zip_with(two, F.slice(h, 3, n), lambda a, b: F.xxhash64(a, b))
 
 
-def _repeat_words(windows: Column) -> Column:
-    """Words inside a three-word window that occurs twice or more in the text."""
-    order = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+PACKED_BITS = 16            # bits of a window's place in a packed sort key
+
+
+def _packed_pairs(windows: Column) -> Column:
+    """Places (i << 16 | j) of neighbours among the windows sorted by the upper 48 bits of
+    their hash, where these are equal; null for a text with too many windows to pack.
+
+    A sort of plain longs is many times faster than one of (hash, place) structs."""
+    low = (1 << PACKED_BITS) - 1
+    order = F.sort_array(F.transform(windows, lambda x, i: x.bitwiseAND(F.lit(~low).cast("long"))
+                                     .bitwiseOR(i.cast("long"))))
     after = F.slice(order, 2, F.greatest(F.size(order) - 1, F.lit(0)))
-    pairs = F.filter(F.arrays_zip(order.alias("a"), after.alias("b")),
-                     lambda p: p["a"]["h"] == p["b"]["h"])
-    starts = F.sort_array(F.array_distinct(F.flatten(
-        F.transform(pairs, lambda p: F.array(p["a"]["i"], p["b"]["i"])))))
+    pairs = F.filter(F.zip_with(F.slice(order, 1, F.size(after)), after, lambda a, b: F.when(
+        F.shiftright(a, PACKED_BITS) == F.shiftright(b, PACKED_BITS),
+        F.shiftleft(a.bitwiseAND(F.lit(low).cast("long")), PACKED_BITS).bitwiseOR(
+            b.bitwiseAND(F.lit(low).cast("long"))))), lambda p: p.isNotNull())
+    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.array().cast("array<bigint>")).when(
+        F.size(windows) <= low, pairs)
+
+
+def _covered(starts: Column) -> Column:
+    """Words covered by three-word windows at the given sorted places."""
     # Each start covers three words, less where the next start comes sooner.
     reach = F.zip_with(starts, F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))),
-                       lambda p, q: F.least(F.lit(3), F.coalesce(q - p, F.lit(3))))
-    total = F.aggregate(reach, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    return F.when(F.size(F.array_distinct(windows)) == F.size(windows),
-                  F.lit(0).cast("long")).otherwise(total)
+                       lambda p, q: F.least(F.lit(3).cast("long"), F.coalesce(q - p, F.lit(3).cast("long"))))
+    return F.aggregate(reach, F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+
+def _repeat_words(windows: Column, pairs: Column) -> Column:
+    """Words inside a three-word window that occurs twice or more in the text."""
+    def places(p: Column) -> list[Column]:
+        return [F.shiftright(p, PACKED_BITS), p.bitwiseAND(F.lit((1 << PACKED_BITS) - 1).cast("long"))]
+
+    # Equal upper bits of different hashes: the whole hashes decide.
+    differ = F.exists(pairs, lambda p: F.get(windows, places(p)[0].cast("int"))
+                      != F.get(windows, places(p)[1].cast("int")))
+    quick = F.sort_array(F.array_distinct(F.flatten(F.transform(pairs, lambda p: F.array(*places(p))))))
+    order = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("i"))))
+    after = F.slice(order, 2, F.greatest(F.size(order) - 1, F.lit(0)))
+    equal = F.filter(F.arrays_zip(order.alias("a"), after.alias("b")), lambda p: p["a"]["h"] == p["b"]["h"])
+    whole = F.sort_array(F.array_distinct(F.flatten(
+        F.transform(equal, lambda p: F.array(p["a"]["i"], p["b"]["i"])))))
+    return F.when(F.size(pairs) == 0, F.lit(0).cast("long")).when(
+        pairs.isNull() | differ, _covered(whole)).otherwise(_covered(quick))
 
 
 def _stop_forms() -> list[str]:
@@ -118,13 +148,14 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
         "_lines", F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(WS_CHARS)) != ""))
     counted = counted.withColumn("_hashes", F.transform("_words", lambda x: F.xxhash64(x)))
     counted = counted.withColumn("_windows", _windows(F.col("_hashes")))
+    counted = counted.withColumn("_pairs", _packed_pairs(F.col("_windows")))
     w, lines = F.col("_words"), F.col("_lines")
     metrics = {
         "n_words": F.size(w),
         "word_chars": F.length(F.array_join(w, "")),
         "n_symbols": _count_chars(t, SYMBOLS),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _repeat_words(F.col("_windows")),
+        "n_repeat_words": _repeat_words(F.col("_windows"), F.col("_pairs")),
         "n_lines": F.size(lines),
         "n_upper": _count_chars(t, UPPER),
         "n_stop_words": F.size(F.filter(F.col("_hashes"), lambda x: x.isin(*_stop_hashes(docs.sparkSession)))),
@@ -135,7 +166,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                          | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
     out = out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
-    return out.drop("_words", "_lines", "_hashes", "_windows")
+    return out.drop("_words", "_lines", "_hashes", "_windows", "_pairs")
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
