@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from itertools import count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,11 +41,19 @@ def fold_py(doc_id, mod: int) -> int:
     return zlib.crc32(text.encode()) % mod
 
 
+_STEPS = count(1)
+RELEASE_STEPS = 3
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back, so
-    that later passes neither recompute it nor depend on executors' disks."""
+    that later passes neither recompute it nor depend on executors' disks.  What
+    written steps no longer need is released every few steps: operators of many
+    small steps would otherwise fill the driver and keep shuffle files."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if next(_STEPS) % RELEASE_STEPS == 0:
+        release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -65,11 +74,11 @@ def bitmap(hashes: DataFrame, column: str, bits: int) -> DataFrame:
         lambda x: x["bits"]).alias("bits"))
 
 
-def may_hold(bitmap_row: Column, h: Column, bits: int) -> Column:
+def may_hold(bitmap_row: Column, h: Column, bits: int, probes: int = 2) -> Column:
     """False only for hashes that the bitmap wasn't built from."""
-    test = [F.getbit(F.get(bitmap_row, F.shiftright(b, 6).cast("int")),
-                     b.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1 for b in _probes(h, bits)]
-    return test[0] & test[1]
+    first, *rest = [F.getbit(F.get(bitmap_row, F.shiftright(b, 6).cast("int")),
+                     b.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1 for b in _probes(h, bits)[:probes]]
+    return first & rest[0] if rest else first
 
 
 AMONG_BITS = 1 << 22
@@ -89,7 +98,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int,
     (``rows`` is a parameter), so they are broadcast and no text is shuffled."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()
                          & (fold(F.col("doc_id"), mod) != held_out))
-    known = known.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    known = known.groupBy("doc_id").agg(F.max((F.col(label) >= 1).cast("int")).alias("label"))
     n = known.count()
     if n > rows:
         span = 1 << 32
@@ -228,7 +237,18 @@ def utf8(texts) -> tuple[np.ndarray, np.ndarray]:
     return raw[base:stop], (offsets - base).astype(np.int64)
 
 
-def arrow_batches(batches, column: str, max_bytes: int = 8 << 20):
+# Bytes of the batches that go to Python workers.  By default up to 10 000 rows travel at
+# once; of long texts that would take a large part of an executor's memory, several times over.
+BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` over batches of a bounded size (a setting of the session)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
+def arrow_batches(batches, column: str, max_bytes: int = BATCH_BYTES):
     """Cut record batches so that ``column`` holds about ``max_bytes`` at most
     (one longer text stands alone): what a task holds doesn't follow text length."""
     import pyarrow.compute as pc

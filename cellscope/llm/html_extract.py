@@ -31,7 +31,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import arrow_batches
+from cellscope.llm.common import arrow_batches, map_batches
 
 BUCKET_PAGES = 256          # pages of a bucket of a split host, about
 MOST_SPLIT_HOSTS = 20_000   # hosts that are split, at most (proven by the share rule)
@@ -258,7 +258,7 @@ def _read(pages: DataFrame) -> DataFrame:
                  pa.array([i for _, i in read], pa.list_(pa.int32()))],
                 ["page_id", "url", "host", "path", "bucket", "blocks", "inside"])
 
-    return pages.select("page_id", "url", "host", "path", "bucket", "html").mapInArrow(
+    return map_batches(pages.select("page_id", "url", "host", "path", "bucket", "html"),
         run, f"page_id {kind}, url string, host string, path string, bucket int, "
              "blocks array<string>, inside array<int>")
 
@@ -325,7 +325,7 @@ def extract(pages: DataFrame) -> DataFrame:
         if rows:
             yield out(rows)
 
-    return blocks.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return map_batches(blocks, run, f"page_id {kind}, url string, text string, n_chars long")
 
 
 def op6_html_extraction(spark, sf_dir: str) -> DataFrame:

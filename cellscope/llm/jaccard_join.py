@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import Words, among, arrow_batches, documents, materialize, mix64, release
+from cellscope.llm.common import Words, among, arrow_batches, documents, map_batches, materialize, mix64, release
 from cellscope.llm.components import components
 
 WIDTH = 4
@@ -139,7 +139,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names)
 
     names = ["doc_id", "n", "s1", "s2", *(f"q{i}" for i in range(SKETCH_WORDS))]
-    return docs.select("doc_id", "text").mapInArrow(
+    return map_batches(docs.select("doc_id", "text"),
         run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:]))
 
 
@@ -176,7 +176,7 @@ def keys_of(docs: DataFrame, largest: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(sig), pa.array(hub, mask=is_head)], ["key", "s1", "hub"])
 
-    return docs.select("text").mapInArrow(run, "key long, s1 long, hub long")
+    return map_batches(docs.select("text"), run, "key long, s1 long, hub long")
 
 
 def shared_parts(keys: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def shared_parts(keys: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[member]) for x in (key, sig, hub)], ["key", "s1", "hub"])
 
-    return dealt.mapInArrow(run, "key long, s1 long, hub long")
+    return map_batches(dealt, run, "key long, s1 long, hub long")
 
 
 def may_link(a: str, b: str):
@@ -242,7 +242,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sigs, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 ["rep", "s1", "shingles"])
 
-    return some.mapInArrow(run, f"rep {kind}, s1 long, shingles binary")
+    return map_batches(some, run, f"rep {kind}, s1 long, shingles binary")
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -265,7 +265,7 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = dict(both.dtypes)["a"]
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return map_batches(both, run, f"a {kind}, b {kind}")
 
 
 def _regroup(labels: DataFrame, found: DataFrame) -> DataFrame:

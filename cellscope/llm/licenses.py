@@ -20,7 +20,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from cellscope.llm.common import arrow_batches, documents
+from cellscope.llm.common import arrow_batches, documents, map_batches
 
 LEAST = 0.8
 
@@ -189,7 +189,7 @@ def license_scan(docs: DataFrame, templates=None, least: float = LEAST) -> DataF
                     [batch.column("doc_id").take(at), *cols],
                     ["doc_id", "license", "dice", "passage", "from_char", "to_char"])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return map_batches(docs.select("doc_id", "text"),
         run, f"doc_id {kind}, license string, dice double, passage string, from_char long, to_char long")
 
 

@@ -27,7 +27,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import arrow_batches, documents
+from cellscope.llm.common import arrow_batches, documents, map_batches
 
 LIMIT = 2048
 KNOWN_WORDS = 200_000        # size of a task's table of words seen before
@@ -241,7 +241,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
                 ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars"])
 
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return docs.select("doc_id", n_bytes.alias("n_bytes"), "text").mapInArrow(
+    return map_batches(docs.select("doc_id", n_bytes.alias("n_bytes"), "text"),
         run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
 
 

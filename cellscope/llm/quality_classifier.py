@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import Words, arrow_batches, documents, fold, mix64, training_sample, utf8
+from cellscope.llm.common import Words, arrow_batches, documents, fold, map_batches, mix64, training_sample, utf8
 
 DIMS = 1 << 17
 TRAIN_ROWS = 12_000         # labelled rows that the fit reads at most, about
@@ -32,6 +32,7 @@ COST = 1.0
 EPOCHS = 12
 MODEL_SHARE = 0.75          # share of the fitted weights, the rest is their mean magnitude
 THRESHOLD = 0.3
+BATCH_BYTES = 1 << 20       # texts worked on at once: the n-gram hashes take some 40 bytes for each
 
 
 def _shape_table() -> np.ndarray:
@@ -173,14 +174,14 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     def run(batches):
         import pyarrow as pa
 
-        for batch in arrow_batches(batches, "text"):
+        for batch in arrow_batches(batches, "text", BATCH_BYTES):
             rows = [x.tobytes() for x in indicators(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())],
                 ["doc_id", "label", "row"])
 
     kind = dict(sample.dtypes)["doc_id"]
-    got = sample.mapInArrow(run, f"doc_id {kind}, label int, row binary").collect()
+    got = map_batches(sample, run, f"doc_id {kind}, label int, row binary").collect()
     got.sort(key=lambda r: (r.doc_id, r.label, bytes(r.row)))
     return fit([np.frombuffer(r.row, np.int32) for r in got], np.array([r.label for r in got], bool))
 
@@ -192,14 +193,14 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     def run(batches):
         import pyarrow as pa
 
-        for batch in arrow_batches(batches, "text"):
+        for batch in arrow_batches(batches, "text", BATCH_BYTES):
             s = [model.score(x) for x in indicators(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(s, pa.float64()),
                  pa.array([int(x >= threshold) for x in s], pa.int32())], [*names, "score", "predicted"])
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{kinds}, score double, predicted int")
+    return map_batches(docs, run, f"{kinds}, score double, predicted int")
 
 
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:

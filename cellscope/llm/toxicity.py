@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import arrow_batches, documents, fold, materialize, training_sample
+from cellscope.llm.common import arrow_batches, documents, fold, map_batches, materialize, training_sample
 
 TRAIN_ROWS = 12_000
 MAX_ENTRIES = 2_000
@@ -220,7 +220,7 @@ def _prefix_counts(sample: DataFrame) -> DataFrame:
             [pa.array(keys, pa.string()), pa.array([counts[1][k] for k in keys], pa.int64()),
              pa.array([counts[0][k] for k in keys], pa.int64())], ["entry", "n1", "n0"])
 
-    return sample.mapInArrow(run, "entry string, n1 long, n0 long").groupBy("entry").agg(
+    return map_batches(sample, run, "entry string, n1 long, n0 long").groupBy("entry").agg(
         F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
@@ -304,7 +304,7 @@ def _evidence(docs: DataFrame, entries: list[Entry], keep: list[str]) -> DataFra
                 [*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.float64()))], [*keep, "evidence"])
 
     kinds = dict(docs.dtypes)
-    return docs.select(*keep, "text").mapInArrow(
+    return map_batches(docs.select(*keep, "text"),
         run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", evidence array<double>")
 
 
@@ -324,7 +324,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                  pa.array((s >= threshold).astype(np.int32))], [*names, "score", "predicted"])
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{kinds}, score double, predicted int")
+    return map_batches(docs, run, f"{kinds}, score double, predicted int")
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
