@@ -239,7 +239,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = list(shingle_sets(batch.column("text")))
                 sigs = [signature(s)[0] for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sigs, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [batch.column("doc_id"), pa.array(sigs, pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())],
                 ["rep", "s1", "shingles"])
 
     return map_batches(some, run, f"rep {kind}, s1 long, shingles binary")
@@ -248,8 +249,10 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of pairs (a, as1, b, bs1) those whose whole sets link: (a, b)."""
     pairs = materialize(pairs, "jac-verify")
-    left = among(sets, "rep", pairs, "a").select(F.col("rep").alias("a"), F.col("s1").alias("as1"), F.col("shingles").alias("x"))
-    right = among(sets, "rep", pairs, "b").select(F.col("rep").alias("b"), F.col("s1").alias("bs1"), F.col("shingles").alias("y"))
+    left = among(sets, "rep", pairs, "a").select(
+        F.col("rep").alias("a"), F.col("s1").alias("as1"), F.col("shingles").alias("x"))
+    right = among(sets, "rep", pairs, "b").select(
+        F.col("rep").alias("b"), F.col("s1").alias("bs1"), F.col("shingles").alias("y"))
     both = pairs.join(left, ["a", "as1"]).join(right, ["b", "bs1"]).select("a", "b", "x", "y")
 
     def run(batches):
