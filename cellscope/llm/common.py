@@ -42,7 +42,7 @@ def fold_py(doc_id, mod: int) -> int:
 
 
 _STEPS = count(1)
-RELEASE_STEPS = 3
+RELEASE_STEPS = 2
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -81,7 +81,7 @@ def may_hold(bitmap_row: Column, h: Column, bits: int, probes: int = 2) -> Colum
     return first & rest[0] if rest else first
 
 
-AMONG_BITS = 1 << 22
+AMONG_BITS = 1 << 20
 
 
 def among(df: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:

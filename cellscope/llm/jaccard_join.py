@@ -273,6 +273,9 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _regroup(labels: DataFrame, found: DataFrame) -> DataFrame:
     """labels (rep, comp) after merging the groups that ``found`` (a, b: comps) links."""
+    found = materialize(found, "jac-links")
+    if not found.take(1):
+        return labels
     merged = components(found)
     out = labels.join(merged.select(F.col("node").alias("comp"), "label"), "comp", "left")
     return materialize(out.select("rep", "s1", F.coalesce("label", "comp").alias("comp")), "jac-groups")
@@ -336,6 +339,9 @@ def _link_all(docs: DataFrame, shared: DataFrame, stars: DataFrame, nodes: DataF
         a, b = _side(named, "a"), _side(named, "b")
         pairs = pairs.join(a, pairs.s1 == a.as1).join(b, pairs.hub == b.bs1).where(may_link("a", "b")).select(
             F.col("arep").alias("a"), "as1", F.col("brep").alias("b"), "bs1")
+        pairs = materialize(pairs, "jac-common")
+        if not pairs.take(1):
+            break
         labels = _regroup(labels, _as_groups(links(pairs, whole_sets(docs, _reps(pairs))), labels))
     # 4. Whatever still shares a part across groups is compared.
     rows = _open_parts(members, labels).join(named, "s1")
