@@ -10,8 +10,9 @@ frame; the other neighbour is taken, or none.
 Some parts are known from markup alone: scripts, styles, navigation, headers, footers,
 forms, and elements whose class, id or role names a menu, advert, notice, sidebar or reader
 comments are left out, as are runs of blocks that are nothing but links.  Where a page marks its article
-(article element, else main element, outside those), only the blocks in it count and these are not
-deleted by differencing.
+(article element, else main element, outside those), what differencing leaves of the marked blocks is the
+text if it is a share of ``MARK_SHARE`` or more of all that is left; otherwise the marks name teasers, and
+the blocks around them count as well.
 
 Hosts with many pages are dealt into buckets by a hash of the URL path (their list is
 bounded: a host is split only beyond a share of all pages), so a hot host is never one
@@ -26,6 +27,7 @@ table gives no rows; other columns are left aside; pages are read whole.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -36,6 +38,7 @@ from cellscope.llm.common import arrow_batches, map_batches
 BUCKET_PAGES = 256          # pages of a bucket of a split host, about
 MOST_SPLIT_HOSTS = 20_000   # hosts that are split, at most (proven by the share rule)
 COPY_SHARE = 0.5            # of a page's text in common with its neighbour: a copy
+MARK_SHARE = 1 / 3          # of the text left by differencing inside marks: the marks hold the article
 
 # HTML elements by what they do.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset "
@@ -187,27 +190,57 @@ def read_blocks(page: str) -> tuple[list[str], list[int]]:
 def common_blocks(a: list[str], b: list[str]) -> list[bool]:
     """Which blocks of ``a`` belong to a longest common subsequence with ``b``.
 
-    Bit-parallel: row i holds, for the first i blocks of a, the places in b where the
-    length of the subsequence grows (cleared bits)."""
+    Equal starts and ends belong to one; blocks that only one side has belong to none."""
+    out = [False] * len(a)
+    lo, most = 0, min(len(a), len(b))
+    while lo < most and a[lo] == b[lo]:
+        out[lo] = True
+        lo += 1
+    end = 0
+    while end < most - lo and a[-1 - end] == b[-1 - end]:
+        out[-1 - end] = True
+        end += 1
+    in_a, in_b = set(a[lo:len(a) - end]), set(b[lo:len(b) - end])
+    places = [i for i in range(lo, len(a) - end) if a[i] in in_b]
+    inner = _common([a[i] for i in places], [x for x in b[lo:len(b) - end] if x in in_a])
+    for i, is_common in zip(places, inner):
+        out[i] = is_common
+    return out
+
+
+def _common(a: list[str], b: list[str]) -> list[bool]:
+    """Bit-parallel: row i holds, for the first i blocks of a, the places in b where the
+    length of the subsequence grows (cleared bits).  Every ``step``-th row is kept and those
+    between are made again on the way back, so that memory follows the root of the length."""
     place: dict[str, int] = {}
     for j, x in enumerate(b):
         place[x] = place.get(x, 0) | 1 << j
     every = (1 << len(b)) - 1
-    row, rows = every, [every]
-    for x in a:
-        match = row & place.get(x, 0)
-        row = ((row + match) | (row - match)) & every
-        rows.append(row)
+    step = math.isqrt(len(a)) + 1
+
+    def rows_after(row, lo, hi):
+        rows = [row]
+        for x in a[lo:hi]:
+            match = row & place.get(x, 0)
+            row = ((row + match) | (row - match)) & every
+            rows.append(row)
+        return rows
+
+    starts = [every]
+    for lo in range(0, len(a), step):
+        starts.append(rows_after(starts[-1], lo, lo + step)[-1])
     out, j = [False] * len(a), len(b)
-    for i in range(len(a), 0, -1):
-        while j and rows[i] >> (j - 1) & 1:
-            j -= 1              # the length doesn't grow here
-        if not j:
-            break
-        # It grows at j with block i, unless it grew there before.
-        if rows[i - 1] >> (j - 1) & 1:
-            out[i - 1] = True
-            j -= 1
+    for lo in range((len(a) - 1) // step * step, -1, -step):
+        rows = rows_after(starts[lo // step], lo, lo + step)
+        for i in range(len(rows) - 1, 0, -1):
+            while j and rows[i] >> (j - 1) & 1:
+                j -= 1              # the length doesn't grow here
+            if not j:
+                return out
+            # It grows at j with block i, unless it grew there before.
+            if rows[i - 1] >> (j - 1) & 1:
+                out[lo + i - 1] = True
+                j -= 1
     return out
 
 
@@ -224,23 +257,23 @@ class Page:
     def __init__(self, row: dict):
         self.row = row
         self.blocks, self.inside = row["blocks"], row["inside"]
-        self.marked = max(self.inside, default=0)
 
     def main_text(self, before: "Page | None", after: "Page | None") -> str:
         """The page's text without its frame, told by the nearer neighbour."""
-        if self.marked > 1:
-            kept = [b for b, i in zip(self.blocks, self.inside) if i == self.marked]
-        else:
-            kept = [b for b, i in zip(self.blocks, self.inside) if i]
-            near = [p for p in (before, after) if p is not None]
-            near.sort(key=lambda p: -_same_start(self.row["path"], p.row["path"]))
-            size = sum(map(len, self.blocks))
-            for other in near:
-                shared = common_blocks(self.blocks, other.blocks)
-                if sum(len(b) for b, s in zip(self.blocks, shared) if s) <= COPY_SHARE * size:
-                    kept = [b for b, i, s in zip(self.blocks, self.inside, shared) if i and not s]
-                    break
-        return "\n\n".join(kept)
+        left = [i > 0 for i in self.inside]
+        near = [p for p in (before, after) if p is not None]
+        near.sort(key=lambda p: -_same_start(self.row["path"], p.row["path"]))
+        size = sum(map(len, self.blocks))
+        for other in near:
+            shared = common_blocks(self.blocks, other.blocks)
+            if sum(len(b) for b, s in zip(self.blocks, shared) if s) <= COPY_SHARE * size:
+                left = [x and not s for x, s in zip(left, shared)]
+                break
+        # By mark, the text left at it or at a higher one.
+        held = [sum(len(b) for b, i, x in zip(self.blocks, self.inside, left) if x and i >= mark)
+                for mark in range(4)]
+        least = next((m for m in (3, 2) if held[m] and held[m] >= MARK_SHARE * held[1]), 1)
+        return "\n\n".join(b for b, i, x in zip(self.blocks, self.inside, left) if x and i >= least)
 
 
 def _read(pages: DataFrame) -> DataFrame:

@@ -72,6 +72,39 @@ def test_frame_of_a_site_is_told_by_its_neighbours(spark):
     assert "Alone here" in got[50]
 
 
+def marked(i, mark="article"):
+    return (f"<html><body><div>Site menu</div><{mark}><p>Read our daily letter</p><p>Story {i} is told here, longer than "
+            f"the frame of its site</p><p>All rights reserved</p></{mark}></body></html>")
+
+
+@pytest.mark.parametrize("mark", ["article", "main"])
+def test_frame_inside_a_marked_article_is_told_by_the_neighbours(spark, mark):
+    rows = [(i, f"http://h.example/a/{i:03}", marked(i, mark), None, None) for i in range(20)]
+    got = {r.page_id: r.text for r in hx.extract(frame(spark, rows)).collect()}
+    assert got == {i: f"Story {i} is told here, longer than the frame of its site" for i in range(20)}
+
+
+def test_body_outside_teaser_articles_stays(spark):
+    body = "".join(f"<p>Paragraph {k} of the story {{i}}, long enough to be its body.</p>" for k in range(5))
+    page = "<body><{0}>" + body + "</{0}><article><p>Teaser {i}</p></article></body>"
+    rows = [(10 * n + i, f"http://{tag}.example/{i}", page.format(tag, i=i), None, None)
+            for n, tag in enumerate(("main", "div")) for i in range(3)]
+    for r in hx.extract(frame(spark, rows)).collect():
+        assert all(f"Paragraph {k} of the story {r.page_id % 10}," in r.text for k in range(5))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=60), st.lists(st.sampled_from("abc"), max_size=60))
+def test_rows_made_again_on_the_way_back(a, b):
+    picked = [x for x, g in zip(a, hx.common_blocks(a, b)) if g]
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    rest = iter(b)
+    assert all(x in rest for x in picked) and len(picked) == best[-1][-1]
+
+
 def test_copies_do_not_delete_each_other(spark):
     body = "<p>Same article text on two addresses, word for word, and long.</p>"
     rows = [(i, f"http://h.example/{i}", plain(1, body), None, None) for i in range(3)]
