@@ -14,9 +14,10 @@ comments are left out, as are runs of blocks that are nothing but links.  Where
 text if it is a share of ``MARK_SHARE`` or more of all that is left; otherwise the marks name teasers, and
 the blocks around them count as well.
 
-Hosts with many pages are dealt into buckets by a hash of the URL path (their list is
-bounded: a host is split only beyond a share of all pages), so a hot host is never one
-task; inside a bucket pages stream past in path order, three at a time.
+All pages stand in one order (host, path, query, page id, hash of the html), cut into ranges
+of a sampled size, so a hot host is spread over many ranges and one path serves any number of
+pages.  A range's first and last page also go to the range before and after, so every
+page meets its exact neighbours; inside a range pages stream past three at a time.
 
 Cases: null and empty html, and pages without text, give an empty text; null URLs form
 one host without a name; equal paths are ordered by page id; repeated rows are pages
@@ -26,6 +27,7 @@ table gives no rows; other columns are left aside; pages are read whole.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import math
 import re
@@ -33,10 +35,11 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import arrow_batches, map_batches
+from cellscope.llm.common import arrow_batches, map_batches, materialize
+from cellscope.session import default_parallelism
 
-BUCKET_PAGES = 256          # pages of a bucket of a split host, about
-MOST_SPLIT_HOSTS = 20_000   # hosts that are split, at most (proven by the share rule)
+BUCKET_PAGES = 256          # pages of a range, at least about so many; the cut changes no result
+ORDER = ("host", "path", "query", "page_id", "tie")
 COPY_SHARE = 0.5            # of a page's text in common with its neighbour: a copy
 MARK_SHARE = 1 / 3          # of the text left by differencing inside marks: the marks hold the article
 
@@ -257,12 +260,13 @@ class Page:
     def __init__(self, row: dict):
         self.row = row
         self.blocks, self.inside = row["blocks"], row["inside"]
+        self.address = row["path"] + row.get("query", "")
 
     def main_text(self, before: "Page | None", after: "Page | None") -> str:
         """The page's text without its frame, told by the nearer neighbour."""
         left = [i > 0 for i in self.inside]
         near = [p for p in (before, after) if p is not None]
-        near.sort(key=lambda p: -_same_start(self.row["path"], p.row["path"]))
+        near.sort(key=lambda p: -_same_start(self.address, p.address))
         size = sum(map(len, self.blocks))
         for other in near:
             shared = common_blocks(self.blocks, other.blocks)
@@ -276,46 +280,73 @@ class Page:
         return "\n\n".join(b for b, i, x in zip(self.blocks, self.inside, left) if x and i >= least)
 
 
-def _read(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path, blocks, inside."""
-    kind = dict(pages.dtypes)["page_id"]
+def _key(host, path, query, page_id, tie) -> tuple:
+    """A page's place in the order, as Spark sorts it: null ids first."""
+    return host, path, query, page_id is not None, page_id, tie
+
+
+def _ranges(located: DataFrame) -> list[tuple[tuple, tuple]]:
+    """First and last key of every range of the order: a table of at most so many rows as
+    there are shuffle partitions."""
+    keys = materialize(located.select(*ORDER), "html-keys")
+    n = max(1, min(default_parallelism(keys.sparkSession), keys.count() // BUCKET_PAGES))
+    got = keys.repartitionByRange(n, *ORDER).groupBy(F.spark_partition_id().alias("range")).agg(
+        F.min(F.struct(*ORDER)).alias("first"), F.max(F.struct(*ORDER)).alias("last")).collect()
+    return sorted((_key(*r["first"]), _key(*r["last"])) for r in got)
+
+
+def _places(key: tuple, firsts: list[tuple], lasts: list[tuple]) -> list[tuple[int, bool]]:
+    """The ranges that a page goes to, and whether it is only a neighbour there."""
+    at = max(0, bisect.bisect_right(firsts, key) - 1)
+    out = [(at, False)]
+    if at and key == firsts[at] and lasts[at - 1][0] == key[0]:
+        out.append((at - 1, True))
+    if at + 1 < len(firsts) and key == lasts[at] and firsts[at + 1][0] == key[0]:
+        out.append((at + 1, True))
+    return out
+
+
+def _read(located: DataFrame, ranges: list[tuple[tuple, tuple]]) -> DataFrame:
+    """range, halo, page_id, url, host, path, query, tie, blocks, inside."""
+    kind = dict(located.dtypes)["page_id"]
+    firsts, lasts = [f for f, _ in ranges], [x for _, x in ranges]
+    names = ["page_id", "url", "host", "path", "query", "tie"]
 
     def run(batches):
         import pyarrow as pa
 
         for batch in arrow_batches(batches, "html"):
             read = [read_blocks(h or "") for h in batch.column("html").to_pylist()]
+            keys = zip(*(batch.column(c).to_pylist() for c in ORDER))
+            sent = [(i, at, halo) for i, k in enumerate(keys) for at, halo in _places(_key(*k), firsts, lasts)]
+            rows = pa.array([i for i, _, _ in sent], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("page_id", "url", "host", "path", "bucket")),
-                 pa.array([b for b, _ in read], pa.list_(pa.string())),
-                 pa.array([i for _, i in read], pa.list_(pa.int32()))],
-                ["page_id", "url", "host", "path", "bucket", "blocks", "inside"])
+                [pa.array([at for _, at, _ in sent], pa.int32()), pa.array([h for _, _, h in sent], pa.bool_()),
+                 *(batch.column(c).take(rows) for c in names),
+                 pa.array([read[i][0] for i, _, _ in sent], pa.list_(pa.string())),
+                 pa.array([read[i][1] for i, _, _ in sent], pa.list_(pa.int32()))],
+                ["range", "halo", *names, "blocks", "inside"])
 
-    return map_batches(pages.select("page_id", "url", "host", "path", "bucket", "html"),
-        run, f"page_id {kind}, url string, host string, path string, bucket int, "
-             "blocks array<string>, inside array<int>")
+    return map_batches(located.select(*names, "html"),
+        run, f"range int, halo boolean, page_id {kind}, url string, host string, path string, query string, "
+             "tie long, blocks array<string>, inside array<int>")
 
 
 def _located(pages: DataFrame) -> DataFrame:
-    """Adds host, path and bucket."""
+    """page_id, url, html and what the order needs."""
     url = F.coalesce(F.col("url"), F.lit(""))
-    d = pages.select("page_id", "url", "html",
-                     F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
-                     F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""),
-                                      r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", "").alias("path"))
-    total = pages.count()
-    # A host is split only beyond this many pages, so at most MOST_SPLIT_HOSTS are.
-    least = max(2 * BUCKET_PAGES, total // MOST_SPLIT_HOSTS + 1)
-    large = d.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
-    d = d.join(F.broadcast(large), "host", "left")
-    deal = F.pmod(F.xxhash64("path"), F.ceil(F.col("n") / BUCKET_PAGES)).cast("int")
-    return d.withColumn("bucket", F.when(F.col("n").isNull(), 0).otherwise(deal))
+    return pages.select("page_id", "url", "html",
+                        F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
+                        F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""),
+                                         r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", "").alias("path"),
+                        F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1).alias("query"), F.xxhash64("html").alias("tie"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    blocks = _read(_located(pages)).repartition("host", "bucket").sortWithinPartitions(
-        "host", "bucket", "path", "page_id")
+    located = _located(pages)
+    ranges = _ranges(located)
+    blocks = _read(located, ranges).repartitionById(max(1, len(ranges)), "range").sortWithinPartitions("range", *ORDER)
     kind = dict(pages.dtypes)["page_id"]
 
     def run(batches):
@@ -329,16 +360,16 @@ def extract(pages: DataFrame) -> DataFrame:
                         yield Page({n: row[n] for n in names})
 
         def same_group(a, b):
-            return a is not None and b is not None and all(a.row[c] == b.row[c] for c in ("host", "bucket"))
+            return a is not None and b is not None and all(a.row[c] == b.row[c] for c in ("host", "range"))
 
         def texts():
             before, page = None, None
             for after in pages_of():
-                if page is not None:
+                if page is not None and not page.row["halo"]:
                     yield page.row, page.main_text(before if same_group(before, page) else None,
                                                    after if same_group(page, after) else None)
                 before, page = page, after
-            if page is not None:
+            if page is not None and not page.row["halo"]:
                 yield page.row, page.main_text(before if same_group(before, page) else None, None)
 
         def out(rows):

@@ -121,6 +121,34 @@ def test_hot_host_is_dealt_into_buckets_and_nothing_is_lost(spark, monkeypatch):
         (i, f"Text {i}", len(f"Text {i}")) for i in range(300)]
 
 
+def in_order(rows):
+    """Texts of rows (page_id, host, path and query, html), each with its neighbours in the whole order."""
+    pages = []
+    for i, host, path, query, page in sorted(rows, key=lambda r: (r[1], r[2], r[3], r[0])):
+        blocks, inside = hx.read_blocks(page)
+        pages.append((i, host, hx.Page({"blocks": blocks, "inside": inside, "path": path, "query": query})))
+    near = lambda k, j: pages[j][2] if 0 <= j < len(pages) and pages[j][1] == pages[k][1] else None
+    return {i: p.main_text(near(k, k - 1), near(k, k + 1)) for k, (i, _, p) in enumerate(pages)}
+
+
+@pytest.mark.parametrize("n", [39, 900])
+def test_neighbours_are_exact_at_any_size_of_a_host(spark, monkeypatch, n):
+    monkeypatch.setattr(hx, "BUCKET_PAGES", 8)
+    rows = []
+    for i in range(n):
+        # Pages of a section share its frame, so the wrong neighbour leaves it in the text.
+        page = f"<body><div>Menu of section {i // 3}</div><p>Story {i}, longer than the frame of its section</p></body>"
+        rows += [(i, "a.example", f"/{i // 3:04}/{i:04}", "", page),
+                 (n + i, "b.example", "/index.php", f"?id={i:04}", page), (2 * n + i, "", "", "", page)]
+    table = [(i, None if not host else f"http://{host}{path}{query}#top", page, None, None)
+             for i, host, path, query, page in rows]
+    got = {r.page_id: r.text for r in hx.extract(frame(spark, table)).collect()}
+    assert got == in_order(rows)
+    assert not any("Menu" in got[i] for i in range(n))
+    ranges = hx._ranges(hx._located(frame(spark, table)))
+    assert len(ranges) > 2 and len({f[0] for f, _ in ranges} | {x[0] for _, x in ranges}) == 3
+
+
 def test_edges(spark):
     long_page = PAGE.format(body="<article>" + "<p>word</p>" * 50_000 + "</article>")
     rows = [(1, None, None, None, None), (2, "", "", None, None), (None, "http://a/b", "<p>x</p>", None, None),
