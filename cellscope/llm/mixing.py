@@ -36,10 +36,10 @@ BUCKET_DOCS = 8192        # documents of one prefix-sum bucket, about
 SEED = "mix"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and number of words: all that the rest needs."""
+def sizes(docs: DataFrame, keep=()) -> DataFrame:
+    """doc_id, source and number of words: all that the rest needs, and the columns ``keep``."""
     return docs.select(
-        "doc_id", "source",
+        "doc_id", "source", *keep,
         F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"))
 
 
@@ -138,7 +138,7 @@ def schedule(spark, planned: DataFrame) -> DataFrame:
     return slots.select("slot", "source_key", k.alias("k"))
 
 
-def streams(sized: DataFrame, planned: DataFrame) -> DataFrame:
+def streams(sized: DataFrame, planned: DataFrame, keep=()) -> DataFrame:
     """Each document with its place (at) in its source's shuffled word stream and a
     row number, unique with source and bucket."""
     d = sized.withColumn("source_key", _source_key(F.col("source")))
@@ -149,7 +149,7 @@ def streams(sized: DataFrame, planned: DataFrame) -> DataFrame:
     d = d.withColumn("key", key)
     deal = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     d = d.withColumn("bucket", F.floor(deal * F.col("n_buckets") / F.lit(float(1 << 32))).cast("long"))
-    order = Window.partitionBy("source_key", "bucket").orderBy("key", F.col("doc_id").asc_nulls_first(), "size")
+    order = Window.partitionBy("source_key", "bucket").orderBy("key", F.col("doc_id").asc_nulls_first(), "size", *keep)
     d = d.withColumn("inside", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     d = d.withColumn("row", F.row_number().over(order))
     per_bucket = d.groupBy("source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -181,24 +181,24 @@ def pieces(stream: DataFrame) -> DataFrame:
                     (F.least(end, F.col("to")) - base).alias("word_to"))
 
 
-def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, keep=()) -> tuple[DataFrame, DataFrame]:
     """(documents with size, source_size, target, at ...; the mix: one row for each
     piece of a document in a slot, in the order slot, pass, row)."""
-    sized = materialize(sizes(docs), "mix-sizes")
+    sized = materialize(sizes(docs, keep), "mix-sizes")
     planned = materialize(plan(sized), "mix-plan")
-    stream = materialize(streams(sized, planned), "mix-stream")
+    stream = materialize(streams(sized, planned, keep), "mix-stream")
     slots = schedule(docs.sparkSession, planned)
     return stream, pieces(stream).join(slots, ["source_key", "k"])
 
 
-def taken_words(docs: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, source, size, source_size, target, taken."""
-    stream, mixed = mix(docs)
+def taken_words(docs: DataFrame, keep=()) -> DataFrame:
+    """One row for each document: doc_id, source, size, source_size, target, taken, ``keep``."""
+    stream, mixed = mix(docs, keep)
     key = ["source_key", "bucket", "row"]
     got = mixed.groupBy(*key).agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken"))
     out = stream.join(got, key, "left")
     return out.select("doc_id", "source", "size", "source_size", "target",
-                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *keep)
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

@@ -7,14 +7,19 @@ All but the last keep the columns of ``documents``.
 1. toxicity: documents judged toxic go (rows of label 1 are learned from outside the
    held-out fold of the labels).
 2. quality classifier: documents judged of low quality go.
-3. n-gram Jaccard join: one document of each group stays, that of the smallest id;
-   documents without words or without an id are in no group and stay.
-4. benchmark decontamination: documents that hold a benchmark item go.
+3. n-gram Jaccard join: one document of each group stays, that of the smallest id (of
+   equal ids, of the smallest hash of the row); documents without words or without an id are
+   in no group and stay.
+4. benchmark decontamination: documents that hold a benchmark item go, with an id or without.
 5. mixing: sources are mixed to their target weights; documents that the mix takes
    words of stay, with size, source_size, target and taken.
 
-Cases: an empty input passes all stages as an empty table; rows that repeat an id leave
-stage 3 as one row; further columns pass stages 1 to 4 unchanged.
+Stages 3 to 5 tell rows apart by a 64-bit hash of all columns, not by the id.
+
+Cases: an empty input passes all stages as an empty table; rows that repeat an id are
+documents of their own, unless their texts link or they are equal in all columns (stage 3 leaves
+one); rows without an id stay rows of their own in every stage, equal ones too;
+further columns pass stages 1 to 4 unchanged (those that hold maps aren't hashed).
 """
 
 from __future__ import annotations
@@ -47,28 +52,48 @@ def _judged(docs: DataFrame, score, model, keep: str) -> DataFrame:
     return kept.withColumnsRenamed({v: k for k, v in aside.items()}).select(docs.columns)
 
 
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a hash of all their columns: equal for equal rows only."""
+    return docs.withColumn(KEY, F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_join.groups(docs)
-    copies = materialize(found.where("component_id IS NOT NULL AND doc_id <> component_id")
-                         .select("doc_id").distinct(), "pipe-copies")
-    kept = docs.join(copies, "doc_id", "left_anti")
-    # Rows that repeat an id: one of them, unless the id is null.
-    named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id IS NULL")).select(docs.columns)
+    keyed = _keyed(docs)
+    named = keyed.where("doc_id IS NOT NULL")
+    found = jaccard_join.groups(named.select(F.col(KEY).alias("doc_id"), "text")).where("n_shingles > 0")
+    linked = materialize(found.select(F.col("doc_id").alias(KEY), "component_id").distinct(), "pipe-linked")
+    # One row of each group, whatever its size: no join by group.
+    least = linked.join(named.select(KEY, "doc_id").distinct(), KEY).groupBy("component_id").agg(
+        F.min(F.struct("doc_id", KEY)).alias("least")).select(F.col(f"least.{KEY}").alias(KEY))
+    copies = materialize(linked.select(KEY).join(least, KEY, "left_anti"), "pipe-copies")
+    kept = named.join(copies, KEY, "left_anti").dropDuplicates([KEY])
+    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    held = materialize(decontamination.overlaps(docs, benchmark).select("doc_id").distinct(), "pipe-held")
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    keyed = _keyed(docs)
+    held = decontamination.overlaps(keyed.select(F.col(KEY).alias("doc_id"), "text"), benchmark)
+    held = materialize(held.select(F.col("doc_id").alias(KEY)).distinct(), "pipe-held")
+    return keyed.join(held, KEY, "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mixing.taken_words(docs).where("taken > 0").select(
-        "doc_id", "source_size", "target", "taken", "size")
+    keyed = _keyed(docs)
     names = ["size", "source_size", "target", "taken"]
-    kept = docs.drop(*names).join(taken, "doc_id")
-    return kept.select([c for c in docs.columns if c not in names] + names)
+    # Equal rows share a key; which of them has which words taken makes no difference.
+    taken = materialize(mixing.taken_words(keyed, [KEY]).groupBy(KEY, *names).agg(
+        F.count(F.lit(1)).alias("_copies")), "pipe-taken")
+    repeated = materialize(taken.groupBy(KEY).agg(F.sum("_copies").alias("n")).where("n > 1").select(KEY),
+                           "pipe-repeated")
+    rows, taken = keyed.drop(*names), taken.where("taken > 0")
+    single = rows.join(taken.join(repeated, KEY, "left_anti"), KEY)
+    equal = rows.join(repeated, KEY, "left_semi").dropDuplicates([KEY]).join(taken, KEY)
+    equal = equal.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copy")
+    return single.unionByName(equal).select([c for c in docs.columns if c not in names] + names)
 
 
 STAGES = [

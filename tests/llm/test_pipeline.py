@@ -109,6 +109,32 @@ def test_edge_rows_and_clashing_columns(spark, folder):
             after.collect()
 
 
+def test_rows_without_an_id_are_kept_judged_and_mixed(spark, folder):
+    rng = random.Random(2)
+    item = next(r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect())
+    texts = [cases.prose(rng, 60) for _ in range(3)]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2] + "\n" + item), (7, texts[2])]
+    docs = cases.documents(spark, rows, extra=False)
+    clean = materialize(cp.drop_contaminated(spark, docs, folder), "test-clean")
+    assert sorted(map(str, clean.collect())) == sorted(str(r) for r in docs.collect() if item not in r.text)
+    got = cp.mix_sources(spark, clean, folder).collect()
+    want = cp.mixing.taken_words(clean).where("taken > 0").collect()
+    assert any(r.doc_id is None for r in want)
+    by = lambda r: (str(r.doc_id), r["size"], r.taken)
+    assert sorted(map(by, got)) == sorted(map(by, want))
+
+
+def test_repeated_ids_go_only_where_their_texts_link(spark, folder):
+    rng = random.Random(3)
+    a, b = cases.prose(rng, 80), cases.prose(rng, 80)
+    rows = [(5, a), (5, b), (5, a), (9, b), (None, a), (4, b + " more"), (6, None), (6, "")]
+    got = [cp.one_of_each_group(spark, cases.documents(spark, rows, extra=False).repartition(n), folder).collect()
+           for n in (1, 5)]
+    for found in got:
+        assert sorted((str(r.doc_id), r.text or "") for r in found) == sorted(
+            [("5", a), ("None", a), ("4", b + " more"), ("6", ""), ("6", "")])
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
