@@ -3,12 +3,13 @@
 A ``Window.partitionBy(key)`` puts every row of a key into one task; if one
 user or region holds a third of all rows, that task holds a third of the job.
 Here rows are range-partitioned on the *full* order key, so a hot key is
-spread over many contiguous partitions.  Windows run over slices, the rows of
-a key in one range partition, and what a slice needs from earlier ones (the
-last row, the sum so far) is a carry.  Only the first key of a partition can
-continue an earlier partition, so the carry table has at most two rows for
-each partition: the only thing broadcast.  There is one path for all keys; no
-counting pass decides between plans.
+spread over many contiguous partitions.  A partition is then scanned once, in
+its order, batch by batch: only its first key can continue an earlier
+partition, so what it needs from there (the last row, the sums so far) is one
+carry.  A first scan returns one row for each partition (its first and last
+key and what the last key leaves behind); the driver threads these rows, at
+most one for each partition, into the carries.  After the range exchange no
+row is exchanged or sorted again, and there is one path for all keys.
 
 Row numbering inside a partition uses ``monotonically_increasing_id`` whose
 documented layout is ``partition_index << 33 | row_number_in_partition``.  The
@@ -27,6 +28,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellscope.session import default_parallelism
 
@@ -84,43 +86,141 @@ def unique_row_ids(df: DataFrame, id_col: str = "row_id") -> DataFrame:
               .drop("_mid"))
 
 
-def first_keys(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys that a range partition begins with: one row for each partition at most."""
-    return tagged.where(F.col("_local") == 0).select(*keys).distinct()
+def _no_change(column, earlier):
+    """True where a value equals the one before it (nulls equal nulls)."""
+    import pyarrow.compute as pc
 
+    same = pc.fill_null(pc.equal(column, earlier), False)
+    return pc.or_(same, pc.and_(pc.is_null(column), pc.is_null(earlier)))
 
-def _same(a: str, b: str, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-    return cond
 
+def _shifted(column, before):
+    """The column one row later, beginning with the value ``before`` (an array of one)."""
+    import pyarrow as pa
 
-def _carried(tagged: DataFrame, first: DataFrame, keys: list[str], aggs: list[Column],
-             carry: Mapping[str, Column]) -> DataFrame:
-    """_part, keys and the carry columns of the slices that may continue others
-    (at most two for each partition).  ``aggs`` summarise a slice; ``carry`` are
-    expressions over the window of a key's earlier slices."""
-    rows = tagged.alias("t").join(F.broadcast(first).alias("f"), _same("t", "f", keys), "left_semi")
-    return rows.groupBy("_part", *keys).agg(*aggs).select("_part", *keys, *[
-        c.alias(n) for n, c in carry.items()])
+    return pa.concat_arrays([before.cast(column.type), column.slice(0, len(column) - 1)])
 
 
-def lag_tagged(tagged: DataFrame, first: DataFrame, key_cols: Sequence[str],
-               value_cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+class _Scan:
+    """One partition's rows in order.  ``step`` gets every batch with the places where a
+    key's rows begin and whether its first row continues the state kept so far."""
+
+    def __init__(self, keys, state, step):
+        self.keys, self.state, self.step = keys, state, step
+        self.first = self.last = None
+        self.one_key = True
+
+    def run(self, batches, carry):
+        """``carry(part)`` is the state left to the partition's first key, or None."""
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k) for k in self.keys]
+            begins = self.last is None
+            if begins:
+                self.part = batch.column("_part")[0].as_py()
+                self.first = self.last = [c.slice(0, 1) for c in columns]
+                held = carry(self.part)
+                if held is not None:
+                    self.state = held
+            same = np.ones(batch.num_rows, bool)
+            for c, before in zip(columns, self.last, strict=True):
+                same &= _no_change(c, _shifted(c, before)).to_numpy(zero_copy_only=False)
+            if begins:
+                same[0] = held is not None
+                self.one_key = bool(same[1:].all())
+            else:
+                self.one_key &= bool(same.all())
+            made = self.step(self, batch, same)
+            # Copies of one row: a slice would keep its whole batch.
+            self.last = [pa.array(c.slice(len(c) - 1).to_pylist(), c.type) for c in columns]
+            if made is not None:
+                yield made
+
+
+def _carries(tagged: DataFrame, keys: list[str], fields: list[T.StructField], make, join) -> dict:
+    """What each partition's first key brings along from earlier ones: the states that a
+    first scan returns, one row for each partition, threaded in partition order.
+    ``join(before, own)`` is the state after a partition that holds one key alone."""
+    key_fields = [tagged.schema[k] for k in keys]
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("one_key", T.BooleanType()),
+        *[T.StructField(f"f{i}", f.dataType) for i, f in enumerate(key_fields)],
+        *[T.StructField(f"l{i}", f.dataType) for i, f in enumerate(key_fields)],
+        *[T.StructField(f"s{i}", f.dataType) for i, f in enumerate(fields)]])
+
+    def tail(batches):
+        import pyarrow as pa
+
+        scan = make(False)
+        for _ in scan.run(batches, lambda part: None):
+            pass
+        if scan.last is not None:
+            row = [pa.array([scan.part], pa.int32()), pa.array([scan.one_key]), *scan.first, *scan.last, *scan.state]
+            yield pa.RecordBatch.from_arrays(row, names)
+
+    names = schema.names
+    rows = sorted(tagged.mapInArrow(tail, schema).collect(), key=lambda r: r["part"])
+    carries, left = {}, None
+    for r in rows:
+        first, last = ([r[f"{x}{i}"] for i in range(len(keys))] for x in "fl")
+        state = [r[f"s{i}"] for i in range(len(fields))]
+        if left is not None and left[0] == first:
+            carries[r["part"]] = left[1]
+            if r["one_key"]:
+                state = join(left[1], state)
+        left = (last, state)
+    return carries
+
+
+def _scanned(tagged: DataFrame, keys: list[str], fields: list[T.StructField], make, join) -> DataFrame:
+    carries = _carries(tagged, keys, fields, make, join)
+    schema = T.StructType([*tagged.schema.fields, *fields])
+    types = [f.dataType for f in fields]
+
+    def scan(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        def carry(part):
+            held = carries.get(part)
+            return held and [pa.array([v.asDict() if hasattr(v, "asDict") else v], to_arrow_type(t))
+                             for v, t in zip(held, types, strict=True)]
+
+        yield from make(True).run(batches, carry)
+
+    return tagged.mapInArrow(scan, schema)
+
+
+def lag_tagged(tagged: DataFrame, key_cols: Sequence[str], value_cols: Sequence[str],
+               prefix: str = "prev_") -> DataFrame:
     """Previous row's values within each key, for the rows of :func:`range_tagged` or a
-    subset of them; keeps ``_part`` and ``_local`` for further passes over the same order."""
+    subset of them; keeps order, ``_part`` and ``_local`` for further passes over them."""
     keys, vals = list(key_cols), list(value_cols)
-    slices = Window.partitionBy("_part", *keys).orderBy("_local")
-    local = tagged.select("*", F.row_number().over(slices).alias("_at"),
-                          F.lag(F.struct(*vals)).over(slices).alias("_lag"))
-    earlier = Window.partitionBy(*keys).orderBy("_part")
-    carry = _carried(tagged, first, keys, [F.max_by(F.struct(*vals), "_local").alias("_last")],
-                     {"_carry": F.lag("_last").over(earlier)})
-    joined = local.alias("l").join(F.broadcast(carry).alias("c"), _same("l", "c", ["_part", *keys]), "left")
-    before = F.when(F.col("l._at") == 1, F.col("c._carry")).otherwise(F.col("l._lag"))
-    return joined.select(*[F.col(f"l.{c}") for c in tagged.columns],
-                         *[before.getField(v).alias(f"{prefix}{v}") for v in vals])
+    fields = [T.StructField(f"{prefix}{v}", tagged.schema[v].dataType) for v in vals]
+    names = [*tagged.columns, *[f.name for f in fields]]
+
+    def make(emit: bool) -> _Scan:
+        def step(scan, batch, same):
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
+            columns = [batch.column(v) for v in vals]
+            made = None
+            if emit:
+                keep = pa.array(same)
+                before = scan.state or [pa.nulls(1, c.type) for c in columns]
+                lagged = [pc.if_else(keep, _shifted(c, b), pa.nulls(len(c), c.type))
+                          for c, b in zip(columns, before, strict=True)]
+                made = pa.RecordBatch.from_arrays([*batch.columns, *lagged], names)
+            scan.state = [pa.array(c.slice(len(c) - 1).to_pylist(), c.type) for c in columns]
+            return made
+        return _Scan(keys, None, step)
+
+    return _scanned(tagged, keys, fields, make, lambda before, own: own)
 
 
 def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
@@ -128,8 +228,52 @@ def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str
                 num_partitions: int | None = None) -> DataFrame:
     """``lag(v) OVER (PARTITION BY key ORDER BY order)``, whatever the key skew."""
     tagged = range_tagged(df, [*key_cols, *order_cols], num_partitions)
-    out = lag_tagged(tagged, first_keys(tagged, key_cols), key_cols, value_cols, prefix)
-    return out.drop("_part", "_local")
+    return lag_tagged(tagged, key_cols, value_cols, prefix).drop("_part", "_local")
+
+
+def running_tagged(tagged: DataFrame, key_cols: Sequence[str], sums: Mapping[str, str],
+                   xors: Mapping[str, str] | None = None) -> DataFrame:
+    """Inclusive running sums and XORs (new name -> long column, nulls count as 0) within each
+    key, for the rows of :func:`range_tagged` or a subset; keeps order, ``_part``, ``_local``."""
+    keys, xors = list(key_cols), dict(xors or {})
+    wanted = [*[(n, c, True) for n, c in sums.items()], *[(n, c, False) for n, c in xors.items()]]
+    fields = [T.StructField(n, T.LongType()) for n, _, _ in wanted]
+    names = [*tagged.columns, *[f.name for f in fields]]
+
+    def make(emit: bool) -> _Scan:
+        def step(scan, batch, same):
+            import numpy as np
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
+            begin = np.flatnonzero(~same)
+            made = []
+            for (_, column, add), held in zip(wanted, scan.state, strict=True):
+                x = pc.fill_null(batch.column(column).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+                # Each key's total starts anew: take off what stands before its first row.
+                total = np.cumsum(x) if add else np.bitwise_xor.accumulate(x)
+                before = total[begin] - x[begin] if add else total[begin] ^ x[begin]
+                start = np.concatenate([-held.to_numpy() if add else held.to_numpy(), before])
+                off = np.repeat(start, np.diff(np.concatenate([[0], begin, [len(x)]])))
+                made.append(pa.array(total - off if add else total ^ off))
+            scan.state = [pa.array([m[-1].as_py()], pa.int64()) for m in made]
+            return pa.RecordBatch.from_arrays([*batch.columns, *made], names) if emit else None
+        return _Scan(keys, [pa_zero() for _ in wanted], step)
+
+    def pa_zero():
+        import pyarrow as pa
+
+        return pa.array([0], pa.int64())
+
+    def join(before: list, own: list) -> list:
+        return [_wrapped(b + o) if add else b ^ o for b, o, (_, _, add) in zip(before, own, wanted, strict=True)]
+
+    return _scanned(tagged, keys, fields, make, join)
+
+
+def _wrapped(n: int) -> int:
+    """A sum as a 64-bit integer holds it."""
+    return (n + (1 << 63)) % (1 << 64) - (1 << 63)
 
 
 def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
@@ -137,22 +281,8 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     """Inclusive running sums per group, one output per input row.
 
     Same result as ``sum(x) OVER (PARTITION BY g ORDER BY o ROWS BETWEEN
-    UNBOUNDED PRECEDING AND CURRENT ROW)``: each slice is summed locally and
-    the totals of the same group's earlier slices are added as a carry.
+    UNBOUNDED PRECEDING AND CURRENT ROW)`` where no x is null.
     """
-    groups, names = list(group_cols), list(sums)
-    tagged = range_tagged(df.select("*", *[c.alias(f"_x_{n}") for n, c in sums.items()]),
-                          groups + list(order_cols), num_partitions)
-    slices = (Window.partitionBy("_part", *groups).orderBy("_local")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select("*", *[F.sum(f"_x_{n}").over(slices).alias(f"_l_{n}") for n in names])
-    earlier = (Window.partitionBy(*groups).orderBy("_part")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = _carried(tagged, first_keys(tagged, groups), groups,
-                     [F.sum(f"_x_{n}").alias(f"_t_{n}") for n in names],
-                     {f"_c_{n}": F.sum(f"_t_{n}").over(earlier) for n in names})
-    joined = local.alias("l").join(F.broadcast(carry).alias("c"), _same("l", "c", ["_part", *groups]), "left")
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        *[(F.col(f"l._l_{n}") + F.coalesce(F.col(f"c._c_{n}"), F.lit(0))).cast("long").alias(n)
-          for n in names])
+    tagged = range_tagged(df.select("*", *[c.cast("long").alias(f"_x_{n}") for n, c in sums.items()]),
+                          [*group_cols, *order_cols], num_partitions)
+    return running_tagged(tagged, group_cols, {n: f"_x_{n}" for n in sums}).select(*df.columns, *sums)

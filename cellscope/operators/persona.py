@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.functions.scalar import is_man
-from cellscope.operators.ordered import first_keys, lag_tagged, range_tagged, running_sums
+from cellscope.operators.ordered import lag_tagged, range_tagged, running_sums
 from cellscope.schemas import PERSONA_COLUMNS
 
 WINDOW = "1 minute"
@@ -113,13 +113,12 @@ def region_flow(enriched: DataFrame, num_partitions: int | None = None) -> DataF
     """
     base = enriched.select("imsi", "ts", "event_id", "region_id", "gender", "age")
     tagged = range_tagged(base, ["imsi", "ts", "event_id"], num_partitions)
-    first = first_keys(tagged, ["imsi"])
-    prev = lag_tagged(tagged, first, ["imsi"], ["region_id"])
+    prev = lag_tagged(tagged, ["imsi"], ["region_id"])
     changes = prev.where(F.col("prev_region_id").isNull()
                          | (F.col("prev_region_id") != F.col("region_id")))
     # Previous *change* of the same user = the region being left, with its
-    # entry profile: over the same slices, so without another exchange.
-    entered = lag_tagged(changes.drop("prev_region_id"), first, ["imsi"],
+    # entry profile: over the same partitions, so without another exchange.
+    entered = lag_tagged(changes.drop("prev_region_id"), ["imsi"],
                          ["region_id", "gender", "age"], prefix="left_")
     # One pass emits both rows of a change (enter, and leave when the user
     # was somewhere), so the upstream plan runs once.

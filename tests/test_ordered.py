@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 import pytest
 
-from cellscope.operators.ordered import (first_keys, lag_columns, lag_tagged, range_tagged,
-                                         running_sums, unique_row_ids, with_row_index)
+from cellscope.operators.ordered import (lag_columns, lag_tagged, range_tagged, running_sums, running_tagged,
+                                         unique_row_ids, with_row_index)
 
 
 def _skewed(spark, n=600):
@@ -39,7 +39,7 @@ def test_lag_over_a_subset_of_the_slices(spark):
     df = _skewed(spark)
     tagged = range_tagged(df, ["k", "t"], 12)
     keep = (F.col("t") < 60) | (F.col("t") > 540)
-    got = lag_tagged(tagged.where(keep), first_keys(tagged, ["k"]), ["k"], ["t"])
+    got = lag_tagged(tagged.where(keep), ["k"], ["t"])
     want = df.where(keep).withColumn("prev_t", F.lag("t").over(Window.partitionBy("k").orderBy("t")))
     assert sorted((r.k, r.t, r.prev_t or -1) for r in got.collect()) == \
         sorted((r.k, r.t, r.prev_t or -1) for r in want.collect())
@@ -55,6 +55,26 @@ def test_running_sums_equal_window_sum(spark, parts):
         sorted(want.select("k", "t", "run").collect())
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_running_xors_and_wrapping_sums(spark, parts):
+    df = _skewed(spark).withColumn("x", F.xxhash64("t"))
+    tagged = range_tagged(df, ["k", "t"], parts)
+    got = running_tagged(tagged, ["k"], {"s": "x"}, {"r": "x"}).select("k", "t", "x", "s", "r").collect()
+    s, r = {}, {}
+    for row in sorted(got):
+        s[row.k] = (s.get(row.k, 0) + row.x + 2**63) % 2**64 - 2**63
+        r[row.k] = r.get(row.k, 0) ^ row.x
+        assert (row.s, row.r) == (s[row.k], r[row.k])
+
+
+def test_flows_exchange_rows_once_after_their_order(spark):
+    tagged = range_tagged(_skewed(spark), ["k", "t"], 6)
+    once = lag_tagged(tagged, ["k"], ["v"])
+    twice = lag_tagged(once.where("prev_v <> v"), ["k"], ["t"], "left_")
+    plan = twice._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and plan.count("Scan ExistingRDD") == 1
+
+
 def test_a_hot_null_key_is_no_special_case(spark):
     df = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(60)], "k string, t long")
     got = lag_columns(df, ["k"], ["t"], ["t"], num_partitions=5)
