@@ -6,7 +6,7 @@ Operators without SQL here are tested against brute force in tests/llm.
 from __future__ import annotations
 
 from cellscope.llm import (
-    decontamination, html_extract, jaccard_join, licenses, mixing, ngram_lm, prefix_tokens, quality_classifier,
+    conversation_trie, decontamination, html_extract, jaccard_join, licenses, mixing, ngram_lm, prefix_tokens, quality_classifier,
     quality_rules, toxicity)
 
 QUERIES = {
@@ -20,10 +20,12 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_jaccard_join": jaccard_join.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }
