@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from cellscope.llm import (
     conversation_trie, decontamination, html_extract, jaccard_join, licenses, mixing, ngram_lm, prefix_tokens, quality_classifier,
-    quality_rules, toxicity)
+    quality_rules, source_divergence, toxicity)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -20,6 +20,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op11_source_divergence": source_divergence.op11_source_divergence,
     "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 
@@ -27,5 +28,6 @@ ORACLES = {
     "op1_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_jaccard_join": jaccard_join.ORACLE,
+    "op11_source_divergence": source_divergence.ORACLE,
     "op13_conversation_trie": conversation_trie.ORACLE,
 }
