@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from cellscope.llm import (
     conversation_trie, decontamination, html_extract, jaccard_join, licenses, mixing, ngram_lm, prefix_tokens, quality_classifier,
-    quality_rules, source_divergence, toxicity)
+    quality_rules, source_divergence, token_files, toxicity)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -21,6 +21,7 @@ QUERIES = {
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
     "op11_source_divergence": source_divergence.op11_source_divergence,
+    "op12_token_files": token_files.op12_token_files,
     "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 
