@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.functions import bitmap
+from cellscope.functions import bitmap, containers
 from cellscope.functions.scalar import (age_band, age_portrait_comment, age_portrait_id,
                                         gender_portrait_comment, gender_portrait_id)
 from cellscope.schemas import MIN_PORTRAIT_AGE
@@ -55,8 +55,8 @@ def portrait_rejects(user_info: DataFrame, user_index: DataFrame) -> DataFrame:
 
 
 def portrait_bitmaps(user_info: DataFrame, user_index: DataFrame) -> DataFrame:
-    """(portrait_id, portrait_value, comment, bucket, bitmap)."""
-    return bitmap.build(portrait_rows(user_info, user_index), PORTRAIT_KEYS, "bitmap_id")
+    """(portrait_id, portrait_value, comment, bucket, container)."""
+    return containers.build(portrait_rows(user_info, user_index), PORTRAIT_KEYS, "bitmap_id", sparse=False)
 
 
 def portrait_id_sets(user_info: DataFrame, user_index: DataFrame) -> DataFrame:

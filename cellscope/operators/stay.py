@@ -9,9 +9,9 @@ Plan (per run, e.g. one hour or one day of signals):
    many signals a phone emits per hour, so a hot imsi shrinks to at most
    #regions x #hours rows before any shuffle on imsi;
 4. LEFT JOIN the user index on imsi (shuffle join, AQE skew split);
-5. bucketed bitmap per (region, hour, bucket), built reduce-side: a region-
-   hour holds few users per 32768-id bucket, so the compact rows are shuffled
-   instead of 4 KiB partial bitmaps.
+5. one adaptive container per (region, hour, bucket), built reduce-side: a
+   region-hour holds few users per 32768-id bucket, so the compact rows are
+   shuffled instead of 4 KiB partial bitmaps and stored as a short list.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscope.functions import bitmap
+from cellscope.functions import bitmap, containers
 from cellscope.functions.scalar import hour_bucket
 
 STAY_KEYS = ["region_id", "produce_hour"]
@@ -29,7 +29,7 @@ STAY_KEYS = ["region_id", "produce_hour"]
 STAY_TABLE = T.StructType([
     T.StructField("region_id", T.StringType()),
     T.StructField("bucket", T.LongType()),
-    T.StructField("bitmap", T.BinaryType()),
+    *containers.CONTAINER_FIELDS,
     T.StructField("produce_hour", T.StringType()),
 ])
 
@@ -60,9 +60,8 @@ def stay_rows(signals: DataFrame, region_cell: DataFrame, user_index: DataFrame)
 
 def region_hour_stay(signals: DataFrame, region_cell: DataFrame,
                      user_index: DataFrame) -> DataFrame:
-    """(region_id, produce_hour, bucket, bitmap) -- the stay bitmap table."""
-    return bitmap.build(stay_rows(signals, region_cell, user_index), STAY_KEYS, "bitmap_id",
-                        sparse=True)
+    """(region_id, produce_hour, bucket, container) -- the stay table."""
+    return containers.build(stay_rows(signals, region_cell, user_index), STAY_KEYS, "bitmap_id")
 
 
 def stay_id_sets(signals: DataFrame, region_cell: DataFrame,
@@ -72,11 +71,11 @@ def stay_id_sets(signals: DataFrame, region_cell: DataFrame,
 
 
 def stay_user_count(stay_bitmaps: DataFrame) -> DataFrame:
-    """(region_id, produce_hour, user_count) from the bitmap table."""
-    return bitmap.cardinality(stay_bitmaps, STAY_KEYS)
+    """(region_id, produce_hour, user_count) from the stay table."""
+    return containers.cardinality(stay_bitmaps, STAY_KEYS)
 
 
 def rollup_day(stay_bitmaps: DataFrame) -> DataFrame:
-    """Hour bitmaps OR-merged into day bitmaps: (region_id, produce_day, bucket, bitmap)."""
+    """Hours OR-merged into days: (region_id, produce_day, bucket, container)."""
     day = stay_bitmaps.withColumn("produce_day", F.substring("produce_hour", 1, 8))
-    return bitmap.merge(day, ["region_id", "produce_day"])
+    return containers.merge(day, ["region_id", "produce_day"])

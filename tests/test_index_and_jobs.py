@@ -1,7 +1,7 @@
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from cellscope.functions import bitmap
+from cellscope.functions import containers
 from cellscope.operators import persona, portrait, segments, stay
 from cellscope.operators.index import build_user_index
 
@@ -43,7 +43,7 @@ def test_stay_counts_keep_null_region_and_unindexed(spark):
 def test_portraits_drop_minors_and_unknown_gender(spark):
     _, _, users, index = _inputs(spark)
     card = {r.portrait_id: r.user_count for r in
-            bitmap.cardinality(portrait.portrait_bitmaps(users, index),
+            containers.cardinality(portrait.portrait_bitmaps(users, index),
                                ["portrait_id"]).collect()}
     # u1 male 15 -> {1,3}; u2 female 25 -> {2,4}; u4 gender '2' 45 -> {5}; u3 not indexed.
     assert card == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
