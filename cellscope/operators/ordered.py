@@ -231,6 +231,38 @@ def lag_columns(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str
     return lag_tagged(tagged, key_cols, value_cols, prefix).drop("_part", "_local")
 
 
+def last_tagged(tagged: DataFrame, key_cols: Sequence[str], flag: str, value_cols: Sequence[str],
+                prefix: str = "last_") -> DataFrame:
+    """Values of the latest row so far, the row itself included, whose ``flag`` is true, within
+    each key, for the rows of :func:`range_tagged`; null before the first one."""
+    keys, vals = list(key_cols), list(value_cols)
+    fields = [T.StructField(f"{prefix}{v}", tagged.schema[v].dataType) for v in vals]
+    found = T.StructField("_found", T.BooleanType())
+    names = [*tagged.columns, *[f.name for f in fields], "_found"]
+
+    def make(emit: bool) -> _Scan:
+        def step(scan, batch, same):
+            import numpy as np
+            import pyarrow as pa
+
+            n, columns = batch.num_rows, [batch.column(v) for v in vals]
+            held = scan.state or [*[pa.nulls(1, c.type) for c in columns], pa.array([False])]
+            flagged = batch.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
+            # Place of the latest flagged row, from 1; 0 is what was held before this batch.
+            at = np.maximum.accumulate(np.where(flagged, np.arange(1, n + 1), 0))
+            begin = np.maximum.accumulate(np.where(same, 0, np.arange(1, n + 1)))
+            gone = (begin > 0) & (at < begin)       # it belongs to an earlier key
+            place = pa.array(at, mask=gone)
+            last = [pa.concat_arrays([h.cast(c.type), c]).take(place) for h, c in zip(held[:-1], columns, strict=True)]
+            seen = pa.array(np.where(gone, False, (at > 0) | bool(held[-1][0].as_py())))
+            scan.state = [pa.array(c.slice(n - 1).to_pylist(), c.type) for c in [*last, seen]]
+            return pa.RecordBatch.from_arrays([*batch.columns, *last, seen], names) if emit else None
+        return _Scan(keys, None, step)
+
+    return _scanned(tagged, keys, [*fields, found], make,
+                    lambda before, own: own if own[-1] else before).drop("_found")
+
+
 def running_tagged(tagged: DataFrame, key_cols: Sequence[str], sums: Mapping[str, str],
                    xors: Mapping[str, str] | None = None) -> DataFrame:
     """Inclusive running sums and XORs (new name -> long column, nulls count as 0) within each
