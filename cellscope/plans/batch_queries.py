@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.functions import bitmap
+from cellscope.functions import containers
 from cellscope.functions.scalar import (age_band, age_portrait_comment, age_portrait_id,
                                         gender_portrait_comment, gender_portrait_id,
                                         hour_bucket)
 from cellscope.operators import persona, portrait, segments, stay
 from cellscope.operators.index import build_user_index, extend_user_index, unique_id_index
+from cellscope.operators.joins import asof_join
+from cellscope.operators.sinks import write_hourly
 from cellscope.plans.catalog import query
 from cellscope.schemas import LABELS, PERSONA_COLUMNS
 from cellscope.session import scratch_path
@@ -90,7 +92,7 @@ def q_user_index_extend(spark, sf_dir):
 @query("region_hour_stay", oracle("""
 SELECT region_id, produce_hour, bitmap_id FROM stay_rows WHERE bitmap_id IS NOT NULL"""))
 def q_region_hour_stay(spark, sf_dir):
-    return bitmap.decode(m1_stay_bitmaps(spark, sf_dir), stay.STAY_KEYS)
+    return containers.decode(m1_stay_bitmaps(spark, sf_dir), stay.STAY_KEYS)
 
 
 @query("stay_user_count", oracle("""
@@ -108,7 +110,7 @@ FROM stay_rows GROUP BY ALL"""))
 def q_bitmap_build(spark, sf_dir):
     bm = m1_stay_bitmaps(spark, sf_dir)
     return bm.select("region_id", "produce_hour", "bucket",
-                     F.bitmap_count("bitmap").alias("bit_count"))
+                     F.col("n").cast("long").alias("bit_count"))
 
 
 @query("stay_id_sets", oracle("""
@@ -128,8 +130,8 @@ SELECT region_id, produce_hour, bitmap_id FROM stay_rows WHERE bitmap_id IS NOT
 def q_bitmap_from_ids(spark, sf_dir):
     m = fixtures.m1(spark, sf_dir)
     sets = stay.stay_id_sets(m.signals, m.region_cell, build_user_index(m.indexed_users))
-    bms = bitmap.from_ids(sets, stay.STAY_KEYS, "bitmap_ids")
-    return bitmap.decode(bms, stay.STAY_KEYS)
+    bms = containers.from_ids(sets, stay.STAY_KEYS, "bitmap_ids")
+    return containers.decode(bms, stay.STAY_KEYS)
 
 
 @query("bitmap_two_buckets", """
@@ -143,7 +145,7 @@ def q_bitmap_two_buckets(spark, sf_dir):
     """Mapping M3: every order line is a user, so ids pass one bucket at sf0.01."""
     m = fixtures.m3(spark, sf_dir)
     bitmaps = stay.region_hour_stay(m.signals, m.region_cell, build_user_index(m.indexed_users))
-    return bitmap.decode(bitmaps, [*stay.STAY_KEYS, "bucket"])
+    return containers.decode(bitmaps, [*stay.STAY_KEYS, "bucket"])
 
 
 @query("bitmap_roundtrip", oracle("""
@@ -151,7 +153,7 @@ SELECT region_id, produce_hour, bitmap_id FROM stay_rows WHERE bitmap_id IS NOT
 def q_bitmap_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "stay-bitmaps")
     m1_stay_bitmaps(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return bitmap.decode(spark.read.parquet(path), stay.STAY_KEYS)
+    return containers.decode(spark.read.parquet(path), stay.STAY_KEYS)
 
 
 @query("bitmap_merge", oracle("""
@@ -160,7 +162,7 @@ SELECT region_id, substr(produce_hour, 1, 8) AS produce_day,
 FROM stay_rows GROUP BY ALL"""))
 def q_bitmap_merge(spark, sf_dir):
     day = stay.rollup_day(m1_stay_bitmaps(spark, sf_dir))
-    return bitmap.cardinality(day, ["region_id", "produce_day"])
+    return containers.cardinality(day, ["region_id", "produce_day"])
 
 
 # ------------------------------------------------------ portraits (Q3, Q3b)
@@ -168,14 +170,14 @@ def q_bitmap_merge(spark, sf_dir):
 @query("portrait_bitmaps", oracle("""
 SELECT portrait_id, portrait_value, comment, bitmap_id FROM portrait_rows"""))
 def q_portrait_bitmaps(spark, sf_dir):
-    return bitmap.decode(m1_portrait_bitmaps(spark, sf_dir), portrait.PORTRAIT_KEYS)
+    return containers.decode(m1_portrait_bitmaps(spark, sf_dir), portrait.PORTRAIT_KEYS)
 
 
 @query("bitmap_cardinality", oracle("""
 SELECT portrait_id, portrait_value, comment, CAST(count(*) AS BIGINT) AS user_count
 FROM portrait_rows GROUP BY ALL"""))
 def q_bitmap_cardinality(spark, sf_dir):
-    return bitmap.cardinality(m1_portrait_bitmaps(spark, sf_dir), portrait.PORTRAIT_KEYS)
+    return containers.cardinality(m1_portrait_bitmaps(spark, sf_dir), portrait.PORTRAIT_KEYS)
 
 
 @query("portrait_id_sets", oracle("""
@@ -296,6 +298,60 @@ def q_segment_users(spark, sf_dir):
                                   SEGMENT_REGION, SEGMENT_HOUR, SEGMENT_PORTRAIT)
 
 
+@query("segment_requests", oracle("""
+, requests AS (SELECT DISTINCT CAST(o_custkey % 7 AS VARCHAR) AS region_id,
+    strftime(TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * CAST(o_orderkey % 740 AS INTEGER), '%Y%m%d%H') AS produce_hour,
+    CAST(o_orderkey % 6 AS INTEGER) AS portrait_id FROM orders)
+SELECT r.region_id, r.produce_hour, r.portrait_id, CAST(count(p.bitmap_id) AS BIGINT) AS cnt
+FROM requests r LEFT JOIN stay_rows s ON s.region_id = r.region_id AND s.produce_hour = r.produce_hour
+LEFT JOIN portrait_rows p ON p.bitmap_id = s.bitmap_id AND p.portrait_id = r.portrait_id
+GROUP BY r.region_id, r.produce_hour, r.portrait_id"""))
+def q_segment_requests(spark, sf_dir):
+    """A table of requests, derived from the orders (unknown regions, hours and portraits
+    among them), answered by one job from the stored stay table."""
+    orders, path = fixtures.table(spark, sf_dir, "orders"), scratch_path(spark, "stay-requests")
+    hour = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, CAST(o_orderkey % 740 AS INT))")
+    requests = orders.select(F.expr("CAST(o_custkey % 7 AS STRING)").alias("region_id"),
+                             F.date_format(hour, "yyyyMMddHH").alias("produce_hour"),
+                             F.expr("CAST(o_orderkey % 6 AS INT)").alias("portrait_id"))
+    write_hourly(m1_stay_bitmaps(spark, sf_dir), path)
+    return segments.segment_counts(requests, stay.read_stay_table(spark, path), m1_portrait_bitmaps(spark, sf_dir))
+
+
+@query("container_sizes", """
+WITH u AS (SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS imsi, l_suppkey, l_shipdate FROM lineitem),
+i AS (SELECT imsi, row_number() OVER (ORDER BY imsi) - 1 AS id FROM (SELECT DISTINCT imsi FROM u) d),
+v AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS region_id, strftime(l_shipdate, '%Y%m%d%H') AS produce_hour,
+    id // 32768 + 1 AS bucket, id FROM u JOIN i ON i.imsi = u.imsi JOIN supplier ON s_suppkey = l_suppkey),
+r AS (SELECT *, id - lag(id) OVER (PARTITION BY region_id, produce_hour, bucket ORDER BY id) AS gap FROM v)
+SELECT region_id, produce_hour, CAST(bucket AS BIGINT) AS bucket, CAST(count(*) AS INTEGER) AS n,
+  CAST(least(2 * count(*), 4 * count(*) FILTER (WHERE gap IS NULL OR gap > 1), 4096) AS INTEGER) AS n_bytes
+FROM r GROUP BY region_id, produce_hour, bucket""")
+def q_container_sizes(spark, sf_dir):
+    """Mapping M3: what every container of the stay table takes."""
+    m = fixtures.m3(spark, sf_dir)
+    table = stay.region_hour_stay(m.signals, m.region_cell, build_user_index(m.indexed_users))
+    return table.select("region_id", "produce_hour", "bucket", "n", containers.stored_bytes(table).alias("n_bytes"))
+
+
+# Region of a cell over time: versions of a cell from the orders, placed in the events' month.
+@query("asof_enrich", oracle("""
+, versions AS (SELECT CAST(o_custkey % 30 AS VARCHAR) AS laccell,
+    TIMESTAMP '2024-01-01' + INTERVAL 1 MINUTE * CAST(o_orderkey % 43200 AS INTEGER) AS valid_from,
+    max(CAST(o_orderkey AS BIGINT)) AS version FROM orders GROUP BY ALL)
+SELECT s.event_id, s.laccell, v.version, CAST(v.version % 9 AS VARCHAR) AS region_id
+FROM signals s ASOF LEFT JOIN versions v ON s.laccell = v.laccell AND s.ts >= v.valid_from"""))
+def q_asof_enrich(spark, sf_dir):
+    """Each signal with the region that its cell belonged to at the signal's time."""
+    orders = fixtures.table(spark, sf_dir, "orders")
+    valid = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(o_orderkey % 43200 AS INT))")
+    versions = orders.select(F.expr("CAST(o_custkey % 30 AS STRING)").alias("laccell"), valid.alias("valid_from"),
+                             F.col("o_orderkey").cast("long").alias("version"),
+                             F.expr("CAST(o_orderkey % 9 AS STRING)").alias("region_id"))
+    signals = fixtures.m1_signals(spark, sf_dir).select("event_id", "laccell", "ts")
+    return asof_join(signals, versions, ["laccell"], "ts", ["version", "region_id"]).drop("ts")
+
+
 @query("segment_matrix", oracle("""
 SELECT s.region_id, s.produce_hour, p.portrait_id, CAST(count(*) AS BIGINT) AS user_count
 FROM stay_rows s JOIN portrait_rows p ON s.bitmap_id = p.bitmap_id GROUP BY ALL"""))

@@ -5,14 +5,15 @@
 * :func:`daily_portrait_job` -- portrait bitmaps from the profiles and the
   index, overwritten as a whole (truncate-then-load semantics);
 * :func:`hourly_stay_job`    -- one hour folder of signals (``dt=/hh=``,
-  pruned at the scan) -> stay bitmaps by *event* hour.  Late signals land in
-  an earlier event hour, so the table is partitioned by
-  (produce_hour, source_hour): a run replaces only the sub-folders of its own
-  source hour (re-runs are idempotent, late rows never overwrite the rows an
-  earlier run wrote) and :func:`read_hourly_stay` OR-merges source hours.
-
-Every job reads its inputs from tables/folders, writes with an idempotent
-overwrite, and can simply be re-run after a failure.
+  pruned at the scan) -> stay containers by *event* hour.  Late signals land in
+  an earlier event hour, so each source hour is a part of its own: a run
+  publishes a new version of its source hour alone (re-runs are idempotent,
+  late rows never overwrite the rows an earlier run wrote) and
+  :func:`read_hourly_stay` OR-merges source hours.
+
+Hourly runs publish by one commit record (:mod:`cellscope.operators.manifest`): a
+run that dies leaves the version before it readable.  Every job reads its
+inputs from tables/folders and can simply be re-run after a failure.
 """
 
 from __future__ import annotations
@@ -21,18 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscope.functions import bitmap
+from cellscope.functions import containers
 from cellscope.operators import portrait, stay
 from cellscope.operators.index import build_user_index, extend_user_index
+from cellscope.operators.manifest import read_versions, write_version
 from cellscope.operators.sinks import write_table
 from cellscope.schemas import SIGNAL
-from cellscope.sources import files
 from cellscope.sources.delimited import SEP
 
 SIGNAL_FOLDERS = T.StructType(SIGNAL.fields + [T.StructField("dt", T.StringType()),
                                                T.StructField("hh", T.StringType())])
-HOURLY_STAY = T.StructType(stay.STAY_TABLE.fields + [T.StructField("source_hour",
-                                                                   T.StringType())])
 
 
 def daily_index_job(spark: SparkSession, users: DataFrame, index_path: str,
@@ -77,19 +76,13 @@ def hourly_stay_job(spark: SparkSession, signals_root: str, source_hour: str,
         reader = reader.option("sep", SEP).option("header", "false").format("csv")
     signals = (reader.load(signals_root)
                .where((F.col("dt") == source_hour[:8]) & (F.col("hh") == source_hour[8:])))
-    # What an earlier run of this source hour wrote goes, hours that now have no rows included.
-    for path, _, _ in files.listing(spark, f"{out_path.rstrip('/')}/produce_hour=*/source_hour={source_hour}"):
-        files.delete(spark, path)
-    bitmaps = (stay.region_hour_stay(signals, region_cell, index)
-               .withColumn("source_hour", F.lit(source_hour)))
-    (bitmaps.hint("rebalance", "produce_hour")
-            .sortWithinPartitions("produce_hour", "region_id", "bucket")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("produce_hour", "source_hour").parquet(out_path))
+    bitmaps = stay.region_hour_stay(signals, region_cell, index).hint("rebalance", "produce_hour")
+    write_version(bitmaps.sortWithinPartitions("produce_hour", "region_id", "bucket"), out_path, source_hour,
+                  ["produce_hour"])
 
 
 def read_hourly_stay(spark: SparkSession, path: str) -> DataFrame:
-    """The hourly job's table as (region_id, produce_hour, bucket, bitmap),
+    """The hourly job's table as (region_id, produce_hour, bucket, container),
     source hours OR-merged."""
-    table = spark.read.schema(HOURLY_STAY).parquet(path)
-    return bitmap.merge(table, stay.STAY_KEYS)
+    table = read_versions(spark, path, stay.STAY_TABLE)
+    return containers.merge(table, stay.STAY_KEYS)

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellscope.functions import bitmap
+from cellscope.functions import containers
 from cellscope.functions.scalar import hour_bucket
 from cellscope.operators import stay
 from cellscope.operators.index import build_user_index
@@ -305,7 +305,7 @@ def q_job_daily_portraits(spark, sf_dir):
     m = fixtures.m1(spark, sf_dir)
     for _ in range(2):
         table = jobs.daily_portrait_job(spark, m.user_info, build_user_index(m.indexed_users), base)
-    return bitmap.cardinality(table, ["portrait_id", "portrait_value", "comment"])
+    return containers.cardinality(table, ["portrait_id", "portrait_value", "comment"])
 
 
 @query("job_hourly_stay", oracle(f"""
@@ -313,7 +313,7 @@ SELECT region_id, produce_hour, CAST(count(bitmap_id) AS BIGINT) AS user_count
 FROM stay_rows WHERE substr(produce_hour, 1, 8) = '{SEGMENT_HOUR[:8]}'
 GROUP BY region_id, produce_hour"""))
 def q_job_hourly_stay(spark, sf_dir):
-    """A day's delimited hour folders, each holding some signals of the hour before it
+    """The hourly job over one day (its feature: one run for each hour folder of a day).  A day's delimited hour folders, each holding some signals of the hour before it
     (late); one hour is first run on rows that a corrected feed no longer has, then again."""
     m, root = fixtures.m1(spark, sf_dir), scratch_path(spark, "hour-folders")
     out, index = scratch_path(spark, "hourly-stay"), build_user_index(m.indexed_users)

@@ -26,20 +26,22 @@ FILES = 5
 
 
 def _event_signals(spark: SparkSession, sf_dir: str, shuffled: bool = False):
-    """The events table as a stream of several files, one for each micro-batch: in
-    time order, or ``shuffled`` so that every file holds all times."""
+    """The events table as a stream of FILES micro-batches: in time order (rows without a time
+    first), or ``shuffled`` so that every one holds all times.  A micro-batch's rows are spread
+    over as many files as the input has partitions for it."""
     events = fixtures.table(spark, sf_dir, "events")
     path = scratch_path(spark, "event-files")
+    spread = -(-events.rdd.getNumPartitions() // FILES)
     if shuffled:
         part = F.col("event_id") % FILES
     else:
         first, last = events.agg(F.min("ts"), F.max("ts")).first()
         step = (last - first) / FILES
-        part = sum((F.col("ts") >= F.lit(first + step * k)).cast("int") for k in range(1, FILES))
+        part = sum(F.coalesce((F.col("ts") >= F.lit(first + step * k)).cast("int"), F.lit(0)) for k in range(1, FILES))
     tagged = events.withColumn("_part", part)
     for k in range(FILES):      # one after the other: the stream reads files by age
-        tagged.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
+        tagged.where(F.col("_part") == k).drop("_part").repartition(spread).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(spread))
     return fixtures.events_as_signals(reader.parquet(path))
 
 
@@ -126,9 +128,8 @@ def q_stream_dim_refresh(spark, sf_dir):
     events, src = fixtures.table(spark, sf_dir, "events"), f"{base}/events"
 
     def add_and_run(part):
-        events.where(part).coalesce(1).write.mode("append").parquet(src)
-        signals = fixtures.events_as_signals(
-            spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(src))
+        events.where(part).write.mode("append").parquet(src)
+        signals = fixtures.events_as_signals(spark.readStream.schema(events.schema).parquet(src))
         jobs.run_to_end(jobs.start_enrich_stage(signals, upath, cpath, f"{base}/enriched", f"{base}/rejects",
                                                 f"{base}/chk", ttl_seconds=86400))
     for k in range(3):

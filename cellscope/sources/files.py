@@ -21,6 +21,12 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def create(spark: SparkSession, path: str) -> None:
+    """An empty file that must not be there yet; parent folders are made."""
+    fs, p = _fs(spark, path)
+    fs.create(p, False).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder of this library's own output, if it is there."""
     fs, p = _fs(spark, path)

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from cellscope.functions import bitmap
+from cellscope.functions import containers
 from cellscope.operators import stay
 from cellscope.operators.sinks import write_partitioned
 from cellscope.plans import jobs
@@ -30,7 +30,7 @@ def test_daily_and_hourly_jobs(spark, workdir):
     idx2 = jobs.daily_index_job(spark, more, f"{workdir}/index/v1", f"{workdir}/index/v2")
     assert {r.imsi: r.bitmap_id for r in idx2.collect()} == {"u1": 0, "u2": 1, "u0": 2}
     port = jobs.daily_portrait_job(spark, users, idx2, f"{workdir}/portraits")
-    assert bitmap.cardinality(port, ["portrait_id"]).count() == 4
+    assert containers.cardinality(port, ["portrait_id"]).count() == 4
 
     root, out = f"{workdir}/signals", f"{workdir}/stay"
     # Folder 10 holds u1 at 10:30; folder 11 holds u2 at 11:30 and a late u2 at 10:30.
