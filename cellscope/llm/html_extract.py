@@ -4,8 +4,9 @@ A page is read into blocks (the text between block tags, character references de
 white space inside a block made one space).  Pages of a host are sorted by URL path and
 each is paired with the neighbour whose path agrees longest; the blocks of the two are
 aligned by longest common subsequence, and blocks that both have are the site's frame
-and deleted.  Neighbours that are copies (most text in common) tell nothing about the
-frame; the other neighbour is taken, or none.
+and deleted.  A neighbour that has more than ``COPY_SHARE`` of the page's text may be a copy and
+tells nothing by itself: the other neighbour is taken; if that one has as much, the blocks that
+all three have are the frame, unless they are nearly the whole page (``SAME_SHARE``: copies).
 
 Some parts are known from markup alone: scripts, styles, navigation, headers, footers,
 forms, and elements whose class, id or role names a menu, advert, notice, sidebar or reader
@@ -14,23 +15,32 @@ comments are left out, as are runs of blocks that are nothing but links.  Where
 text if it is a share of ``MARK_SHARE`` or more of all that is left; otherwise the marks name teasers, and
 the blocks around them count as well.
 
+A marked block that the neighbour has too may well be the article's own (a quotation, a licence line, a
+sentence that two articles share).  It is deleted only if both neighbours have it at the same place (the
+same path of elements and classes, as far from the first or the last marked block) and no page of another
+host has it inside its marks.
+
 All pages stand in one order (host, path, query, page id, hash of the html), cut into ranges
 of a sampled size, so a hot host is spread over many ranges and one path serves any number of
 pages.  A range's first and last page also go to the range before and after, so every
-page meets its exact neighbours; inside a range pages stream past three at a time.
+page meets its exact neighbours; inside a range pages stream past three at a time.  Only hashes of blocks travel for that; what
+comes back is which blocks of a page to keep.  Texts are read a second time and shuffled once, to
+meet their verdict.
 
 Cases: null and empty html, and pages without text, give an empty text; null URLs form
 one host without a name; equal paths are ordered by page id; repeated rows are pages
-of their own; unclosed tags end with the page or with the block that holds them; an empty
+of their own (equal in all columns: with one text); unclosed tags end with the page or with the block that holds them; an empty
 table gives no rows; other columns are left aside; pages are read whole.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html as entities
 import math
 import re
+import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +50,8 @@ from cellscope.session import default_parallelism
 
 BUCKET_PAGES = 256          # pages of a range, at least about so many; the cut changes no result
 ORDER = ("host", "path", "query", "page_id", "tie")
-COPY_SHARE = 0.5            # of a page's text in common with its neighbour: a copy
+COPY_SHARE = 0.5            # of a page's text in common with its neighbour: perhaps a copy
+SAME_SHARE = 0.9            # of a page's text in common with both: copies
 MARK_SHARE = 1 / 3          # of the text left by differencing inside marks: the marks hold the article
 
 # HTML elements by what they do.
@@ -68,6 +79,7 @@ MENU_BLOCKS = 3             # so many blocks of nothing but links in a row are a
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_CLASS = re.compile(r"""\bclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -96,13 +108,21 @@ def _names_frame(name: str, in_article: bool) -> bool:
     return any(w in FRAME_NAMES and not (w == "header" and in_article) for w in words)
 
 
-def read_blocks(page: str) -> tuple[list[str], list[int]]:
-    """The blocks of a page outside its known frame, and where each stands: in an article (3),
-    in the main element (2), elsewhere (1), elsewhere and in a run of links (0)."""
+def _step(path: int, tag: str, attributes: str) -> int:
+    """The place below ``path`` that an element with these attributes makes."""
+    classes = _CLASS.search(attributes) if attributes else None
+    return zlib.crc32(f"{tag} {classes.group(1) if classes else ''}".encode(), path)
+
+
+def read_blocks(page: str) -> tuple[list[str], list[int], list[int]]:
+    """The blocks of a page outside its known frame, where each stands (in an article: 3,
+    in the main element: 2, elsewhere: 1, elsewhere and in a run of links: 0), and the place of
+    each (a hash of the open elements and their classes)."""
     blocks: list[str] = []
     inside: list[int] = []
+    places: list[int] = []
     text: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []    # tag, frame, article or main
+    open_: list[tuple[str, bool, bool, int]] = []   # tag, frame, article or main, place
     frames = articles = mains = links = 0
     plain = False               # the open block has text outside links
 
@@ -114,11 +134,12 @@ def read_blocks(page: str) -> tuple[list[str], list[int]]:
             if block:
                 blocks.append(block)
                 inside.append(3 if articles else 2 if mains else 1 if plain else 0)
+                places.append(open_[-1][3] if open_ else 0)
         plain = False
 
     def pop():
         nonlocal frames, articles, mains, links
-        tag, frame, article = open_.pop()
+        tag, frame, article, _ = open_.pop()
         frames -= frame
         articles -= article and tag == "article"
         mains -= article and tag == "main"
@@ -145,10 +166,10 @@ def read_blocks(page: str) -> tuple[list[str], list[int]]:
         if m.group(1) == "/":
             if tag in BLOCKS:
                 close_block()
-            places = [i for i, x in enumerate(open_) if x[0] == tag]
+            starts = [i for i, x in enumerate(open_) if x[0] == tag]
             # An end tag without a start in the same frame closes nothing.
-            if places and not any(x[1] for x in open_[places[-1] + 1:]):
-                while len(open_) > places[-1]:
+            if starts and not any(x[1] for x in open_[starts[-1] + 1:]):
+                while len(open_) > starts[-1]:
                     pop()
             continue
         if tag in RAW:
@@ -169,7 +190,7 @@ def read_blocks(page: str) -> tuple[list[str], list[int]]:
             continue
         frame = _is_frame(tag, m.group(3), articles > 0)
         article = tag in ("article", "main") and not frames and not frame
-        open_.append((tag, frame, article))
+        open_.append((tag, frame, article, _step(open_[-1][3] if open_ else 0, tag, m.group(3))))
         frames += frame
         articles += article and tag == "article"
         mains += article and tag == "main"
@@ -187,7 +208,7 @@ def read_blocks(page: str) -> tuple[list[str], list[int]]:
         if 0 < hi - lo < MENU_BLOCKS:
             inside[lo:hi] = [1] * (hi - lo)
         lo = max(hi, lo + 1)
-    return blocks, inside
+    return blocks, inside, places
 
 
 def common_blocks(a: list[str], b: list[str]) -> list[bool]:
@@ -256,28 +277,61 @@ def _same_start(a: str, b: str) -> int:
     return n
 
 
+KEEP, DOUBT, DROP = 0, 1, 2
+
+
+def block_hash(block: str) -> int:
+    return int.from_bytes(hashlib.blake2b(block.encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 class Page:
+    """What pages are compared by: ``blocks`` (hashes, or texts), ``sizes``, ``inside``, ``places``."""
+
     def __init__(self, row: dict):
         self.row = row
-        self.blocks, self.inside = row["blocks"], row["inside"]
+        self.blocks, self.sizes, self.inside, self.places = (row[c] for c in ("blocks", "sizes", "inside", "places"))
         self.address = row["path"] + row.get("query", "")
 
-    def main_text(self, before: "Page | None", after: "Page | None") -> str:
-        """The page's text without its frame, told by the nearer neighbour."""
-        left = [i > 0 for i in self.inside]
+    def marked(self) -> dict[int, tuple]:
+        """The marked blocks with what they must have in common with others: text, place, and
+        how far they are from the first and the last marked block."""
+        at = [i for i, mark in enumerate(self.inside) if mark >= 2]
+        return {i: (self.blocks[i], self.places[i], n, len(at) - 1 - n) for n, i in enumerate(at)}
+
+    def judged(self, before: "Page | None", after: "Page | None") -> list[int]:
+        """KEEP, DOUBT (to be kept if another host has it) or DROP for every block, told by
+        the neighbours."""
         near = [p for p in (before, after) if p is not None]
         near.sort(key=lambda p: -_same_start(self.address, p.address))
-        size = sum(map(len, self.blocks))
+        size = sum(self.sizes)
+        frame, shared = [False] * len(self.blocks), []
         for other in near:
-            shared = common_blocks(self.blocks, other.blocks)
-            if sum(len(b) for b, s in zip(self.blocks, shared) if s) <= COPY_SHARE * size:
-                left = [x and not s for x, s in zip(left, shared)]
+            shared.append(common_blocks(self.blocks, other.blocks))
+            if self._length(shared[-1]) <= COPY_SHARE * size:
+                frame = shared[-1]
                 break
+        else:
+            if len(near) == 2:
+                both = [x and y for x, y in zip(*shared, strict=True)]
+                if self._length(both) <= SAME_SHARE * size:
+                    frame = both
+        verdict = [DROP if f or not mark else KEEP for f, mark in zip(frame, self.inside, strict=True)]
+        mine = self.marked()
+        if any(verdict[i] for i in mine):
+            sides = [p.marked().values() for p in near] if len(near) == 2 else []
+            same = [{(t, place, "first", n) for t, place, n, _ in side} | {(t, place, "last", m) for t, place, _, m in side}
+                    for side in sides]
+            for i, (t, place, n, m) in mine.items():
+                confirmed = bool(same) and all((t, place, "first", n) in s or (t, place, "last", m) in s for s in same)
+                verdict[i] = DOUBT if verdict[i] and confirmed else KEEP
         # By mark, the text left at it or at a higher one.
-        held = [sum(len(b) for b, i, x in zip(self.blocks, self.inside, left) if x and i >= mark)
+        held = [sum(n for n, i, v in zip(self.sizes, self.inside, verdict, strict=True) if not v and i >= mark)
                 for mark in range(4)]
         least = next((m for m in (3, 2) if held[m] and held[m] >= MARK_SHARE * held[1]), 1)
-        return "\n\n".join(b for b, i, x in zip(self.blocks, self.inside, left) if x and i >= least)
+        return [v if i >= least else DROP for v, i in zip(verdict, self.inside, strict=True)]
+
+    def _length(self, which: list[bool]) -> int:
+        return sum(n for n, x in zip(self.sizes, which, strict=True) if x)
 
 
 def _key(host, path, query, page_id, tie) -> tuple:
@@ -306,90 +360,132 @@ def _places(key: tuple, firsts: list[tuple], lasts: list[tuple]) -> list[tuple[i
     return out
 
 
+_FIELDS = ("blocks", "sizes", "inside", "places")
+
+
 def _read(located: DataFrame, ranges: list[tuple[tuple, tuple]]) -> DataFrame:
-    """range, halo, page_id, url, host, path, query, tie, blocks, inside."""
+    """range, halo, k1, k2, the columns of the order, and hashes, sizes, marks and places of blocks."""
     kind = dict(located.dtypes)["page_id"]
     firsts, lasts = [f for f, _ in ranges], [x for _, x in ranges]
-    names = ["page_id", "url", "host", "path", "query", "tie"]
+    names = ["k1", "k2", *ORDER]
 
     def run(batches):
         import pyarrow as pa
 
         for batch in arrow_batches(batches, "html"):
-            read = [read_blocks(h or "") for h in batch.column("html").to_pylist()]
+            read = []
+            for page in batch.column("html").to_pylist():
+                blocks, inside, places = read_blocks(page or "")
+                read.append(([block_hash(b) for b in blocks], [len(b) for b in blocks], inside, places))
             keys = zip(*(batch.column(c).to_pylist() for c in ORDER))
             sent = [(i, at, halo) for i, k in enumerate(keys) for at, halo in _places(_key(*k), firsts, lasts)]
             rows = pa.array([i for i, _, _ in sent], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at for _, at, _ in sent], pa.int32()), pa.array([h for _, _, h in sent], pa.bool_()),
                  *(batch.column(c).take(rows) for c in names),
-                 pa.array([read[i][0] for i, _, _ in sent], pa.list_(pa.string())),
-                 pa.array([read[i][1] for i, _, _ in sent], pa.list_(pa.int32()))],
-                ["range", "halo", *names, "blocks", "inside"])
+                 *(pa.array([read[i][k] for i, _, _ in sent], pa.list_(pa.int64())) for k in range(4))],
+                ["range", "halo", *names, *_FIELDS])
 
-    return map_batches(located.select(*names, "html"),
-        run, f"range int, halo boolean, page_id {kind}, url string, host string, path string, query string, "
-             "tie long, blocks array<string>, inside array<int>")
+    return map_batches(located.select(*names, "html"), run,
+                       f"range int, halo boolean, k1 long, k2 long, host string, path string, query string, page_id {kind}, "
+                       "tie long, " + ", ".join(f"{c} array<long>" for c in _FIELDS))
 
 
 def _located(pages: DataFrame) -> DataFrame:
-    """page_id, url, html and what the order needs."""
+    """page_id, url, html, k1 and k2 (hashes of the row) and what the order needs."""
     url = F.coalesce(F.col("url"), F.lit(""))
-    return pages.select("page_id", "url", "html",
+    row = [F.col("page_id"), F.col("url"), F.col("html"), F.isnull("page_id"), F.isnull("url"), F.isnull("html")]
+    return pages.select("page_id", "url", "html", F.xxhash64(*row).alias("k1"), F.xxhash64(F.lit(7), *row).alias("k2"),
                         F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
                         F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""),
                                          r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", "").alias("path"),
                         F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1).alias("query"), F.xxhash64("html").alias("tie"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars."""
-    located = _located(pages)
-    ranges = _ranges(located)
-    blocks = _read(located, ranges).repartitionById(max(1, len(ranges)), "range").sortWithinPartitions("range", *ORDER)
-    kind = dict(pages.dtypes)["page_id"]
+def _judged(blocks: DataFrame, ranges: int) -> DataFrame:
+    """For every page: k1, k2, host, keep (places of the blocks to keep), doubts (places and
+    hashes of those that depend on other hosts), marked (hashes of the marked blocks)."""
+    dealt = blocks.repartitionById(max(1, ranges), "range").sortWithinPartitions("range", *ORDER)
 
     def run(batches):
         import pyarrow as pa
 
         def pages_of():
             for batch in batches:
-                names = batch.schema.names
                 for lo in range(0, batch.num_rows, 64):
                     for row in batch.slice(lo, 64).to_pylist():
-                        yield Page({n: row[n] for n in names})
+                        yield Page(row)
 
         def same_group(a, b):
             return a is not None and b is not None and all(a.row[c] == b.row[c] for c in ("host", "range"))
 
-        def texts():
+        def verdicts():
             before, page = None, None
             for after in pages_of():
                 if page is not None and not page.row["halo"]:
-                    yield page.row, page.main_text(before if same_group(before, page) else None,
-                                                   after if same_group(page, after) else None)
+                    yield page, page.judged(before if same_group(before, page) else None,
+                                            after if same_group(page, after) else None)
                 before, page = page, after
             if page is not None and not page.row["halo"]:
-                yield page.row, page.main_text(before if same_group(before, page) else None, None)
+                yield page, page.judged(before if same_group(before, page) else None, None)
 
         def out(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r["page_id"] for r, _ in rows]).cast(types["page_id"]),
-                 pa.array([r["url"] for r, _ in rows], pa.string()), pa.array([t for _, t in rows], pa.string()),
-                 pa.array([len(t) for _, t in rows], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-        types = {"page_id": pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()}
-        rows, size = [], 0
-        for x in texts():
-            rows.append(x)
-            size += len(x[1])
-            if size > 4 << 20:
+            columns = list(zip(*rows, strict=True))
+            doubt = pa.list_(pa.struct({"at": pa.int32(), "part": pa.int64()}))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), doubt, pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+        names = ["k1", "k2", "host", "keep", "doubts", "marked"]
+        rows = []
+        for page, verdict in verdicts():
+            rows.append((page.row["k1"], page.row["k2"], page.row["host"], [i for i, v in enumerate(verdict) if v == KEEP],
+                         [{"at": i, "part": page.blocks[i]} for i, v in enumerate(verdict) if v == DOUBT],
+                         [page.blocks[i] for i in page.marked()]))
+            if len(rows) == 1000:
                 yield out(rows)
-                rows, size = [], 0
+                rows = []
         if rows:
             yield out(rows)
 
-    return map_batches(blocks, run, f"page_id {kind}, url string, text string, n_chars long")
+    return map_batches(dealt, run, "k1 long, k2 long, host string, keep array<int>, "
+                                   "doubts array<struct<at: int, part: long>>, marked array<long>")
+
+
+def _verdicts(judged: DataFrame) -> DataFrame:
+    """k1, k2, keep: the doubts decided by whether two hosts have the block inside their marks."""
+    one = judged.dropDuplicates(["k1", "k2"])
+    doubts = one.select("k1", "k2", F.explode("doubts").alias("d")).select("k1", "k2", "d.at", "d.part")
+    held = judged.select("host", F.explode("marked").alias("part")).join(
+        doubts.select("part").distinct(), "part", "left_semi")
+    held = held.groupBy("part").agg(F.min("host").alias("a"), F.max("host").alias("b")).where("a <> b").select("part")
+    saved = doubts.join(held, "part").groupBy("k1", "k2").agg(F.collect_list("at").alias("saved"))
+    saved = one.select("k1", "k2", "keep").join(saved, ["k1", "k2"], "left")
+    return saved.select("k1", "k2", F.array_sort(F.concat(
+        "keep", F.coalesce("saved", F.array().cast("array<int>")))).alias("keep"))
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars."""
+    located = _located(pages)
+    ranges = _ranges(located)
+    judged = materialize(_judged(_read(located, ranges), len(ranges)), "html-judged")
+    verdicts = materialize(_verdicts(judged), "html-verdicts")
+    kind = dict(pages.dtypes)["page_id"]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in arrow_batches(batches, "html"):
+            blocks = [read_blocks(h or "")[0] for h in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(blocks, pa.list_(pa.string()))],
+                                             [*names, "blocks"])
+
+    names = ["k1", "k2", "page_id", "url"]
+    read = map_batches(located.select(*names, "html"), run,
+                       f"k1 long, k2 long, page_id {kind}, url string, blocks array<string>")
+    text = F.array_join(F.transform("keep", lambda i: F.get("blocks", i)), "\n\n")
+    rows = read.join(verdicts, ["k1", "k2"]).select("page_id", "url", text.alias("text"))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op6_html_extraction(spark, sf_dir: str) -> DataFrame:

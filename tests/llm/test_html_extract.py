@@ -11,9 +11,10 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 
 def text(page):
     """The main text's blocks of a page without neighbours."""
-    blocks, inside = hx.read_blocks(page)
-    main = hx.Page({"blocks": blocks, "inside": inside, "path": "/"}).main_text(None, None)
-    return main.split("\n\n") if main else []
+    blocks, inside, places = hx.read_blocks(page)
+    verdict = hx.Page({"blocks": blocks, "sizes": list(map(len, blocks)), "inside": inside, "places": places,
+                       "path": "/"}).judged(None, None)
+    return [b for b, v in zip(blocks, verdict, strict=True) if v == hx.KEEP]
 
 
 @pytest.mark.parametrize("body,want", [
@@ -79,9 +80,102 @@ def marked(i, mark="article"):
 
 @pytest.mark.parametrize("mark", ["article", "main"])
 def test_frame_inside_a_marked_article_is_told_by_the_neighbours(spark, mark):
+    """By two neighbours: the site's first and last page keep theirs."""
     rows = [(i, f"http://h.example/a/{i:03}", marked(i, mark), None, None) for i in range(20)]
     got = {r.page_id: r.text for r in hx.extract(frame(spark, rows)).collect()}
-    assert got == {i: f"Story {i} is told here, longer than the frame of its site" for i in range(20)}
+    story = "Story {} is told here, longer than the frame of its site"
+    assert {i: got[i] for i in range(1, 19)} == {i: story.format(i) for i in range(1, 19)}
+    assert all(got[i].split("\n\n") == ["Read our daily letter", story.format(i), "All rights reserved"] for i in (0, 19))
+
+
+def test_shared_lines_of_articles_stay(spark):
+    """A line in both neighbours' articles stays: at other places, and at the same place if another host has it."""
+    line, rows = "This work is released under a free licence.", []
+    for host in ("a", "b"):
+        for i in range(9):
+            body = [f"Story {host}{i} part {k}, long enough to be its body." for k in range(4)]
+            body.insert(i % 3 + 1, line)                                # another place in each article
+            body.insert(0, "A quotation that many articles begin with.")
+            rows.append((i + 100 * (host == "b"), f"http://{host}.example/{i}",
+                         plain(1, "<article>" + "".join(f"<p>{x}</p>" for x in body) + "</article>"), None, None))
+    for r in hx.extract(frame(spark, rows)).collect():
+        i, host = r.page_id % 100, "b" if r.page_id >= 100 else "a"
+        want = [f"Story {host}{i} part {k}, long enough to be its body." for k in range(4)]
+        want.insert(i % 3 + 1, line)
+        assert r.text.split("\n\n") == ["A quotation that many articles begin with.", *want]
+
+
+def test_a_page_that_is_mostly_frame(spark):
+    menu = "".join(f"<div>Section {k} of the site</div>" for k in range(6))
+    rows = [(i, f"http://h.example/{i}", f"<body>{menu}<p>Short news {i}, told in one line.</p>{menu}</body>", None, None)
+            for i in range(6)]
+    got = {r.page_id: r.text for r in hx.extract(frame(spark, rows)).collect()}
+    assert all(got[i] == f"Short news {i}, told in one line." for i in range(1, 5))
+
+
+def expected(pages):
+    """Texts by the rules in the module's docstring, from each page's known (text, place, mark) lines in order of
+    their address, with alignment by plain dynamic programming."""
+    def aligned(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+        return best[0][0]
+
+    def shared(a, b):
+        """Lines in every longest alignment; the cases below have one alone."""
+        return {i for i in range(len(a)) if aligned(a[:i] + a[i + 1:], b) < aligned(a, b)}
+
+    out = {}
+    for key, (host, n, lines) in pages.items():
+        near = [p[2] for m in (n - 1, n + 1) for p in pages.values() if p[:2] == (host, m)]
+        size = sum(len(t) for t, _, _ in lines)
+        chars = lambda which: sum(len(lines[i][0]) for i in which)
+        both = [shared(lines, x) for x in near]
+        frame_ = next((x for x in both if chars(x) <= size / 2), None)
+        if frame_ is None:
+            frame_ = both[0] & both[1] if len(both) == 2 and chars(both[0] & both[1]) <= 0.9 * size else set()
+        left = []
+        for i, (t, place, mark) in enumerate(lines):
+            if i in frame_ and mark:
+                start, end = [(t, place, k) for k in (sum(x[2] for x in lines[:i]), -sum(x[2] for x in lines[i:]))]
+                there = [[(u, q, sum(x[2] for x in other[:j])) for j, (u, q, m) in enumerate(other) if m]
+                         + [(u, q, -sum(x[2] for x in other[j:])) for j, (u, q, m) in enumerate(other) if m] for other in near]
+                elsewhere = any(h != host and any(u == t and m for u, _, m in other) for h, _, other in pages.values())
+                if len(near) == 2 and not elsewhere and all(start in x or end in x for x in there):
+                    continue
+            elif i in frame_:
+                continue
+            left.append((t, mark))
+        marked_ = [t for t, mark in left if mark]
+        out[key] = "\n\n".join(marked_ if 3 * sum(map(len, marked_)) >= sum(len(t) for t, _ in left) and marked_
+                                else [t for t, _ in left])
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sites_equal_a_brute_force(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    shared = [f"Shared sentence {k} of many articles." for k in range(4)]
+    pages, rows = {}, []
+    for host in ("a.example", "b.example", "c.example"):
+        for n in range(rng.choice([1, 2, 7, 9])):
+            lines = [(f"Menu of {host}", "div", 0)]
+            lines += [(f"Letter of {host}", "p", 1)] if rng.random() < 0.8 else []
+            lines += [(f"Story {host} {n} {k} " + "word " * rng.randrange(1, 9) + "end.", "p", 1) for k in range(rng.randrange(1, 4))]
+            lines += [(rng.choice(shared), rng.choice(["p", "li"]), 1)] if rng.random() < 0.7 else []
+            lines += [(f"Rights of {host}", "p", 1)] if rng.random() < 0.8 else []
+            lines += [(f"Made by {host}", "div", 0)]
+            page = "<body>" + "".join(f"<{x}>{t}</{x}>" for t, x, m in lines[:1]) + "<article>" + "".join(
+                f"<{x}>{t}</{x}>" for t, x, m in lines if m) + "</article>" + f"<div>Made by {host}</div></body>"
+            key = len(pages)
+            pages[key] = (host, n, lines)
+            rows.append((key, f"http://{host}/{n:03}", page, None, None))
+    got = {r.page_id: r.text for r in hx.extract(frame(spark, rows)).collect()}
+    assert got == expected(pages)
 
 
 def test_body_outside_teaser_articles_stays(spark):
@@ -125,10 +219,12 @@ def in_order(rows):
     """Texts of rows (page_id, host, path and query, html), each with its neighbours in the whole order."""
     pages = []
     for i, host, path, query, page in sorted(rows, key=lambda r: (r[1], r[2], r[3], r[0])):
-        blocks, inside = hx.read_blocks(page)
-        pages.append((i, host, hx.Page({"blocks": blocks, "inside": inside, "path": path, "query": query})))
+        blocks, inside, places = hx.read_blocks(page)
+        pages.append((i, host, hx.Page({"blocks": blocks, "sizes": list(map(len, blocks)), "inside": inside,
+                                        "places": places, "path": path, "query": query})))
     near = lambda k, j: pages[j][2] if 0 <= j < len(pages) and pages[j][1] == pages[k][1] else None
-    return {i: p.main_text(near(k, k - 1), near(k, k + 1)) for k, (i, _, p) in enumerate(pages)}
+    return {i: "\n\n".join(b for b, v in zip(p.blocks, p.judged(near(k, k - 1), near(k, k + 1)), strict=True)
+                           if v == hx.KEEP) for k, (i, _, p) in enumerate(pages)}
 
 
 @pytest.mark.parametrize("n", [39, 900])
