@@ -42,9 +42,10 @@ def test_flows_never_gather_a_user_in_one_task(spark):
     m = fixtures.m1(spark, SF)
     flows = persona.region_flow(persona.enrich(m.signals, m.user_info, m.region_cell))
     plan = _plan(flows)
-    # Rows are dealt by (range partition, user); both lags run over the same exchange.
-    assert "Exchange hashpartitioning(_part" in plan
-    assert plan.count("lag(") >= 2
+    # Both passes run over the range partitions that were written once: rows are neither
+    # exchanged nor sorted again.
+    assert "Exchange" not in plan and "Window" not in plan
+    assert plan.count("Scan ExistingRDD") == 1
 
 
 def test_enrich_counts_no_dimension_in_one_task(spark):
