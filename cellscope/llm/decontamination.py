@@ -12,8 +12,11 @@ a bitmap of fixed size built from the benchmark (a scalar subquery) drops almost
 positions where they arise, the rest are joined with the seeds, which are broadcast if
 counted small and salted otherwise.  Nothing but hits is shuffled.
 
-Cases: null and empty texts and items have no tokens; items of fewer than ``MIN_TOKENS``
-tokens are too short to be evidence and match nothing; equal items count as one, under
+Items of fewer than ``MIN_TOKENS`` tokens are too short for masks: a document holds one of n
+tokens if n tokens of it in a row are the item, found by hashes of all its windows of the few
+lengths n that such items have (no such items: no pass).
+
+Cases: null and empty texts and items have no tokens and match nothing; equal items count as one, under
 the smallest id; a document is cut into overlapping pieces, so very long texts are
 searched whole; rows that repeat an id are reported once per item; rows with a null id
 are reported under null; empty tables give no rows; other columns are left aside.
@@ -70,6 +73,33 @@ def seeds(benchmark: DataFrame) -> DataFrame:
                        left.alias("item_left"))
 
 
+def _short_items(benchmark: DataFrame) -> DataFrame:
+    """n, hash, item (tokens), item_id, n_items of the items too short for masks."""
+    items = benchmark.select("item_id", token_hashes(F.col("text")).alias("item"))
+    items = items.where((F.size("item") > 0) & (F.size("item") < MIN_TOKENS)).groupBy("item").agg(
+        F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"))
+    return items.select(F.size("item").alias("n"), F.xxhash64("item").alias("hash"), "item", "item_id", "n_items")
+
+
+def _short_overlaps(docs: DataFrame, items: DataFrame, lengths: list[int]) -> DataFrame:
+    """Documents that hold a short item word for word, as from :func:`overlaps`."""
+    bits = materialize(bitmap(items, "hash", FILTER_BITS), "decon-short-bits").scalar()
+    most = max(lengths)
+    d = docs.select("doc_id", token_hashes(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
+    d = d.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1, F.lit(PIECE))))
+    d = d.select("doc_id", "start", F.slice("tokens", F.col("start") + 1, PIECE + most - 1).alias("piece"))
+    d = d.withColumn("at", F.explode(F.sequence(F.lit(0), F.least(F.lit(PIECE), F.size("piece")) - 1)))
+    windows = F.array(*[F.struct(F.lit(n).alias("n"), F.slice("piece", F.col("at") + 1, n).alias("window"))
+                        for n in lengths])
+    d = d.select("doc_id", (F.col("start") + F.col("at")).alias("p"), F.explode(windows).alias("w"))
+    d = d.select("doc_id", "p", "w.n", "w.window", F.xxhash64("w.window").alias("hash"))
+    d = d.where((F.size("window") == F.col("n")) & may_hold(bits, F.col("hash"), FILTER_BITS))
+    found = join_checked(d, items, ["n", "hash"], F.struct("doc_id", "p")).where("window = item")
+    return found.groupBy("doc_id", "item_id", "n_items", F.col("n").alias("window")).agg(
+        F.min("p").alias("doc_token")).select("doc_id", "item_id", "n_items", "window",
+                                              F.col("window").alias("matched"), "doc_token")
+
+
 def hits(docs: DataFrame, filter_row: DataFrame) -> DataFrame:
     """doc_id, p (token of the document), mask, hash, near (tokens around p), near_left:
     the positions that the bitmap lets through."""
@@ -119,8 +149,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     place = F.col("p") - F.col("left") + F.array_position("runs", F.col("matched")).cast("int") - 1
     best = F.min(F.struct((-F.col("matched")).alias("m"), place.alias("at")))
     out = pairs.groupBy("doc_id", "item_id", "n_items", "window").agg(best.alias("best"))
-    return out.select("doc_id", "item_id", "n_items", "window", (-F.col("best.m")).alias("matched"),
-                      F.col("best.at").alias("doc_token"))
+    out = out.select("doc_id", "item_id", "n_items", "window", (-F.col("best.m")).alias("matched"),
+                     F.col("best.at").alias("doc_token"))
+    short = materialize(_short_items(benchmark), "decon-short")
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())      # MIN_TOKENS - 1 at most
+    return out.unionByName(_short_overlaps(docs, short, lengths)) if lengths else out
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

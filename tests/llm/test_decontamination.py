@@ -27,14 +27,14 @@ def brute(docs, items):
     distinct = {}
     for i, t in items:
         tk = tuple(tokens(t))
-        if len(tk) >= dc.MIN_TOKENS:
+        if tk:
             distinct[tk] = min(i, distinct.get(tk, i))
     for (d, text), (item, i) in itertools.product(docs, distinct.items()):
         doc, w = tokens(text), min(len(item), dc.WINDOW)
         for p in range(len(doc) - w + 1):
             for q in range(len(item) - w + 1):
                 same = sum(a == b for a, b in zip(doc[p:p + w], item[q:q + w]))
-                if same * 100 >= w * dc.PERCENT:
+                if same * 100 >= w * (dc.PERCENT if len(item) >= dc.MIN_TOKENS else 100):
                     best[d, i] = max(best.get((d, i), 0), same)
     return best
 
@@ -68,12 +68,26 @@ def test_overlaps_equal_brute_force(spark, monkeypatch, piece):
     assert equal.get(3) == 3 and 9 not in equal
 
 
+@pytest.mark.parametrize("piece", [64, 3])
+def test_short_items_are_found_word_for_word(spark, monkeypatch, piece):
+    monkeypatch.setattr(dc, "PIECE", piece)
+    items = [(1, "What is the capital of France?"), (2, "yes"), (3, "one two"), (4, "YES!"),
+             (5, "a b c d e f g h i j k"), (6, " ".join(f"w{i}" for i in range(15)))]
+    docs = [(1, "so: what IS the, capital of france"), (2, "what is the capital of spain france"), (3, "yes"), (4, None),
+            (5, "one three two one two. one two"), (6, "x a b c d e f g h i j k y"), (7, "a b c d e f g h i j"),
+            (8, " ".join(f"w{i}" for i in range(14))), (None, "oh yes"), (9, "word " * 200 + "one two")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.n_items) for r in dc.overlaps(cases.documents(spark, docs), frame).collect()}
+    assert {k: m for k, (m, _) in got.items()} == brute(docs, items)
+    assert {(1, 1), (3, 2), (None, 2), (5, 3), (9, 3), (6, 5)} == set(got) and got[3, 2] == (1, 2)
+
+
 def test_edges(spark):
     rows = cases.edge_texts()
     quote = " ".join(rows[0][1].split()[20:60])
     items = spark.createDataFrame([(1, quote), (2, None), (3, "short"), (None, "x " * 20)], "item_id long, text string")
     got = dc.overlaps(cases.documents(spark, rows), items).collect()
-    assert sorted(r.doc_id for r in got if r.item_id == 1) == [1, 8, 11]
+    assert sorted(r.doc_id for r in got if r.item_id == 1) == [1, 8, 11] and not any(r.item_id == 2 for r in got)
     assert dc.overlaps(cases.empty(spark), items).collect() == []
     assert dc.overlaps(cases.documents(spark, rows), items.limit(0)).collect() == []
 
