@@ -89,6 +89,24 @@ def indicators(texts):
             yield np.flatnonzero(seen).astype(np.int32)
 
 
+def packed_row(idx: np.ndarray) -> bytes:
+    """A row's dimensions in DIMS / 8 bytes at most: a list, or a bitmap where that is smaller."""
+    if 4 * len(idx) < DIMS // 8:
+        return idx.astype("<i4").tobytes()
+    bits = np.zeros(DIMS, np.uint8)
+    bits[idx] = 1
+    return np.packbits(bits).tobytes()
+
+
+def dimensions(row) -> np.ndarray:
+    """The dimensions of a row as they are, or from :func:`packed_row`."""
+    if isinstance(row, np.ndarray):
+        return row
+    if len(row) == DIMS // 8:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(row, np.uint8))).astype(np.int32)
+    return np.frombuffer(row, "<i4")
+
+
 class Model:
     """Weights by dimension, bias, and the logistic curve (slope, shift)."""
 
@@ -102,8 +120,8 @@ class Model:
 
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, dims: int = DIMS) -> np.ndarray:
     p, q = np.ones(dims), np.ones(dims)
-    for idx, label in zip(rows, y):
-        (p if label else q)[idx] += 1
+    for row, label in zip(rows, y):
+        (p if label else q)[dimensions(row)] += 1
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
@@ -113,12 +131,12 @@ def dual_descent(rows, y, ratio, cost=COST, epochs=EPOCHS, seed=7):
     share = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
     soft = np.where(y, share[0], share[1]) * 2.0 / len(y) / (2 * cost)
     w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(y))
-    scaled = [ratio[idx] / np.sqrt(max(1, len(idx))) for idx in rows]
-    norm = np.array([x @ x + 1.0 for x in scaled]) + soft
+    norm = np.array([(ratio[idx] ** 2).sum() / max(1, len(idx)) + 1.0 for idx in map(dimensions, rows)]) + soft
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
-            idx, x = rows[i], scaled[i]
+            idx = dimensions(rows[i])
+            x = ratio[idx] / np.sqrt(max(1, len(idx)))
             slack = sign[i] * (w[idx] @ x + bias) - 1 + soft[i] * alpha[i]
             new = max(alpha[i] - slack / norm[i], 0.0)
             if new != alpha[i]:
@@ -162,7 +180,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
     model = Model(weights, bias, 1.0, 0.0)
     judge = aside if aside.any() else ~aside
     margin = np.array([(weights[r].sum() / np.sqrt(max(1, len(r)))) + bias
-                       for r, j in zip(rows, judge) if j])
+                       for r in (dimensions(row) for row, j in zip(rows, judge) if j)])
     model.slope, model.shift = logistic_curve(margin, y[judge])
     return model
 
@@ -175,15 +193,16 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
         import pyarrow as pa
 
         for batch in arrow_batches(batches, "text", BATCH_BYTES):
-            rows = [x.tobytes() for x in indicators(batch.column("text"))]
+            rows = [packed_row(x) for x in indicators(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())],
                 ["doc_id", "label", "row"])
 
     kind = dict(sample.dtypes)["doc_id"]
-    got = map_batches(sample, run, f"doc_id {kind}, label int, row binary").collect()
-    got.sort(key=lambda r: (r.doc_id, r.label, bytes(r.row)))
-    return fit([np.frombuffer(r.row, np.int32) for r in got], np.array([r.label for r in got], bool))
+    # About train_rows rows of DIMS / 8 bytes (16 KB) at most, however long the texts.
+    got = map_batches(sample, run, f"doc_id {kind}, label int, row binary").toArrow()
+    got = sorted(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["row"].to_pylist()))
+    return fit([row for _, _, row in got], np.array([label for _, label, _ in got], bool))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -84,3 +84,11 @@ def test_held_out_accuracy(spark):
     held = [(r.quality, got[r.doc_id].predicted) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()
             if got[r.doc_id].held_out]
     assert sum(a == b for a, b in held) >= 0.93 * len(held)
+
+
+def test_rows_travel_in_bounded_bytes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 4095, 4096, 4097, 50_000, qc.DIMS):
+        idx = np.sort(rng.choice(qc.DIMS, n, replace=False)).astype(np.int32)
+        row = qc.packed_row(idx)
+        assert len(row) <= qc.DIMS // 8 and (qc.dimensions(row) == idx).all()
