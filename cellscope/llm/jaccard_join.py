@@ -20,11 +20,14 @@ d = floor(3 (|A| + |B|) / 37).
 Hot keys: equal parts are combined inside each batch before the shuffle; equal sets
 collapse first.
 
+Rows are known by two hashes of id and text, not by the id, so rows without one are nodes
+like others.
+
 Cases: null, empty and blank texts have no shingles, link with nothing and keep their
-own id; fewer than four words count as one shingle; equal texts link; rows with a null
-id take the smallest id of the equal sets or null, and never give a group its name;
-rows that repeat an id are judged by their own text; an empty table gives no rows;
-other columns are left aside.
+own id; fewer than four words count as one shingle; equal texts link; rows without an id
+link like others and take the smallest id of their group, null if it has none; rows that
+repeat an id are judged by their own text; an empty table gives no rows; other columns are
+left aside.
 """
 
 from __future__ import annotations
@@ -124,8 +127,8 @@ def part_keys(s: np.ndarray, bands: np.ndarray) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (fingerprints), q0.. (parity sketch)."""
-    kind = dict(docs.dtypes)["doc_id"]
+    """doc_id, id, n (set size), s1, s2 (fingerprints), q0.. (parity sketch)."""
+    kind = dict(docs.dtypes)
 
     def run(batches):
         import pyarrow as pa
@@ -135,12 +138,12 @@ def sets_of(docs: DataFrame) -> DataFrame:
             with np.errstate(over="ignore"):
                 for s in shingle_sets(batch.column("text")):
                     rows.append((len(s), *signature(s), *parity(s).tolist()))
-            cols = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*rows))]
+            cols = [batch.column("doc_id"), batch.column("id"), *(pa.array(c, pa.int64()) for c in zip(*rows))]
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    names = ["doc_id", "n", "s1", "s2", *(f"q{i}" for i in range(SKETCH_WORDS))]
-    return map_batches(docs.select("doc_id", "text"),
-        run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:]))
+    names = ["doc_id", "id", "n", "s1", "s2", *(f"q{i}" for i in range(SKETCH_WORDS))]
+    return map_batches(docs.select("doc_id", "id", "text"),
+        run, f"doc_id {kind['doc_id']}, id {kind['id']}, " + ", ".join(f"{c} long" for c in names[2:]))
 
 
 def keys_of(docs: DataFrame, largest: int) -> DataFrame:
@@ -234,7 +237,12 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        seen = set()        # equal rows have one name; one of them is enough
         for batch in arrow_batches(batches, "text"):
+            new = [i for i, d in enumerate(batch.column("doc_id").to_pylist()) if not (d in seen or seen.add(d))]
+            batch = batch.take(pa.array(new, pa.int64()))
+            if not batch.num_rows:
+                continue
             with np.errstate(over="ignore"):
                 sets = list(shingle_sets(batch.column("text")))
                 sigs = [signature(s)[0] for s in sets]
@@ -277,21 +285,26 @@ def _regroup(labels: DataFrame, found: DataFrame) -> DataFrame:
     if not found.take(1):
         return labels
     merged = components(found)
+    if merged is None:
+        return labels
     out = labels.join(merged.select(F.col("node").alias("comp"), "label"), "comp", "left")
     return materialize(out.select("rep", "s1", F.coalesce("label", "comp").alias("comp")), "jac-groups")
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    docs = docs.select("doc_id", "text")
+    row = [F.col("doc_id"), F.col("text"), F.isnull("doc_id")]
+    name = F.concat(F.hex(F.xxhash64(*row)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *row)))
+    docs = docs.select(name.alias("doc_id"), F.col("doc_id").alias("id"), "text")
     sets = materialize(sets_of(docs), "jac-sets")
+    docs = docs.drop("id")
     sketch = [f"q{i}" for i in range(SKETCH_WORDS)]
     classes = materialize(sets.where("n > 0").groupBy("n", "s1", "s2").agg(
-        F.min("doc_id").alias("rep"), *[F.min(q).alias(q) for q in sketch]), "jac-classes")
+        F.min("doc_id").alias("rep"), F.min("id").alias("id"), *[F.min(q).alias(q) for q in sketch]), "jac-classes")
     largest = classes.agg(F.max("n")).first()[0] or 0
     shared = materialize(shared_parts(keys_of(docs, largest)), "jac-shared")
     release(docs.sparkSession)
-    named = classes.where("rep IS NOT NULL").drop("s2")
+    named = classes.drop("s2", "id")
     # Every member with each of its hubs once; votes: the parts they share.
     stars = shared.groupBy("s1", "hub").agg(F.count(F.lit(1)).alias("votes"))
     a, b = _side(named, "a"), _side(named, "b")
@@ -305,11 +318,13 @@ def groups(docs: DataFrame) -> DataFrame:
     else:
         labels = _link_all(docs, shared, stars, nodes)
     comp = labels.groupBy("rep").agg(F.min("comp").alias("comp"))
-    per_class = classes.select("n", "s1", "s2", "rep").join(comp, "rep", "left").select(
-        "n", "s1", "s2", F.coalesce("comp", "rep").alias("component_id"))
-    out = sets.select("doc_id", "n", "s1", "s2").join(per_class, ["n", "s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    per_class = classes.select("n", "s1", "s2", "rep", "id").join(comp, "rep", "left").select(
+        "n", "s1", "s2", "id", F.coalesce("comp", "rep").alias("comp"))
+    least = per_class.groupBy("comp").agg(F.min("id").alias("component_id"))
+    per_class = per_class.select("n", "s1", "s2", "comp").join(least, "comp").drop("comp")
+    out = sets.select("id", "n", "s1", "s2").join(per_class, ["n", "s1", "s2"], "left")
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def _link_all(docs: DataFrame, shared: DataFrame, stars: DataFrame, nodes: DataFrame) -> DataFrame:

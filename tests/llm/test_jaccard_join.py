@@ -88,6 +88,24 @@ def test_small_sets_fill_few_parts_but_lose_nothing():
         assert len(np.intersect1d(jj.part_keys(a, bands), jj.part_keys(b, bands)))
 
 
+def test_links_through_rows_without_an_id(spark):
+    """1 - null - 2 is a chain: 1 and 2 link by the row in between alone."""
+    words = [f"w{i}" for i in range(103)]
+    left, right = list(words), list(words)
+    left[10] = left[30] = "x"
+    right[60] = right[80] = "y"
+    rows = [(1, " ".join(left)), (None, " ".join(words)), (2, " ".join(right)), (None, "some other text without an id"),
+            (None, "some other text without an id")]
+    rows += [(9, " ".join(words[:4] * 3 + ["z"]))]
+    sets = [shingles(t) for _, t in rows[:3]]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    assert alike(sets[0], sets[2]) < 0.85 <= min(alike(sets[0], sets[1]), alike(sets[1], sets[2]))
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in
+                 jj.groups(cases.documents(spark, rows)).collect())
+    assert got == brute(rows)
+    assert ("2", 100, "1") in got and ("None", 100, "1") in got and ("None", 3, "None") in got
+
+
 def test_large_group_of_near_copies(spark):
     rng = random.Random(1)
     words = cases.prose(rng, 150).split(" ")
