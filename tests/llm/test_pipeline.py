@@ -132,7 +132,22 @@ def test_repeated_ids_go_only_where_their_texts_link(spark, folder):
            for n in (1, 5)]
     for found in got:
         assert sorted((str(r.doc_id), r.text or "") for r in found) == sorted(
-            [("5", a), ("None", a), ("4", b + " more"), ("6", ""), ("6", "")])
+            [("5", a), ("4", b + " more"), ("6", ""), ("6", "")])
+
+
+def test_copies_without_an_id_go(spark, folder):
+    rng = random.Random(4)
+    a, b = cases.prose(rng, 80), cases.prose(rng, 80)
+    rows = [(None, a), (None, a), (None, b), (3, b + " more"), (None, None), (None, "")]
+    docs = cases.documents(spark, rows, extra=False)
+    got = cp.one_of_each_group(spark, docs, folder).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in got) == sorted(
+        [("None", a), ("3", b + " more"), ("None", ""), ("None", "")])
+
+
+def test_keys_tell_rows_apart_by_where_a_null_is(spark):
+    df = spark.createDataFrame([(1, "t", "x", None), (1, "t", None, "x")], "doc_id long, text string, lang string, source string")
+    assert cp._keyed(df).select(cp.KEY).distinct().count() == 2
 
 
 def test_queries_are_registered():
