@@ -8,18 +8,18 @@ All but the last keep the columns of ``documents``.
    held-out fold of the labels).
 2. quality classifier: documents judged of low quality go.
 3. n-gram Jaccard join: one document of each group stays, that of the smallest id (of
-   equal ids, of the smallest hash of the row); documents without words or without an id are
-   in no group and stay.
+   equal ids, of the smallest hash of the row; one without an id only if none has one);
+   documents without words are in no group and stay.
 4. benchmark decontamination: documents that hold a benchmark item go, with an id or without.
 5. mixing: sources are mixed to their target weights; documents that the mix takes
    words of stay, with size, source_size, target and taken.
 
-Stages 3 to 5 tell rows apart by a 64-bit hash of all columns, not by the id.
+Stages 3 to 5 tell rows apart by two 64-bit hashes of all columns, not by the id.
 
 Cases: an empty input passes all stages as an empty table; rows that repeat an id are
-documents of their own, unless their texts link or they are equal in all columns (stage 3 leaves
-one); rows without an id stay rows of their own in every stage, equal ones too;
-further columns pass stages 1 to 4 unchanged (those that hold maps aren't hashed).
+documents of their own, unless their texts link (stage 3 leaves one); rows without an id are
+judged like others; rows that are equal in all columns are copies (stage 3 leaves one if they
+have words); further columns pass stages 1 to 4 unchanged (those that hold maps aren't hashed).
 """
 
 from __future__ import annotations
@@ -56,21 +56,28 @@ KEY = "_row_key"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with a hash of all their columns: equal for equal rows only."""
-    return docs.withColumn(KEY, F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]))
+    """Rows with a key made of two hashes of all their columns: equal for equal rows only."""
+    columns = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
+    row = [*columns, *[c.isNull() for c in columns]]       # hashes pass over nulls
+    return docs.withColumn(KEY, F.concat_ws("-", F.xxhash64(*row), F.xxhash64(F.lit(1), *row)))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
-    named = keyed.where("doc_id IS NOT NULL")
-    found = jaccard_join.groups(named.select(F.col(KEY).alias("doc_id"), "text")).where("n_shingles > 0")
-    linked = materialize(found.select(F.col("doc_id").alias(KEY), "component_id").distinct(), "pipe-linked")
-    # One row of each group, whatever its size: no join by group.
-    least = linked.join(named.select(KEY, "doc_id").distinct(), KEY).groupBy("component_id").agg(
-        F.min(F.struct("doc_id", KEY)).alias("least")).select(F.col(f"least.{KEY}").alias(KEY))
-    copies = materialize(linked.select(KEY).join(least, KEY, "left_anti"), "pipe-copies")
-    kept = named.join(copies, KEY, "left_anti").dropDuplicates([KEY])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    found = jaccard_join.groups(keyed.select(F.col(KEY).alias("doc_id"), "text")).where("n_shingles > 0")
+    # One row for each key; a group may have as many as there are copies, so it is never one task's.
+    linked = materialize(found.groupBy(F.col("doc_id").alias(KEY)).agg(
+        F.first("component_id").alias("component_id"), F.count(F.lit(1)).alias("_copies")), "pipe-linked")
+    ids = keyed.select(KEY, "doc_id").distinct()
+    least = linked.join(ids, KEY).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", KEY)).alias("least")).select(F.col(f"least.{KEY}").alias(KEY))
+    gone = linked.select(KEY).join(least, KEY, "left_anti")
+    again = linked.where("_copies > 1").select(KEY)
+    gone, again = materialize(gone, "pipe-copies"), materialize(again, "pipe-repeated")
+    kept = keyed.join(gone, KEY, "left_anti")
+    # Only rows that are equal in all columns are gathered by their key.
+    once = kept.join(again, KEY, "left_anti")
+    return once.unionByName(kept.join(again, KEY, "left_semi").dropDuplicates([KEY])).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
