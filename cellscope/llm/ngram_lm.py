@@ -1,31 +1,35 @@
 r"""Operator 4: text scores under a word-pair language model in Elias-Fano tries.
 
-Tokens are lower-cased words and one end per text.  The most frequent training words
-(``CLASSES`` at most, chosen by a count threshold) are classes of their own; all other
-words share the class RARE and are told apart inside it by their own counts.  With
-c the training counts and P1 the add-half unigram over classes,
+Tokens are lower-cased words and one end per text.  Every training word is a class of its
+own, however rare; words that no training text has share the class RARE.  With c the training
+counts and P1 the add-half unigram over classes,
 
     P(v | u) = (c(u, v) + MU * P1(v)) / (c(u) + MU)             for classes u, v
-    P(w) inside RARE = (c(w) + 1) / (N_rare + V_rare + 1)
+
+``CLASSES`` can be set to bound the classes to the most frequent words; all others then share
+RARE and are told apart inside it by (c(w) + 1) / (N_rare + V_rare + 1).
 
 The pairs form a trie: a level of contexts with monotone pointers to their successors,
 successors stored relative to the last one of the context before (so that the whole
-level is one monotone sequence), both as Elias-Fano sequences, and 8-bit codes of
-quantised log probabilities.  Levels are written to a file and memory-mapped; a pair is
-found by successor search inside its context's range.
+level is one monotone sequence), both as Elias-Fano sequences, and 8-bit codes of the
+quantised logarithms of P's numerators (the denominator is the context's alone and added
+exactly).  Levels are written to a file and memory-mapped; a pair is found by successor search
+inside its context's range.
 
-How it spreads: word counts are combined in tasks, then by word.  Pairs among the
+How it spreads: word counts are combined in tasks, then by word.  Tasks hold the counts of
+the ``TABLE`` most frequent words; any other word is known by its hash.  Pairs among the
 ``HOT`` most frequent classes (a table of fixed size) are counted beforehand and scored
 where the text is, so a frequent pair is never sent anywhere.  Every other pair goes,
-combined by document, to the shard that its hash names; the shard counts it over all
-training rows, builds its part of the trie and answers for its pairs.  Such a pair holds
-a rare word, so it makes up a small share of all tokens.  Rare words go by their hash in
-the same shuffle.  Per-document sums come back in one aggregation.
+combined by document, to a shard, which counts it over all training rows, builds its part of
+the trie and answers for its pairs: a pair whose successor is in the table to the shard that
+the pair's hash names, any other to that of its successor.  Such a shard meets every
+occurrence of the successor (each follows one token), so it knows c(v), and with it P1(v) and
+the denominator that v gives as a context.  Per-document sums come back in one aggregation.
 
 Cases: null, empty and blank texts are one end token; rows with null or repeated ids
 are rows of their own (a null id's fold is that of the empty text); an empty table gives
 no rows; without training rows every count is 0 and all scores are finite; other columns
-are left aside.  Words count as equal when their 64-bit hashes are.
+are left aside.  Words count as equal when their hashes (64 bits, 63 outside the table) are.
 """
 
 from __future__ import annotations
@@ -38,13 +42,15 @@ from pyspark.sql import functions as F
 
 from cellscope.llm.common import Words, arrow_batches, documents, fold, map_batches, materialize, mix64
 
-CLASSES = 65_000
+CLASSES = None          # most words that are classes of their own; None: all
+TABLE = 65_000          # words whose counts every task holds
 HOT = 512
 MU = 500.0
 FOLDS, HELD = 7, 2
-SHARD_PAIRS = 4_000_000
+SHARD_PAIRS = 2_500_000
 MIN_SHARDS = 32
 BOS, END, RARE, FIRST = 0, 1, 2, 3
+_HASHED = np.uint64(1 << 63)     # marks the hash of a word outside the table
 
 _LOCAL = np.dtype([("row", "<i8"), ("doc", "<i8"), ("named", "u1"), ("held", "u1"), ("tokens", "<i8"),
                    ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
@@ -196,9 +202,12 @@ def quantise(x: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndarray]:
 # --- the model's shared numbers ---------------------------------------------------------------
 
 class Counts:
-    """Totals and the frequent words: all that every task holds (bounded by CLASSES and HOT)."""
+    """Totals and the frequent words: all that every task holds (bounded by TABLE and HOT).
+
+    ``limited``: words outside the table share RARE instead of being classes of their own.
+    """
 
-    def __init__(self, hashes, counts, n_words, n_distinct, n_texts):
+    def __init__(self, hashes, counts, n_words, n_distinct, n_texts, limited):
         order = np.lexsort((hashes, -counts))
         hashes, counts = hashes[order], counts[order]
         self.sorted = np.argsort(hashes)
@@ -208,10 +217,12 @@ class Counts:
         self.n_texts = n_texts
         self.n_rare = n_words - int(counts.sum())
         self.v_rare = n_distinct - len(counts)
-        self.by_class = np.concatenate([[n_texts, n_texts, self.n_rare], counts]).astype(np.float64)
+        self.limited = limited
+        self.by_class = np.concatenate([[n_texts, n_texts, self.n_rare if limited else 0], counts]).astype(np.float64)
         shares = self.by_class + 0.5
         shares[BOS] = 0
-        self.p1 = shares / shares.sum()
+        self.shares = shares.sum() + (0 if limited else self.n_rare + 0.5 * self.v_rare)
+        self.p1 = shares / self.shares
         self.hot = None
 
     def classes(self, h: np.ndarray) -> np.ndarray:
@@ -224,9 +235,21 @@ class Counts:
     def n_hot(self) -> int:
         return min(len(self.by_class), HOT + FIRST)
 
-    def log_pair(self, count, u, v):
+    def keys(self, h: np.ndarray) -> np.ndarray:
+        """What pairs know words by: their class, or their marked hash."""
+        cls = self.classes(h).astype(np.uint64)
+        return cls if self.limited else np.where(cls == RARE, h | _HASHED, cls)
+
+    @staticmethod
+    def log_top(count, p1):
+        """Logarithm of the numerator of P(v | u)."""
         with np.errstate(divide="ignore"):      # a text's begin follows nothing
-            return np.log10((count + MU * self.p1[v]) / (self.by_class[u] + MU))
+            return np.log10(count + MU * p1)
+
+    @staticmethod
+    def log_under(c):
+        """Logarithm of the denominator that a context gives."""
+        return np.log10(c + MU)
 
     def base(self, c):
         return np.log10((c + 1.0) / (self.n + self.v + 1.0))
@@ -280,7 +303,7 @@ def learn(docs: DataFrame) -> Counts:
     n_texts = docs.where("train").count()
     step = F.floor(F.log2("c") * 8)
     steps = counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()
-    room, least = CLASSES, None
+    room, least = TABLE if CLASSES is None else CLASSES, None
     for r in sorted(steps, key=lambda r: -r.step):
         room -= r.n
         if room < 0:
@@ -289,21 +312,20 @@ def learn(docs: DataFrame) -> Counts:
     frequent = counted.where(step >= least).toArrow() if least is not None else None
     h = frequent["h"].to_numpy().view(np.uint64) if frequent is not None else np.zeros(0, np.uint64)
     c = frequent["c"].to_numpy() if frequent is not None else np.zeros(0, np.int64)
-    model = Counts(h, c, sum(r.c for r in steps), sum(r.n for r in steps), n_texts)
+    model = Counts(h, c, sum(r.c for r in steps), sum(r.n for r in steps), n_texts, CLASSES is not None)
     model.hot = _hot_pairs(docs, model)
     return model
 
 
 def _pairs(w: Words, model: Counts):
-    """Class pairs of all texts: (row, context, successor), begin and end included."""
-    cls = model.classes(w.hashes)
+    """Pairs of all texts' keys: (row, context, successor), begin and end included."""
     n = np.diff(w.first)
     row = np.concatenate([np.arange(w.rows), w.row])
     place = np.concatenate([np.full(w.rows, -1), np.arange(len(w.hashes))])
     order = np.lexsort((place, row)) if w.rows else np.zeros(0, np.int64)
-    seq = np.concatenate([np.full(w.rows, BOS), cls])[order]
+    seq = np.concatenate([np.full(w.rows, BOS, np.uint64), model.keys(w.hashes)])[order]
     row = row[order]
-    after = np.append(seq[1:], BOS)
+    after = np.append(seq[1:], np.uint64(BOS))
     after[after == BOS] = END       # what follows a text's last token
     return row, seq, after, n
 
@@ -320,7 +342,7 @@ def _hot_pairs(docs: DataFrame, model: Counts) -> np.ndarray:
             row, u, v, _ = _pairs(Words(batch.column("text")), model)
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
             take = (u < n) & (v < n) & train[row]
-            table += np.bincount(u[take] * n + v[take], minlength=n * n)
+            table += np.bincount((u[take] * np.uint64(n) + v[take]).astype(np.int64), minlength=n * n)
         pair = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(table[pair])], ["pair", "c"])
 
@@ -343,45 +365,46 @@ def _unplanes(raw: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-def _pack(key: np.ndarray, ref: np.ndarray, times: np.ndarray) -> bytes:
-    return np.array([len(key)], np.int64).tobytes() + _planes(key) + _planes(ref) + _planes(times)
+def _pack(u: np.ndarray, v: np.ndarray, ref: np.ndarray, times: np.ndarray) -> bytes:
+    return b"".join([np.array([len(u)], np.int64).tobytes(), *map(_planes, (u, v, ref, times))])
 
 
-def _unpack(raw: bytes, dtype):
+def _unpack(raw: bytes):
     n = int(np.frombuffer(raw, np.int64, 1)[0])
-    a = 8 + n * np.dtype(dtype).itemsize
-    return (_unplanes(raw[8:a], dtype), _unplanes(raw[a:a + 4 * n], np.uint32),
-            _unplanes(raw[a + 4 * n:], np.uint32))
+    cut = 8 + n * np.array([0, 8, 16, 20, 24])
+    return [_unplanes(raw[a:b], t) for a, b, t in zip(cut, cut[1:], (np.uint64, np.uint64, np.uint32, np.uint32))]
 
 
-def _by_shard(key: np.ndarray, ref: np.ndarray, shards: int):
-    """Equal (key, ref) combined, then cut by shard: (shard, key, ref, times)."""
-    if not len(key):
+def _by_shard(u: np.ndarray, v: np.ndarray, ref: np.ndarray, shards: int, by_successor: bool):
+    """Equal (u, v, ref) combined, then cut by shard: (shard, u, v, ref, times)."""
+    if not len(u):
         return
-    order = np.lexsort((ref, key))
-    key, ref = key[order], ref[order]
-    head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (ref[1:] != ref[:-1])))
-    times = np.diff(np.append(head, len(key))).astype(np.uint32)
-    key, ref = key[head], ref[head]
-    shard = (mix64(key.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((ref, v, u))
+    u, v, ref = u[order], v[order], ref[order]
+    head = np.flatnonzero(np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (ref[1:] != ref[:-1])))
+    times = np.diff(np.append(head, len(u))).astype(np.uint32)
+    u, v, ref = u[head], v[head], ref[head]
+    hashed = mix64(v) if by_successor else mix64(u ^ mix64(v))
+    shard = (hashed % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     cut = np.searchsorted(shard[order], np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(cut)):
         at = order[cut[s]:cut[s + 1]]
-        yield int(s), key[at], ref[at], times[at]
+        yield int(s), u[at], v[at], ref[at], times[at]
 
 
 def _send(docs: DataFrame, model: Counts, shards: int) -> DataFrame:
-    """shard, base, kind (0 pairs, 1 rare words, 2 sums worked out here), payload."""
+    """shard, base, kind, payload.  Kinds: 0 pairs whose successor is a class of the table, 1 pairs
+    whose successor is another word (with limited classes: such words alone), 2 sums worked out here."""
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         at = TaskContext.get().partitionId() << 36
         n_hot = model.n_hot
-        # Log probabilities of the pairs of hot classes.
-        u, v = np.divmod(np.arange(n_hot * n_hot), n_hot)
-        hot = model.log_pair(model.hot, u, v)
+        # Numerators of the pairs of hot classes.
+        hot = model.log_top(model.hot, np.tile(model.p1[:n_hot], n_hot))
+        under = model.log_under(model.by_class)
         for batch in arrow_batches(batches, "text"):
             w = Words(batch.column("text"))
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
@@ -394,16 +417,25 @@ def _send(docs: DataFrame, model: Counts, shards: int) -> DataFrame:
             local["named"] = docs_.is_valid().to_numpy(zero_copy_only=False)
             local["doc"] = docs_.fill_null(0).to_numpy(zero_copy_only=False)
             local["held"], local["tokens"] = ~train, n + 1
-            local["score"] = np.bincount(row[here], hot[u[here] * n_hot + v[here]], minlength=w.rows)
+            of_hot = hot[(u[here] * np.uint64(n_hot) + v[here]).astype(np.int64)]
+            local["score"] = np.bincount(row[here], of_hot, minlength=w.rows)
+            held = u < _HASHED
+            local["score"] -= np.bincount(row[held], under[u[held].astype(np.int64)], minlength=w.rows)
             cls = model.classes(w.hashes)
             known = cls >= FIRST
             count = model.by_class[cls[known]]
             local["known"] = np.bincount(w.row[known], minlength=w.rows) + (model.n_texts > 0)
             local["base"] = np.bincount(w.row[known], model.base(count), minlength=w.rows) + model.base(model.n_texts)
             out = [(int(at // 4096 % shards), at, 2, local.tobytes())]
-            key = (u[~here] << 16 | v[~here]).astype(np.uint32)
-            out += [(s, at, 0, _pack(*x)) for s, *x in _by_shard(key, ref[row[~here]], shards)]
-            out += [(s, at, 1, _pack(*x)) for s, *x in _by_shard(w.hashes[~known], ref[w.row[~known]], shards)]
+            rare = v >= _HASHED
+            pairs = ~here & ~rare
+            out += [(s, at, 0, _pack(*x)) for s, *x in _by_shard(u[pairs], v[pairs], ref[row[pairs]], shards, False)]
+            if model.limited:
+                hashed = w.hashes[~known]
+                alone = np.zeros(len(hashed), np.uint64), hashed, ref[w.row[~known]]
+            else:
+                alone = u[rare], v[rare], ref[row[rare]]
+            out += [(s, at, 1, _pack(*x)) for s, *x in _by_shard(*alone, shards, True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))],
                 ["shard", "base", "kind", "payload"])
@@ -413,21 +445,24 @@ def _send(docs: DataFrame, model: Counts, shards: int) -> DataFrame:
         run, "shard int, base long, kind int, payload binary")
 
 
-def _gather(parts, dtype):
-    key, row, train, times = [], [], [], []
+def _gather(parts):
+    """All pairs sent to a shard: context, successor, row, whether it is a training row, times."""
+    out = []
     for base, raw in parts:
-        k, ref, t = _unpack(raw, dtype)
-        key.append(k)
-        row.append(base + (ref >> 1).astype(np.int64))
-        train.append((ref & 1).astype(bool))
-        times.append(t)
-    return [np.concatenate(x) for x in (key, row, train, times)]
+        u, v, ref, times = _unpack(raw)
+        out.append((u, v, base + (ref >> 1).astype(np.int64), (ref & 1).astype(bool), times))
+    return [np.concatenate(x) for x in zip(*out)]
 
 
-def _distinct(key, train, times):
-    """Sorted distinct keys, each occurrence's place among them, training counts."""
-    keys, place = np.unique(key, return_inverse=True)
-    return keys, place, np.bincount(place, times * train, minlength=len(keys))
+def _distinct(u, v, train, times):
+    """Distinct pairs in order, each occurrence's place among them, training counts."""
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    new = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))
+    place = np.empty(len(u), np.int64)
+    place[order] = np.cumsum(new) - 1
+    u, v = u[new], v[new]
+    return u, v, place, np.bincount(place, times * train, minlength=len(u))
 
 
 def _sums(row, *values):
@@ -436,10 +471,14 @@ def _sums(row, *values):
     return row[order][head], [np.add.reduceat(v[order], head) for v in values]
 
 
-def pair_trie(keys: np.ndarray, counts: np.ndarray, model: Counts) -> Trie:
+def pair_tops(u, v, counts, p1, model: Counts) -> np.ndarray:
+    """Logarithms of the numerators of distinct pairs in order, out of a trie of those that the
+    training rows have.  Its levels number the shard's contexts and successors."""
+    context, successor = np.unique(u, return_inverse=True)[1], np.unique(v, return_inverse=True)[1]
     seen = counts > 0
-    u, v = (keys[seen] >> 16).astype(np.int64), (keys[seen] & 0xFFFF).astype(np.int64)
-    return Trie(u, v, model.log_pair(counts[seen], u, v))
+    trie = Trie(context[seen], successor[seen], model.log_top(counts[seen], p1[seen]))
+    found = trie.find(context, successor)
+    return np.where(np.isnan(found), model.log_top(0, p1), found)
 
 
 def _answer(model: Counts):
@@ -452,19 +491,23 @@ def _answer(model: Counts):
             kinds[kind].append((base, raw.as_py()))
         out = []
         if kinds[0]:
-            key, row, train, times = _gather(kinds[0], np.uint32)
-            keys, place, counts = _distinct(key, train, times)
-            u, v = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
-            logp = pair_trie(keys, counts, model).find(u, v)
-            logp = np.where(np.isnan(logp), model.log_pair(0, u, v), logp)
-            rows, (score,) = _sums(row, logp[place] * times)
+            u, v, row, train, times = _gather(kinds[0])
+            u, v, place, counts = _distinct(u, v, train, times)
+            top = pair_tops(u, v, counts, model.p1[v.astype(np.int64)], model)
+            rows, (score,) = _sums(row, top[place] * times)
             out.append((rows, np.zeros(len(rows), np.int64), np.zeros(len(rows)), score))
         if kinds[1]:
-            key, row, train, times = _gather(kinds[1], np.uint64)
-            _, place, counts = _distinct(key, train, times)
+            u, v, row, train, times = _gather(kinds[1])
+            u, v, place, counts = _distinct(u, v, train, times)
+            # All that precedes a word is here, so these are the word's own counts.
+            word = np.unique(v, return_inverse=True)[1]
+            c = np.bincount(word, counts)[word]
+            if model.limited:
+                score = model.inside_rare(c)
+            else:
+                score = pair_tops(u, v, counts, (c + 0.5) / model.shares, model) - model.log_under(c)
             rows, (known, base, score) = _sums(
-                row, (counts[place] > 0) * times.astype(np.int64), model.base(counts)[place] * times,
-                model.inside_rare(counts)[place] * times)
+                row, (c[place] > 0) * times.astype(np.int64), model.base(c)[place] * times, score[place] * times)
             out.append((rows, known, base, score))
         parts = [pa.table({"row": pa.array(r), "doc_id": pa.nulls(len(r), pa.int64()),
                            "held_out": pa.nulls(len(r), pa.bool_()), "n_tokens": pa.nulls(len(r), pa.int64()),

@@ -94,6 +94,24 @@ def test_scores_equal_brute_force(spark, monkeypatch, classes, hot):
         assert a[6] == pytest.approx(b[6], rel=0.02, abs=0.05)
 
 
+def test_no_word_is_dropped_into_a_shared_class(spark, monkeypatch):
+    """With few words in every task's table, all words still have pairs of their own."""
+    rng = random.Random(5)
+    rows = cases.edge_texts() + [(100 + i, cases.prose(rng, rng.randrange(60))) for i in range(60)]
+    rows += [(300 + i, "zyx wvu zyx wvu") for i in range(12)]
+    want = brute(rows, 10 ** 9, None)
+    key = lambda r: (str(r[0]), r[2], round(r[5], 3))
+    for table, hot in ((65_000, 512), (12, 4), (0, 2)):
+        monkeypatch.setattr(lm, "TABLE", table)
+        monkeypatch.setattr(lm, "HOT", hot)
+        got = list(map(tuple, lm.score(cases.documents(spark, rows)).collect()))
+        assert len(got) == len(want)
+        for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
+            assert a[:5] == b[:5]
+            assert a[5] == pytest.approx(b[5], abs=1e-6)
+            assert a[6] == pytest.approx(b[6], rel=0.03, abs=0.2)      # quantised, 256 steps a shard
+
+
 def test_without_training_rows_and_empty(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
     got = lm.score(cases.documents(spark, [(i, "a b a") for i in held])).collect()
