@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,9 +58,10 @@ def _runs(positions: Column) -> Column:
     return _let(positions, of)
 
 
-def _word(hexed: Column, w: Column) -> Column:
-    """Bytes 4w to 4w + 3 of a bitmap, the first one highest."""
-    return F.conv(F.substring(hexed, w * 8 + 1, F.lit(8)), 16, 10).cast("long")
+def _word(bits: Column, w: Column) -> Column:
+    """Bytes 4w to 4w + 3 of a bitmap, the first one highest.  A part of a binary value is taken
+    at its place; of a string it would be sought from the start."""
+    return F.conv(F.hex(F.substring(bits, w * 4 + 1, F.lit(4))), 16, 10).cast("long")
 
 
 def _bit(word: Column, p: Column) -> Column:
@@ -69,18 +70,48 @@ def _bit(word: Column, p: Column) -> Column:
     return F.call_function("shiftright", word, place).bitwiseAND(F.lit(1).cast("long")) == 1
 
 
-def _bitmap_positions(bits: Column) -> Column:
+def _single(p: Column) -> Column:
+    """The word that has bit p alone."""
+    place = (F.lit(3) - F.shiftright(p.cast("int"), 3)) * 8 + p % 8
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+
+
+def _words(bits: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda w: _word(bits, w))
+
+
+def _filled(bits: Column) -> Column:
+    """Words (w, word) of a bitmap that aren't 0."""
+    numbered = F.transform(_words(bits), lambda word, w: F.struct(w.alias("w"), word.alias("word")))
+    return F.filter(numbered, lambda x: x["word"] != 0)
+
+
+def _word_positions(words: Column) -> Column:
     def positions(x: Column) -> Column:
         inside = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda p: _bit(x["word"], p))
         return F.transform(inside, lambda p: (x["w"] * 32 + p).cast("smallint"))
 
-    def of(hexed: Column) -> Column:
-        filled = F.filter(F.sequence(F.lit(0), F.lit(_WORDS - 1)),
-                          lambda w: F.substring(hexed, w * 8 + 1, F.lit(8)) != "00000000")
-        return F.flatten(F.transform(F.transform(
-            filled, lambda w: F.struct(w.alias("w"), _word(hexed, w).alias("word"))), positions))
+    return F.flatten(F.transform(words, positions))
 
-    return _let(F.hex(bits), of)
+
+def _bitmap_positions(bits: Column) -> Column:
+    return _word_positions(_filled(bits))
+
+
+def _bitmap_of(positions: Column) -> Column:
+    """Sorted positions -> bitmap, by way of its bits as digits, the last one first."""
+    def gap(x: Column, i: Column) -> Column:
+        return F.repeat(F.lit("0"), (x - F.when(i > 0, F.get(positions, i - 1)).otherwise(F.lit(-1)) - 1).cast("int"))
+
+    digits = F.array_join(F.transform(positions, lambda x, i: F.concat(gap(x, i), F.lit("1"))), "")
+    digits = F.reverse(F.rpad(digits, BITS_PER_BUCKET, "0")).cast("binary")
+
+    def byte(d: Column, b: Column) -> Column:
+        eight = F.substring(d, F.lit(BITS_PER_BUCKET - 7) - b * 8, F.lit(8)).cast("string")
+        return F.lpad(F.conv(eight, 2, 16), 2, "0")
+
+    return _let(digits, lambda d: F.unhex(F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(BYTES_PER_BUCKET - 1)), lambda b: byte(d, b)), "")))
 
 
 def _run_positions(vals: Column) -> Column:
@@ -95,46 +126,44 @@ def positions(prefix: str = "") -> Column:
     return F.when(kind == BITMAP, _bitmap_positions(bits)).when(kind == RUNS, _run_positions(vals)).otherwise(vals)
 
 
-def _smallest(rows: DataFrame, keep: Sequence[str], sorted_positions: str) -> DataFrame:
-    """keep..., positions, runs and the kind that takes fewest bytes."""
-    rows = rows.withColumn("_runs", _runs(F.col(sorted_positions)))
-    size = F.size(sorted_positions)
-    array, runs = size * 2, F.size("_runs") * 2
-    kind = (F.when((array <= runs) & (array <= BYTES_PER_BUCKET), ARRAY)
-            .when(runs <= BYTES_PER_BUCKET, RUNS).otherwise(BITMAP).cast("tinyint"))
-    return rows.select(*keep, kind.alias("kind"), size.alias("n"), F.col(sorted_positions).alias("_positions"), "_runs")
+def _contained(rows: DataFrame, keep: Sequence[str], sorted_positions: Column, bits: Column | None = None,
+               bitmaps: bool = True) -> DataFrame:
+    """keep... and the container of the kind that takes fewest bytes, in one projection.
 
+    ``bits`` is the set as a bitmap where it's at hand.  Without ``bitmaps`` lists that would
+    be one stay runs (a result that isn't stored).
+    """
+    none = F.lit(None).cast("binary")
 
-def _packed(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Rows of :func:`_smallest` that aren't bitmaps as containers."""
-    vals = F.when(F.col("kind") == RUNS, F.col("_runs")).otherwise(F.col("_positions"))
-    return rows.where(F.col("kind") != BITMAP).select(
-        *keep, "kind", "n", _shorts(vals).alias("vals"), F.lit(None).cast("binary").alias("bits"))
+    def of(kind: int, a: Column, vals: Column, bits: Column) -> Column:
+        return F.struct(F.lit(kind).cast("tinyint").alias("kind"), F.size(a).alias("n"),
+                        _shorts(vals).alias("vals"), bits.alias("bits"))
 
+    def chosen(a: Column, runs: Column) -> Column:
+        array, by_runs = F.size(a) * 2, F.size(runs) * 2
+        out = F.when((array <= by_runs) & (array <= BYTES_PER_BUCKET), of(ARRAY, a, a, none))
+        if not bitmaps:
+            return out.otherwise(of(RUNS, a, runs, none))
+        return out.when(by_runs <= BYTES_PER_BUCKET, of(RUNS, a, runs, none)).otherwise(
+            of(BITMAP, a, F.array(), _bitmap_of(a) if bits is None else bits))
 
-def _as_bitmap(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """(keep..., bits) as containers of kind BITMAP."""
-    return rows.select(*keep, F.lit(BITMAP).cast("tinyint").alias("kind"), F.bitmap_count("bits").cast("int").alias("n"),
-                       F.array().cast("array<smallint>").alias("vals"), "bits")
+    # Two ids or fewer are an array whatever they are.
+    container = _let(sorted_positions, lambda a: F.when(F.size(a) <= 2, of(ARRAY, a, a, none)).otherwise(
+        _let(_runs(a), lambda runs: chosen(a, runs))))
+    return rows.select(*keep, F.inline(F.array(container)))
 
 
 def _from_positions(dealt: DataFrame, group: list[str]) -> DataFrame:
     """(group..., pos), dealt by ``group`` -> containers; no exchange."""
-    sets = dealt.groupBy(*group).agg(F.sort_array(F.collect_set("pos")).alias("_sorted"))
-    sized = _smallest(sets, group, "_sorted")
-    large = sized.where(F.col("kind") == BITMAP).select(*group, F.explode("_positions").alias("pos"))
-    large = large.groupBy(*group).agg(F.bitmap_construct_agg(F.col("pos").cast("long")).alias("bits"))
-    return _packed(sized, group).unionByName(_as_bitmap(large, group))
+    # Sorted by bucket first: a number of many values, where a key's text has few.
+    sets = dealt.groupBy(*reversed(group)).agg(F.sort_array(F.collect_set("pos")).alias("_sorted"))
+    return _contained(sets, group, F.col("_sorted"))
 
 
 def from_bitmaps(df: DataFrame, keys: Sequence[str], bitmap_col: str = "bitmap") -> DataFrame:
     """Rows (keys..., bucket, bitmap), one for each bucket, as containers."""
-    group = [*keys, "bucket"]
-    rows = df.select(*group, F.col(bitmap_col).alias("bits"))
-    sized = _smallest(rows.withColumn("_sorted", _bitmap_positions(F.col("bits"))), [*group, "bits"], "_sorted")
-    vals = F.when(F.col("kind") == RUNS, F.col("_runs")).when(F.col("kind") == ARRAY, F.col("_positions"))
-    return sized.select(*group, "kind", "n", _shorts(F.coalesce(vals, F.array().cast("array<smallint>"))).alias("vals"),
-                        F.when(F.col("kind") == BITMAP, F.col("bits")).alias("bits"))
+    bits = F.col(bitmap_col)
+    return _contained(df, [*keys, "bucket"], _bitmap_positions(bits), bits)
 
 
 def build(df: DataFrame, keys: Sequence[str], id_col: str = "bitmap_id", sparse: bool = True) -> DataFrame:
@@ -151,19 +180,21 @@ def build(df: DataFrame, keys: Sequence[str], id_col: str = "bitmap_id", sparse:
 
 
 def merge(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """OR of the containers of the same (keys, bucket), e.g. hours -> day."""
+    """OR of the containers of the same (keys, bucket), e.g. hours -> day.
+
+    Each container is read out as words of 32 bits, equal words are OR-ed and the at most 1024
+    of a bucket make its container again: one pass after one exchange, whatever kinds meet.
+    """
     group = [*keys, "bucket"]
     dealt = df.select(*group, *CONTAINER).repartition(*group)
-    dealt = dealt.withColumn("_dense", F.max((F.col("kind") == BITMAP).cast("int")).over(Window.partitionBy(*group)))
-    few = dealt.where("_dense = 0").select(*group, F.explode_outer(positions()).alias("pos"))
-    many = dealt.where("_dense = 1").select(
-        *group, F.explode_outer(F.when(F.col("kind") != BITMAP, positions()).otherwise(
-            F.lit(None).cast("array<smallint>"))).alias("pos"), "bits")
-    parts = many.groupBy(*group).agg(F.bitmap_construct_agg(F.col("pos").cast("long")).alias("a"),
-                                     F.bitmap_or_agg("bits").alias("b"))
-    whole = parts.select(*group, F.explode(F.array("a", "b")).alias("bits")).groupBy(*group).agg(
-        F.bitmap_or_agg("bits").alias("bits"))
-    return _from_positions(few, group).unionByName(from_bitmaps(whole, keys, "bits"))
+    single = F.transform(positions(), lambda p: F.struct(
+        F.shiftright(p.cast("int"), 5).alias("w"), _single(p % 32).alias("word")))
+    words = F.when(F.col("kind") == BITMAP, _filled(F.col("bits"))).otherwise(single)
+    words = dealt.select(*group, F.explode_outer(words).alias("x")).select(*group, "x.w", "x.word")
+    words = words.groupBy(*group, "w").agg(F.bit_or("word").alias("word"))
+    sets = words.groupBy(*group).agg(F.sort_array(F.collect_list(
+        F.when(F.col("w").isNotNull(), F.struct("w", "word")))).alias("_words"))
+    return _contained(sets, group, _word_positions(F.col("_words")))
 
 
 def cardinality(df: DataFrame, keys: Sequence[str], out: str = "user_count") -> DataFrame:
@@ -172,14 +203,14 @@ def cardinality(df: DataFrame, keys: Sequence[str], out: str = "user_count") ->
 
 
 def common(left: str, right: str) -> Column:
-    """Sorted positions that two containers (columns with these prefixes) share.
+    """Sorted positions that two containers (columns of :func:`prefixed`) share.
 
-    With a bitmap on one side the other's positions are looked up in it (of two bitmaps the
+    With a bitmap on one side the other's positions are looked up in its words (of two bitmaps the
     one with fewer ids is read out); otherwise two short lists are intersected.
     """
     def inside(p: str, of: str) -> Column:
-        return _let(F.hex(F.col(of + "bits")), lambda hexed: F.filter(
-            positions(p), lambda x: _bit(_word(hexed, F.shiftright(x.cast("int"), 5)), x % 32)))
+        return F.filter(positions(p), lambda x: _bit(
+            F.get(F.col(of + "words"), F.shiftright(x.cast("int"), 5)), x % 32))
 
     first = (F.col(right + "kind") == BITMAP) & (
         (F.col(left + "kind") != BITMAP) | (F.col(left + "n") <= F.col(right + "n")))
@@ -188,7 +219,10 @@ def common(left: str, right: str) -> Column:
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({c: prefix + c for c in CONTAINER})
+    """Containers with prefixed columns for :func:`common`; a bitmap's words are read once
+    here, not for every container that it meets."""
+    words = F.when(F.col("kind") == BITMAP, _words(F.col("bits")))
+    return df.withColumn(prefix + "words", words).withColumnsRenamed({c: prefix + c for c in CONTAINER})
 
 
 def intersect(left: DataFrame, right: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -199,9 +233,7 @@ def intersect(left: DataFrame, right: DataFrame, keys: Sequence[str] = ()) -> Da
     group = [*keys, "bucket"]
     sides = [prefixed(merge(x.where(F.col("bucket").isNotNull()), list(keys)), p) for x, p in ((left, "_l"), (right, "_r"))]
     both = sides[0].join(sides[1], group).select(*group, common("_l", "_r").alias("_both")).where(F.size("_both") > 0)
-    # A result isn't stored: no list is turned into a bitmap.
-    rows = _smallest(both, group, "_both").withColumn("kind", F.least("kind", F.lit(RUNS).cast("tinyint")))
-    return _packed(rows, group)
+    return _contained(both, group, F.col("_both"), bitmaps=False)
 
 
 def decode(df: DataFrame, keys: Sequence[str], id_col: str = "bitmap_id") -> DataFrame:

@@ -366,8 +366,10 @@ def q_segment_matrix(spark, sf_dir):
 SELECT s.region_id, s.produce_hour, p.portrait_id, CAST(count(*) AS BIGINT) AS user_count
 FROM stay_rows s JOIN portrait_rows p ON s.bitmap_id = p.bitmap_id GROUP BY ALL"""))
 def q_segment_matrix_and(spark, sf_dir):
-    return segments.segment_matrix_and(m1_stay_bitmaps(spark, sf_dir),
-                                       m1_portrait_bitmaps(spark, sf_dir))
+    m = fixtures.m1(spark, sf_dir)
+    index = build_user_index(m.indexed_users)
+    return segments.segment_matrix_and(stay.region_hour_stay(m.signals, m.region_cell, index),
+                                       portrait.portrait_bitmaps(m.user_info, index))
 
 
 @query("result_json", oracle(f"""
