@@ -215,7 +215,7 @@ def common(left: str, right: str) -> Column:
     first = (F.col(right + "kind") == BITMAP) & (
         (F.col(left + "kind") != BITMAP) | (F.col(left + "n") <= F.col(right + "n")))
     return (F.when(first, inside(left, right)).when(F.col(left + "kind") == BITMAP, inside(right, left))
-            .otherwise(F.array_sort(F.array_intersect(positions(left), positions(right)))))
+            .otherwise(F.sort_array(F.array_intersect(positions(left), positions(right)))))
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
