@@ -20,8 +20,8 @@ How it spreads: word counts are combined in tasks, then by word.  Tasks hold the
 the ``TABLE`` most frequent words; any other word is known by its hash.  Pairs among the
 ``HOT`` most frequent classes (a table of fixed size) are counted beforehand and scored
 where the text is, so a frequent pair is never sent anywhere.  Every other pair goes,
-combined by document, to a shard, which counts it over all training rows, builds its part of
-the trie and answers for its pairs: a pair whose successor is in the table to the shard that
+combined by document, to a shard, which counts it over all training rows, builds its parts of
+the trie and answers for its pairs, one part after the other, with one row for each document: a pair whose successor is in the table to the shard that
 the pair's hash names, any other to that of its successor.  Such a shard meets every
 occurrence of the successor (each follows one token), so it knows c(v), and with it P1(v) and
 the denominator that v gives as a context.  Per-document sums come back in one aggregation.
@@ -48,7 +48,9 @@ HOT = 512
 MU = 500.0
 FOLDS, HELD = 7, 2
 SHARD_PAIRS = 2_500_000
+PART_PAIRS = 850_000     # of a shard that are worked on at once
 MIN_SHARDS = 32
+SLICE_BYTES = 1 << 20         # bytes of text whose words a task holds as arrays at once
 BOS, END, RARE, FIRST = 0, 1, 2, 3
 _HASHED = np.uint64(1 << 63)     # marks the hash of a word outside the table
 
@@ -276,7 +278,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         hashes, counts, held = [], [], 0
-        for batch in arrow_batches(batches, "text"):
+        for batch in arrow_batches(batches, "text", SLICE_BYTES):
             w = Words(batch.column("text"))
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
             h, c = np.unique(_train_words(w, train), return_counts=True)
@@ -338,7 +340,7 @@ def _hot_pairs(docs: DataFrame, model: Counts) -> np.ndarray:
         import pyarrow as pa
 
         table = np.zeros(n * n, np.int64)
-        for batch in arrow_batches(batches, "text"):
+        for batch in arrow_batches(batches, "text", SLICE_BYTES):
             row, u, v, _ = _pairs(Words(batch.column("text")), model)
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
             take = (u < n) & (v < n) & train[row]
@@ -369,33 +371,38 @@ def _pack(u: np.ndarray, v: np.ndarray, ref: np.ndarray, times: np.ndarray) -> b
     return b"".join([np.array([len(u)], np.int64).tobytes(), *map(_planes, (u, v, ref, times))])
 
 
-def _unpack(raw: bytes):
+def _unpack(raw, part: int):
+    """u, v, ref, times of one of the packs that stand one behind the other in ``raw``."""
+    for _ in range(part):
+        raw = raw[8 + 24 * int(np.frombuffer(raw, np.int64, 1)[0]):]
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     cut = 8 + n * np.array([0, 8, 16, 20, 24])
     return [_unplanes(raw[a:b], t) for a, b, t in zip(cut, cut[1:], (np.uint64, np.uint64, np.uint32, np.uint32))]
 
 
-def _by_shard(u: np.ndarray, v: np.ndarray, ref: np.ndarray, shards: int, by_successor: bool):
-    """Equal (u, v, ref) combined, then cut by shard: (shard, u, v, ref, times)."""
-    if not len(u):
-        return
+def _combined_pairs(u: np.ndarray, v: np.ndarray, ref: np.ndarray):
+    """Equal (u, v, ref) once, in order: (u, v, ref, times)."""
     order = np.lexsort((ref, v, u))
     u, v, ref = u[order], v[order], ref[order]
-    head = np.flatnonzero(np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (ref[1:] != ref[:-1])))
-    times = np.diff(np.append(head, len(u))).astype(np.uint32)
-    u, v, ref = u[head], v[head], ref[head]
+    head = np.flatnonzero(np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (ref[1:] != ref[:-1]))[:len(u)])
+    return u[head], v[head], ref[head], np.diff(np.append(head, len(u))).astype(np.uint32)
+
+
+def _by_shard(u: np.ndarray, v: np.ndarray, ref: np.ndarray, times: np.ndarray, shards: int, parts: int,
+              by_successor: bool):
+    """Combined pairs cut by shard and, inside, by part: (shard, packs of all parts)."""
     hashed = mix64(v) if by_successor else mix64(u ^ mix64(v))
-    shard = (hashed % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    cut = np.searchsorted(shard[order], np.arange(shards + 1))
-    for s in np.flatnonzero(np.diff(cut)):
-        at = order[cut[s]:cut[s + 1]]
-        yield int(s), u[at], v[at], ref[at], times[at]
+    cell = (hashed % np.uint64(shards) * np.uint64(parts) + hashed // np.uint64(shards) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    cut = np.searchsorted(cell[order], np.arange(shards * parts + 1))
+    for s in np.flatnonzero(np.diff(cut[::parts])):
+        at = [order[a:b] for a, b in zip(cut[s * parts:], cut[s * parts + 1:(s + 1) * parts + 1])]
+        yield int(s), b"".join(_pack(u[x], v[x], ref[x], times[x]) for x in at)
 
 
-def _send(docs: DataFrame, model: Counts, shards: int) -> DataFrame:
-    """shard, base, kind, payload.  Kinds: 0 pairs whose successor is a class of the table, 1 pairs
-    whose successor is another word (with limited classes: such words alone), 2 sums worked out here."""
+def _sender(model: Counts, shards: int, parts: int):
+    """Rows of :func:`_send`.  Words are taken from a slice of a batch at a time; only combined pairs wait
+    for the batch's end."""
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -405,14 +412,16 @@ def _send(docs: DataFrame, model: Counts, shards: int) -> DataFrame:
         # Numerators of the pairs of hot classes.
         hot = model.log_top(model.hot, np.tile(model.p1[:n_hot], n_hot))
         under = model.log_under(model.by_class)
-        for batch in arrow_batches(batches, "text"):
+
+        def worked_out(batch, first):
+            """What a slice that begins with the batch's row ``first`` gives: its sums, pairs of both kinds."""
             w = Words(batch.column("text"))
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
             row, u, v, n = _pairs(w, model)
             here = (u < n_hot) & (v < n_hot)
-            ref = (np.arange(w.rows) * 2 + train).astype(np.uint32)
+            ref = ((first + np.arange(w.rows)) * 2 + train).astype(np.uint32)
             local = np.zeros(w.rows, _LOCAL)
-            local["row"] = at + np.arange(w.rows)
+            local["row"] = at + first + np.arange(w.rows)
             docs_ = batch.column("doc_id")
             local["named"] = docs_.is_valid().to_numpy(zero_copy_only=False)
             local["doc"] = docs_.fill_null(0).to_numpy(zero_copy_only=False)
@@ -426,30 +435,45 @@ def _send(docs: DataFrame, model: Counts, shards: int) -> DataFrame:
             count = model.by_class[cls[known]]
             local["known"] = np.bincount(w.row[known], minlength=w.rows) + (model.n_texts > 0)
             local["base"] = np.bincount(w.row[known], model.base(count), minlength=w.rows) + model.base(model.n_texts)
-            out = [(int(at // 4096 % shards), at, 2, local.tobytes())]
             rare = v >= _HASHED
             pairs = ~here & ~rare
-            out += [(s, at, 0, _pack(*x)) for s, *x in _by_shard(u[pairs], v[pairs], ref[row[pairs]], shards, False)]
             if model.limited:
                 hashed = w.hashes[~known]
                 alone = np.zeros(len(hashed), np.uint64), hashed, ref[w.row[~known]]
             else:
                 alone = u[rare], v[rare], ref[row[rare]]
-            out += [(s, at, 1, _pack(*x)) for s, *x in _by_shard(*alone, shards, True)]
+            return local, _combined_pairs(u[pairs], v[pairs], ref[row[pairs]]), _combined_pairs(*alone)
+
+        for batch in arrow_batches(batches, "text"):
+            found, first = [], 0
+            for part in arrow_batches([batch], "text", SLICE_BYTES):
+                found.append(worked_out(part, first))
+                first += part.num_rows
+            locals_, *kinds = zip(*found)
+            found = None
+            out = [(int(at // 4096 % shards), at, 2, b"".join(x.tobytes() for x in locals_))]
+            while kinds:
+                pairs = [np.concatenate(x) for x in zip(*kinds.pop())]
+                out += [(s, at, len(kinds), raw) for s, raw in _by_shard(*pairs, shards, parts, len(kinds) == 1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))],
                 ["shard", "base", "kind", "payload"])
-            at += w.rows
+            at += batch.num_rows
+    return run
+
 
+def _send(docs: DataFrame, model: Counts, shards: int, parts: int) -> DataFrame:
+    """shard, base, kind, payload.  Kinds: 0 pairs whose successor is a class of the table, 1 pairs
+    whose successor is another word (with limited classes: such words alone), 2 sums worked out here."""
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "train", "text"),
-        run, "shard int, base long, kind int, payload binary")
+        _sender(model, shards, parts), "shard int, base long, kind int, payload binary")
 
 
-def _gather(parts):
-    """All pairs sent to a shard: context, successor, row, whether it is a training row, times."""
+def _gather(sent, part: int):
+    """A part's pairs sent to a shard: context, successor, row, whether it is a training row, times."""
     out = []
-    for base, raw in parts:
-        u, v, ref, times = _unpack(raw)
+    for base, raw in sent:
+        u, v, ref, times = _unpack(raw, part)
         out.append((u, v, base + (ref >> 1).astype(np.int64), (ref & 1).astype(bool), times))
     return [np.concatenate(x) for x in zip(*out)]
 
@@ -481,38 +505,51 @@ def pair_tops(u, v, counts, p1, model: Counts) -> np.ndarray:
     return np.where(np.isnan(found), model.log_top(0, p1), found)
 
 
-def _answer(model: Counts):
+def _of_classes(u, v, row, train, times, model: Counts):
+    """Rows and their known, base, score from a part's pairs of kind 0."""
+    u, v, place, counts = _distinct(u, v, train, times)
+    top = pair_tops(u, v, counts, model.p1[v.astype(np.int64)], model)
+    rows, (score,) = _sums(row, top[place] * times)
+    return rows, np.zeros(len(rows), np.int64), np.zeros(len(rows)), score
+
+
+def _of_others(u, v, row, train, times, model: Counts):
+    """The same from pairs of kind 1."""
+    u, v, place, counts = _distinct(u, v, train, times)
+    # All that precedes a word is here, so these are the word's own counts.
+    word = np.unique(v, return_inverse=True)[1]
+    c = np.bincount(word, counts)[word]
+    if model.limited:
+        score = model.inside_rare(c)
+    else:
+        score = pair_tops(u, v, counts, (c + 0.5) / model.shares, model) - model.log_under(c)
+    rows, sums = _sums(
+        row, (c[place] > 0) * times.astype(np.int64), model.base(c)[place] * times, score[place] * times)
+    return rows, *sums
+
+
+def _answer(model: Counts, n_parts: int):
     """Per-document sums of one shard."""
     def run(table):
         import pyarrow as pa
 
         kinds = {0: [], 1: [], 2: []}
         for base, kind, raw in zip(table["base"].to_pylist(), table["kind"].to_pylist(), table["payload"]):
-            kinds[kind].append((base, raw.as_py()))
-        out = []
-        if kinds[0]:
-            u, v, row, train, times = _gather(kinds[0])
-            u, v, place, counts = _distinct(u, v, train, times)
-            top = pair_tops(u, v, counts, model.p1[v.astype(np.int64)], model)
-            rows, (score,) = _sums(row, top[place] * times)
-            out.append((rows, np.zeros(len(rows), np.int64), np.zeros(len(rows)), score))
-        if kinds[1]:
-            u, v, row, train, times = _gather(kinds[1])
-            u, v, place, counts = _distinct(u, v, train, times)
-            # All that precedes a word is here, so these are the word's own counts.
-            word = np.unique(v, return_inverse=True)[1]
-            c = np.bincount(word, counts)[word]
-            if model.limited:
-                score = model.inside_rare(c)
-            else:
-                score = pair_tops(u, v, counts, (c + 0.5) / model.shares, model) - model.log_under(c)
-            rows, (known, base, score) = _sums(
-                row, (c[place] > 0) * times.astype(np.int64), model.base(c)[place] * times, score[place] * times)
-            out.append((rows, known, base, score))
+            kinds[kind].append((base, memoryview(raw.as_buffer())))
+        out = None
+        for kind, answered in ((0, _of_classes), (1, _of_others)):
+            for part in range(n_parts) if kinds[kind] else ():
+                pairs = _gather(kinds[kind], part)
+                if len(pairs[0]):
+                    more = answered(*pairs, model)
+                    if out:
+                        row, sums = _sums(*(np.concatenate(x) for x in zip(out, more)))
+                        more = row, *sums
+                    out = more
         parts = [pa.table({"row": pa.array(r), "doc_id": pa.nulls(len(r), pa.int64()),
                            "held_out": pa.nulls(len(r), pa.bool_()), "n_tokens": pa.nulls(len(r), pa.int64()),
                            "n_known": pa.array(k), "base_score": pa.array(b), "score": pa.array(s)})
-                 for r, k, b, s in out]
+                 for r, k, b, s in ([out] if out else [])]
         for _, raw in kinds[2]:
             x = np.frombuffer(raw, _LOCAL)
             parts.append(pa.table({
@@ -529,9 +566,10 @@ def score(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", (fold(F.col("doc_id"), FOLDS) != HELD).alias("train"), "text")
     model = learn(docs)
     shards = max(MIN_SHARDS, -(-int(model.n) // SHARD_PAIRS))
-    sent = _send(docs, model, shards)
+    parts = max(1, -(-int(model.n) // (shards * PART_PAIRS)))
+    sent = _send(docs, model, shards, parts)
     sums = sent.groupBy("shard").applyInArrow(
-        _answer(model), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
+        _answer(model, parts), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
         "base_score double, score double")
     out = sums.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),

@@ -127,3 +127,73 @@ def test_model_beats_the_base_on_held_out_rows(spark):
 
 def test_word_pattern():
     assert re.fullmatch(PATTERN, "a\x1cb")
+
+
+def small_model():
+    model = lm.Counts(np.arange(10, 14, dtype=np.uint64), np.array([9, 7, 5, 3]), 1000, 300, 20, False)
+    model.hot = np.zeros(model.n_hot ** 2)
+    return model
+
+
+def test_a_task_holds_few_arrays_of_a_full_shard():
+    """Two tasks of a 3 GB executor share what its heap leaves.  A document has one row of a shard's."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    n, parts, sent = lm.SHARD_PAIRS // 2, -(-lm.SHARD_PAIRS // lm.PART_PAIRS), []
+    for kind in (0, 1):
+        v = rng.integers(3, 7, n) if kind == 0 else rng.integers(1 << 63, (1 << 63) + 90_000, n, np.uint64)
+        pairs = rng.integers(3, 7, n).astype(np.uint64), v.astype(np.uint64), rng.integers(0, 5000, n).astype(np.uint32)
+        sent += [(0, 0, kind, raw) for _, raw in lm._by_shard(*pairs, np.ones(n, np.uint32), 1, parts, kind == 1)]
+    table = pa.table(dict(zip(("shard", "base", "kind", "payload"), zip(*sent))))
+    tracemalloc.start()
+    got = lm._answer(small_model(), parts)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.num_rows == 2500 and peak < 120e6
+
+
+def test_parts_of_a_shard_add_up(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = cases.edge_texts() + [(100 + i, cases.prose(rng, rng.randrange(60))) for i in range(60)]
+    want = brute(rows, 10 ** 9, None)
+    monkeypatch.setattr(lm, "TABLE", 12)
+    monkeypatch.setattr(lm, "HOT", 4)
+    monkeypatch.setattr(lm, "MIN_SHARDS", 3)
+    monkeypatch.setattr(lm, "PART_PAIRS", 90)
+    got = list(map(tuple, lm.score(cases.documents(spark, rows)).collect()))
+    key = lambda r: (str(r[0]), r[2], round(r[5], 3))
+    assert len(got) == len(want) and want[0][4] > 3 * 90 * 2
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert a[:5] == b[:5]
+        assert a[5] == pytest.approx(b[5], abs=1e-6)
+        assert a[6] == pytest.approx(b[6], rel=0.03, abs=0.2)      # quantised, 256 steps a part
+
+
+def test_slices_of_a_batch_send_what_the_batch_would(monkeypatch):
+    import pyarrow as pa
+    import pyspark
+
+    monkeypatch.setattr(pyspark, "TaskContext", type("Fake", (), {"get": classmethod(lambda c: c()),
+                                                                  "partitionId": lambda self: 3}))
+    rng = random.Random(6)
+    texts = [cases.prose(rng, rng.randrange(200)) for _ in range(60)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array([None, *range(61)], pa.int64()), "train": [i % 3 > 0 for i in range(62)],
+        "text": pa.array(texts, pa.string())})
+
+    def sent():
+        out = []
+        for b in lm._sender(small_model(), 5, 2)([batch]):
+            for s, at, kind, raw in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == 2:
+                    out.append((s, at, kind, raw))
+                else:
+                    out += [(s, at, kind, p, *map(int, x)) for p in (0, 1) for x in zip(*lm._unpack(raw, p))]
+        return sorted(out, key=lambda r: (r[:3], r[3:] if r[2] < 2 else ()))
+
+    whole = sent()
+    monkeypatch.setattr(lm, "SLICE_BYTES", 500)
+    assert sent() == whole and len({r[0] for r in whole}) == 5
