@@ -7,13 +7,14 @@ one numpy call moves all lanes.
 The probability of an id is a mixture of three predictions: order 2 (the id that last followed
 the two ids before), order 1 (the one that last followed the id before) and order 0 (a
 distribution over all ids).  The weights of the mixture adapt for each pair of confirmation
-counts that the two predicted ids have.  A 60-bit range coder codes which prediction is taken
-and, after order 0, the id's nibbles, each with an adaptive distribution for the nibbles
-before.  These start from 1 / (id + RANK_SHIFT), since public vocabularies number tokens by
-falling frequency.  Ids from SMALL on have two adaptive nibbles and 8 even bits (a block is too
-short to learn more of them), smaller ones four adaptive nibbles.  Lanes whose id was predicted
-code a certain symbol meanwhile, so that the arithmetic of the first two nibbles is plain
-arithmetic on whole arrays.
+counts that the two predicted ids have; weights of predictions that name the same id add up.
+A 60-bit range coder codes which prediction is taken and, after order 0, the id's four nibbles,
+each with an adaptive distribution for the nibbles before.  These start from
+1 / (id + RANK_SHIFT), since public vocabularies number tokens by falling frequency.  The third
+and fourth nibbles of ids below SMALL have distributions of their own; those of other ids share
+SHARED ones by the last bits of the nibbles before (a block meets few of them).  Lanes whose id
+was predicted code a certain symbol meanwhile, so that the arithmetic of the first two nibbles
+is plain arithmetic on whole arrays.
 
 All is whole-number arithmetic, so coder and decoder agree on every machine.
 """
@@ -30,7 +31,8 @@ RATES = (6, 5, 5, 4)        # adaption of the nibbles' distributions
 MIX_RATE = 5
 CONTEXTS = 1 << 8           # remembered successors of each order and block
 SURE = 7                    # highest count of confirmations
-SMALL = 1 << 9              # ids below have adaptive third and fourth nibbles
+SMALL = 1 << 9              # ids below have third and fourth nibbles of their own
+SHARED = 1 << 5             # third, and fourth, nibbles' distributions of all other ids
 WORD = 20                   # bits of a payload word; three are in the coder's sight
 
 _TOP = 3 * WORD
@@ -54,16 +56,28 @@ def _bounds(weight: np.ndarray) -> np.ndarray:
     return (np.floor(share * (TOTAL - n)) + np.arange(1, n + 1)).astype(np.int16)
 
 
+def _node(level: int, before: np.ndarray) -> np.ndarray:
+    """Which distribution a level's nibble has after the nibbles ``before``."""
+    if level < 2:
+        return before
+    own = SMALL >> (16 - 4 * level)
+    return np.where(before < own, before, (before & (SHARED - 1)) + own)
+
+
 def _order0(vocabulary: int) -> tuple[np.ndarray, list[int]]:
     """Initial distributions of all nodes in use, and each level's first node."""
     p = np.zeros(MAX_ID + 1)
     p[:vocabulary] = 1.0 / (np.arange(vocabulary) + RANK_SHIFT)
     levels, first, at = [], [], 0
-    for level, ids in enumerate((vocabulary, vocabulary, SMALL, SMALL)):
-        nodes = ((min(ids, vocabulary) - 1) >> (16 - 4 * level)) + 1
+    for level in range(4):
+        weight = p.reshape(16 ** (level + 1), -1).sum(1).reshape(-1, 16)
+        weight = weight[:((vocabulary - 1) >> (16 - 4 * level)) + 1]
+        node = _node(level, np.arange(len(weight)))
+        total = np.zeros((int(node.max()) + 1, 16))
+        np.add.at(total, node, weight)
         first.append(at)
-        at += nodes
-        levels.append(_bounds(p.reshape(16 ** (level + 1), -1).sum(1).reshape(-1, 16)[:nodes]))
+        at += len(total)
+        levels.append(_bounds(total))
     return np.concatenate(levels), first
 
 
@@ -107,7 +121,11 @@ class _Model:
         state *= self.lanes
         state += self.lane
         self.state = state
-        self.edges[:, 1:3] = self.pairs.take(state).view(np.int16).reshape(-1, 2)
+        self.bounds = self.pairs.take(state).view(np.int16).reshape(-1, 2)
+        self.edges[:, 1:3] = self.bounds
+        # Predictions of the same id: order 2 has both weights.
+        self.agree = self.ids[0] == self.ids[1]
+        np.copyto(self.edges[:, 1], self.bounds[:, 1], where=self.agree)
         return self.ids
 
     def span(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,10 +139,11 @@ class _Model:
     def learn(self, order: np.ndarray, ids: np.ndarray) -> None:
         """After a step: which prediction was taken and the true ids."""
         move = _MIX_TARGET.take(order, 0)
-        bounds = self.edges[:, 1:3]
-        move -= bounds
+        move -= self.bounds
         move >>= MIX_RATE
-        move += bounds
+        # What both foretold says nothing of one against the other.
+        move[:, 0] *= ~(self.agree & (order == 0))
+        move += self.bounds
         self.pairs[self.state] = move.view(np.int32).ravel()
         # A wrong prediction loses half its count; without any left it is replaced.
         n = self.sure
@@ -133,8 +152,8 @@ class _Model:
         self.before = self.last
         self.last = ids.astype(np.int64)
 
-    def rows(self, level: int, node: np.ndarray, lane: np.ndarray):
-        rows = (node + self.first[level]) * self.lanes
+    def rows(self, level: int, before: np.ndarray, lane: np.ndarray):
+        rows = (_node(level, before) + self.first[level]) * self.lanes
         rows += lane
         return rows, self.nibbles.take(rows, 0)
 
@@ -170,11 +189,6 @@ class _Writer:
         self.low += r * start.astype(np.uint64)
         r *= size.astype(np.uint64)
 
-    def even_all(self, even: np.ndarray, bits: np.ndarray) -> None:
-        """``bits`` (of each lane) even bits."""
-        self.range >>= bits
-        self.low += self.range * even
-
     def code(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         r = self.range.take(lane)
         r >>= _SBITS
@@ -234,12 +248,6 @@ class _Reader:
         r *= size.astype(np.uint64)
         self.range = r
 
-    def even_all(self, bits: np.ndarray) -> np.ndarray:
-        self.range >>= bits
-        even = np.minimum(self.held // self.range, (np.uint64(1) << bits) - np.uint64(1))
-        self.held -= self.range * even
-        return even
-
     def took(self, lane, r, held, start, size) -> None:
         held -= r * start.astype(np.uint64)
         r *= size.astype(np.uint64)
@@ -309,16 +317,12 @@ def encode(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
             symbol = ((true >> 8) & 15).astype(np.int64)
             out.code_all(*_certain(active, *_span(bounds, symbol)))
             model.move(1, rows, bounds, symbol, active[:, None])
-            large = active & (true >= SMALL)
-            out.even_all(((true & 255) * large).astype(np.uint64), large.astype(np.uint64) << np.uint64(3))
-            out.emit()
-            lane = np.flatnonzero(active ^ large)
-            if len(lane):
-                rest = true.take(lane).astype(np.int64)
-                for level, node, symbol in ((2, rest >> 8, (rest >> 4) & 15), (3, rest >> 4, rest & 15)):
-                    rows, bounds = model.rows(level, node, lane)
-                    out.code(lane, *_span(bounds, symbol))
-                    model.move(level, rows, bounds, symbol)
+            lane = np.flatnonzero(active)
+            rest = true.take(lane).astype(np.int64)
+            for level, before, symbol in ((2, rest >> 8, (rest >> 4) & 15), (3, rest >> 4, rest & 15)):
+                rows, bounds = model.rows(level, before, lane)
+                out.code(lane, *_span(bounds, symbol))
+                model.move(level, rows, bounds, symbol)
                 out.emit()
         else:
             out.emit()
@@ -353,23 +357,17 @@ def decode(words: np.ndarray, count: np.ndarray, length: int, vocabulary: int) -
             symbol = _found(bounds, at)
             source.took_all(r, *_certain(active, *_span(bounds, symbol)))
             model.move(1, rows, bounds, symbol, active[:, None])
-            high = ((node << 4) | symbol) << 8
-            large = active & (high >= SMALL)
-            even = source.even_all(large.astype(np.uint64) << np.uint64(3))
-            source.fill()
-            np.copyto(true, (high + even.astype(np.int64)).astype(np.int32), where=large)
-            lane = np.flatnonzero(active ^ large)
-            if len(lane):
-                rest = high.take(lane) >> 8
-                for level in (2, 3):
-                    rows, bounds = model.rows(level, rest, lane)
-                    r, held, at = source.sight(lane)
-                    symbol = _found(bounds, at)
-                    source.took(lane, r, held, *_span(bounds, symbol))
-                    model.move(level, rows, bounds, symbol)
-                    rest = (rest << 4) | symbol
-                true[lane] = rest
+            lane = np.flatnonzero(active)
+            rest = ((node << 4) | symbol).take(lane)
+            for level in (2, 3):
+                rows, bounds = model.rows(level, rest, lane)
+                r, held, at = source.sight(lane)
+                symbol = _found(bounds, at)
+                source.took(lane, r, held, *_span(bounds, symbol))
+                model.move(level, rows, bounds, symbol)
+                rest = (rest << 4) | symbol
                 source.fill()
+            true[lane] = rest
         else:
             source.fill()
         model.learn(order, true)

@@ -52,7 +52,7 @@ LEAST_BLOCK = 256       # ids
 JOINED = 1 << 16        # bytes of pieces given to the library as one text
 KNOWN = 1 << 20         # pieces that a task remembers (about 60 bytes each)
 
-MAGIC, VERSION = b"TIDS", 1
+MAGIC, VERSION = b"TIDS", 2
 _HEAD = "<4sHH5I"
 _PART = (("known", "u1"), ("doc_id", "<i8"), ("whole", "<u8"), ("earlier", "<u8"), ("here", "<u4"))
 

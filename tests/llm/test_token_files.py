@@ -83,6 +83,28 @@ def test_predictions_pay():
     assert len(fresh) > 3 * len(words)
 
 
+def test_last_nibbles_of_high_ids_are_learned():
+    """Eight ids in no order, all from SMALL on: nothing of them is coded evenly."""
+    rng = np.random.default_rng(5)
+    ids = rng.choice([700, 1801, 9402, 20_003, 20_050, 33_333, 40_960, 50_256], (1000, 16))
+    words, count = id_coder.encode(ids, 50257)
+    assert len(words) * id_coder.WORD < 7 * ids.size
+    assert (id_coder.decode(words, count, 1000, 50257) == ids).all()
+
+
+def test_weights_of_agreeing_predictions_add_up():
+    model = id_coder._Model(3, 50257)
+    first = model.predict().copy()
+    assert (first[0] == first[1]).all() and (model.edges[:, 1] == id_coder.TOTAL // 2).all()
+    for ids in ([5, 6, 7], [8, 9, 10]) * 40:
+        ids = np.array(ids, np.int32)
+        right = model.predict() == ids
+        model.learn(np.where(right[1], 0, 2 - right[0]), ids)
+    model.predict()
+    assert model.agree.all() and (model.edges[:, 1] == model.bounds[:, 1]).all()
+    assert (model.bounds[:, 0] < model.bounds[:, 1]).all()      # the one keeps its weight against the other
+
+
 def frame(ids):
     parts = {"known": [1, 0], "doc_id": [7, 0], "whole": [len(ids) - 3, 3], "earlier": [0, 0], "here": [len(ids) - 3, 3]}
     return token_files.write_frame(np.array(ids), {k: np.array(v) for k, v in parts.items()}, 50257)
