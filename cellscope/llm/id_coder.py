@@ -1,22 +1,22 @@
 """Adaptive context-mixing range coder for token ids, in lanes (op12).
 
-Ids are cut into blocks; a block starts from the same state as every other and has its own
-payload, so all blocks of a frame are coded in step: lane k codes position t of block k, and
-one numpy call moves all lanes.
+Ids are dealt to lanes of equal length that are coded in step: one numpy call moves position t
+of all lanes.  Every lane has a payload of its own; the model is one for all lanes and starts
+from the same state in every frame, so that a step learns from as many ids as there are lanes.
 
 The probability of an id is a mixture of three predictions: order 2 (the id that last followed
 the two ids before), order 1 (the one that last followed the id before) and order 0 (a
 distribution over all ids).  The weights of the mixture adapt for each pair of confirmation
-counts that the two predicted ids have; weights of predictions that name the same id add up.
-A 60-bit range coder codes which prediction is taken and, after order 0, the id's four nibbles,
-each with an adaptive distribution for the nibbles before.  These start from
-1 / (id + RANK_SHIFT), since public vocabularies number tokens by falling frequency.  The third
-and fourth nibbles of ids below SMALL have distributions of their own; those of other ids share
-SHARED ones by the last bits of the nibbles before (a block meets few of them).  Lanes whose id
-was predicted code a certain symbol meanwhile, so that the arithmetic of the first two nibbles
-is plain arithmetic on whole arrays.
-
-All is whole-number arithmetic, so coder and decoder agree on every machine.
+counts that the two predicted ids have, apart for those that agree; weights of predictions that
+name the same id add up.  A 60-bit range coder codes which prediction is taken and, after order
+0, the id.  Order 0 counts the ids that it coded; its distribution follows the counts whenever
+they have grown by a share (GROWN), and starts from 1 / (id + RANK_SHIFT), since public
+vocabularies number tokens by falling frequency.  Weights follow their counts likewise, and every
+WEIGH ids at least; the successors change at every step.
+
+Where lanes meet in one step, all see the state before it; of those that write the successor of
+one context the last lane's stands.  All is whole-number arithmetic,
+so coder and decoder agree on every machine.
 """
 
 from __future__ import annotations
@@ -25,106 +25,112 @@ import numpy as np
 
 MAX_ID = 0xFFFF
 RANK_SHIFT = 400
-BITS = 14                   # of a distribution
+PRIOR = 1 << 12             # ids that the first distribution stands for
+ID_BITS = 20                # of the distribution over all ids
+ID_TOTAL = 1 << ID_BITS
+GROWN = 4                   # a share of 1 / GROWN more ids: the distribution follows
+BITS = 14                   # of the weights
 TOTAL = 1 << BITS
-RATES = (6, 5, 5, 4)        # adaption of the nibbles' distributions
-MIX_RATE = 5
-CONTEXTS = 1 << 8           # remembered successors of each order and block
+WEIGH = 1 << 14             # new ids after which weights follow, if not a share of 1 / GROWN before
+WEIGHED = 1 << 16           # ids that weights remember; then they count half
+CONTEXTS = 1 << 18          # remembered successors of two ids
 SURE = 7                    # highest count of confirmations
-SMALL = 1 << 9              # ids below have third and fourth nibbles of their own
-SHARED = 1 << 5             # third, and fourth, nibbles' distributions of all other ids
 WORD = 20                   # bits of a payload word; three are in the coder's sight
 
 _TOP = 3 * WORD
 _BOTTOM = np.uint64(1 << (_TOP - WORD))
 _REST = np.uint64((1 << (_TOP - WORD)) - 1)
 _SWORD, _SREST = np.uint64(WORD), np.uint64(_TOP - WORD)
-_SBITS = np.uint64(BITS)
-_BYTES = np.uint64(0x0101010101010101)
-
-# Upper bounds that a distribution moves to when symbol s occurs; every symbol keeps 1.
-_K = np.arange(16)
-_TARGET = np.where(_K[None, :] >= _K[:, None], TOTAL - 15 + _K, _K + 1).astype(np.int16)
-_MIX_TARGET = np.array([[TOTAL - 2, TOTAL - 1], [1, TOTAL - 1], [1, 2]], np.int16)
-
-
-def _bounds(weight: np.ndarray) -> np.ndarray:
-    """Rows of weights -> upper bounds of distributions in which every symbol has 1 at least."""
-    n = weight.shape[1]
-    share = np.cumsum(weight, 1)
-    share = share / np.maximum(share[:, -1:], 1e-300)
-    return (np.floor(share * (TOTAL - n)) + np.arange(1, n + 1)).astype(np.int16)
-
-
-def _node(level: int, before: np.ndarray) -> np.ndarray:
-    """Which distribution a level's nibble has after the nibbles ``before``."""
-    if level < 2:
-        return before
-    own = SMALL >> (16 - 4 * level)
-    return np.where(before < own, before, (before & (SHARED - 1)) + own)
-
-
-def _order0(vocabulary: int) -> tuple[np.ndarray, list[int]]:
-    """Initial distributions of all nodes in use, and each level's first node."""
-    p = np.zeros(MAX_ID + 1)
-    p[:vocabulary] = 1.0 / (np.arange(vocabulary) + RANK_SHIFT)
-    levels, first, at = [], [], 0
-    for level in range(4):
-        weight = p.reshape(16 ** (level + 1), -1).sum(1).reshape(-1, 16)
-        weight = weight[:((vocabulary - 1) >> (16 - 4 * level)) + 1]
-        node = _node(level, np.arange(len(weight)))
-        total = np.zeros((int(node.max()) + 1, 16))
-        np.add.at(total, node, weight)
-        first.append(at)
-        at += len(total)
-        levels.append(_bounds(total))
-    return np.concatenate(levels), first
+
+
+class _Ids:
+    """Order 0: how many ids were met, and the distribution in which each has 1 at least."""
+
+    def __init__(self, vocabulary: int):
+        prior = np.floor(1e9 / (np.arange(vocabulary) + RANK_SHIFT)).astype(np.int64)
+        self.every = np.arange(vocabulary)
+        self.count = prior * (PRIOR << 10) // prior.sum()      # in shares of 1 / 1024
+        self.new: list[np.ndarray] = []
+        self.n_new, self.n = 0, 0
+        self.stop = np.zeros(vocabulary + 1, np.int64)
+        self.slots: np.ndarray | None = None
+        self._follow()
+
+    def _follow(self) -> None:
+        share = np.cumsum(self.count)
+        self.stop[1:] = share * (ID_TOTAL - len(share)) // share[-1] + self.every + 1
+        self.stop[-1] = ID_TOTAL
+        self.start = self.stop[:-1].astype(np.uint64)
+        self.size = np.diff(self.stop).astype(np.uint64)
+        self.slots = None
+
+    def learn(self, ids: np.ndarray) -> None:
+        self.new.append(ids)
+        self.n_new += len(ids)
+        if self.n_new * GROWN >= self.n:
+            self.count += np.bincount(np.concatenate(self.new), minlength=len(self.count)) << 10
+            self.n += self.n_new
+            self.new, self.n_new = [], 0
+            self._follow()
+
+    def found(self, at: np.ndarray) -> np.ndarray:
+        """The ids at places of the distribution."""
+        if self.slots is None:
+            self.slots = np.repeat(self.every.astype(np.uint16), self.size.astype(np.int64))
+        return self.slots.take(at).astype(np.int32)
 
 
 class _Model:
-    """The state of all lanes, reset.  Tables are flat, a node's rows of all lanes together."""
+    """The state that all lanes share, reset, and every lane's last two ids."""
 
     def __init__(self, lanes: int, vocabulary: int):
-        start, self.first = _order0(vocabulary)
-        self.lanes, self.lane = lanes, np.arange(lanes)
-        self.nibbles = np.repeat(start, lanes, 0)
-        self.halves = self.nibbles.view(np.complex128).ravel()     # a row as two items
-        # Successors of order 1, then of order 2: id << 3 | confirmations.
-        self.follow = np.zeros(2 * CONTEXTS * lanes, np.int32)
-        self.at = np.empty((2, lanes), np.int64)
-        # Bounds of the weights: order 2 below the first, order 1 below the second.
-        self.mix = np.tile(np.array([[TOTAL // 4, TOTAL // 2]], np.int16), ((SURE + 1) ** 2 * lanes, 1))
+        self.order0 = _Ids(vocabulary)
+        # Successors of one id, then of two: id << 3 | confirmations.
+        self.follow = np.zeros(MAX_ID + 1 + CONTEXTS, np.int32)
+        self.at = np.empty(2 * lanes, np.int64)
+        # How often each prediction was taken: order 2, order 1, order 0.
+        self.taken = np.tile(np.array([1, 1, 2], np.int64), (2 * (SURE + 1) ** 2, 1))
+        self.mix = np.empty((len(self.taken), 2), np.int16)
         self.pairs = self.mix.view(np.int32).ravel()
+        self.new: list[np.ndarray] = []
+        self.n_new, self.n = 0, 0
+        self._weigh()
         self.edges = np.zeros((lanes, 4), np.int16)
         self.edges[:, 3] = TOTAL
         self.edge = np.arange(0, 4 * lanes, 4)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
+    def _weigh(self) -> None:
+        """Bounds of the weights: order 2 below the first, order 1 below the second."""
+        share = np.cumsum(self.taken, 1)
+        self.mix[:] = np.clip(share[:, :2] * TOTAL // share[:, 2:], (1, 2), (TOTAL - 2, TOTAL - 1))
+        np.maximum(self.mix[:, 1], self.mix[:, 0] + 1, out=self.mix[:, 1])
+
     def predict(self) -> np.ndarray:
         """Ids of order 1 and 2; sets the bounds of their weights, for all lanes."""
-        at = self.at
-        np.multiply(self.last, 40503, out=at[0])
-        np.multiply(self.before, 30011, out=at[1])
-        at[1] += at[0]
-        at[1] >>= 3
-        at &= CONTEXTS - 1
-        at[1] += CONTEXTS
-        at *= self.lanes
-        at += self.lane
-        self.found = self.follow.take(at)
+        lanes = len(self.last)
+        self.at[:lanes] = self.last
+        two = self.at[lanes:]
+        np.multiply(self.last, 0x9E3779B1, out=two)
+        two += self.before
+        two *= 0x85EBCA6B
+        two >>= 24
+        two &= CONTEXTS - 1
+        two += MAX_ID + 1
+        self.found = self.follow.take(self.at).reshape(2, lanes)
         self.sure = self.found & SURE
         self.ids = self.found >> 3
-        state = self.sure[1].astype(np.int64)
-        state *= SURE + 1
+        # Predictions of the same id: order 2 has both weights.
+        self.agree = self.ids[0] == self.ids[1]
+        state = self.agree.astype(np.int32)
+        state <<= 3
+        state += self.sure[1]
+        state <<= 3
         state += self.sure[0]
-        state *= self.lanes
-        state += self.lane
         self.state = state
         self.bounds = self.pairs.take(state).view(np.int16).reshape(-1, 2)
         self.edges[:, 1:3] = self.bounds
-        # Predictions of the same id: order 2 has both weights.
-        self.agree = self.ids[0] == self.ids[1]
         np.copyto(self.edges[:, 1], self.bounds[:, 1], where=self.agree)
         return self.ids
 
@@ -138,43 +144,22 @@ class _Model:
 
     def learn(self, order: np.ndarray, ids: np.ndarray) -> None:
         """After a step: which prediction was taken and the true ids."""
-        move = _MIX_TARGET.take(order, 0)
-        move -= self.bounds
-        move >>= MIX_RATE
-        # What both foretold says nothing of one against the other.
-        move[:, 0] *= ~(self.agree & (order == 0))
-        move += self.bounds
-        self.pairs[self.state] = move.view(np.int32).ravel()
+        self.new.append(self.state * 3 + order)
+        self.n_new += len(ids)
+        if self.n_new >= min(self.n // GROWN, WEIGH):
+            self.n += self.n_new
+            self.taken += np.bincount(np.concatenate(self.new), minlength=self.taken.size).reshape(-1, 3)
+            many = self.taken.sum(1) > WEIGHED
+            self.taken[many] = (self.taken[many] + 1) >> 1
+            self.new, self.n_new = [], 0
+            self._weigh()
         # A wrong prediction loses half its count; without any left it is replaced.
         n = self.sure
         wrong = np.where(n > 1, self.found - n + (n >> 1), ids << 3)
-        self.follow[self.at] = np.where(self.ids == ids, self.found + (n < SURE), wrong)
+        self.follow[self.at] = np.where(self.ids == ids, self.found + (n < SURE), wrong).ravel()
         self.before = self.last
         self.last = ids.astype(np.int64)
 
-    def rows(self, level: int, before: np.ndarray, lane: np.ndarray):
-        rows = (_node(level, before) + self.first[level]) * self.lanes
-        rows += lane
-        return rows, self.nibbles.take(rows, 0)
-
-    def move(self, level: int, rows: np.ndarray | None, bounds: np.ndarray, symbol: np.ndarray,
-             active: np.ndarray | None = None) -> None:
-        """Moves distributions (``rows`` None: those of the first nibble) to their symbols."""
-        change = _TARGET.take(symbol, 0)
-        change -= bounds
-        change >>= RATES[level]
-        if active is not None:
-            change *= active
-        if rows is None:
-            bounds += change
-            return
-        change += bounds
-        halves = change.view(np.complex128)
-        rows = rows * 2
-        self.halves[rows] = halves[:, 0]
-        rows += 1
-        self.halves[rows] = halves[:, 1]
-
 
 class _Writer:
     def __init__(self, lanes: int, expected: int):
@@ -185,15 +170,17 @@ class _Writer:
 
     def code_all(self, start: np.ndarray, size: np.ndarray) -> None:
         r = self.range
-        r >>= _SBITS
+        r >>= np.uint64(BITS)
         self.low += r * start.astype(np.uint64)
         r *= size.astype(np.uint64)
 
     def code(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Of some lanes, in the distribution over all ids."""
         r = self.range.take(lane)
-        r >>= _SBITS
-        self.low[lane] += r * start.astype(np.uint64)
-        r *= size.astype(np.uint64)
+        r >>= np.uint64(ID_BITS)
+        start *= r
+        self.low[lane] += start
+        r *= size
         self.range[lane] = r
 
     def emit(self) -> None:
@@ -237,20 +224,26 @@ class _Reader:
             self.held = (self.held << _SWORD) | self.words[self.at]
             self.at += 1
 
-    def sight(self, lane: np.ndarray | None):
-        """Where in the distribution (0 to TOTAL - 1) the lanes' next symbols lie."""
-        r, held = (self.range, self.held) if lane is None else (self.range.take(lane), self.held.take(lane))
-        r = r >> _SBITS
-        return r, held, np.minimum(held // r, np.uint64(TOTAL - 1)).astype(np.int16)
+    def sight(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where among the weights (0 to TOTAL - 1) the lanes' next predictions lie."""
+        r = self.range >> np.uint64(BITS)
+        return r, np.minimum(self.held // r, np.uint64(TOTAL - 1)).astype(np.int16)
 
     def took_all(self, r: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         self.held -= r * start.astype(np.uint64)
         r *= size.astype(np.uint64)
         self.range = r
 
+    def sight_ids(self, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of some lanes, in the distribution over all ids."""
+        r, held = self.range.take(lane), self.held.take(lane)
+        r >>= np.uint64(ID_BITS)
+        return r, held, np.minimum(held // r, np.uint64(ID_TOTAL - 1)).astype(np.int64)
+
     def took(self, lane, r, held, start, size) -> None:
-        held -= r * start.astype(np.uint64)
-        r *= size.astype(np.uint64)
+        start *= r
+        held -= start
+        r *= size
         self.held[lane] = held
         self.range[lane] = r
 
@@ -268,64 +261,22 @@ class _Reader:
             more = more[self.range.take(more) < _BOTTOM]
 
 
-def _span(bounds: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of a symbol in each row of bounds."""
-    flat = bounds.ravel()
-    at = np.arange(0, len(flat), 16)
-    at += symbol
-    stop = flat.take(at)
-    at -= 1
-    start = flat.take(at)       # of the row before for symbol 0
-    start *= symbol > 0
-    stop -= start
-    return start, stop
-
-
-def _found(bounds: np.ndarray, sight: np.ndarray) -> np.ndarray:
-    """The symbol of each row that ``sight`` lies in: how many bounds are not above it."""
-    below = (bounds <= sight[:, None]).view(np.uint64)
-    count = below[:, 0] + below[:, 1]
-    count *= _BYTES
-    count >>= np.uint64(56)
-    return count.astype(np.int64)
-
-
-def _certain(active: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The whole distribution for lanes that aren't active."""
-    start *= active
-    return start, np.where(active, size, np.int16(TOTAL))
-
-
 def encode(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids [position, lane] -> payload words of all lanes one after the other, words of each."""
     length, lanes = ids.shape
     model, out = _Model(lanes, vocabulary), _Writer(lanes, length * 2 // 3)
-    every, top = np.arange(lanes), model.nibbles[:lanes]
+    order0 = model.order0
     ids = ids.astype(np.int32)
-    for t in range(length):
-        true = ids[t]
+    for true in ids:
         right = model.predict() == true
         order = np.where(right[1], 0, 2 - right[0])
         out.code_all(*model.span(order))
-        active = order == 2
-        if active.any():
-            symbol = (true >> 12).astype(np.int64)
-            out.code_all(*_certain(active, *_span(top, symbol)))
-            model.move(0, None, top, symbol, active[:, None])
-            out.emit()
-            rows, bounds = model.rows(1, symbol, every)
-            symbol = ((true >> 8) & 15).astype(np.int64)
-            out.code_all(*_certain(active, *_span(bounds, symbol)))
-            model.move(1, rows, bounds, symbol, active[:, None])
-            lane = np.flatnonzero(active)
-            rest = true.take(lane).astype(np.int64)
-            for level, before, symbol in ((2, rest >> 8, (rest >> 4) & 15), (3, rest >> 4, rest & 15)):
-                rows, bounds = model.rows(level, before, lane)
-                out.code(lane, *_span(bounds, symbol))
-                model.move(level, rows, bounds, symbol)
-                out.emit()
-        else:
-            out.emit()
+        lane = np.flatnonzero(order == 2)
+        if len(lane):
+            rest = true.take(lane)
+            out.code(lane, order0.start.take(rest), order0.size.take(rest))
+            order0.learn(rest)
+        out.emit()
         model.learn(order, true)
     return out.payloads()
 
@@ -334,44 +285,24 @@ def decode(words: np.ndarray, count: np.ndarray, length: int, vocabulary: int) -
     """The reverse of :func:`encode`."""
     lanes = len(count)
     model, source = _Model(lanes, vocabulary), _Reader(words, count)
-    every, top = np.arange(lanes), model.nibbles[:lanes]
+    order0 = model.order0
     ids = np.zeros((length, lanes), np.int32)
-    for t in range(length):
+    for true in ids:
         one, two = model.predict()
-        r, _, at = source.sight(None)
+        r, at = source.sight()
         order = (at >= model.edges[:, 1]).astype(np.int64)
         order += at >= model.edges[:, 2]
         source.took_all(r, *model.span(order))
-        active = order == 2
-        true = np.where(order == 0, two, one)
-        if active.any():
-            r, _, at = source.sight(None)
-            symbol = _found(top, at)
-            source.took_all(r, *_certain(active, *_span(top, symbol)))
-            model.move(0, None, top, symbol, active[:, None])
-            source.fill()
-            # Lanes that aren't active may point beyond the nodes in use.
-            node = symbol * active
-            rows, bounds = model.rows(1, node, every)
-            r, _, at = source.sight(None)
-            symbol = _found(bounds, at)
-            source.took_all(r, *_certain(active, *_span(bounds, symbol)))
-            model.move(1, rows, bounds, symbol, active[:, None])
-            lane = np.flatnonzero(active)
-            rest = ((node << 4) | symbol).take(lane)
-            for level in (2, 3):
-                rows, bounds = model.rows(level, rest, lane)
-                r, held, at = source.sight(lane)
-                symbol = _found(bounds, at)
-                source.took(lane, r, held, *_span(bounds, symbol))
-                model.move(level, rows, bounds, symbol)
-                rest = (rest << 4) | symbol
-                source.fill()
+        true[:] = np.where(order == 0, two, one)
+        lane = np.flatnonzero(order == 2)
+        if len(lane):
+            r, held, at = source.sight_ids(lane)
+            rest = order0.found(at)
+            source.took(lane, r, held, order0.start.take(rest), order0.size.take(rest))
             true[lane] = rest
-        else:
-            source.fill()
+            order0.learn(rest)
+        source.fill()
         model.learn(order, true)
-        ids[t] = true
     return ids
 
 

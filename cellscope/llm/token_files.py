@@ -3,8 +3,9 @@
 Writing: documents are dealt in ascending order of their id (a range exchange), tokenised, and
 the ids of a partition become one file of frames.  A frame holds up to FRAME_IDS ids of
 documents one after the other (a long document runs on into the next frame), cut into equal
-blocks that :mod:`cellscope.llm.id_coder` codes each from a fresh state.  Frames are rows of a
-Parquet file (file, frame, first, n_ids, data), so that Spark's committer publishes them.
+blocks: the lanes that :mod:`cellscope.llm.id_coder` codes in step, each with its own payload and
+checksum, by one model that starts afresh in every frame.  Frames are rows of a Parquet file
+(file, frame, first, n_ids, data), so that Spark's committer publishes them.
 
 A frame's ``data``, all little-endian::
 
@@ -21,7 +22,7 @@ Reading checks every checksum and returns whole documents; any frame can be read
 
 Tokenising: a text is cut where the vocabulary's pattern must cut it whatever stands around
 (:func:`cuts`), equal pieces of a batch are found by packing them into words, and only pieces
-that the task hasn't met are given to the tokenizers library.  The ids are the library's, as
+that the worker hasn't met are given to the tokenizers library.  The ids are the library's, as
 the tests hold.
 
 Cases: null text is empty and has the end id alone; null ids come first; rows of equal id are
@@ -46,13 +47,13 @@ from cellscope.llm.packing import SHORT, packed
 from cellscope.session import scratch_path
 
 END = 0
-FRAME_IDS = 1 << 21
-LANES = 1 << 12         # most blocks of a frame
+FRAME_IDS = 1 << 22
+LANES = 1 << 13         # most blocks of a frame
 LEAST_BLOCK = 256       # ids
-JOINED = 1 << 16        # bytes of pieces given to the library as one text
-KNOWN = 1 << 20         # pieces that a task remembers (about 60 bytes each)
+JOINED = 1 << 10        # bytes of pieces given to the library as one text
+KNOWN = 1 << 20         # pieces that a worker remembers (about 60 bytes each)
 
-MAGIC, VERSION = b"TIDS", 2
+MAGIC, VERSION = b"TIDS", 3
 _HEAD = "<4sHH5I"
 _PART = (("known", "u1"), ("doc_id", "<i8"), ("whole", "<u8"), ("earlier", "<u8"), ("here", "<u4"))
 
@@ -68,30 +69,33 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _STOP = np.zeros(256, bool)
 _STOP[list(b",.;:!?")] = True
+# A byte's kinds as bits; what must stand before a space and a stop is one bit higher than these.
+_KINDS = (_SPACE | _SOLID * 2 | _STOP * 4 | _LETTER * 8 | _BEFORE * 16).astype(np.uint8).tobytes()
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Starts of pieces that byte-level BPE's usual pattern tokenises alike alone and in the
     text: white space after something solid; the last white space before something solid; a
     stop after a letter.  Other places may be safe too, but aren't known to be from two bytes."""
-    begin = np.zeros(len(data) + 1, bool)
-    space = _SPACE[data]
-    begin[1:-1] = space[1:] & _SOLID[data[:-1]]
-    begin[1:-2] |= space[1:-1] & _BEFORE[data[2:]]
-    begin[1:-1] |= _LETTER[data[:-1]] & _STOP[data[1:]]
+    kind = np.frombuffer(data.tobytes().translate(_KINDS), np.uint8)
+    begin = np.zeros(len(data) + 1, np.uint8)
+    begin[1:-1] = kind[:-1] >> 1 & kind[1:] & 5
     # A row's last byte has nothing after it.
     last = offsets[1:-1] - 1
     last = last[last > 0]
-    begin[last] = space[last] & _SOLID[data[last - 1]] | _LETTER[data[last - 1]] & _STOP[data[last]]
-    begin[offsets] = True
-    return np.flatnonzero(begin[:-1])
+    ends = begin[last]
+    begin[1:-2] |= kind[2:] >> 4 & kind[1:-1]
+    begin[last] = ends
+    begin[offsets] = 1
+    return np.flatnonzero(begin[:-1] != 0)
 
 
 class Pieces:
     """Ids of a batch's texts, from the library's ids of distinct pieces.
 
-    Pieces of up to SHORT bytes are remembered under a 64-bit hash of their two words, kept
-    sorted, next to the words themselves, so a piece is never taken for another.
+    Pieces of up to SHORT bytes are remembered by their two words in the order in which they
+    came; a 64-bit hash of the words, kept sorted, leads to their place, and the words are
+    compared, so a piece is never taken for another.
     """
 
     def __init__(self, tokenizer):
@@ -100,12 +104,25 @@ class Pieces:
         self.bytes = np.zeros(tokenizer.get_vocab_size(), np.int64)
         for token, i in tokenizer.get_vocab().items():
             self.bytes[i] = len(token)
-        self._forget()
+        self.hash, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        # By place, with room for more: a piece's words, its ids' places in flat, whether it was met again.
+        self.high, self.low, self.begin, self.count, self.again = (
+            np.zeros(1 << 10, t) for t in (np.uint64, np.uint64, np.int64, np.int64, bool))
+        self.flat = np.zeros(0, np.uint16)
 
     def _forget(self) -> None:
-        self.hash, self.high, self.low = (np.zeros(0, np.uint64) for _ in range(3))
-        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint16)
+        """Keeps the pieces that were met again since the last time, if that leaves half the room."""
+        if 2 * int(self.again.sum()) > KNOWN:
+            self.again[:] = False
+        kept = np.flatnonzero(self.again)
+        there = self.again[self.place]
+        self.hash = self.hash[there]
+        self.place = np.searchsorted(kept, self.place[there]).astype(np.int32)
+        self.high, self.low, begin, self.count = (c[kept] for c in (self.high, self.low, self.begin, self.count))
+        upto = np.cumsum(self.count)
+        self.begin = upto - self.count
+        self.flat = self.flat[np.repeat(begin - self.begin, self.count) + np.arange(int(self.count.sum()))]
+        self.again = np.zeros(len(kept), bool)
 
     def _library(self, data, start, length) -> tuple[np.ndarray, np.ndarray]:
         """The library's ids of pieces one after the other, and how many each has.
@@ -145,19 +162,29 @@ class Pieces:
 
     def _lookup(self, hashed, high, low) -> tuple[np.ndarray, np.ndarray]:
         """Places of pieces among those known, and which are known."""
-        at = np.minimum(np.searchsorted(self.hash, hashed), max(0, len(self.hash) - 1))
+        at = np.zeros(len(hashed), np.int64)
         if not len(self.hash):
             return at, np.zeros(len(hashed), bool)
-        return at, (self.hash[at] == hashed) & (self.high[at] == high) & (self.low[at] == low)
+        order = np.argsort(hashed)      # neighbours are looked up one after the other
+        at[order] = self.place[np.minimum(np.searchsorted(self.hash, hashed[order]), len(self.hash) - 1)]
+        return at, (self.high[at] == high) & (self.low[at] == low)
 
     def _learn(self, hashed, high, low, pieces) -> None:
         flat, count = self._library(*pieces)
         begin = len(self.flat) + np.cumsum(count) - count
         self.flat = np.concatenate([self.flat, flat])
-        columns = [np.concatenate(x) for x in ((self.hash, hashed), (self.high, high), (self.low, low),
-                                               (self.begin, begin), (self.count, count))]
-        order = np.argsort(columns[0], kind="stable")
-        self.hash, self.high, self.low, self.begin, self.count = (c[order] for c in columns)
+        n = len(self.hash)
+        if n + len(count) > len(self.high):
+            more = np.zeros(max(n, len(count)), np.int8)
+            self.high, self.low, self.begin, self.count, self.again = (
+                np.concatenate([c, more.astype(c.dtype)]) for c in (self.high, self.low, self.begin, self.count, self.again))
+        for column, values in ((self.high, high), (self.low, low), (self.begin, begin), (self.count, count)):
+            column[n:n + len(count)] = values
+        order = np.argsort(hashed)
+        # Behind an equal hash: the piece that came first stays the one that is found.
+        upto = np.searchsorted(self.hash, hashed[order], side="right")
+        self.hash = np.insert(self.hash, upto, hashed[order])
+        self.place = np.insert(self.place, upto, n + order)
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END, and every text's number of ids."""
@@ -179,9 +206,11 @@ class Pieces:
         alone = [np.flatnonzero(~short), where[(high != high[first][code]) | (low != low[first][code])]]
         keys = hashed, high[first], low[first]
         at, known = self._lookup(*keys)
+        self.again[at[known]] = True
         if len(self.hash) + int((~known).sum()) > KNOWN:
             self._forget()
-            known[:] = False
+            at, known = self._lookup(*keys)
+            self.again[at[known]] = True
         new = np.flatnonzero(~known)
         if len(new):
             at = where[first[new]]
@@ -206,6 +235,20 @@ class Pieces:
         return ids, np.diff(upto[of_row + np.arange(rows + 1)])
 
 
+_KEPT: dict[str, Pieces] = {}
+
+
+def pieces_of(vocabulary: str) -> Pieces:
+    """The pieces that this process knows of a vocabulary (the text of its file): Spark's Python
+    workers run many tasks, which need not give the library the same pieces again."""
+    if vocabulary not in _KEPT:
+        from tokenizers import Tokenizer
+
+        _KEPT.clear()
+        _KEPT[vocabulary] = Pieces(Tokenizer.from_str(vocabulary))
+    return _KEPT[vocabulary]
+
+
 def write_frame(ids: np.ndarray, parts: dict[str, np.ndarray], vocabulary: int) -> bytes:
     """``parts`` has the columns of _PART."""
     blocks = max(1, min(LANES, -(-len(ids) // LEAST_BLOCK)))
@@ -274,10 +317,9 @@ def _frames(spec, vocabulary: int):
         import os
 
         import pyarrow as pa
-        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # the task has one core
-        pieces = Pieces(Tokenizer.from_str(spec.value))
+        pieces = pieces_of(spec.value)
         file = frame = first = 0
         ids: list[np.ndarray] = []
         parts: list[tuple[np.ndarray, ...]] = []        # known, doc_id, whole, earlier, here

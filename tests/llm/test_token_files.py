@@ -61,6 +61,53 @@ def test_a_task_forgets_pieces(library, monkeypatch):
         assert pieces.encode(pa.array([text]))[0].tolist() == ids_of(library, text)
 
 
+class Counted:
+    """The library, and how many bytes it was given."""
+
+    def __init__(self, library):
+        self.library, self.given = library, 0
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_pieces_met_again_outlive_others(library, monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN", 8)
+    counted = Counted(library)
+    pieces = token_files.Pieces(counted)
+    for text in ("a one two", "a one three four", "a five six seven eight"):
+        assert pieces.encode(pa.array([text]))[0].tolist() == ids_of(library, text)
+    assert len(pieces.hash) <= 8
+    counted.given = 0
+    assert pieces.encode(pa.array(["a one"]))[0].tolist() == ids_of(library, "a one")
+    assert counted.given == 0
+
+
+def test_a_process_keeps_its_pieces(library):
+    vocabulary = library.to_str()
+    pieces = token_files.pieces_of(vocabulary)
+    pieces.encode(pa.array(["kept from one task to the next"]))
+    again = token_files.pieces_of("".join([vocabulary]))
+    assert again is pieces and len(again.hash) > 0
+    other = token_files.pieces_of(vocabulary + " ")
+    assert other is not pieces and len(other.hash) == 0
+
+
+def test_more_pieces_than_there_is_room(library):
+    rng = random.Random(8)
+    pieces = token_files.Pieces(library)
+    for _ in range(4):
+        texts = [cases.prose(rng, 200) + "".join(f" x{rng.randrange(10 ** 6)}" for _ in range(900))]
+        assert pieces.encode(pa.array(texts))[0].tolist() == ids_of(library, texts[0])
+    n = len(pieces.hash)
+    assert n > 1 << 10 and (np.diff(pieces.hash.astype(object)) >= 0).all()
+    assert sorted(pieces.place.tolist()) == list(range(n))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_coder_round_trip(seed):
     rng = np.random.default_rng(seed)
@@ -92,6 +139,26 @@ def test_last_nibbles_of_high_ids_are_learned():
     assert (id_coder.decode(words, count, 1000, 50257) == ids).all()
 
 
+def test_lanes_learn_from_each_other():
+    """A rare sequence that stands in every lane at another place is cheap where it comes again."""
+    rng = np.random.default_rng(6)
+    once = rng.integers(20_000, 50257, 64)
+    ids = np.stack([np.roll(once, k) for k in range(0, 64, 2)], 1)
+    words, count = id_coder.encode(ids, 50257)
+    alone, _ = id_coder.encode(ids[:, :1], 50257)
+    assert len(words) * 2 < len(alone) * ids.shape[1]
+    assert (id_coder.decode(words, count, 64, 50257) == ids).all()
+
+
+def test_lanes_that_meet_in_one_step():
+    """Equal lanes write the same contexts in the same step, and code what one writes."""
+    rng = np.random.default_rng(7)
+    ids = np.repeat(rng.integers(0, 50257, (200, 1)), 9, 1)
+    ids[::7, 4:] = 11
+    words, count = id_coder.encode(ids, 50257)
+    assert (id_coder.decode(words, count, 200, 50257) == ids).all()
+
+
 def test_weights_of_agreeing_predictions_add_up():
     model = id_coder._Model(3, 50257)
     first = model.predict().copy()
