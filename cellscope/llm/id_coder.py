@@ -90,25 +90,37 @@ class _Model:
         self.at = np.empty(2 * lanes, np.int64)
         # How often each prediction was taken: order 2, order 1, order 0.
         self.taken = np.tile(np.array([1, 1, 2], np.int64), (2 * (SURE + 1) ** 2, 1))
-        self.mix = np.empty((len(self.taken), 2), np.int16)
-        self.pairs = self.mix.view(np.int32).ravel()
         self.new: list[np.ndarray] = []
         self.n_new, self.n = 0, 0
         self._weigh()
-        self.edges = np.zeros((lanes, 4), np.int16)
-        self.edges[:, 3] = TOTAL
-        self.edge = np.arange(0, 4 * lanes, 4)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
     def _weigh(self) -> None:
-        """Bounds of the weights: order 2 below the first, order 1 below the second."""
+        """Bounds of each state's weights (order 2 below the first, order 1 below the second) and of
+        what is coded: where both foretell the same id, order 2 has both weights."""
         share = np.cumsum(self.taken, 1)
-        self.mix[:] = np.clip(share[:, :2] * TOTAL // share[:, 2:], (1, 2), (TOTAL - 2, TOTAL - 1))
+        self.mix = np.clip(share[:, :2] * TOTAL // share[:, 2:], (1, 2), (TOTAL - 2, TOTAL - 1))
         np.maximum(self.mix[:, 1], self.mix[:, 0] + 1, out=self.mix[:, 1])
+        self.coded = np.zeros((len(share), 4), np.int64)
+        self.coded[:, 1:3], self.coded[:, 3] = self.mix, TOTAL
+        self.coded[len(share) // 2:, 1] = self.mix[len(share) // 2:, 1]
+        self.start = self.coded[:, :3].astype(np.uint64).ravel()
+        self.size = np.diff(self.coded).astype(np.uint64).ravel()
+        self.one, self.none = (np.ascontiguousarray(self.coded[:, k]).astype(np.uint64) for k in (1, 2))
+
+    @property
+    def bounds(self) -> np.ndarray:
+        """The bounds of every lane's weights."""
+        return self.mix.take(self.state, 0)
+
+    @property
+    def edges(self) -> np.ndarray:
+        """The bounds of what every lane codes."""
+        return self.coded.take(self.state, 0)
 
     def predict(self) -> np.ndarray:
-        """Ids of order 1 and 2; sets the bounds of their weights, for all lanes."""
+        """Ids of order 1 and 2 and the state of their weights, for all lanes."""
         lanes = len(self.last)
         self.at[:lanes] = self.last
         two = self.at[lanes:]
@@ -121,26 +133,26 @@ class _Model:
         self.found = self.follow.take(self.at).reshape(2, lanes)
         self.sure = self.found & SURE
         self.ids = self.found >> 3
-        # Predictions of the same id: order 2 has both weights.
         self.agree = self.ids[0] == self.ids[1]
-        state = self.agree.astype(np.int32)
+        state = self.agree.astype(np.int64)
         state <<= 3
         state += self.sure[1]
         state <<= 3
         state += self.sure[0]
         self.state = state
-        self.bounds = self.pairs.take(state).view(np.int16).reshape(-1, 2)
-        self.edges[:, 1:3] = self.bounds
-        np.copyto(self.edges[:, 1], self.bounds[:, 1], where=self.agree)
         return self.ids
 
+    def order(self, at: np.ndarray) -> np.ndarray:
+        """Which predictions the places ``at`` among the weights mean."""
+        order = (at >= self.one.take(self.state)).astype(np.int64)
+        order += at >= self.none.take(self.state)
+        return order
+
     def span(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the prediction taken (0 for order 2, 1, 2 for order 0)."""
-        at = self.edge + order
-        flat = self.edges.ravel()
-        start = flat.take(at)
-        at += 1
-        return start, flat.take(at) - start
+        at = self.state * 3
+        at += order
+        return self.start.take(at), self.size.take(at)
 
     def learn(self, order: np.ndarray, ids: np.ndarray) -> None:
         """After a step: which prediction was taken and the true ids."""
@@ -155,8 +167,16 @@ class _Model:
             self._weigh()
         # A wrong prediction loses half its count; without any left it is replaced.
         n = self.sure
-        wrong = np.where(n > 1, self.found - n + (n >> 1), ids << 3)
-        self.follow[self.at] = np.where(self.ids == ids, self.found + (n < SURE), wrong).ravel()
+        right = self.ids == ids
+        found = n >> 1
+        found -= n
+        found *= ~right
+        found += right & (n < SURE)
+        found += self.found
+        replace = (ids << 3) - found
+        replace *= right < (n < 2)
+        found += replace
+        self.follow[self.at] = found.ravel()
         self.before = self.last
         self.last = ids.astype(np.int64)
 
@@ -171,8 +191,9 @@ class _Writer:
     def code_all(self, start: np.ndarray, size: np.ndarray) -> None:
         r = self.range
         r >>= np.uint64(BITS)
-        self.low += r * start.astype(np.uint64)
-        r *= size.astype(np.uint64)
+        start *= r
+        self.low += start
+        r *= size
 
     def code(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         """Of some lanes, in the distribution over all ids."""
@@ -227,11 +248,12 @@ class _Reader:
     def sight(self) -> tuple[np.ndarray, np.ndarray]:
         """Where among the weights (0 to TOTAL - 1) the lanes' next predictions lie."""
         r = self.range >> np.uint64(BITS)
-        return r, np.minimum(self.held // r, np.uint64(TOTAL - 1)).astype(np.int16)
+        return r, np.minimum(self.held // r, np.uint64(TOTAL - 1))
 
     def took_all(self, r: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        self.held -= r * start.astype(np.uint64)
-        r *= size.astype(np.uint64)
+        start *= r
+        self.held -= start
+        r *= size
         self.range = r
 
     def sight_ids(self, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -290,8 +312,7 @@ def decode(words: np.ndarray, count: np.ndarray, length: int, vocabulary: int) -
     for true in ids:
         one, two = model.predict()
         r, at = source.sight()
-        order = (at >= model.edges[:, 1]).astype(np.int64)
-        order += at >= model.edges[:, 2]
+        order = model.order(at)
         source.took_all(r, *model.span(order))
         true[:] = np.where(order == 0, two, one)
         lane = np.flatnonzero(order == 2)
