@@ -169,7 +169,8 @@ class Pieces:
         at[order] = self.place[np.minimum(np.searchsorted(self.hash, hashed[order]), len(self.hash) - 1)]
         return at, (self.high[at] == high) & (self.low[at] == low)
 
-    def _learn(self, hashed, high, low, pieces) -> None:
+    def _learn(self, hashed, high, low, pieces) -> np.ndarray:
+        """Places of pieces that weren't known."""
         flat, count = self._library(*pieces)
         begin = len(self.flat) + np.cumsum(count) - count
         self.flat = np.concatenate([self.flat, flat])
@@ -181,10 +182,11 @@ class Pieces:
         for column, values in ((self.high, high), (self.low, low), (self.begin, begin), (self.count, count)):
             column[n:n + len(count)] = values
         order = np.argsort(hashed)
-        # Behind an equal hash: the piece that came first stays the one that is found.
+        # Behind an equal hash: the piece that came first is found, the other is learned whenever it comes.
         upto = np.searchsorted(self.hash, hashed[order], side="right")
         self.hash = np.insert(self.hash, upto, hashed[order])
         self.place = np.insert(self.place, upto, n + order)
+        return np.arange(n, n + len(count))
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END, and every text's number of ids."""
@@ -213,11 +215,8 @@ class Pieces:
             self.again[at[known]] = True
         new = np.flatnonzero(~known)
         if len(new):
-            at = where[first[new]]
-            self._learn(*(k[new] for k in keys), (data, start[at], length[at]))
-            at, known = self._lookup(*keys)
-            if not known.all():     # of equal hash as a piece of an earlier batch
-                alone.append(where[~known[code]])
+            here = where[first[new]]
+            at[new] = self._learn(*(k[new] for k in keys), (data, start[here], length[here]))
         size, begin = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
         size[where], begin[where] = self.count[at][code], self.begin[at][code]
         rest, flat = np.unique(np.concatenate(alone)), self.flat
